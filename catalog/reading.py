@@ -17,14 +17,14 @@ KEY_LOW, KEY_HIGH, SLICES = 0, 999_999, 8
 
 
 def scan_table(spark, sf):
-    spec = rm.FileTable(f"{sf}/lineitem.parquet")
+    spec = t.file_table(spark, sf, "lineitem")
     return rm.scan_table(
         spark, spec, ["l_orderkey", "l_linenumber", "l_shipdate"], "l_quantity >= 25 AND l_shipdate >= '1998-01-01'"
     )
 
 
 def scan_partitioned(spark, sf):
-    spec = rm.FileTable(f"{sf}/lineitem.parquet")
+    spec = t.file_table(spark, sf, "lineitem")
     df = rm.scan_partitioned(spark, spec, "l_orderkey", KEY_LOW, KEY_HIGH, SLICES, ["l_orderkey"])
     return rm.slice_counts(df, "l_orderkey", KEY_LOW, KEY_HIGH, SLICES)
 

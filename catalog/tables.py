@@ -8,7 +8,10 @@ valid in Spark and in the SQL used for checking, so both see the same target.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from rowmend import FileTable, scan_table
 
@@ -88,8 +91,19 @@ FROM {customer}
 """
 
 
+@cache
+def schema(spark: SparkSession, path: str) -> StructType:
+    """Read from the files once, not for each of the many queries."""
+    return scan_table(spark, FileTable(path)).schema
+
+
+def file_table(spark: SparkSession, sf_dir: str, name: str) -> FileTable:
+    path = f"{sf_dir}/{name}.parquet"
+    return FileTable(path, schema=schema(spark, path))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    return scan_table(spark, FileTable(f"{sf_dir}/{name}.parquet"), columns)
+    return scan_table(spark, file_table(spark, sf_dir, name), columns)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowmend.functions.columns import ordered_unique
 from rowmend.sources.jdbc import JdbcTable, connection_options, limited_query, table_options
@@ -14,11 +15,12 @@ from rowmend.sources.jdbc import JdbcTable, connection_options, limited_query, t
 
 @dataclass(frozen=True)
 class FileTable:
-    """A table in files, by path."""
+    """A table in files, by path. A known schema saves the job that reads it from the files."""
 
     path: str
     format: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
+    schema: T.StructType | str | None = None
 
 
 @dataclass(frozen=True)
@@ -33,7 +35,8 @@ TableSpec = FileTable | CatalogTable | JdbcTable
 
 def _open(spark: SparkSession, spec: TableSpec) -> DataFrame:
     if isinstance(spec, FileTable):
-        return spark.read.format(spec.format).options(**spec.options).load(spec.path)
+        reader = spark.read.schema(spec.schema) if spec.schema else spark.read
+        return reader.format(spec.format).options(**spec.options).load(spec.path)
     if isinstance(spec, CatalogTable):
         return spark.table(spec.name)
     return spark.read.format("jdbc").options(**table_options(spec)).load()
