@@ -12,8 +12,9 @@ LINE_KEY = ["l_orderkey", "l_linenumber"]
 VALUES = [c for c in t.ORDERS_COLUMNS if c not in KEY]
 
 
-def compared_orders(spark, sf):
-    return rm.compare_rows(t.orders(spark, sf), t.orders_target(spark, sf), KEY)
+def compared_orders(spark, sf, primary_key=False):
+    rows = rm.compare_rows(t.orders(spark, sf), t.orders_target(spark, sf), KEY, primary_key=primary_key)
+    return rows.drop("occurrence")
 
 
 def flat(rows, values):
@@ -28,6 +29,11 @@ def compare_summary(spark, sf):
     return rm.compare_summary(compared_orders(spark, sf))
 
 
+def compare_summary_primary_key(spark, sf):
+    """The same by one join, the key being declared unique."""
+    return rm.compare_summary(compared_orders(spark, sf, primary_key=True))
+
+
 def compare_all_rows(spark, sf):
     return flat(compared_orders(spark, sf), VALUES)
 
@@ -62,11 +68,19 @@ def mismatch_keys(spark, sf):
 
 
 def mismatch_pairs(spark, sf):
-    return flat(rm.mismatch_pairs(t.orders(spark, sf), t.orders_target(spark, sf), KEY), VALUES)
+    return flat(rm.mismatch_pairs(t.orders(spark, sf), t.orders_target(spark, sf), KEY).drop("occurrence"), VALUES)
+
+
+def mismatch_pairs_primary_key(spark, sf):
+    return flat(rm.mismatch_pairs(t.orders(spark, sf), t.orders_target(spark, sf), KEY, primary_key=True), VALUES)
+
+
+def src_only_rows_primary_key(spark, sf):
+    return rm.src_only_rows(t.orders(spark, sf), t.orders_target(spark, sf), KEY, primary_key=True)
 
 
 def key_only_compare(spark, sf):
-    return rm.key_only_compare(t.orders(spark, sf), t.orders_target(spark, sf), KEY)
+    return rm.key_only_compare(t.orders(spark, sf), t.orders_target(spark, sf), KEY).drop("occurrence")
 
 
 def composite_key_compare(spark, sf):
@@ -95,8 +109,7 @@ def key_audit(spark, sf):
 
 def occurrence_numbers(spark, sf):
     src = t.table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"])
-    profile = rm.key_profile(src, src, LINE_KEY)
-    return rm.number_occurrences(src, LINE_KEY, profile.max_rows)
+    return rm.number_occurrences(src, LINE_KEY)
 
 
 def tolerance_compare(spark, sf):
@@ -123,6 +136,7 @@ def top_diffs(spark, sf):
 
 QUERIES = {
     "compare_summary": compare_summary,
+    "compare_summary_primary_key": compare_summary_primary_key,
     "compare_rows": compare_all_rows,
     "matching_rate": matching_rate,
     "diff_summary": diff_summary,
@@ -132,6 +146,8 @@ QUERIES = {
     "tgt_only_keys": tgt_only_keys,
     "mismatch_keys": mismatch_keys,
     "mismatch_pairs": mismatch_pairs,
+    "mismatch_pairs_primary_key": mismatch_pairs_primary_key,
+    "src_only_rows_primary_key": src_only_rows_primary_key,
     "key_only_compare": key_only_compare,
     "composite_key_compare": composite_key_compare,
     "duplicate_pairing": duplicate_pairing,
@@ -222,6 +238,11 @@ SQL = {
     "src_only_rows": f"WITH {t.SQL_SRC}, {t.SQL_TGT} SELECT * FROM src WHERE o_orderkey NOT IN (SELECT o_orderkey FROM tgt)",
     "tgt_only_keys": f"WITH {t.SQL_TGT} SELECT o_orderkey FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)",
     "mismatch_keys": f"{t.WITH_ORDERS} SELECT o_orderkey FROM joined WHERE diff_type = 'mismatch'",
+    "compare_summary_primary_key": f"{t.WITH_ORDERS} {t.summary_sql()}",
+    "mismatch_pairs_primary_key": f"""{t.WITH_ORDERS}
+        SELECT * EXCLUDE (diff_type) FROM joined WHERE diff_type = 'mismatch'""",
+    "src_only_rows_primary_key": f"""WITH {t.SQL_SRC}, {t.SQL_TGT}
+        SELECT * FROM src WHERE o_orderkey NOT IN (SELECT o_orderkey FROM tgt)""",
     "mismatch_pairs": f"{t.WITH_ORDERS} SELECT * EXCLUDE (diff_type) FROM joined WHERE diff_type = 'mismatch'",
     "key_only_compare": f"""{t.WITH_ORDERS}
         SELECT o_orderkey, diff_type FROM joined WHERE diff_type IN ('src_only', 'tgt_only')""",

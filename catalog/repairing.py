@@ -19,7 +19,7 @@ def diff(spark, sf, windowed=False):
     if windowed:
         days = (END - START).days
         src, tgt = (rm.incremental_filter(side, TIME, days, END) for side in (src, tgt))
-    return rm.materialize(rm.compare_rows(src, tgt, KEY).where("diff_type <> 'match'"), "diff")
+    return rm.materialize(rm.compare_rows(src, tgt, KEY).where("diff_type <> 'match'").drop("occurrence"), "diff")
 
 
 def chosen(spark, sf, windowed=False, time_filter=True):

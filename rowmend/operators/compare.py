@@ -1,4 +1,4 @@
-"""Row comparison: one full outer join on the key, and the narrower joins next to it."""
+"""Row comparison: every key's rows of both sides brought together, and the narrower joins next to it."""
 
 from __future__ import annotations
 
@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowmend.functions.types import is_numeric, unify_types
-from rowmend.operators.keys import HOT_ROWS, KeyProfile, Matched, match_keys
-from rowmend.operators.ranks import quoted
+from rowmend.operators.keys import HOT_ROWS, OCCURRENCE, hot_keys, same_keys, split_hot
+from rowmend.operators.ranks import number_in_hot_key, number_in_key, quoted
 
 MATCH, MISMATCH, SRC_ONLY, TGT_ONLY = "match", "mismatch", "src_only", "tgt_only"
 DIFF_TYPE, DIFF_COLUMNS = "diff_type", "diff_columns"
 SRC, TGT = "src", "tgt"
+_IS_SRC, _RECORD = "_is_src", "_record"
 
 
 def any_of(conditions: Sequence[Column]) -> Column:
@@ -44,42 +45,76 @@ def values_equal(a: Column, b: Column, dtype: T.DataType, abs_tol: float = 0.0,
 
 
 def prepare(
-    src: DataFrame,
-    tgt: DataFrame,
-    keys: Sequence[str],
-    columns: Sequence[str] | None = None,
-    profile: KeyProfile | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> tuple[Matched, list[str]]:
-    """Both sides cut to keys and compared columns, of one type each, with unique keys."""
+    src: DataFrame, tgt: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides cut to keys and compared columns, of one type each, and the compared columns."""
+    if not keys:
+        raise ValueError("no key columns")
     theirs = set(tgt.columns)
     missing = [k for k in keys if k not in src.columns or k not in theirs]
     if missing:
         raise ValueError(f"key columns missing on one side: {missing}")
+    taken = {OCCURRENCE, DIFF_TYPE, DIFF_COLUMNS, SRC, TGT}.intersection(keys)
+    if taken:
+        raise ValueError(f"column names used by the comparison: {sorted(taken)}")
     wanted = src.columns if columns is None else columns
     values = [c for c in dict.fromkeys(wanted) if c in set(src.columns) and c in theirs and c not in keys]
     a, b = unify_types(src, tgt, [*keys, *values])
-    return match_keys(a, b, keys, profile, hot_rows), values
+    return a, b, values
+
 
+def _records(df: DataFrame, keys: Sequence[str], values: Sequence[str], name: str) -> DataFrame:
+    """``(keys, record)``. The record is never NULL, so it tells an absent row from a row of NULLs."""
+    record = F.struct(*quoted(values)) if values else F.struct(F.lit(True).alias("present"))
+    return df.select(*quoted(keys), record.alias(name))
 
-def join_sides(matched: Matched, values: Sequence[str], how: str = "full_outer") -> DataFrame:
-    """``(keys, src STRUCT, tgt STRUCT)``; the struct of a side without the row is NULL.
 
-    The struct itself marks presence, so a row of NULL values is not taken for an
-    absent one.
+def join_sides(
+    src: DataFrame, tgt: DataFrame, keys: Sequence[str], how: str = "full_outer", null_safe: bool = False
+) -> DataFrame:
+    """``(keys, src, tgt)`` from two tables of records whose keys are unique."""
+    joined = src.alias("s").join(tgt.alias("t"), same_keys(keys, "s", "t", null_safe), how)
+    both = [F.coalesce(F.col(f"s.`{k}`"), F.col(f"t.`{k}`")) if how == "full_outer" else F.col(f"s.`{k}`") for k in keys]
+    return joined.select(*[c.alias(k) for c, k in zip(both, keys)], F.col(f"s.{SRC}").alias(SRC), F.col(f"t.{TGT}").alias(TGT))
+
+
+def pair_occurrences(src: DataFrame, tgt: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(keys, occurrence, src, tgt)`` from two tables of records whose keys may repeat or be NULL.
+
+    The k-th source record of a key, in value order, meets its k-th target record;
+    never all pairs. Both sides go through one shuffle by key: numbering and pairing
+    both work on it. Hot keys are taken out, numbered across tasks, and paired by key
+    and number, which spreads them.
     """
+    stacked = (
+        src.select(*quoted(keys), F.lit(True).alias(_IS_SRC), F.col(SRC).alias(_RECORD))
+        .unionByName(tgt.select(*quoted(keys), F.lit(False).alias(_IS_SRC), F.col(TGT).alias(_RECORD)))
+    )
+    hot = hot_keys(stacked, keys, hot_rows)
+    if hot is None:
+        return _pair_in_key(stacked, keys)
+    usual, _ = split_hot(stacked, hot, keys)
+    sides = []
+    for df, name in ((src, SRC), (tgt, TGT)):
+        _, large = split_hot(df, hot, keys)
+        sides.append(number_in_hot_key(large, keys, [name], OCCURRENCE))
+    paired = join_sides(*sides, [*keys, OCCURRENCE], null_safe=True)
+    return _pair_in_key(usual, keys).unionByName(paired)
+
+
+def _pair_in_key(stacked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    numbered = number_in_key(stacked.repartition(*quoted(keys)), [*keys, _IS_SRC], [_RECORD], OCCURRENCE)
+    return numbered.groupBy(*quoted(keys), OCCURRENCE).agg(
+        F.max(F.when(F.col(_IS_SRC), F.col(_RECORD))).alias(SRC),
+        F.max(F.when(~F.col(_IS_SRC), F.col(_RECORD))).alias(TGT),
+    )
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        record = F.struct(*quoted(values)) if values else F.struct(F.lit(True).alias("present"))
-        return df.select(*quoted(matched.keys), record.alias(name)).alias(f"{name}_side")
 
-    left, right = f"{SRC}_side", f"{TGT}_side"
-    joined = side(matched.src, SRC).join(side(matched.tgt, TGT), matched.same_key(left, right), how)
-    keys = [
-        (F.coalesce(F.col(f"{left}.`{k}`"), F.col(f"{right}.`{k}`")) if how == "full_outer" else F.col(f"{left}.`{k}`")).alias(k)
-        for k in matched.keys
-    ]
-    return joined.select(*keys, F.col(f"{left}.{SRC}").alias(SRC), F.col(f"{right}.{TGT}").alias(TGT))
+def match_rows(
+    src: DataFrame, tgt: DataFrame, keys: Sequence[str], values: Sequence[str], primary_key: bool, hot_rows: int
+) -> DataFrame:
+    a, b = _records(src, keys, values, SRC), _records(tgt, keys, values, TGT)
+    return join_sides(a, b, keys) if primary_key else pair_occurrences(a, b, keys, hot_rows)
 
 
 def field(side: str, name: str) -> Column:
@@ -100,18 +135,22 @@ def compare_rows(
     columns: Sequence[str] | None = None,
     abs_tol: float = 0.0,
     rel_tol: float = 0.0,
-    profile: KeyProfile | None = None,
+    primary_key: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Every key of either side with its class.
+    """Every row of either side, matched by key, with its class.
+
+    ``(keys, occurrence, diff_type, src, tgt, diff_columns)``, where ``diff_type`` is
+    match, mismatch, src_only or tgt_only, ``src``/``tgt`` hold the compared values
+    and ``diff_columns`` names the unequal ones of a mismatch. What is not asked for
+    downstream is not computed.
 
-    ``(keys[, occurrence], diff_type, src, tgt, diff_columns)``, where ``diff_type``
-    is match, mismatch, src_only or tgt_only, ``src``/``tgt`` hold the compared
-    values and ``diff_columns`` names the unequal ones of a mismatch. Columns that
-    are not asked for downstream are not computed.
+    ``primary_key`` states that on both sides no key repeats and none is NULL, as a
+    database's primary key does. Then one full outer join does it, there is no
+    ``occurrence``, and tables bucketed by the key are not shuffled at all.
     """
-    matched, values = prepare(src, tgt, keys, columns, profile, hot_rows)
-    joined = join_sides(matched, values)
+    a, b, values = prepare(src, tgt, keys, columns)
+    joined = match_rows(a, b, keys, values, primary_key, hot_rows)
     unequal = unequal_columns(joined, values, abs_tol, rel_tol)
     kind = (
         F.when(F.col(TGT).isNull(), SRC_ONLY)
@@ -122,7 +161,7 @@ def compare_rows(
     names = F.array_compact(F.array(*[F.when(c, F.lit(v)) for v, c in unequal.items()])) if unequal else F.array()
     both = F.col(SRC).isNotNull() & F.col(TGT).isNotNull()
     return joined.select(
-        *quoted(matched.keys),
+        *quoted([c for c in joined.columns if c not in (SRC, TGT)]),
         kind.alias(DIFF_TYPE),
         SRC,
         TGT,
@@ -131,10 +170,10 @@ def compare_rows(
 
 
 def key_only_compare(
-    src: DataFrame, tgt: DataFrame, keys: Sequence[str], profile: KeyProfile | None = None, hot_rows: int = HOT_ROWS
+    src: DataFrame, tgt: DataFrame, keys: Sequence[str], primary_key: bool = False, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """``(keys[, occurrence], diff_type)`` of the rows that one side lacks."""
-    rows = compare_rows(src, tgt, keys, [], profile=profile, hot_rows=hot_rows)
+    """``(keys[, occurrence], diff_type)`` of the rows that one side lacks; only keys are read."""
+    rows = compare_rows(src, tgt, keys, [], primary_key=primary_key, hot_rows=hot_rows)
     return rows.where(F.col(DIFF_TYPE) != MATCH).drop(SRC, TGT, DIFF_COLUMNS)
 
 
@@ -143,20 +182,23 @@ def src_only_rows(
     tgt: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
-    profile: KeyProfile | None = None,
+    primary_key: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Full source rows that the target lacks. Of the target only keys are read when they are unique."""
-    matched, _ = prepare(src, tgt, keys, columns, profile, hot_rows)
-    right = matched.tgt.select(*quoted(matched.keys)).alias("t")
-    return matched.src.alias("s").join(right, matched.same_key("s", "t"), "left_anti")
+    """Full source rows that the target lacks. With a primary key, only keys of the target are read."""
+    a, b, values = prepare(src, tgt, keys, columns)
+    if primary_key:
+        left, right = a.alias("s"), b.select(*quoted(keys)).alias("t")
+        return left.join(right, same_keys(keys, "s", "t", null_safe=False), "left_anti")
+    paired = match_rows(a, b, keys, values, primary_key, hot_rows)
+    return paired.where(F.col(TGT).isNull()).select(*quoted(keys), *[field(SRC, v).alias(v) for v in values])
 
 
 def tgt_only_keys(
-    src: DataFrame, tgt: DataFrame, keys: Sequence[str], profile: KeyProfile | None = None, hot_rows: int = HOT_ROWS
+    src: DataFrame, tgt: DataFrame, keys: Sequence[str], primary_key: bool = False, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Keys of target rows that the source lacks."""
-    return src_only_rows(tgt.select(*quoted(keys)), src.select(*quoted(keys)), keys, [], profile, hot_rows)
+    return src_only_rows(tgt, src, keys, [], primary_key, hot_rows)
 
 
 def mismatch_pairs(
@@ -166,12 +208,15 @@ def mismatch_pairs(
     columns: Sequence[str] | None = None,
     abs_tol: float = 0.0,
     rel_tol: float = 0.0,
-    profile: KeyProfile | None = None,
+    primary_key: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``(keys[, occurrence], src, tgt)`` of keys on both sides whose values differ."""
-    matched, values = prepare(src, tgt, keys, columns, profile, hot_rows)
-    joined = join_sides(matched, values, "inner")
+    """``(keys[, occurrence], src, tgt)`` of rows on both sides whose values differ."""
+    a, b, values = prepare(src, tgt, keys, columns)
+    if primary_key:
+        joined = join_sides(_records(a, keys, values, SRC), _records(b, keys, values, TGT), keys, "inner")
+    else:
+        joined = match_rows(a, b, keys, values, False, hot_rows).where(F.col(SRC).isNotNull() & F.col(TGT).isNotNull())
     return joined.where(any_of(list(unequal_columns(joined, values, abs_tol, rel_tol).values())))
 
 
@@ -182,11 +227,11 @@ def mismatch_keys(
     columns: Sequence[str] | None = None,
     abs_tol: float = 0.0,
     rel_tol: float = 0.0,
-    profile: KeyProfile | None = None,
+    primary_key: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Keys of both sides whose values differ."""
-    return mismatch_pairs(src, tgt, keys, columns, abs_tol, rel_tol, profile, hot_rows).drop(SRC, TGT)
+    """Keys of rows on both sides whose values differ."""
+    return mismatch_pairs(src, tgt, keys, columns, abs_tol, rel_tol, primary_key, hot_rows).select(*quoted(keys))
 
 
 def lookup_target(
@@ -197,13 +242,11 @@ def lookup_target(
     Only the named columns are read. A small written-down ``wanted`` is broadcast, and
     then the target is scanned without being shuffled.
     """
-    rows = tgt.select(*quoted(dict.fromkeys([*keys, *columns])))
+    rows = tgt.select(*quoted(list(dict.fromkeys([*keys, *columns]))))
     return rows_of_keys(rows, wanted, keys, null_safe)
 
 
 def rows_of_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """The rows whose whole key is among the wanted ones; no key wanted, no row."""
     right = wanted.select(*quoted(keys)).alias("wanted")
-    return df.alias("rows").join(
-        right, Matched(df, wanted, tuple(keys), null_safe).same_key("rows", "wanted"), "left_semi"
-    )
+    return df.alias("rows").join(right, same_keys(keys, "rows", "wanted", null_safe), "left_semi")

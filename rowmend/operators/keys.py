@@ -1,9 +1,8 @@
-"""What the key columns of two tables are like, and keys made unique for matching."""
+"""Key columns: whether they identify rows, which keys are hot, and occurrence numbers."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +11,10 @@ from rowmend.operators.ranks import number_in_hot_key, number_in_key, quoted
 from rowmend.sources.storage import materialize
 
 OCCURRENCE = "occurrence"
-# A key with more rows than this is numbered across tasks instead of inside one.
+# A key with about this many rows or more is spread over tasks instead of going to one.
 HOT_ROWS = 1_000_000
+# Sampled rows a key of HOT_ROWS rows is expected to show; half of them make it hot.
+SAMPLE_HITS = 200
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -29,105 +30,46 @@ def key_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.withColumn("has_null", any_null(keys)).where("row_cnt > 1 OR has_null")
 
 
-@dataclass(frozen=True)
-class KeyProfile:
-    """Largest number of rows one key has on either side, and whether any key is NULL."""
+def same_keys(keys: Sequence[str], left: str, right: str, null_safe: bool = True) -> Column:
+    """Join condition between two aliased tables."""
+    condition = None
+    for k in keys:
+        a, b = F.col(f"{left}.`{k}`"), F.col(f"{right}.`{k}`")
+        part = a.eqNullSafe(b) if null_safe else a == b
+        condition = part if condition is None else condition & part
+    return condition
 
-    max_rows: int
-    has_null: bool
 
-    @property
-    def unique(self) -> bool:
-        return self.max_rows <= 1
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys that hold about ``hot_rows`` rows or more, or None.
 
-
-# What a primary key promises.
-PRIMARY_KEY = KeyProfile(1, False)
+    They are found in a sample of the key columns, since the answer only decides how
+    the work is laid out: a key on the wrong side of the line gets the same result,
+    from one task or from many. The list is written down, so that every part of a
+    plan splits the table alike.
+    """
+    fraction = min(1.0, SAMPLE_HITS / hot_rows)
+    needed = hot_rows * fraction / 2
+    sampled = df.select(*quoted(keys)).sample(fraction, seed=1)
+    found = sampled.groupBy(*quoted(keys)).agg(F.count("*").alias("_hits")).where(F.col("_hits") > needed)
+    found = found.select(*quoted(keys))
+    return None if found.isEmpty() else materialize(found, "hot-keys")
 
 
-def key_profile(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> KeyProfile:
-    """One job over the key columns of both sides; a single row comes back."""
-    sides = src.select(F.lit(0).alias("_side"), *quoted(keys)).unionByName(
-        tgt.select(F.lit(1).alias("_side"), *quoted(keys))
-    )
-    counted = sides.groupBy("_side", *quoted(keys)).agg(F.count("*").alias("_rows"))
-    row = counted.agg(F.max("_rows"), F.max(any_null(keys))).first()
-    return KeyProfile(row[0] or 0, bool(row[1]))
+def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other keys, and the rows of the hot ones."""
+    condition = same_keys(keys, "rows", "hot")
+    rows, listed = df.alias("rows"), hot.alias("hot")
+    return rows.join(listed, condition, "left_anti"), rows.join(listed, condition, "left_semi")
 
 
 def number_occurrences(
-    df: DataFrame,
-    keys: Sequence[str],
-    max_rows: int,
-    hot_rows: int = HOT_ROWS,
-    name: str = OCCURRENCE,
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, name: str = OCCURRENCE
 ) -> DataFrame:
-    """The table with an occurrence number from 1 inside each key, in value order.
-
-    ``max_rows`` is the largest number of rows any key has. Up to ``hot_rows`` a
-    window does it; beyond, the few keys above that size are numbered apart.
-    """
+    """The table with an occurrence number from 1 inside each key, in the order of its other columns."""
     order = [c for c in df.columns if c not in keys]
-    if max_rows <= hot_rows or not order:
-        if not order and max_rows > hot_rows:
-            return number_in_hot_key(df, keys, order, name)
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
         return number_in_key(df, keys, order or keys, name)
-    counted = df.groupBy(*quoted(keys)).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
-    hot = materialize(
-        counted.select(*[F.col(f"`{k}`").alias(f"_h{i}") for i, k in enumerate(keys)]), "hot-keys"
-    )
-    is_hot = None
-    for i, k in enumerate(keys):
-        part = F.col(f"`{k}`").eqNullSafe(F.col(f"_h{i}"))
-        is_hot = part if is_hot is None else is_hot & part
-    usual = number_in_key(df.join(hot, is_hot, "left_anti"), keys, order, name)
-    large = number_in_hot_key(df.join(hot, is_hot, "left_semi"), keys, order, name)
-    return usual.unionByName(large)
-
-
-@dataclass(frozen=True)
-class Matched:
-    """Two tables whose ``keys`` identify at most one row on each side."""
-
-    src: DataFrame
-    tgt: DataFrame
-    keys: tuple[str, ...]
-    null_safe: bool
-
-    def same_key(self, left: str, right: str) -> Column:
-        """Join condition between the aliased sides."""
-        condition = None
-        for k in self.keys:
-            a, b = F.col(f"{left}.`{k}`"), F.col(f"{right}.`{k}`")
-            part = a.eqNullSafe(b) if self.null_safe and k != OCCURRENCE else a == b
-            condition = part if condition is None else condition & part
-        return condition
-
-
-def match_keys(
-    src: DataFrame,
-    tgt: DataFrame,
-    keys: Sequence[str],
-    profile: KeyProfile | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> Matched:
-    """Both tables ready for a one-to-one join.
-
-    Without a ``profile`` the keys are looked at first, by one job reading only key
-    columns. Unique keys join as they are. Repeated keys get an occurrence number,
-    so the k-th source row of a key meets its k-th target row: never all pairs, and
-    a key with many rows spreads over all tasks. NULL keys equal each other.
-    """
-    if not keys:
-        raise ValueError("no key columns")
-    if OCCURRENCE in src.columns or OCCURRENCE in tgt.columns:
-        raise ValueError(f"column name {OCCURRENCE!r} is taken by the comparison")
-    profile = profile or key_profile(src, tgt, keys)
-    if profile.unique:
-        return Matched(src, tgt, tuple(keys), profile.has_null)
-    return Matched(
-        number_occurrences(src, keys, profile.max_rows, hot_rows),
-        number_occurrences(tgt, keys, profile.max_rows, hot_rows),
-        (*keys, OCCURRENCE),
-        profile.has_null,
-    )
+    usual, large = split_hot(df, hot, keys)
+    return number_in_key(usual, keys, order or keys, name).unionByName(number_in_hot_key(large, keys, order, name))

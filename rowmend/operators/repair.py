@@ -24,7 +24,6 @@ from rowmend.operators.compare import (
     lookup_target,
     rows_of_keys,
 )
-from rowmend.operators.keys import PRIMARY_KEY, KeyProfile
 from rowmend.operators.ranks import quoted
 
 MAX_REPAIR_ROWS = 3000
@@ -278,11 +277,11 @@ def verify_repair(
     wanted: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
-    profile: KeyProfile | None = PRIMARY_KEY,
+    primary_key: bool = False,
 ) -> DataFrame:
     """``compare_rows`` of source and repaired target over the repaired keys."""
     return compare_rows(
-        rows_of_keys(src, wanted, keys), rows_of_keys(repaired, wanted, keys), keys, columns, profile=profile
+        rows_of_keys(src, wanted, keys), rows_of_keys(repaired, wanted, keys), keys, columns, primary_key=primary_key
     )
 
 

@@ -20,6 +20,7 @@ from rowmend.operators.compare import (
     difference,
     field,
 )
+from rowmend.operators.keys import OCCURRENCE
 
 
 def kind_count(*kinds: str) -> Column:
@@ -126,7 +127,7 @@ def compare_sentence() -> Column:
 
 def top_diffs(rows: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:
     """The first differing keys in key order, with class and unequal columns."""
-    keys = [k for k in rows.columns if k in keys or k == "occurrence"]
+    keys = [*keys, *([OCCURRENCE] if OCCURRENCE in rows.columns else [])]
     return (
         rows.where(F.col(DIFF_TYPE) != MATCH)
         .select(*[F.col(f"`{k}`") for k in keys], DIFF_TYPE, F.array_join(DIFF_COLUMNS, ",").alias(DIFF_COLUMNS))
@@ -165,7 +166,7 @@ def compare_report(rows: DataFrame, keys: Sequence[str], sample: int = 10) -> Da
         if numeric:
             entries.append(entry("column", F.lit(f"{name}.max_abs_diff"), F.col(f"gap_{i}")))
     first = top_diffs(rows, keys, sample)
-    shown = [F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("NULL")) for k in first.columns if k not in (DIFF_TYPE, DIFF_COLUMNS)]
+    shown = [F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("NULL")) for k in keys]
     text = F.concat_ws(" ", F.concat_ws(",", *shown), F.col(DIFF_TYPE), F.nullif(F.col(DIFF_COLUMNS), F.lit("")))
     samples = first.select(
         F.lit("sample").alias("section"), text.alias("item"), F.lit(None).cast("double").alias("value")

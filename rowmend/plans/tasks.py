@@ -15,7 +15,6 @@ from rowmend.functions.columns import ColumnRoles, compare_columns
 from rowmend.functions.times import format_range, window_bounds
 from rowmend.operators.compare import DIFF_TYPE, MATCH, compare_rows
 from rowmend.operators.filters import incremental_filter
-from rowmend.operators.keys import PRIMARY_KEY, KeyProfile
 from rowmend.operators.ranks import assign_batches, quoted
 from rowmend.operators.repair import (
     MAX_REPAIR_ROWS,
@@ -94,7 +93,7 @@ class CompareTask:
     as_of: datetime | None = None
     abs_tol: float = 0.0
     rel_tol: float = 0.0
-    profile: KeyProfile | None = None
+    primary_key: bool = False
     enable_repair: bool = False
     max_repair_rows: int = MAX_REPAIR_ROWS
     batch_size: int = 3000
@@ -126,7 +125,7 @@ class CompareTask:
             self.roles(src).all,
             self.abs_tol,
             self.rel_tol,
-            self.profile,
+            self.primary_key,
         )
 
     def labels(self) -> dict[str, Column]:
@@ -281,14 +280,14 @@ def _repair(
     if gate["repair_status"] != "run":
         return {"repair_status": gate["repair_status"], "repair_msg": gate["repair_msg"]}
     patch = materialize(repair_rows(src, tgt, wanted, task.keys), "patch")
-    write_table(apply_repair(tgt, patch, task.keys, task.write_mode), task.output)
+    write_table(apply_repair(tgt, patch, task.keys, task.write_mode, task.primary_key), task.output)
     repaired = (
         spark.read.format(task.output.format).load(task.output.path)
         if isinstance(task.output, FileTable)
         else spark.table(task.output.name)
     )
     columns = [c for c in patch.columns if c not in task.keys]
-    checked = verify_repair(patch, repaired, wanted, task.keys, columns, task.profile)
+    checked = verify_repair(patch, repaired, wanted, task.keys, columns, task.primary_key)
     batches = assign_batches(wanted, task.keys, task.batch_size)
     outcome = repair_outcome(batch_outcome(checked, batches, task.keys)).first()
     done = f"repaired in {outcome['batch_count']} batches"

@@ -49,19 +49,27 @@ def test_window_reaches_the_scan(spark):
 
 def test_unique_keys_shuffle_each_side_once(spark):
     src = t.orders(spark, SF)
-    rows = rm.compare_rows(src, src.withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_orderkey"], profile=rm.PRIMARY_KEY)
+    rows = rm.compare_rows(src, src.withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_orderkey"], primary_key=True)
     text = plan(rows.where("diff_type <> 'match'"))
     assert text.count("Exchange hashpartitioning") == 2
     assert "FullOuter" in text and "Window" not in text
 
 
+def test_unknown_keys_shuffle_once(spark):
+    """Both sides go through one exchange; numbering and pairing work on it."""
+    src = t.orders(spark, SF)
+    rows = rm.compare_rows(src, src.withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_orderkey"])
+    text = plan(rows.where("diff_type <> 'match'"))
+    assert text.count("Exchange") == 1 and "Join" not in text
+
+
 def test_summary_does_not_build_records_it_drops(spark):
-    text = plan(rm.key_only_compare(t.orders(spark, SF), t.orders(spark, SF), ["o_orderkey"], rm.PRIMARY_KEY))
+    text = plan(rm.key_only_compare(t.orders(spark, SF), t.orders(spark, SF), ["o_orderkey"], True))
     assert set(scans(text)) == {"o_orderkey:bigint"}
 
 
 def test_source_only_reads_target_keys_only(spark):
-    text = plan(rm.src_only_rows(t.orders(spark, SF), t.orders(spark, SF), ["o_orderkey"], profile=rm.PRIMARY_KEY))
+    text = plan(rm.src_only_rows(t.orders(spark, SF), t.orders(spark, SF), ["o_orderkey"], primary_key=True))
     assert "o_orderkey:bigint" in scans(text)
 
 
@@ -105,7 +113,7 @@ def test_bucketed_tables_compare_without_a_shuffle(spark, tmp_path):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        text = plan(rm.compare_rows(src, tgt, ["o_orderkey"], profile=rm.PRIMARY_KEY))
+        text = plan(rm.compare_rows(src, tgt, ["o_orderkey"], primary_key=True))
         assert "FullOuter" in text and "Exchange" not in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

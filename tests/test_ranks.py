@@ -38,7 +38,7 @@ def test_occurrences(spark, monkeypatch, seed, hot_rows):
     monkeypatch.setattr(ranks, "COPY_STEP", 7)
     data = sample(seed)
     df = spark.createDataFrame(data, "k int, v int").repartition(5)
-    got = number_occurrences(df, ["k"], rm.key_profile(df, df, ["k"]).max_rows, hot_rows)
+    got = number_occurrences(df, ["k"], hot_rows)
     assert rows(got) == brute_force(data)
 
 
@@ -51,7 +51,18 @@ def test_all_rows_are_copies(spark, monkeypatch):
 def test_keys_without_values(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     for hot_rows in (1, 100):
-        assert rows(number_occurrences(df, ["k"], 2, hot_rows)) == [(1, 1), (1, 2), (2, 1)]
+        assert rows(number_occurrences(df, ["k"], hot_rows)) == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_hot_keys(spark):
+    df = spark.createDataFrame([(1,)] * 50 + [(None,)] * 30 + [(i,) for i in range(2, 40)], "k int")
+    assert rows(rm.hot_keys(df, ["k"], 20)) == [(1,), (None,)]
+    assert rm.hot_keys(df, ["k"], 1000) is None
+
+
+def test_hot_keys_are_found_in_a_sample(spark):
+    skewed = spark.range(300_000).select((F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))).alias("k"))
+    assert rows(rm.hot_keys(skewed, ["k"], 50_000)) == [(-1,)]
 
 
 def test_hot_comparison_equals_plain_comparison(spark):
