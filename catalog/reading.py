@@ -89,6 +89,17 @@ def range_compare(spark, sf):
     return rm.diff_summary(rm.compare_rows(src, tgt, KEY))
 
 
+def recorded_ranges(spark, sf):
+    """The span of each customer's orders as a recorded window; a single moment is written without brackets."""
+    first, last = F.min("o_orderdate"), F.max("o_orderdate")
+    text = F.when(
+        F.col("first") < F.col("last"),
+        F.concat(F.lit("["), F.col("first").cast("string"), F.lit(","), F.col("last").cast("string"), F.lit(")")),
+    ).otherwise(F.col("first").cast("string"))
+    spans = t.orders(spark, sf).groupBy("o_custkey").agg(first.alias("first"), last.alias("last"))
+    return rm.with_range_bounds(spans.select("o_custkey", text.alias("check_range")))
+
+
 QUERIES = {
     "scan_table": scan_table,
     "scan_partitioned": scan_partitioned,
@@ -103,6 +114,7 @@ QUERIES = {
     "encrypt_roundtrip": encrypt_roundtrip,
     "incremental_compare": incremental_compare,
     "range_compare": range_compare,
+    "recorded_ranges": recorded_ranges,
 }
 
 WINDOW = "o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-07-01'"
@@ -140,5 +152,12 @@ SQL = {
     "encrypt_roundtrip": """SELECT c_custkey, CAST(16 + 16 * (strlen(c_name) // 16 + 1) AS BIGINT) AS sealed_bytes,
         c_name AS opened FROM customer""",
     "incremental_compare": f"{WITH_WINDOW} {t.summary_sql()}",
+    "recorded_ranges": """
+        WITH spans AS (SELECT o_custkey, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders GROUP BY o_custkey),
+        texts AS (SELECT *, strftime(a, '%Y-%m-%d %H:%M:%S') AS ta, strftime(b, '%Y-%m-%d %H:%M:%S') AS tb FROM spans)
+        SELECT o_custkey, CASE WHEN a < b THEN '[' || ta || ',' || tb || ')' ELSE ta END AS check_range,
+               CASE WHEN a < b THEN a END AS range_start, CASE WHEN a < b THEN b END AS range_end,
+               CASE WHEN a < b THEN NULL ELSE 'not a check range: ' || ta END AS range_error
+        FROM texts""",
     "range_compare": f"{WITH_WINDOW} SELECT diff_type, count(*) AS row_cnt FROM joined GROUP BY diff_type",
 }

@@ -2,6 +2,7 @@
 
 from rowmend.functions.columns import ColumnRoles, common_columns, compare_columns, drop_sensitive, fold_names
 from rowmend.functions.crypto import decrypt_column, encrypt_column
+from rowmend.functions.times import with_range_bounds
 from rowmend.functions.types import unified_type, unify_types
 from rowmend.operators.compare import (
     compare_rows,

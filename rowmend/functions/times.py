@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,18 @@ def _bound(text: Column, group: int) -> Column:
     return F.regexp_extract(text, RANGE_PATTERN, group).try_cast(T.TimestampNTZType())
 
 
+def with_range_bounds(df: DataFrame, column: str = "check_range") -> DataFrame:
+    """The table with ``range_start`` and ``range_end`` of its recorded windows.
+
+    A malformed window has neither, and says so in ``range_error``.
+    """
+    text = F.col(f"`{column}`")
+    bounded = df.withColumns({"range_start": range_start(text), "range_end": range_end(text)})
+    unreadable = text.isNotNull() & (F.col("range_start").isNull() | F.col("range_end").isNull())
+    message = F.concat(F.lit("not a check range: "), text)
+    return bounded.withColumn("range_error", F.when(unreadable, message))
+
+
 def time_literal(value: datetime, dtype: T.DataType) -> Column:
     """A literal of the time column's own type, so that the filter reaches the scan uncast."""
     text = value.strftime("%Y-%m-%d %H:%M:%S.%f")

@@ -240,13 +240,27 @@ def lookup_target(
     """Target rows, unfiltered, of the wanted keys: ``(keys, columns)``.
 
     Only the named columns are read. A small written-down ``wanted`` is broadcast, and
-    then the target is scanned without being shuffled.
+    then the target is scanned without being shuffled. Keys come back in the type they
+    are wanted in.
     """
-    rows = tgt.select(*quoted(list(dict.fromkeys([*keys, *columns]))))
-    return rows_of_keys(rows, wanted, keys, null_safe)
+    others = [c for c in dict.fromkeys(columns) if c not in keys]
+    typed = [c.alias(k) for c, k in zip(_keys_as(tgt, wanted, keys), keys)]
+    return rows_of_keys(tgt.select(*typed, *quoted(others)), wanted, keys, null_safe)
+
+
+def _keys_as(df: DataFrame, wanted: DataFrame, keys: Sequence[str], prefix: str = "") -> list[Column]:
+    """The key columns of ``df`` in the types of ``wanted``, untouched where they agree."""
+    out = []
+    for k in keys:
+        column, goal = F.col(f"{prefix}`{k}`"), wanted.schema[k].dataType
+        out.append(column if df.schema[k].dataType == goal else column.cast(goal))
+    return out
 
 
 def rows_of_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """The rows whose whole key is among the wanted ones; no key wanted, no row."""
-    right = wanted.select(*quoted(keys)).alias("wanted")
-    return df.alias("rows").join(right, same_keys(keys, "rows", "wanted", null_safe), "left_semi")
+    condition = F.lit(True)
+    for k, column in zip(keys, _keys_as(df, wanted, keys, "rows.")):
+        other = F.col(f"wanted.`{k}`")
+        condition = condition & (column.eqNullSafe(other) if null_safe else column == other)
+    return df.alias("rows").join(wanted.select(*quoted(keys)).alias("wanted"), condition, "left_semi")

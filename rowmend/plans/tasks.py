@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rowmend.functions.columns import ColumnRoles, compare_columns
 from rowmend.functions.times import format_range, window_bounds
 from rowmend.operators.compare import DIFF_TYPE, MATCH, compare_rows
-from rowmend.operators.filters import incremental_filter
+from rowmend.operators.filters import delete_where, incremental_filter
 from rowmend.operators.ranks import assign_batches, quoted
 from rowmend.operators.repair import (
     MAX_REPAIR_ROWS,
@@ -24,12 +24,13 @@ from rowmend.operators.repair import (
     repair_keys,
     repair_outcome,
     repair_rows,
+    repair_window,
     verify_repair,
 )
 from rowmend.operators.summary import compare_sentence, compare_summary, count_columns, rate
 from rowmend.sources.sinks import append_result_log, write_table
 from rowmend.sources.storage import materialize
-from rowmend.sources.tables import CatalogTable, FileTable, TableSpec
+from rowmend.sources.tables import CatalogTable, FileTable, TableSpec, scan_table
 
 logger = logging.getLogger(__name__)
 
@@ -99,6 +100,8 @@ class CompareTask:
     batch_size: int = 3000
     time_filter: bool = False
     time_tolerance: float = 0.0
+    repair_scope: str = "diff"
+    delete_before: str | None = None
     write_mode: str = "update"
     output: FileTable | CatalogTable | None = field(default=None)
 
@@ -272,20 +275,21 @@ def _repair(
     gate = repair_gate(counted, True, task.max_repair_rows).first()
     if gate["repair_status"] != "run":
         return {"repair_status": gate["repair_status"], "repair_msg": gate["repair_msg"]}
-    wanted = materialize(
-        repair_keys(diff, tgt, task.keys, task.update_column, task.time_tolerance, task.time_filter), "repair-keys"
-    )
-    left = wanted.count()
-    gate = repair_gate(counted, True, task.max_repair_rows, F.lit(left)).first()
-    if gate["repair_status"] != "run":
-        return {"repair_status": gate["repair_status"], "repair_msg": gate["repair_msg"]}
-    patch = materialize(repair_rows(src, tgt, wanted, task.keys), "patch")
-    write_table(apply_repair(tgt, patch, task.keys, task.write_mode, task.primary_key), task.output)
-    repaired = (
-        spark.read.format(task.output.format).load(task.output.path)
-        if isinstance(task.output, FileTable)
-        else spark.table(task.output.name)
-    )
+    time_column = task.roles(src).update
+    if task.repair_scope == "diff":
+        keys = repair_keys(diff, tgt, task.keys, time_column, task.time_tolerance, task.time_filter)
+        wanted = materialize(keys, "repair-keys")
+        gate = repair_gate(counted, True, task.max_repair_rows, F.lit(wanted.count())).first()
+        if gate["repair_status"] != "run":
+            return {"repair_status": gate["repair_status"], "repair_msg": gate["repair_msg"]}
+        patch = materialize(repair_rows(src, tgt, wanted, task.keys), "patch")
+    else:
+        window = window_bounds(task.incremental_days, task.as_of) if task.check_range() else None
+        patch = materialize(repair_window(src, tgt, task.keys, task.repair_scope, time_column, window), "patch")
+        wanted = patch.select(*quoted(task.keys))
+    base = tgt if task.delete_before is None else delete_where(tgt, task.delete_before)
+    write_table(apply_repair(base, patch, task.keys, task.write_mode, task.primary_key), task.output)
+    repaired = scan_table(spark, task.output)
     columns = [c for c in patch.columns if c not in task.keys]
     checked = verify_repair(patch, repaired, wanted, task.keys, columns, task.primary_key)
     batches = assign_batches(wanted, task.keys, task.batch_size)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowmend.sources.jdbc import JdbcTable, connection_options
+from rowmend.sources.jdbc import connection_options
 from rowmend.sources.tables import CatalogTable, FileTable, TableSpec
 
 TEXT, COUNT, TIME, NUMBER = T.StringType(), T.LongType(), T.TimestampNTZType(), T.DoubleType()

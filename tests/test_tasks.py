@@ -80,6 +80,40 @@ def test_windowed_run_does_not_overwrite_newer_rows(spark, tmp_path):
     assert "not newer" in row.repair_msg
 
 
+def test_other_scopes_and_deletion_before_writing(spark, tmp_path):
+    full = rm.FileTable(str(tmp_path / "full"))
+    row = rm.run_task(spark, task(enable_repair=True, repair_scope="full", delete_before="id = 5", output=full)).first()
+    assert (row.repair_status, row.repair_cnt) == ("success", 4)
+    assert {r["id"]: r["v"] for r in rm.scan_table(spark, full).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+    window = rm.FileTable(str(tmp_path / "window"))
+    windowed = task(
+        enable_repair=True, repair_scope="window", incremental_days=7, as_of=datetime(2026, 2, 28), output=window
+    )
+    assert rm.run_task(spark, windowed).first().repair_cnt == 1
+    assert {r["id"]: r["v"] for r in rm.scan_table(spark, window).collect()} == {1: 1, 2: 2, 3: 9, 5: 5}
+
+
+def test_keys_of_different_types(spark, tmp_path):
+    output = rm.FileTable(str(tmp_path / "typed"))
+    texts = task(
+        source=lambda spark: spark.createDataFrame([("1", 1), ("2", 2), ("3", 3)], "id string, v int"),
+        target=lambda spark: spark.createDataFrame([(1, 1), (2, 9)], "id int, v bigint"),
+        update_column=None,
+        enable_repair=True,
+        output=output,
+    )
+    row = rm.run_task(spark, texts).first()
+    assert (row.diff_cnt, row.repair_status, row.repair_cnt) == (2, "success", 2)
+    assert rows(rm.scan_table(spark, output)) == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_repeated_keys_cannot_be_repaired_by_key(spark, tmp_path):
+    """One row per key can be written, so a repeated source key is reported as a failed batch."""
+    output = rm.FileTable(str(tmp_path / "repeated"))
+    repeated = task(source=frame([SRC[0], (1, 7, SRC[0][2])]), enable_repair=True, output=output)
+    assert rm.run_task(spark, repeated).first().repair_status == "fail"
+
+
 def test_gate_stops_large_repairs(spark, tmp_path):
     row = rm.run_task(
         spark, task(enable_repair=True, max_repair_rows=3, output=rm.FileTable(str(tmp_path / "none")))
