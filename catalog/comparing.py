@@ -18,8 +18,9 @@ def compared_orders(spark, sf, primary_key=False):
 
 
 def flat(rows, values):
-    """Both records as columns ``src_*`` and ``tgt_*``."""
-    records = [F.col(f"{side}.{v}").alias(f"{side}_{v}") for side in ("src", "tgt") for v in values]
+    """Both records as columns ``src_*`` and ``tgt_*``; keys of customers as text, since one side may lack them."""
+    columns = [(side, v, F.col(f"{side}.{v}")) for side in ("src", "tgt") for v in values]
+    records = [(c.cast("string") if v == "o_custkey" else c).alias(f"{side}_{v}") for side, v, c in columns]
     others = [c for c in rows.columns if c not in ("src", "tgt", "diff_columns")]
     listed = [F.array_join("diff_columns", ",").alias("diff_columns")] if "diff_columns" in rows.columns else []
     return rows.select(*others, *records, *listed)
@@ -167,6 +168,7 @@ CASE WHEN diff_type <> 'mismatch' THEN '' ELSE concat_ws(',',
   CASE WHEN src_o_totalprice IS DISTINCT FROM tgt_o_totalprice THEN 'o_totalprice' END,
   CASE WHEN src_o_orderdate IS DISTINCT FROM tgt_o_orderdate THEN 'o_orderdate' END) END AS diff_columns
 """
+AS_TEXT = "* REPLACE (src_o_custkey::VARCHAR AS src_o_custkey, tgt_o_custkey::VARCHAR AS tgt_o_custkey)"
 BOTH = "diff_type IN ('match', 'mismatch')"
 
 
@@ -228,7 +230,7 @@ joined AS (
 
 SQL = {
     "compare_summary": f"{t.WITH_ORDERS} {t.summary_sql()}",
-    "compare_rows": f"{t.WITH_ORDERS} SELECT *, {DIFF_COLUMNS_SQL} FROM joined",
+    "compare_rows": f"{t.WITH_ORDERS} SELECT {AS_TEXT}, {DIFF_COLUMNS_SQL} FROM joined",
     "matching_rate": f"{t.WITH_ORDERS} SELECT matching_rate FROM ({t.summary_sql()})",
     "diff_summary": f"{t.WITH_ORDERS} SELECT diff_type, count(*) AS row_cnt FROM joined GROUP BY diff_type",
     "side_counts": f"WITH {t.SQL_TGT} SELECT (SELECT count(*) FROM orders) AS src_cnt, (SELECT count(*) FROM tgt) AS tgt_cnt",
@@ -240,10 +242,11 @@ SQL = {
     "mismatch_keys": f"{t.WITH_ORDERS} SELECT o_orderkey FROM joined WHERE diff_type = 'mismatch'",
     "compare_summary_primary_key": f"{t.WITH_ORDERS} {t.summary_sql()}",
     "mismatch_pairs_primary_key": f"""{t.WITH_ORDERS}
-        SELECT * EXCLUDE (diff_type) FROM joined WHERE diff_type = 'mismatch'""",
+        SELECT {AS_TEXT} FROM (SELECT * EXCLUDE (diff_type) FROM joined WHERE diff_type = 'mismatch')""",
     "src_only_rows_primary_key": f"""WITH {t.SQL_SRC}, {t.SQL_TGT}
         SELECT * FROM src WHERE o_orderkey NOT IN (SELECT o_orderkey FROM tgt)""",
-    "mismatch_pairs": f"{t.WITH_ORDERS} SELECT * EXCLUDE (diff_type) FROM joined WHERE diff_type = 'mismatch'",
+    "mismatch_pairs": f"""{t.WITH_ORDERS}
+        SELECT {AS_TEXT} FROM (SELECT * EXCLUDE (diff_type) FROM joined WHERE diff_type = 'mismatch')""",
     "key_only_compare": f"""{t.WITH_ORDERS}
         SELECT o_orderkey, diff_type FROM joined WHERE diff_type IN ('src_only', 'tgt_only')""",
     "composite_key_compare": f"WITH {PAIRED_LINES} {t.summary_sql('paired')}",

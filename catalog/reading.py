@@ -38,11 +38,11 @@ def row_count(spark, sf):
 
 
 def table_metadata(spark, sf):
-    return rm.table_metadata(t.orders_target(spark, sf))
+    return rm.table_metadata(t.orders_target(spark, sf), counts=True)
 
 
 def schema_diff(spark, sf):
-    return rm.schema_diff(t.orders(spark, sf), t.orders_drifted(spark, sf))
+    return rm.schema_diff(t.orders(spark, sf), t.orders_drifted(spark, sf), counts=True)
 
 
 def compare_columns(spark, sf):
@@ -140,10 +140,10 @@ SQL = {
         UNION ALL SELECT 4, 'o_orderdate', 'timestamp_ntz', count(o_orderdate) FROM tgt""",
     "schema_diff": f"""WITH {t.SQL_SRC}, {t.SQL_TGT}, drifted AS ({t.ORDERS_DRIFTED.format(target='tgt')})
         SELECT 'o_custkey' AS name, 'src_only' AS difference, 'bigint' AS src_type, NULL::VARCHAR AS tgt_type,
-               (SELECT count(o_custkey) FROM src) AS src_filled, NULL::BIGINT AS tgt_filled
+               (SELECT count(o_custkey) FROM src) AS src_filled, 0::BIGINT AS tgt_filled
         UNION ALL SELECT 'o_totalprice', 'type_differs', 'double', 'string',
                (SELECT count(o_totalprice) FROM src), (SELECT count(o_totalprice) FROM drifted)
-        UNION ALL SELECT 't_mark', 'tgt_only', NULL, 'bigint', NULL, (SELECT count(t_mark) FROM drifted)""",
+        UNION ALL SELECT 't_mark', 'tgt_only', NULL, 'bigint', 0, (SELECT count(t_mark) FROM drifted)""",
     "compare_columns": """SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice
         FROM lineitem""",
     "drop_sensitive": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer",

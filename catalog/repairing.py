@@ -256,7 +256,7 @@ SQL = {
     "repair_window_scope": f"WITH {t.SQL_SRC} SELECT * FROM src WHERE {WINDOW}",
     "repair_full_scope": "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders",
     "apply_insert": f"""{MARKED} SELECT * FROM marked UNION ALL
-        SELECT *, NULL::BIGINT AS t_mark FROM patch WHERE o_orderkey NOT IN (SELECT o_orderkey FROM marked)""",
+        SELECT *, NULL::DOUBLE AS t_mark FROM patch WHERE o_orderkey NOT IN (SELECT o_orderkey FROM marked)""",
     "apply_update": f"""{MARKED}
         SELECT coalesce(m.o_orderkey, p.o_orderkey) AS o_orderkey,
                CASE WHEN p.o_orderkey IS NOT NULL THEN p.o_custkey ELSE m.o_custkey END AS o_custkey,
@@ -264,7 +264,7 @@ SQL = {
                CASE WHEN p.o_orderkey IS NOT NULL THEN p.o_orderdate ELSE m.o_orderdate END AS o_orderdate, m.t_mark
         FROM marked m FULL JOIN patch p ON m.o_orderkey = p.o_orderkey""",
     "apply_replace": f"""{MARKED} SELECT * FROM marked WHERE o_orderkey NOT IN (SELECT o_orderkey FROM patch)
-        UNION ALL SELECT *, NULL::BIGINT AS t_mark FROM patch""",
+        UNION ALL SELECT *, NULL::DOUBLE AS t_mark FROM patch""",
     "delete_where": f"WITH {t.SQL_TGT} SELECT * FROM tgt WHERE o_totalprice IS NULL OR o_totalprice >= 50000",
     "verify_repair": f"""{WITH_CHOSEN}, {INSERTED}, {CHECKED}
         SELECT diff_type, count(*) AS row_cnt FROM checked GROUP BY diff_type""",

@@ -74,7 +74,7 @@ SELECT o_orderkey, CAST(o_totalprice AS STRING) AS o_totalprice, o_orderdate, o_
 FROM {target}
 """
 # The target with a column that only it has.
-ORDERS_MARKED = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_custkey * 2 AS t_mark FROM {target}"
+ORDERS_MARKED = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_totalprice / 2 AS t_mark FROM {target}"
 
 # A task table with a row per customer.
 TASKS = """

@@ -64,6 +64,7 @@ from rowmend.sources.tables import (
     first_rows,
     row_count,
     scan_partitioned,
+    scan_slices,
     scan_table,
     schema_diff,
     slice_counts,

@@ -29,9 +29,13 @@ def any_of(conditions: Sequence[Column]) -> Column:
 
 
 def difference(a: Column, b: Column, dtype: T.DataType) -> Column:
-    """Absolute difference of two numbers, without overflow."""
-    wide = "decimal(38,0)" if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) else "double"
-    wide = dtype.simpleString() if isinstance(dtype, T.DecimalType) else wide
+    """Absolute difference of two numbers, exact and without overflow."""
+    if isinstance(dtype, T.LongType):
+        wide = "decimal(20,0)"
+    elif isinstance(dtype, T.DecimalType):
+        wide = dtype.simpleString()
+    else:
+        wide = "double" if isinstance(dtype, (T.FloatType, T.DoubleType)) else "bigint"
     return F.abs(a.cast(wide) - b.cast(wide))
 
 

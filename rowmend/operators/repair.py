@@ -96,7 +96,7 @@ def src_only_to_repair(
     tgt_type = tgt.schema[time_column].dataType
     wanted = absent.select(*quoted(keys), field(SRC, time_column).alias("_src_time"))
     found = (
-        lookup_target(wanted, tgt, keys, [time_column])
+        lookup_target(wanted.select(*quoted(keys)).distinct(), tgt, keys, [time_column])
         .groupBy(*quoted(keys))
         .agg(
             F.max_by(F.col(f"`{time_column}`"), as_time(F.col(f"`{time_column}`"), tgt_type)).alias("_latest"),

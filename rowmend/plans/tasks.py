@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -179,7 +179,7 @@ def failed_result(spark: SparkSession, task: CompareTask, error: Exception) -> D
             c.alias(n)
             for n, c in (
                 task.labels()
-                | {"compare_status": F.lit("fail"), "compare_msg": F.lit(str(error).splitlines()[0] if str(error) else "")}
+                | {"compare_status": F.lit("fail"), "compare_msg": F.lit(next(iter(str(error).splitlines()), ""))}
                 | counts
                 | {"matching_rate": F.lit(0.0)}
                 | {"repair_status": F.lit("fail"), "repair_msg": F.lit(str(error)), "is_delete": F.lit(0)}
@@ -223,17 +223,21 @@ def _minutes(start: datetime, end: datetime) -> float:
 def run_task(spark: SparkSession, task: CompareTask) -> DataFrame:
     """Compare, decide, repair and verify one pair of tables; returns its log row.
 
-    The differing rows are written down once, and the counts are taken on the way.
-    Everything after that starts from those rows. The repaired table goes to
-    ``task.output``.
+    For a repair the differing rows are written down once, the counts being taken on
+    the way, and everything after that starts from those rows. The repaired table goes
+    to ``task.output``.
     """
     started = _now()
     src, tgt = task.source(spark), task.target(spark)
     roles = task.roles(src)
-    counts = Observation()
-    rows = task.compare(src, tgt).observe(counts, *count_columns())
-    diff = materialize(rows.where(F.col(DIFF_TYPE) != MATCH), "diff")
-    seen = counts.get
+    rows = task.compare(src, tgt)
+    if task.enable_repair:
+        counts = Observation()
+        differing = rows.observe(counts, *count_columns()).where(F.col(DIFF_TYPE) != MATCH)
+        diff = materialize(differing, "diff")
+        seen = counts.get
+    else:
+        seen = rows.agg(*count_columns()).first().asDict()
     summary = spark.range(1).select(*[F.lit(v).cast("bigint").alias(n) for n, v in seen.items()])
     summary = summary.withColumn("matching_rate", rate(F.col("match_cnt"), F.col("src_cnt"), F.col("tgt_cnt")))
     compared = _now()
@@ -314,13 +318,14 @@ def run_tasks(spark: SparkSession, tasks: Sequence[CompareTask], log: TableSpec,
             return run_task(spark, task), False
         except Exception as error:
             logger.warning("task %s failed: %s", task.table_id, error)
-            now = _now()
-            stamps = {n: F.lit(now) for n in ("compare_time", "compare_start_time", "compare_end_time", "create_time", "update_time")}
-            return failed_result(spark, task, error).withColumns(stamps), True
+            names = ("compare_time", "compare_start_time", "compare_end_time", "create_time", "update_time")
+            return failed_result(spark, task, error).withColumns(dict.fromkeys(names, F.lit(_now()))), True
 
+    failures = 0
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
-        done = list(pool.map(one, tasks))
-    # Appends follow one another: each is a one-row write, and file tables take one writer at a time.
-    for row, _ in done:
-        append_result_log(row, log)
-    return sum(failed for _, failed in done)
+        for future in as_completed([pool.submit(one, task) for task in tasks]):
+            row, failed = future.result()
+            failures += failed
+            # Here in the calling thread: one small append after another, as file tables want it.
+            append_result_log(row, log)
+    return failures

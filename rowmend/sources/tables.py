@@ -105,6 +105,20 @@ def scan_partitioned(
     return _narrow(df, columns, predicate)
 
 
+def scan_slices(
+    spark: SparkSession, spec: TableSpec, predicates: Sequence[str], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The rows that meet one of several disjoint conditions, e.g. key ranges of text keys.
+
+    A database is asked for one condition per task.
+    """
+    if isinstance(spec, JdbcTable):
+        options = connection_options(spec)
+        df = spark.read.jdbc(options.pop("url"), spec.qualified, predicates=list(predicates), properties=options)
+        return _narrow(df, columns, None)
+    return _narrow(_open(spark, spec), columns, " OR ".join(f"({p})" for p in predicates))
+
+
 def slice_counts(df: DataFrame, column: str, lower: int, upper: int, slices: int) -> DataFrame:
     """Rows per slice of ``slice_predicates``: ``(slice, row_cnt)`` in one pass."""
     conditions = slice_predicates(column, lower, upper, slices)
@@ -121,33 +135,42 @@ def row_count(df: DataFrame, predicate: Column | str | None = None) -> DataFrame
     return _narrow(df, None, predicate).agg(F.count("*").alias("row_cnt"))
 
 
-def table_metadata(df: DataFrame) -> DataFrame:
-    """``(position, name, type, non_null_cnt)`` per column, from one pass over the table."""
+def table_metadata(df: DataFrame, counts: bool = False) -> DataFrame:
+    """``(position, name, type)`` per column, from the schema alone.
+
+    With ``counts`` also ``non_null_cnt``, from one pass over the table.
+    """
     fields = df.schema.fields
-    counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
-    entries = [
-        F.struct(
-            F.lit(i + 1).alias("position"),
-            F.lit(f.name).alias("name"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.col(f"n{i}").alias("non_null_cnt"),
-        )
-        for i, f in enumerate(fields)
-    ]
-    return counts.select(F.inline(F.array(*entries)))
-
-
-def schema_diff(src: DataFrame, tgt: DataFrame) -> DataFrame:
-    """Columns on one side only, or of differing type, with the rows that fill them."""
-    a = table_metadata(src).select("name", F.col("type").alias("src_type"), F.col("non_null_cnt").alias("src_filled"))
-    b = table_metadata(tgt).select("name", F.col("type").alias("tgt_type"), F.col("non_null_cnt").alias("tgt_filled"))
+    if counts:
+        base = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
+    else:
+        base = df.sparkSession.range(1)
+    entries = []
+    for i, f in enumerate(fields):
+        entry = [F.lit(i + 1).alias("position"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type")]
+        entries.append(F.struct(*entry, *([F.col(f"n{i}").alias("non_null_cnt")] if counts else [])))
+    return base.select(F.inline(F.array(*entries)))
+
+
+def schema_diff(src: DataFrame, tgt: DataFrame, counts: bool = False) -> DataFrame:
+    """Columns on one side only or of differing type: ``(name, difference, src_type, tgt_type)``.
+
+    With ``counts`` also ``src_filled`` and ``tgt_filled``, the rows that hold a value there.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        filled = [F.col("non_null_cnt").alias(f"{name}_filled")] if counts else []
+        return table_metadata(df, counts).select("name", F.col("type").alias(f"{name}_type"), *filled)
+
     kind = (
         F.when(F.col("tgt_type").isNull(), "src_only")
         .when(F.col("src_type").isNull(), "tgt_only")
         .otherwise("type_differs")
     )
+    filled = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("src_filled", "tgt_filled")] if counts else []
     return (
-        a.join(b, "name", "full_outer")
+        side(src, "src")
+        .join(side(tgt, "tgt"), "name", "full_outer")
         .where(~F.col("src_type").eqNullSafe(F.col("tgt_type")))
-        .select("name", kind.alias("difference"), "src_type", "tgt_type", "src_filled", "tgt_filled")
+        .select("name", kind.alias("difference"), "src_type", "tgt_type", *filled)
     )

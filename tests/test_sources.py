@@ -72,6 +72,7 @@ def test_files_and_catalog_tables(spark, tmp_path):
     rm.write_table(df, target)
     assert rows(rm.scan_table(spark, target, ["v"], "id > 1")) == [("b",)]
     assert rm.scan_table(spark, target, limit=1).count() == 1
+    assert rows(rm.scan_slices(spark, target, ["v < 'b'", "v >= 'b'"], ["v"])) == [("a",), ("b",)]
     df.createOrReplaceTempView("some_view")
     assert rows(rm.scan_table(spark, rm.CatalogTable("some_view"), ["id", "id"])) == [(1,), (2,)]
     with pytest.raises(Exception, match="(?i)exists"):
@@ -83,14 +84,16 @@ def test_files_and_catalog_tables(spark, tmp_path):
 
 def test_metadata(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "id int, v string")
-    assert rows(rm.table_metadata(df)) == [(1, "id", "int", 2), (2, "v", "string", 1)]
+    assert rows(rm.table_metadata(df, counts=True)) == [(1, "id", "int", 2), (2, "v", "string", 1)]
+    assert rows(rm.table_metadata(df)) == [(1, "id", "int"), (2, "v", "string")]
 
 
 def test_schema_diff(spark):
     a = spark.createDataFrame([(1, 2, 3)], "id int, v int, gone int")
     b = spark.createDataFrame([(1, "2", 3)], "id int, v string, extra int")
-    got = {r["name"]: r["difference"] for r in rm.schema_diff(a, b).collect()}
-    assert got == {"v": "type_differs", "gone": "src_only", "extra": "tgt_only"}
+    for counts in (False, True):
+        got = {r["name"]: r["difference"] for r in rm.schema_diff(a, b, counts).collect()}
+        assert got == {"v": "type_differs", "gone": "src_only", "extra": "tgt_only"}
 
 
 def test_first_rows(spark):
