@@ -212,7 +212,8 @@ FROM joined
 
 
 def _stat(column: str, numeric: bool) -> str:
-    gap = f"max(abs(src_{column}::DOUBLE - tgt_{column}::DOUBLE)) FILTER (WHERE {BOTH})" if numeric else "NULL::DOUBLE"
+    largest = f"coalesce(max(abs(src_{column}::DOUBLE - tgt_{column}::DOUBLE)) FILTER (WHERE {BOTH}), 0)"
+    gap = largest if numeric else "NULL::DOUBLE"
     return STAT_SQL.format(c=column, both=BOTH, gap=gap)
 
 

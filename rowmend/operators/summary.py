@@ -75,37 +75,42 @@ def _compared(rows: DataFrame) -> list[tuple[str, bool]]:
     return [(f.name, is_numeric(f.dataType)) for f in fields if f.name != "present"]
 
 
-def _stat_columns(rows: DataFrame) -> list[Column]:
-    out = []
-    both = F.col(DIFF_TYPE).isin(MATCH, MISMATCH)
-    for i, (name, numeric) in enumerate(_compared(rows)):
+def column_stats(rows: DataFrame) -> DataFrame:
+    """``(column_name, unequal_cnt, null_diff_cnt, max_abs_diff)`` over rows of both sides.
+
+    Each differing row yields one small record per differing value, so the work follows
+    the number of differences, not rows times columns. A record per column without
+    any difference keeps that column in the result. Differences within the tolerance
+    count for ``max_abs_diff`` only.
+    """
+    cells, none = [], []
+    for name, numeric in _compared(rows):
         a, b = field(SRC, name), field(TGT, name)
-        out.append(F.count_if(F.array_contains(F.col(DIFF_COLUMNS), name)).alias(f"unequal_{i}"))
-        out.append(F.count_if(both & (a.isNull() != b.isNull())).alias(f"nulls_{i}"))
         # In double, which is fast; a report needs no more digits.
-        gap = F.max(F.when(both, F.abs(a.cast("double") - b.cast("double"))))
-        out.append((gap if numeric else F.lit(None).cast("double")).alias(f"gap_{i}"))
-    return out
-
-
-def _stat_entries(rows: DataFrame) -> list[Column]:
-    return [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.col(f"unequal_{i}").alias("unequal_cnt"),
-            F.col(f"nulls_{i}").alias("null_diff_cnt"),
-            F.col(f"gap_{i}").alias("max_abs_diff"),
+        gap = F.abs(a.cast("double") - b.cast("double")) if numeric else F.lit(None).cast("double")
+        cell = [F.array_contains(F.col(DIFF_COLUMNS), name), a.isNull() != b.isNull(), gap]
+        cells.append(F.when(~a.eqNullSafe(b), _cell(name, *cell)))
+        none.append(_cell(name, F.lit(False), F.lit(False), F.lit(0.0 if numeric else None).cast("double")))
+    if not cells:
+        raise ValueError("no compared columns")
+    differing = rows.where(F.col(DIFF_TYPE).isin(MATCH, MISMATCH) & ~F.col(SRC).eqNullSafe(F.col(TGT)))
+    found = differing.select(F.inline(F.array_compact(F.array(*cells))))
+    every = rows.sparkSession.range(1).select(F.inline(F.array(*none)))
+    return (
+        found.unionByName(every)
+        .groupBy("column_name")
+        .agg(
+            F.count_if("unequal").alias("unequal_cnt"),
+            F.count_if("null_differs").alias("null_diff_cnt"),
+            F.max("gap").alias("max_abs_diff"),
         )
-        for i, (name, _) in enumerate(_compared(rows))
-    ]
-
+    )
 
-def column_stats(rows: DataFrame) -> DataFrame:
-    """``(column_name, unequal_cnt, null_diff_cnt, max_abs_diff)`` over keys of both sides.
 
-    One aggregation for all columns; its single row is then turned into one per column.
-    """
-    return rows.agg(*_stat_columns(rows)).select(F.inline(F.array(*_stat_entries(rows))))
+def _cell(name: str, unequal: Column, null_differs: Column, gap: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("column_name"), unequal.alias("unequal"), null_differs.alias("null_differs"), gap.alias("gap")
+    )
 
 
 # Sentence of a comparison without data.
@@ -135,39 +140,46 @@ def top_diffs(rows: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:
     )
 
 
+SUMMARY_ITEMS = (
+    "src_cnt",
+    "tgt_cnt",
+    "match_cnt",
+    "mismatch_cnt",
+    "src_only_cnt",
+    "tgt_only_cnt",
+    "diff_cnt",
+    "matching_rate",
+)
+
+
 def compare_report(rows: DataFrame, keys: Sequence[str], sample: int = 10) -> DataFrame:
     """The report as rows ``(section, item, value)``.
 
     Section ``summary`` has the counts and the rate, ``column`` the statistics of
-    each compared column, ``sample`` the first differing keys. Counts and statistics
-    come out of one aggregation.
+    each compared column, ``sample`` the first differing keys. The three parts share
+    the shuffle of the comparison.
     """
-    totals = rows.agg(*count_columns(), *_stat_columns(rows))
-    totals = totals.withColumn("matching_rate", rate(F.col("match_cnt"), F.col("src_cnt"), F.col("tgt_cnt")))
 
     def entry(section: str, item: Column, value: Column) -> Column:
         return F.struct(F.lit(section).alias("section"), item.alias("item"), value.cast("double").alias("value"))
 
-    names = [
-        "src_cnt",
-        "tgt_cnt",
-        "match_cnt",
-        "mismatch_cnt",
-        "src_only_cnt",
-        "tgt_only_cnt",
-        "diff_cnt",
-        "matching_rate",
-    ]
-    entries = [entry("summary", F.lit(n), F.col(n)) for n in names]
-    for i, (name, numeric) in enumerate(_compared(rows)):
-        entries.append(entry("column", F.lit(f"{name}.unequal_cnt"), F.col(f"unequal_{i}")))
-        entries.append(entry("column", F.lit(f"{name}.null_diff_cnt"), F.col(f"nulls_{i}")))
-        if numeric:
-            entries.append(entry("column", F.lit(f"{name}.max_abs_diff"), F.col(f"gap_{i}")))
+    totals = compare_summary(rows).select(
+        F.inline(F.array(*[entry("summary", F.lit(n), F.col(n)) for n in SUMMARY_ITEMS]))
+    )
+    parts = [totals]
+    if _compared(rows):
+        names = ("unequal_cnt", "null_diff_cnt", "max_abs_diff")
+        entries = [entry("column", F.concat(F.col("column_name"), F.lit(f".{n}")), F.col(n)) for n in names]
+        # A column without numbers has no largest difference.
+        stats = column_stats(rows).select(F.inline(F.array(*entries)))
+        parts.append(stats.where(F.col("value").isNotNull()))
     first = top_diffs(rows, keys, sample)
     shown = [F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("NULL")) for k in keys]
     text = F.concat_ws(" ", F.concat_ws(",", *shown), F.col(DIFF_TYPE), F.nullif(F.col(DIFF_COLUMNS), F.lit("")))
-    samples = first.select(
-        F.lit("sample").alias("section"), text.alias("item"), F.lit(None).cast("double").alias("value")
+    parts.append(
+        first.select(F.lit("sample").alias("section"), text.alias("item"), F.lit(None).cast("double").alias("value"))
     )
-    return totals.select(F.inline(F.array(*entries))).unionByName(samples)
+    report = parts[0]
+    for part in parts[1:]:
+        report = report.unionByName(part)
+    return report

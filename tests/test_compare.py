@@ -123,6 +123,15 @@ def test_wide_table(spark):
     assert stats["col_0"]["unequal_cnt"] == 0
 
 
+def test_column_stats_with_tolerance(spark):
+    a = spark.createDataFrame([(1, 1.0, 5, "x"), (2, 2.0, None, "x"), (3, 3.0, 7, "x")], "id int, v double, n int, s string")
+    b = spark.createDataFrame([(1, 1.25, 5, "x"), (2, 4.0, 6, "x"), (4, 9.0, 9, "y")], "id int, v double, n int, s string")
+    stats = rm.column_stats(rm.compare_rows(a, b, ["id"], abs_tol=0.5))
+    assert rows(stats) == [("n", 1, 1, 0.0), ("s", 0, 0, None), ("v", 1, 0, 2.0)]
+    stats = rm.column_stats(rm.compare_rows(a.where("id = 1"), b, ["id"], abs_tol=0.5))
+    assert rows(stats) == [("n", 0, 0, 0.0), ("s", 0, 0, None), ("v", 0, 0, 0.25)]
+
+
 def test_duplicates_pair_by_occurrence(spark):
     a = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, name string")
     b = spark.createDataFrame([(1, "a"), (2, "c"), (2, "d")], "id int, name string")
