@@ -52,6 +52,7 @@ from rowmend.plans.tasks import (
     read_tasks,
     run_task,
     run_tasks,
+    task_from_config,
     task_result,
     validate_tasks,
 )

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rowmend.functions.columns import ColumnRoles, compare_columns
+from rowmend.functions.columns import ColumnRoles, compare_columns, fold_names, split_names
 from rowmend.functions.times import format_range, window_bounds
 from rowmend.operators.compare import DIFF_TYPE, MATCH, compare_rows
 from rowmend.operators.filters import delete_where, incremental_filter
@@ -28,9 +28,10 @@ from rowmend.operators.repair import (
     verify_repair,
 )
 from rowmend.operators.summary import compare_sentence, compare_summary, count_columns, rate
-from rowmend.sources.sinks import append_result_log, write_table
+from rowmend.sources.jdbc import JdbcTable, primary_keys
+from rowmend.sources.sinks import append_result_log, append_table, write_table
 from rowmend.sources.storage import materialize
-from rowmend.sources.tables import CatalogTable, FileTable, TableSpec, scan_table
+from rowmend.sources.tables import CatalogTable, FileTable, TableSpec, scan_by_key, scan_table
 
 logger = logging.getLogger(__name__)
 
@@ -75,12 +76,17 @@ def validate_tasks(tasks: DataFrame, required: Sequence[str] = REQUIRED_FIELDS)
 
 @dataclass(frozen=True)
 class CompareTask:
-    """One pair of tables and how to compare and repair it."""
+    """One pair of tables and how to compare and repair it.
+
+    ``keys`` may be a function that asks the database for them. The whole repaired
+    table goes to ``output``; ``patch_output`` gets just the rows to write, for instance
+    a staging table in the target's database.
+    """
 
     table_id: str
     source: Callable[[SparkSession], DataFrame]
     target: Callable[[SparkSession], DataFrame]
-    keys: Sequence[str]
+    keys: Sequence[str] | Callable[[SparkSession], Sequence[str]]
     src_db_id: str | None = None
     src_db_name: str = ""
     src_table_name: str = ""
@@ -103,7 +109,11 @@ class CompareTask:
     repair_scope: str = "diff"
     delete_before: str | None = None
     write_mode: str = "update"
-    output: FileTable | CatalogTable | None = field(default=None)
+    output: FileTable | CatalogTable | None = None
+    patch_output: TableSpec | None = None
+
+    def resolved(self, spark: SparkSession) -> CompareTask:
+        return replace(self, keys=list(self.keys(spark))) if callable(self.keys) else self
 
     def roles(self, src: DataFrame) -> ColumnRoles:
         return compare_columns(
@@ -136,6 +146,74 @@ class CompareTask:
         return {n: F.lit(getattr(self, n)).cast("string") for n in names}
 
 
+def _flag(value: object) -> bool:
+    return value.strip().lower() in ("1", "true", "yes") if isinstance(value, str) else bool(value)
+
+
+def read_database(spark: SparkSession, spec: JdbcTable, keys: Sequence[str] | None, slices: int) -> DataFrame:
+    """The table in parallel key ranges, with lower-case names."""
+    names = list(keys) if keys else primary_keys(spark, spec)
+    return fold_names(scan_by_key(spark, spec, names[0], slices))
+
+
+def task_from_config(
+    config: Mapping[str, object],
+    as_of: datetime,
+    keys: Sequence[str] | None = None,
+    slices: int = 32,
+    output: FileTable | CatalogTable | None = None,
+    patch_output: TableSpec | None = None,
+) -> CompareTask:
+    """The task of one row of a task table, comparing two database tables.
+
+    Column names are compared in lower case. Without ``keys`` the source database names
+    its primary key when the task runs. Each side is read by ``slices`` tasks, and
+    that many connections are open at a time.
+    """
+    absent = [n for n in REQUIRED_FIELDS if config.get(n) is None]
+    if absent:
+        raise ValueError(f"task entries missing: {absent}")
+
+    def side(name: str) -> JdbcTable:
+        return JdbcTable(
+            dialect=str(config[f"{name}_db_type"]).lower(),
+            host=str(config[f"{name}_host"]),
+            port=int(config[f"{name}_port"]),
+            database=str(config[f"{name}_db_name"]),
+            table=str(config[f"{name}_table_name"]),
+            user=str(config[f"{name}_username"]),
+            password=str(config[f"{name}_password"]),
+        )
+
+    src, tgt = side("src"), side("tgt")
+    update = str(config.get("update_time_str") or "").strip().lower()
+    days = config.get("incremental_days")
+    task_id = config["table_id"] if config.get("table_id") is not None else config.get("id")
+    return CompareTask(
+        table_id=str(task_id if task_id is not None else ""),
+        source=lambda spark: read_database(spark, src, keys, slices),
+        target=lambda spark: read_database(spark, tgt, keys, slices),
+        keys=[k.lower() for k in keys] if keys else lambda spark: [k.lower() for k in primary_keys(spark, src)],
+        primary_key=not keys,
+        src_db_id=None if config.get("src_db_id") is None else str(config["src_db_id"]),
+        src_db_name=src.database,
+        src_table_name=src.table,
+        tgt_db_name=tgt.database,
+        tgt_table_name=tgt.table,
+        update_column=update or None,
+        sensitive=",".join(n.lower() for n in split_names(config.get("sensitive_str"))),
+        incremental_days=float(1 if days is None else days) if _flag(config.get("incremental")) and update else None,
+        as_of=as_of,
+        enable_repair=_flag(config.get("enable_repair")),
+        time_filter=_flag(config.get("enable_time_filter")),
+        time_tolerance=float(config.get("time_tolerance") or 0),
+        max_repair_rows=int(config.get("max_repair_records_threshold") or MAX_REPAIR_ROWS),
+        write_mode=str(config.get("repair_write_mode") or "update"),
+        output=output,
+        patch_output=patch_output,
+    )
+
+
 def task_result(task: CompareTask, summary: DataFrame, roles: ColumnRoles) -> DataFrame:
     """One log row: the task's names, its window and columns, and the counts of its summary."""
     return summary.withColumns(
@@ -197,6 +275,7 @@ def compare_many(spark: SparkSession, tasks: Sequence[CompareTask]) -> DataFrame
     results = []
     for task in tasks:
         try:
+            task = task.resolved(spark)
             src, tgt = task.source(spark), task.target(spark)
             rows = task.compare(src, tgt)
             result = task_result(task, compare_summary(rows), task.roles(src))
@@ -228,6 +307,7 @@ def run_task(spark: SparkSession, task: CompareTask) -> DataFrame:
     to ``task.output``.
     """
     started = _now()
+    task = task.resolved(spark)
     src, tgt = task.source(spark), task.target(spark)
     roles = task.roles(src)
     rows = task.compare(src, tgt)
@@ -273,7 +353,7 @@ def run_task(spark: SparkSession, task: CompareTask) -> DataFrame:
 def _repair(
     spark: SparkSession, task: CompareTask, src: DataFrame, tgt: DataFrame, diff: DataFrame, diff_cnt: int
 ) -> dict[str, object]:
-    if task.output is None:
+    if task.output is None and task.patch_output is None:
         raise ValueError("a repair needs an output table")
     counted = spark.range(1).select(F.lit(diff_cnt).cast("bigint").alias("diff_cnt"))
     gate = repair_gate(counted, True, task.max_repair_rows).first()
@@ -291,6 +371,11 @@ def _repair(
         window = window_bounds(task.incremental_days, task.as_of) if task.check_range() else None
         patch = materialize(repair_window(src, tgt, task.keys, task.repair_scope, time_column, window), "patch")
         wanted = patch.select(*quoted(task.keys))
+    if task.patch_output is not None:
+        append_table(patch, task.patch_output)
+    if task.output is None:
+        written = patch.count()
+        return {"repair_status": "success", "repair_cnt": written, "repair_msg": f"patch of {written} rows written"}
     base = tgt if task.delete_before is None else delete_where(tgt, task.delete_before)
     write_table(apply_repair(base, patch, task.keys, task.write_mode, task.primary_key), task.output)
     repaired = scan_table(spark, task.output)

@@ -145,6 +145,11 @@ def primary_key_query(spec: JdbcTable) -> str:
     )
 
 
+def bounds_query(spec: JdbcTable, column: str) -> str:
+    name = quote_name(spec.dialect, column)
+    return f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {spec.qualified}"
+
+
 def load_query(spark: SparkSession, spec: JdbcTable, query: str) -> DataFrame:
     return spark.read.format("jdbc").options(**connection_options(spec), query=query).load()
 

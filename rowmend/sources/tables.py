@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowmend.functions.columns import ordered_unique
-from rowmend.sources.jdbc import JdbcTable, connection_options, limited_query, table_options
+from rowmend.sources.jdbc import (
+    JdbcTable,
+    bounds_query,
+    connection_options,
+    limited_query,
+    load_query,
+    table_options,
+)
 
 
 @dataclass(frozen=True)
@@ -30,6 +37,8 @@ class CatalogTable:
     name: str
 
 
+RANGED_TYPES = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 TableSpec = FileTable | CatalogTable | JdbcTable
 
 
@@ -119,6 +128,19 @@ def scan_slices(
     return _narrow(_open(spark, spec), columns, " OR ".join(f"({p})" for p in predicates))
 
 
+def scan_by_key(spark: SparkSession, spec: JdbcTable, column: str, slices: int) -> DataFrame:
+    """A database table in ``slices`` parallel ranges between the least and the greatest key.
+
+    The database itself finds the two bounds. Keys without ranges (text) and empty
+    tables are read by one task.
+    """
+    whole = _open(spark, spec)
+    if slices < 2 or not isinstance(whole.schema[column].dataType, RANGED_TYPES):
+        return whole
+    low, high = load_query(spark, spec, bounds_query(spec, column)).first()
+    return whole if low is None else scan_partitioned(spark, spec, column, low, high, slices)
+
+
 def slice_counts(df: DataFrame, column: str, lower: int, upper: int, slices: int) -> DataFrame:
     """Rows per slice of ``slice_predicates``: ``(slice, row_cnt)`` in one pass."""
     conditions = slice_predicates(column, lower, upper, slices)

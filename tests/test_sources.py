@@ -50,6 +50,20 @@ def test_limits():
     assert words["oracle"] == 'SELECT "id", "v" FROM "shop"."orders" WHERE (v > 1) AND ROWNUM <= 5'
 
 
+def test_scan_by_key_asks_for_bounds(spark, monkeypatch):
+    from rowmend.sources import tables
+
+    asked = {}
+    monkeypatch.setattr(tables, "_open", lambda spark, spec: spark.createDataFrame([], "id bigint, k string"))
+    monkeypatch.setattr(tables, "scan_partitioned", lambda *a: asked.setdefault("slices", a[2:]))
+    for bounds in ((None, None), (3, 90)):
+        frame = spark.createDataFrame([bounds], "low bigint, high bigint")
+        monkeypatch.setattr(tables, "load_query", lambda s, spec, q, f=frame: asked.update(query=q) or f)
+        tables.scan_by_key(spark, spec("mysql"), "id", 8)
+    assert asked == {"query": "SELECT MIN(`id`) AS low, MAX(`id`) AS high FROM `shop`.`orders`", "slices": ("id", 3, 90, 8)}
+    assert tables.scan_by_key(spark, spec("mysql"), "k", 8).columns == ["id", "k"]
+
+
 def test_catalog_queries_name_the_table():
     for dialect in jdbc.URLS:
         for text in (jdbc.metadata_query(spec(dialect)), jdbc.primary_key_query(spec(dialect))):

@@ -114,6 +114,45 @@ def test_repeated_keys_cannot_be_repaired_by_key(spark, tmp_path):
     assert rm.run_task(spark, repeated).first().repair_status == "fail"
 
 
+CONFIG = {
+    "id": 9, "src_db_type": "MySQL", "src_host": "h", "src_port": "3306", "src_username": "u", "src_password": "p",
+    "src_db_name": "a", "src_table_name": "t", "tgt_db_type": "oracle", "tgt_host": "h", "tgt_port": 1521,
+    "tgt_username": "u", "tgt_password": "p", "tgt_db_name": "b", "tgt_table_name": "t", "update_time_str": "AT",
+    "sensitive_str": "SECRET, ", "incremental": "true", "incremental_days": 7, "enable_repair": True,
+    "enable_time_filter": True, "time_tolerance": 0,
+}
+
+
+def test_task_from_config(spark, tmp_path, monkeypatch):
+    """Reads are replaced by local tables: no database is reachable here."""
+    from rowmend.plans import tasks as module
+
+    def scan(spark, spec, column, slices):
+        assert column == "ID" and slices == 32
+        data = frame(SRC if spec.dialect == "mysql" else TGT)(spark).withColumn("secret", F.lit(spec.dialect))
+        return data.toDF(*[c.upper() for c in data.columns]) if spec.dialect == "oracle" else data
+
+    monkeypatch.setattr(module, "scan_by_key", scan)
+    monkeypatch.setattr(module, "primary_keys", lambda spark, spec: ["ID"])
+    patch = rm.FileTable(str(tmp_path / "patch"))
+    task = rm.task_from_config(CONFIG, datetime(2026, 2, 28), patch_output=patch)
+    assert task.primary_key and task.update_column == "at"
+    row = rm.run_task(spark, task).first()
+    assert (row.table_id, row.check_range) == ("9", "[2026-02-21 00:00:00,2026-02-28 00:00:00)")
+    assert row.check_column == "key_columns: ['id'], update_column: ['at'], extra_columns: ['v']"
+    assert (row.src_cnt, row.diff_cnt, row.repair_status, row.repair_cnt) == (1, 1, "success", 1)
+    assert [r["id"] for r in spark.read.parquet(patch.path).collect()] == [2]
+
+
+def test_incomplete_config():
+    with pytest.raises(ValueError, match="tgt_host"):
+        rm.task_from_config(CONFIG | {"tgt_host": None}, NOW)
+    with pytest.raises(ValueError, match="unsupported"):
+        rm.task_from_config(CONFIG | {"tgt_db_type": "dbase"}, NOW)
+    off = rm.task_from_config(CONFIG | {"incremental": "false", "enable_repair": 0}, NOW, ["ID"])
+    assert (off.incremental_days, off.enable_repair, off.keys, off.primary_key) == (None, False, ["id"], False)
+
+
 def test_gate_stops_large_repairs(spark, tmp_path):
     row = rm.run_task(
         spark, task(enable_repair=True, max_repair_rows=3, output=rm.FileTable(str(tmp_path / "none")))
