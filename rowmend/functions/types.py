@@ -73,11 +73,13 @@ def unify_types(
         out = []
         for name in names:
             goal = unified_type(a_types[name], b_types[name])
-            value = F.col(f"`{name}`")
-            if types[name] != goal:
-                soft = unparseable == "null" and isinstance(types[name], T.StringType)
-                value = value.try_cast(goal) if soft else value.cast(goal)
-            out.append(value.alias(name))
+            quoted = f"`{name}`"
+            if types[name] == goal:
+                out.append(quoted)
+                continue
+            soft = unparseable == "null" and isinstance(types[name], T.StringType)
+            value = F.col(quoted)
+            out.append((value.try_cast(goal) if soft else value.cast(goal)).alias(name))
         return df.select(*out)
 
     return side(src, a_types), side(tgt, b_types)

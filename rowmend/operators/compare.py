@@ -82,7 +82,7 @@ def join_sides(
     return joined.select(*[c.alias(k) for c, k in zip(both, keys)], F.col(f"s.{SRC}").alias(SRC), F.col(f"t.{TGT}").alias(TGT))
 
 
-def pair_occurrences(src: DataFrame, tgt: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def pair_occurrences(src: DataFrame, tgt: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """``(keys, occurrence, src, tgt)`` from two tables of records whose keys may repeat or be NULL.
 
     The k-th source record of a key, in value order, meets its k-th target record;
@@ -115,7 +115,7 @@ def _pair_in_key(stacked: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def match_rows(
-    src: DataFrame, tgt: DataFrame, keys: Sequence[str], values: Sequence[str], primary_key: bool, hot_rows: int
+    src: DataFrame, tgt: DataFrame, keys: Sequence[str], values: Sequence[str], primary_key: bool, hot_rows: int | None
 ) -> DataFrame:
     a, b = _records(src, keys, values, SRC), _records(tgt, keys, values, TGT)
     return join_sides(a, b, keys) if primary_key else pair_occurrences(a, b, keys, hot_rows)
@@ -140,7 +140,7 @@ def compare_rows(
     abs_tol: float = 0.0,
     rel_tol: float = 0.0,
     primary_key: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Every row of either side, matched by key, with its class.
 
@@ -174,7 +174,7 @@ def compare_rows(
 
 
 def key_only_compare(
-    src: DataFrame, tgt: DataFrame, keys: Sequence[str], primary_key: bool = False, hot_rows: int = HOT_ROWS
+    src: DataFrame, tgt: DataFrame, keys: Sequence[str], primary_key: bool = False, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """``(keys[, occurrence], diff_type)`` of the rows that one side lacks; only keys are read."""
     rows = compare_rows(src, tgt, keys, [], primary_key=primary_key, hot_rows=hot_rows)
@@ -187,7 +187,7 @@ def src_only_rows(
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
     primary_key: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Full source rows that the target lacks. With a primary key, only keys of the target are read."""
     a, b, values = prepare(src, tgt, keys, columns)
@@ -199,7 +199,7 @@ def src_only_rows(
 
 
 def tgt_only_keys(
-    src: DataFrame, tgt: DataFrame, keys: Sequence[str], primary_key: bool = False, hot_rows: int = HOT_ROWS
+    src: DataFrame, tgt: DataFrame, keys: Sequence[str], primary_key: bool = False, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Keys of target rows that the source lacks."""
     return src_only_rows(tgt, src, keys, [], primary_key, hot_rows)
@@ -213,7 +213,7 @@ def mismatch_pairs(
     abs_tol: float = 0.0,
     rel_tol: float = 0.0,
     primary_key: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """``(keys[, occurrence], src, tgt)`` of rows on both sides whose values differ."""
     a, b, values = prepare(src, tgt, keys, columns)
@@ -232,7 +232,7 @@ def mismatch_keys(
     abs_tol: float = 0.0,
     rel_tol: float = 0.0,
     primary_key: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Keys of rows on both sides whose values differ."""
     return mismatch_pairs(src, tgt, keys, columns, abs_tol, rel_tol, primary_key, hot_rows).select(*quoted(keys))

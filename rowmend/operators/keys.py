@@ -20,7 +20,7 @@ SAMPLE_HITS = 200
 def any_null(keys: Sequence[str]) -> Column:
     found = F.lit(False)
     for key in quoted(keys):
-        found = found | key.isNull()
+        found = found | F.col(key).isNull()
     return found
 
 
@@ -40,14 +40,17 @@ def same_keys(keys: Sequence[str], left: str, right: str, null_safe: bool = True
     return condition
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
     """Keys that hold about ``hot_rows`` rows or more, or None.
 
     They are found in a sample of the key columns, since the answer only decides how
     the work is laid out: a key on the wrong side of the line gets the same result,
     from one task or from many. The list is written down, so that every part of a
-    plan splits the table alike.
+    plan splits the table alike. ``hot_rows=None`` says that there are none, and nothing
+    is read.
     """
+    if hot_rows is None:
+        return None
     fraction = min(1.0, SAMPLE_HITS / hot_rows)
     needed = hot_rows * fraction / 2
     sampled = df.select(*quoted(keys)).sample(fraction, seed=1)
@@ -64,7 +67,7 @@ def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataF
 
 
 def number_occurrences(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, name: str = OCCURRENCE
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS, name: str = OCCURRENCE
 ) -> DataFrame:
     """The table with an occurrence number from 1 inside each key, in the order of its other columns."""
     order = [c for c in df.columns if c not in keys]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowmend.sources.storage import materialize
@@ -31,8 +31,9 @@ _PART, _PLACE, _BEFORE, _COPIES, _END, _START, _STEP, _ROWS = (
 )
 
 
-def quoted(names: Sequence[str]) -> list[Column]:
-    return [F.col(f"`{n}`") for n in names]
+def quoted(names: Sequence[str]) -> list[str]:
+    """Column names as expressions, whatever characters they have."""
+    return ["`" + n.replace("`", "``") + "`" for n in names]
 
 
 def sorted_places(df: DataFrame, order: Sequence[str]) -> DataFrame:

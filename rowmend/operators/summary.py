@@ -23,7 +23,8 @@ from rowmend.operators.keys import OCCURRENCE
 
 
 def kind_count(*kinds: str) -> Column:
-    return F.count_if(F.col(DIFF_TYPE).isin(*kinds))
+    listed = ", ".join(f"'{kind}'" for kind in kinds)
+    return F.expr(f"count_if({DIFF_TYPE} IN ({listed}))")
 
 
 def count_columns() -> list[Column]:

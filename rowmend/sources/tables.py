@@ -55,7 +55,7 @@ def _narrow(df: DataFrame, columns: Sequence[str] | None, predicate: Column | st
     if predicate is not None:
         df = df.where(predicate)
     if columns is not None:
-        df = df.select(*[F.col(f"`{c}`") for c in ordered_unique(columns)])
+        df = df.select(*[f"`{c}`" for c in ordered_unique(columns)])
     return df
 
 

@@ -58,6 +58,7 @@ def test_hot_keys(spark):
     df = spark.createDataFrame([(1,)] * 50 + [(None,)] * 30 + [(i,) for i in range(2, 40)], "k int")
     assert rows(rm.hot_keys(df, ["k"], 20)) == [(1,), (None,)]
     assert rm.hot_keys(df, ["k"], 1000) is None
+    assert rm.hot_keys(df, ["k"], None) is None
 
 
 def test_hot_keys_are_found_in_a_sample(spark):
