@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders opened by working_tables(), the innermost last.
+_OPEN: list[str] = []
+
 
 def work_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session running in one local process may do without: it gets a temporary
-    folder. On a cluster a missing setting is an error, as no executor could read
-    another machine's files.
+    Only a session running in one local process may do without: it uses its own
+    warehouse folder. On a cluster a missing setting is an error, as no executor
+    could read another machine's files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -23,13 +27,40 @@ def work_dir(spark: SparkSession) -> str:
         return context.getCheckpointDir().rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="rowmend-")
-    context.setCheckpointDir(folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as the JVM knows them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def run_dir(spark: SparkSession) -> str:
+    """This application's own folder below the working folder; it goes when the application ends."""
+    path = f"{work_dir(spark)}/rowmend/{spark.sparkContext.applicationId}"
+    files, place = _folder(spark, path)
+    if not files.exists(place):
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+    return path
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/rowmend/{label}-{uuid.uuid4().hex}"
+    return f"{_OPEN[-1] if _OPEN else run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def working_tables(spark: SparkSession, label: str) -> Iterator[str]:
+    """Tables written meanwhile go to a folder that is removed at the end, also after an error."""
+    path = new_path(spark, label)
+    _OPEN.append(path)
+    try:
+        yield path
+    finally:
+        _OPEN.remove(path)
+        files, place = _folder(spark, path)
+        files.delete(place, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
