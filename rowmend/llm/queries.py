@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmend.llm import chat, mixing
-from rowmend.llm import sql
+from rowmend.llm import chat, decontaminate, mixing, pii, sql
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +17,32 @@ def op3_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_personal_data(spark, sf_dir):
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+        F.coalesce(F.array_max(F.col("spans.score")), F.lit(0.0)).alias("top_score"),
+    )
+
+
+def op8_benchmark_hits(spark, sf_dir):
+    found = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op9_format_chats(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     injected = spark.range(2).select(
@@ -39,6 +64,19 @@ def op9_format_chats(spark, sf_dir):
     )
 
 
-QUERIES = {q.__name__: q for q in (op3_mix_sources, op9_format_chats)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op3_mix_sources,
+        op5_personal_data,
+        op8_benchmark_hits,
+        op9_format_chats,
+    )
+}
 
-SQL = {"op3_mix_sources": sql.MIX_SOURCES, "op9_format_chats": sql.FORMAT_CHATS}
+SQL = {
+    "op3_mix_sources": sql.MIX_SOURCES,
+    "op5_personal_data": sql.PERSONAL_DATA,
+    "op8_benchmark_hits": sql.BENCHMARK_HITS,
+    "op9_format_chats": sql.FORMAT_CHATS,
+}

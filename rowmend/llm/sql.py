@@ -58,3 +58,80 @@ SELECT conv_id, count(*) AS n_turns,
          AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+BENCHMARK_HITS = r"""
+WITH RECURSIVE
+low(az, AZ_) AS (SELECT 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'),
+docs AS (
+  SELECT row_number() OVER () AS nr, doc_id,
+         coalesce(regexp_extract_all(translate(text, AZ_, az), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents, low),
+items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(text, AZ_, az), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark, low),
+windows AS (
+  SELECT DISTINCT item, array_to_string(list_slice(w, i, i + 12), ' ') AS text, least(len(w), 13) AS n
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT nr, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS text
+  FROM (SELECT nr, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows))),
+found AS (SELECT nr, item, i, n FROM places JOIN windows USING (text, n)),
+covered AS (SELECT nr, count(DISTINCT spot) AS n_hit FROM (SELECT nr, unnest(range(i, i + n)) AS spot FROM found) GROUP BY nr),
+named AS (SELECT nr, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT nr, item FROM found) GROUP BY nr)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered USING (nr) LEFT JOIN named USING (nr)
+"""
+
+PERSONAL_DATA = r"""
+WITH docs AS (SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS text FROM documents),
+kinds(k, kind, pattern, score, near) AS (VALUES
+  (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', 0.85::DOUBLE, 'e-?mail|mail|contact|write'),
+  (2, 'ip', '[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+', 0.6::DOUBLE, 'ip|address|host|server|login'),
+  (3, 'card', '[0-9](?:[\x20-]?[0-9])+', 0.8::DOUBLE, 'card|visa|mastercard|payment|credit'),
+  (4, 'phone', '\+[0-9][\x20().0-9-]+[0-9]', 0.7::DOUBLE, 'phone|tel|call|mobile|fax'),
+  (5, 'iban', '(?:^|[^A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?:$|[^A-Za-z0-9])', 0.9::DOUBLE,
+   'iban|account|bank|konto|compte|cuenta'),
+  (6, 'ssn', '(?:^|[^0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?:$|[^0-9-])', 0.4::DOUBLE, 'ssn|social security')),
+matches AS (
+  SELECT nr, k, kind, score, near, text, unnest(regexp_extract_all(text, pattern)) AS m,
+         unnest(regexp_split_to_array(text, pattern)[1:len(regexp_extract_all(text, pattern))]) AS gap,
+         unnest(range(len(regexp_extract_all(text, pattern)))) AS i
+  FROM docs, kinds),
+placed AS (
+  SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY nr, k ORDER BY i) AS stop FROM matches),
+trimmed AS (
+  SELECT nr, k, kind, score, near, text,
+         CASE WHEN k >= 5 THEN regexp_extract(m, '[A-Z0-9](?:.*[A-Z0-9])?') ELSE m END AS m,
+         CASE WHEN k >= 5 AND regexp_matches(m, '[^A-Za-z0-9]$') THEN stop - 1 ELSE stop END AS stop
+  FROM placed),
+checked AS (
+  SELECT *, stop - length(m) AS start,
+    CASE k
+      WHEN 1 THEN true
+      WHEN 2 THEN list_bool_and(list_transform(string_split(m, '.'), lambda p: regexp_full_match(p, '0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])')))
+      WHEN 3 THEN length(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 16 AND 19 AND
+        list_sum(list_transform(string_split(reverse(regexp_replace(m, '[^0-9]', '', 'g')), ''), lambda d, j:
+          CASE WHEN j % 2 = 1 THEN d::INT WHEN d::INT > 4 THEN d::INT * 2 - 9 ELSE d::INT * 2 END)) % 10 = 0
+      WHEN 4 THEN length(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 8 AND 15
+      WHEN 5 THEN list_reduce(list_prepend(0::HUGEINT, list_transform(string_split(substr(replace(m, ' ', ''), 5) || substr(replace(m, ' ', ''), 1, 4), ''),
+        lambda c: CASE WHEN c < 'A' THEN c::HUGEINT ELSE (ascii(c) - 55)::HUGEINT END)),
+        lambda rest, v: (rest * CASE WHEN v < 10 THEN 10 ELSE 100 END + v) % 97) = 1
+      ELSE NOT regexp_matches(m, '^(000|666|9)|-00-|-0000$') END AS valid
+  FROM trimmed),
+scored AS (
+  SELECT nr, k, kind, start, stop, score + CASE WHEN regexp_matches(
+      translate(substr(text, (greatest(start - 40, 0) + 1)::BIGINT, (stop - greatest(start - 40, 0) + 40)::BIGINT),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '(?:^|[^a-z])(?:' || near || ')(?:$|[^a-z])') THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END AS score
+  FROM checked WHERE valid),
+spans AS (
+  SELECT nr, count(*) FILTER (k = 1) AS n_email, count(*) FILTER (k = 2) AS n_ip, count(*) FILTER (k = 3) AS n_card, count(*) FILTER (k = 4) AS n_phone,
+         string_agg(concat_ws(':', kind, start::BIGINT, stop::BIGINT), ',' ORDER BY k, start) FILTER (k <= 4) AS base,
+         string_agg(concat_ws(':', kind, start::BIGINT, stop::BIGINT), ',' ORDER BY k, start) AS spans, max(score) AS top_score
+  FROM scored WHERE k <> 6 OR score >= 0.5 GROUP BY nr)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip, coalesce(n_card, 0)::BIGINT AS n_card,
+       coalesce(n_phone, 0)::BIGINT AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(top_score, 0)::DOUBLE AS top_score
+FROM docs LEFT JOIN spans USING (nr)
+"""
