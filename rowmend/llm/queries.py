@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmend.llm import chat, decontaminate, mixing, pii, sql
+from rowmend.llm import chat, decontaminate, mixing, pii, sql, token_counts, token_output
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,16 @@ def op5_personal_data(spark, sf_dir):
     )
 
 
+def op6_token_output(spark, sf_dir):
+    read = token_output.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return read.select("doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_token_counts(spark, sf_dir):
+    """Starts from an empty cache, so that all distinct texts are encoded."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_benchmark_hits(spark, sf_dir):
     found = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -69,6 +80,8 @@ QUERIES = {
     for q in (
         op3_mix_sources,
         op5_personal_data,
+        op6_token_output,
+        op7_token_counts,
         op8_benchmark_hits,
         op9_format_chats,
     )
