@@ -6,13 +6,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmend.llm import chat, decontaminate, mixing, pii, sql, token_counts, token_output
+from rowmend.llm import chat, decontaminate, language, licenses, mixing, pii, sql, token_counts, token_output
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op2_licenses(spark, sf_dir):
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.filter("matches", lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["first_word"])
+    listed = lambda matches: F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        listed(base).alias("base_labels"),
+        listed(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.col("matches.score")), F.lit(0.0)).alias("score"),
+        F.to_json("matches").alias("spans"),
+    )
+
+
 def op3_mix_sources(spark, sf_dir):
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -78,6 +100,8 @@ def op9_format_chats(spark, sf_dir):
 QUERIES = {
     q.__name__: q
     for q in (
+        op1_language,
+        op2_licenses,
         op3_mix_sources,
         op5_personal_data,
         op6_token_output,
