@@ -69,17 +69,16 @@ def _doubled(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         above = steps.select(
             F.col("_conv").alias("_c"), F.col("msg_id").alias("_m"), F.col("up").alias("_u"), F.col("depth").alias("_d"), F.col("total").alias("_t")
         )
-        joined = steps.join(above, (F.col("_conv") == F.col("_c")) & (F.col("up") == F.col("_m")), "left")
-        steps = materialize(
-            joined.select(
-                "_conv",
-                "msg_id",
-                F.col("_u").alias("up"),
-                (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("_t", F.lit(0.0))).alias("total"),
-            ),
-            "replies",
+        # Only messages that have not reached their root take another step.
+        climbing = steps.where("up IS NOT NULL").join(above, (F.col("_conv") == F.col("_c")) & (F.col("up") == F.col("_m")))
+        climbed = climbing.select(
+            "_conv",
+            "msg_id",
+            F.col("_u").alias("up"),
+            (F.col("depth") + F.col("_d")).alias("depth"),
+            (F.col("total") + F.col("_t")).alias("total"),
         )
+        steps = materialize(climbed.unionByName(steps.where("up IS NULL")), "replies")
     return steps, rounds
 
 
