@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmend.llm import chat, decontaminate, language, licenses, mixing, pii, sql, token_counts, token_output
+from rowmend.llm import chat, decontaminate, embeddings, language, licenses, mixing, pii, sql, token_counts, token_output
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op3_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_embedding_duplicates(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_personal_data(spark, sf_dir):
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -103,6 +107,7 @@ QUERIES = {
         op1_language,
         op2_licenses,
         op3_mix_sources,
+        op4_embedding_duplicates,
         op5_personal_data,
         op6_token_output,
         op7_token_counts,
