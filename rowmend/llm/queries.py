@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmend.llm import chat, decontaminate, embeddings, language, licenses, mixing, pii, sql, token_counts, token_output
+from rowmend.llm import chat, decontaminate, embeddings, jaccard, language, licenses, mixing, pii, sql, token_counts, token_output
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +101,10 @@ def op9_format_chats(spark, sf_dir):
     )
 
 
+def op10_jaccard_components(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -113,6 +117,7 @@ QUERIES = {
         op7_token_counts,
         op8_benchmark_hits,
         op9_format_chats,
+        op10_jaccard_components,
     )
 }
 
