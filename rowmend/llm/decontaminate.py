@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowmend.llm.rows import text_hash
 from rowmend.sources.storage import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -57,7 +58,7 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> tuple[D
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, items (sorted ids of items that occur), contaminated.
+    """One row per document: doc_id, text_hash, n_words, n_hit, items (sorted ids of items that occur), contaminated.
 
     Texts are read once. What leaves that pass is a row per document and a row per place that
     holds a shingle of the benchmark.
@@ -70,13 +71,14 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     # The empty shingle stands for the document itself; it brings the number of words.
     always = grams.sparkSession.range(1).select(F.lit("").alias("gram"))
-    said = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words(F.col("text")).alias("said"))
+    said = docs.select("doc_id", text_hash(), F.monotonically_increasing_id().alias("row"), words(F.col("text")).alias("said"))
     whole = F.array(F.struct(F.size("said").alias("at"), F.lit(0).alias("n"), F.lit("").alias("gram")))
     places = F.concat(whole, *[shingles(F.col("said"), n) for n in sizes])
-    rows = said.select("doc_id", "row", F.explode(places).alias("p")).select("doc_id", "row", "p.at", "p.n", "p.gram")
+    rows = said.select("doc_id", "text_hash", "row", F.explode(places).alias("p"))
+    rows = rows.select("doc_id", "text_hash", "row", "p.at", "p.n", "p.gram")
     seen = materialize(rows.join(spread(grams.select("gram").union(always)), "gram", "left_semi"), "shingles")
 
-    texts = seen.where("n = 0").select("row", "doc_id", F.col("at").cast("long").alias("n_words"))
+    texts = seen.where("n = 0").select("row", "doc_id", "text_hash", F.col("at").cast("long").alias("n_words"))
     hits = seen.where("n > 0").select("row", "n", "at", "gram")
     in_order = Window.partitionBy("row", "n").orderBy("at")
     hits = materialize(hits.withColumn("place", F.row_number().over(in_order)), "hits")
@@ -114,6 +116,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .join(named, "row", "left")
         .select(
             "doc_id",
+            "text_hash",
             "n_words",
             n_hit.alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),

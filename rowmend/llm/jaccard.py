@@ -16,7 +16,7 @@ task are cut by size and hash into blocks, and each pair of blocks of similar si
 walked by a task of its own.
 
 Nulls: a null text, or one without words, has an empty set and links with nothing; a null
-doc_id is no component's name unless no other id is in it. Each row is a document, also
+doc_id names a component only if it holds no other id. Each row is a document, also
 where an id repeats. Fewer words than a shingle form one shingle. An empty table has no
 rows. Other columns are ignored. Texts are hashed whole; a long one only makes a larger set.
 """
@@ -32,10 +32,11 @@ from math import exp, floor, log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmend.llm.components import components, labels, stars
+from rowmend.llm.components import components, stars
+from rowmend.llm.rows import repeated, row_key, text_hash, without
 from rowmend.sources.storage import materialize
 
 SHINGLE_WORDS = 3
@@ -406,15 +407,10 @@ def _placed(members: DataFrame, block_tokens: int) -> DataFrame:
     return materialize(named.select(*members.columns, "walks"), "placed")
 
 
-def jaccard_components(
-    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT, block_tokens: int = BLOCK_TOKENS, bucket: int = BUCKET
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
-
-    Documents link when 100 * |intersection| >= ``percent`` * |union|; component_id is the smallest doc_id reachable by links.
-    """
-    spark, cuts = docs.sparkSession, Slices(percent)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+def _classified(docs: DataFrame, shingle_words: int, percent: int, block_tokens: int, bucket: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, n, class), and of each class the component_id and the first row of its component."""
+    cuts = Slices(percent)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_hash())
     sets = materialize(texts.mapInArrow(_classed(shingle_words), SETS), "sets")
 
     # Candidates: classes that share a slice. About one slice per differing token, for two ranges of sizes.
@@ -434,10 +430,10 @@ def jaccard_components(
     members = materialize(members.join(several, "component"), "candidates")
 
     placed = _placed(members, block_tokens)
-    fetched = placed.select(_key("doc_id", "text_hash"), "member", "n", "component", "walks")
+    fetched = placed.select(row_key(), "member", "n", "component", "walks")
     if placed.count() <= BROADCAST_CLASSES:
         fetched = F.broadcast(fetched)
-    found = texts.select("text", _key("doc_id", "text_hash")).join(fetched, "key").drop("key")
+    found = texts.select("text", row_key()).join(fetched, "key").drop("key")
     found = found.mapInArrow(
         _tokens(shingle_words),
         "member bigint, n bigint, component bigint, walks array<struct<i:bigint,j:bigint,side:int>>, tokens binary",
@@ -447,15 +443,34 @@ def jaccard_components(
     links = found.groupBy("i", "j").applyInArrow(_walked(percent), "a bigint, b bigint")
     joined = components(links).withColumnRenamed("node", "member")
 
-    known = classes.select("class", "member", "doc_id").join(joined, "member", "left")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    known = classes.select("class", "member", first.alias("first")).join(joined, "member", "left")
     known = known.withColumn("component", F.coalesce("component", "member"))
-    least = known.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    known = materialize(known.join(least, "component").select("class", "component_id"), "class-components")
-    return sets.join(known, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    least = known.groupBy("component").agg(F.min("first").alias("first"))
+    known = known.select("class", "component").join(least, "component").select("class", "first")
+    return sets, materialize(known, "class-components")
 
 
-def _key(doc_id: str, text_hash: str) -> Column:
-    """One row's id and text as a key without nulls."""
-    return F.struct(F.coalesce(doc_id, F.lit(0)).alias("id"), F.col(doc_id).isNull().alias("none"), F.col(text_hash)).alias("key")
+def jaccard_components(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT, block_tokens: int = BLOCK_TOKENS, bucket: int = BUCKET
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    Documents link when 100 * |intersection| >= ``percent`` * |union|; component_id is the smallest doc_id reachable by links.
+    """
+    sets, known = _classified(docs, shingle_words, percent, block_tokens, bucket)
+    component_id = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    return sets.join(known, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), component_id.alias("component_id"))
+
+
+def one_per_component(docs: DataFrame, shingle_words: int, percent: int, block_tokens: int = BLOCK_TOKENS, bucket: int = BUCKET) -> DataFrame:
+    """The documents without those linked, directly or by others, to one of a smaller id. Documents without words all stay."""
+    sets, known = _classified(docs, shingle_words, percent, block_tokens, bucket)
+    rows = sets.where("class IS NOT NULL").join(known, "class").withColumn("key", row_key())
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    kept = without(docs, rows.where(~stays).select("key").distinct())
+    # Equal rows of one id: all of them would stay.
+    twins = rows.where(stays).groupBy("key").count().where("count > 1").select("key")
+    if twins.isEmpty():
+        return kept
+    return without(kept, twins).unionByName(repeated(kept, twins.withColumn("copies", F.lit(1))))

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowmend.llm.rows import text_hash
 from rowmend.sources.storage import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -96,7 +97,7 @@ def mix_sources(
     rows_per_shard: int = ROWS_PER_SHARD,
     seed: str = SEED,
 ) -> DataFrame:
-    """One row per document: size, source_size, target, taken (words) and copies (whole documents).
+    """One row per document: doc_id, text_hash, size, source_size, target, taken (words) and copies (whole documents).
 
     ``copies`` rounds to documents: it counts the rounds that take the document's first word.
     Texts are read once; what follows is on the words' number. The number of shards follows
@@ -104,6 +105,7 @@ def mix_sources(
     """
     sized = docs.select(
         "doc_id",
+        text_hash(),
         "source",
         F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id"))).alias("_draw"),
@@ -145,6 +147,7 @@ def mix_sources(
     begins = ((F.col("_start") >= F.col("_first")) & (F.col("_start") < last)) | (F.col("_start") < last - F.col("_words"))
     return runs.select(
         "doc_id",
+        "text_hash",
         "size",
         "source_size",
         "target",
