@@ -1,9 +1,10 @@
 """Tokenizers inside tasks: whole texts as the library encodes them, repeated pieces encoded once.
 
 A text is cut where no token of the tokenizer can reach across: before a run of white
-space. Each piece is then encoded by the library, once per worker process as long as its
-cache holds it. Where that cut is not proven (other kinds of tokenizers, unusual white
-space), the library gets the whole text.
+space and, for byte-level tokenizers, between Latin letters and punctuation. Each piece is
+then encoded by the library, once per worker process as long as its cache holds it. Where
+such a cut is not proven (other kinds of tokenizers, unusual white space), the library gets
+the whole text.
 """
 
 from __future__ import annotations
@@ -12,11 +13,14 @@ import array
 import re
 from collections.abc import Iterator, Sequence
 
-CACHED_PIECES = 400_000  # pieces a worker keeps; about 100 MB
+CACHED_PIECES = 250_000  # pieces of either generation that a worker keeps; about 100 MB in all
 BATCH_CHARS = 1 << 20  # characters of text worked on at once
 
 # White space on whose nature all regular expression engines agree, and the other kind.
-_PIECES = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
+# A word of Latin letters ends before these marks; an apostrophe is none of them, as "'s" is a token of its own.
+_PIECES = re.compile(
+    r"[ \t\r\n]*(?:[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[ \t\r\n.,;:!?)]|\Z)|[^ \t\r\n]+)|[ \t\r\n]+"
+)
 _ODD_SPACE = re.compile(r"[^\S \t\r\n]|[\x85᠎​﻿]")
 
 
@@ -34,19 +38,26 @@ def batches(texts: Sequence[str]) -> Iterator[list[str]]:
 
 
 class _Cached:
-    """Looks pieces up in a cache of bounded size; a subclass encodes the missing ones."""
+    """Looks pieces up in a cache of bounded size; a subclass encodes the missing ones.
+
+    Full, the cache becomes the older generation, whose pieces return when they are met again.
+    """
 
     def __init__(self) -> None:
         self.known: dict = {}
+        self.older: dict = {}
 
     def _encode(self, pieces: list[str]) -> list:
         raise NotImplementedError
 
     def _learn(self, pieces: set[str]) -> None:
+        if len(self.known) > CACHED_PIECES:
+            self.known, self.older = {}, self.known
         missing = pieces.difference(self.known)
-        if len(self.known) + len(missing) > CACHED_PIECES:
-            self.known.clear()
-            missing = pieces
+        if self.older:
+            met = {p: self.older[p] for p in missing if p in self.older}
+            self.known.update(met)
+            missing.difference_update(met)
         listed = list(missing)
         self.known.update(zip(listed, self._encode(listed), strict=True))
 
