@@ -103,7 +103,7 @@ def repair_full_scope(spark, sf):
 def _applied(spark, sf, mode):
     target = t.orders_marked(spark, sf)
     patch, _ = patch_of(spark, sf, target)
-    return rm.apply_repair(target, patch, KEY, mode)
+    return rm.apply_repair(target, patch, KEY, mode, primary_key=True)
 
 
 def apply_insert(spark, sf):
@@ -126,7 +126,9 @@ def _verified(spark, sf):
     """Source and target after an insert repair: rows to be updated still differ."""
     target = t.orders_target(spark, sf)
     patch, wanted = patch_of(spark, sf, target)
-    return rm.verify_repair(patch, rm.apply_repair(target, patch, KEY, "insert"), wanted, KEY), wanted
+    repaired = rm.materialize(rm.apply_repair(target, patch, KEY, "insert", primary_key=True), "repaired")
+    checked = rm.verify_repair(t.orders(spark, sf), repaired, wanted, KEY, primary_key=True)
+    return rm.materialize(checked.select(*KEY, "diff_type"), "checked"), wanted
 
 
 def verify_repair(spark, sf):
@@ -136,8 +138,8 @@ def verify_repair(spark, sf):
 def verify_update(spark, sf):
     target = t.orders_target(spark, sf)
     patch, wanted = patch_of(spark, sf, target)
-    repaired = rm.apply_repair(target, patch, KEY)
-    return rm.diff_summary(rm.verify_repair(t.orders(spark, sf), repaired, wanted, KEY))
+    repaired = rm.materialize(rm.apply_repair(target, patch, KEY, primary_key=True), "repaired")
+    return rm.diff_summary(rm.verify_repair(t.orders(spark, sf), repaired, wanted, KEY, primary_key=True))
 
 
 def batch_outcome(spark, sf):

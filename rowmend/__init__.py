@@ -21,7 +21,7 @@ from rowmend.operators.filters import (
     needs_alert_repair,
     range_filter,
 )
-from rowmend.operators.keys import hot_keys, key_audit, number_occurrences
+from rowmend.operators.keys import hot_keys, key_audit, number_occurrences, primary_key_audit
 from rowmend.operators.ranks import assign_batches, global_rank
 from rowmend.operators.repair import (
     apply_repair,

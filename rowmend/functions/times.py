@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The text form of a recorded window, `[start,end)`, seconds precision.
+# The text form of a recorded window, `[start,end)`; a fraction of a second only where there is one.
 RANGE_FORMAT = "%Y-%m-%d %H:%M:%S"
-RANGE_PATTERN = r"^\[(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}),(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\)$"
+_MOMENT = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)"
+RANGE_PATTERN = rf"^\[{_MOMENT},{_MOMENT}\)$"
 
 
 def window_bounds(days: float, end: datetime) -> tuple[datetime, datetime]:
@@ -19,8 +20,12 @@ def window_bounds(days: float, end: datetime) -> tuple[datetime, datetime]:
     return end - timedelta(days=days), end
 
 
+def time_text(moment: datetime) -> str:
+    return moment.strftime(RANGE_FORMAT + (".%f" if moment.microsecond else ""))
+
+
 def format_range(start: datetime, end: datetime) -> str:
-    return f"[{start.strftime(RANGE_FORMAT)},{end.strftime(RANGE_FORMAT)})"
+    return f"[{time_text(start)},{time_text(end)})"
 
 
 def parse_range(text: str) -> tuple[datetime, datetime]:
@@ -28,7 +33,7 @@ def parse_range(text: str) -> tuple[datetime, datetime]:
     found = re.match(RANGE_PATTERN, text or "")
     if not found:
         raise ValueError(f"not a check range: {text!r}")
-    start, end = (datetime.strptime(part, RANGE_FORMAT) for part in found.groups())
+    start, end = (datetime.strptime(part, RANGE_FORMAT + (".%f" if "." in part else "")) for part in found.groups())
     return start, end
 
 
@@ -65,7 +70,7 @@ def time_literal(value: datetime, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampType):
         return F.lit(text).cast(T.TimestampType())
     if isinstance(dtype, T.StringType):
-        return F.lit(value.strftime(RANGE_FORMAT))
+        return F.lit(time_text(value))
     raise ValueError(f"not a time column type: {dtype.simpleString()}")
 
 

@@ -16,6 +16,8 @@ MATCH, MISMATCH, SRC_ONLY, TGT_ONLY = "match", "mismatch", "src_only", "tgt_only
 DIFF_TYPE, DIFF_COLUMNS = "diff_type", "diff_columns"
 SRC, TGT = "src", "tgt"
 _IS_SRC, _RECORD = "_is_src", "_record"
+# Metadata of the only field of a record without values; a name could be a column's as well.
+KEY_ONLY = "rowmend.key_only"
 
 
 def any_of(conditions: Sequence[Column]) -> Column:
@@ -69,7 +71,7 @@ def prepare(
 
 def _records(df: DataFrame, keys: Sequence[str], values: Sequence[str], name: str) -> DataFrame:
     """``(keys, record)``. The record is never NULL, so it tells an absent row from a row of NULLs."""
-    record = F.struct(*quoted(values)) if values else F.struct(F.lit(True).alias("present"))
+    record = F.struct(*quoted(values)) if values else F.struct(F.lit(True).alias("present", metadata={KEY_ONLY: True}))
     return df.select(*quoted(keys), record.alias(name))
 
 

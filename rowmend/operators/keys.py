@@ -40,6 +40,28 @@ def same_keys(keys: Sequence[str], left: str, right: str, null_safe: bool = True
     return condition
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", null_safe: bool = True) -> DataFrame:
+    """Columns of ``left`` with the other columns of ``right``, joined by key; NULL keys meet unless told otherwise."""
+    condition = same_keys(keys, "l", "r", null_safe)
+    others = [] if how in ("left_semi", "left_anti") else [F.col(f"r.`{c}`") for c in right.columns if c not in keys]
+    return left.alias("l").join(right.alias("r"), condition, how).select(*[F.col(f"l.`{c}`") for c in left.columns], *others)
+
+
+def primary_key_audit(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Whether the keys identify rows on each side: ``(side, row_cnt, repeated_cnt, null_cnt, is_key)``.
+
+    ``repeated_cnt`` counts rows of keys that occur more than once, ``null_cnt`` rows with a NULL in the key.
+    """
+    sides = [df.select(*quoted(keys), F.lit(name).alias("side")) for name, df in (("src", src), ("tgt", tgt))]
+    counted = sides[0].unionByName(sides[1]).groupBy("side", *quoted(keys)).agg(F.count("*").alias("_n"))
+    found = counted.withColumn("_null", any_null(keys)).groupBy("side").agg(
+        F.sum("_n").alias("row_cnt"),
+        F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias("repeated_cnt"),
+        F.sum(F.when(F.col("_null"), F.col("_n")).otherwise(0)).alias("null_cnt"),
+    )
+    return found.withColumn("is_key", (F.col("repeated_cnt") == 0) & (F.col("null_cnt") == 0))
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
     """Keys that hold about ``hot_rows`` rows or more, or None.
 

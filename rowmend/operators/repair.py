@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowmend.functions.columns import common_columns
-from rowmend.functions.literals import sql_literal
+from rowmend.functions.literals import column_name, sql_literal
 from rowmend.functions.times import as_time, in_window, not_older_by
 from rowmend.operators.compare import (
     DIFF_TYPE,
@@ -24,9 +24,10 @@ from rowmend.operators.compare import (
     lookup_target,
     rows_of_keys,
 )
+from rowmend.operators.keys import join_keys, number_occurrences
 from rowmend.operators.ranks import quoted
+from rowmend.sources.storage import materialize
 
-MAX_REPAIR_ROWS = 3000
 MODES = ("insert", "update", "replace")
 
 
@@ -96,7 +97,7 @@ def src_only_to_repair(
     tgt_type = tgt.schema[time_column].dataType
     wanted = absent.select(*quoted(keys), field(SRC, time_column).alias("_src_time"))
     found = (
-        lookup_target(wanted.select(*quoted(keys)).distinct(), tgt, keys, [time_column])
+        lookup_target(wanted.select(*quoted(keys)).distinct(), tgt, keys, [time_column], null_safe=True)
         .groupBy(*quoted(keys))
         .agg(
             F.max_by(F.col(f"`{time_column}`"), as_time(F.col(f"`{time_column}`"), tgt_type)).alias("_latest"),
@@ -107,7 +108,7 @@ def src_only_to_repair(
         .select(*quoted(keys), F.coalesce("_latest", "_any").alias("_tgt_time"), "_found")
     )
     allowed = time_allows(F.col("_src_time"), src_type, F.col("_tgt_time"), tgt_type, tolerance, if_unreadable=False)
-    return wanted.join(found, list(keys), "left").where(F.col("_found").isNull() | allowed).select(*quoted(keys))
+    return join_keys(wanted, found, keys).where(F.col("_found").isNull() | allowed).select(*quoted(keys))
 
 
 def repair_keys(
@@ -127,18 +128,20 @@ def repair_keys(
 
 
 def repair_gate(
-    summary: DataFrame, enabled: bool = True, max_rows: int = MAX_REPAIR_ROWS, repairable: Column | None = None
+    summary: DataFrame, enabled: bool = True, max_rows: int | None = None, repairable: Column | None = None
 ) -> DataFrame:
     """The summary with ``repair_status`` (skip, fail or run) and ``repair_msg``.
 
-    ``repairable`` is the number of keys left after the time filter, if known.
+    ``max_rows`` refuses larger repairs; without it there is no limit. ``repairable`` is the
+    number of keys left after the time filter, if known.
     """
     diff = F.col("diff_cnt")
+    over = F.lit(False) if max_rows is None else diff > max_rows
     none_left = (repairable == 0) if repairable is not None else F.lit(False)
 
     def choose(run, off, same, many, none):
         return (
-            F.when(~F.lit(enabled), off).when(diff == 0, same).when(diff > max_rows, many).when(none_left, none).otherwise(run)
+            F.when(~F.lit(enabled), off).when(diff == 0, same).when(over, many).when(none_left, none).otherwise(run)
         )
 
     fail, skip = F.lit("fail"), F.lit("skip")
@@ -155,21 +158,23 @@ def repair_gate(
     )
 
 
-def repair_predicates(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repair_predicates(batches: DataFrame, keys: Sequence[str], dialect: str | None = None) -> DataFrame:
     """``(batch, key_cnt, predicate)``: for each batch the SQL condition that selects exactly its keys.
 
-    A list is no longer than the batch size.
+    A list is no longer than the batch size. Names and texts are written for the database
+    ``dialect``, or for Spark; names that need no quotes there get none.
     """
     types = {f.name: f.dataType for f in batches.schema.fields}
+    names = {k: column_name(k, dialect) for k in keys}
 
     def text(name: str) -> Column:
-        return sql_literal(F.col(f"`{name}`"), types[name])
+        return sql_literal(F.col(quoted([name])[0]), types[name], dialect)
 
     order = F.struct(*quoted(keys))
     if len(keys) == 1:
-        key = keys[0]
-        has_null = F.max(F.col(f"`{key}`").isNull())
-        item = F.when(F.col(f"`{key}`").isNotNull(), F.struct(order.alias("key"), text(key).alias("text")))
+        key, value = names[keys[0]], F.col(quoted(keys)[0])
+        has_null = F.max(value.isNull())
+        item = F.when(value.isNotNull(), F.struct(order.alias("key"), text(keys[0]).alias("text")))
         listed = F.concat(F.lit(f"{key} IN ("), F.array_join(F.col("texts"), ", "), F.lit(")"))
         predicate = (
             F.when(~F.col("has_null"), listed)
@@ -179,8 +184,8 @@ def repair_predicates(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
     else:
         has_null = F.lit(False)
         parts = [
-            F.when(F.col(f"`{k}`").isNull(), F.lit(f"{k} IS NULL")).otherwise(F.concat(F.lit(f"{k} = "), text(k)))
-            for k in keys
+            F.when(F.col(q).isNull(), F.lit(f"{names[k]} IS NULL")).otherwise(F.concat(F.lit(f"{names[k]} = "), text(k)))
+            for k, q in zip(keys, quoted(keys))
         ]
         item = F.struct(order.alias("key"), F.concat(F.lit("("), F.concat_ws(" AND ", *parts), F.lit(")")).alias("text"))
         predicate = F.array_join(F.col("texts"), " OR ")
@@ -192,9 +197,9 @@ def repair_predicates(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.select("batch", "key_cnt", predicate.alias("predicate"))
 
 
-def repair_rows(src: DataFrame, tgt: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The patch: source rows of the wanted keys, in the columns both tables have."""
-    return rows_of_keys(src.select(*quoted(common_columns(src, tgt, keys))), wanted, keys)
+def repair_rows(src: DataFrame, tgt: DataFrame, wanted: DataFrame, keys: Sequence[str], primary_key: bool = False) -> DataFrame:
+    """The patch: all source rows of the wanted keys, NULL keys included, in the columns both tables have."""
+    return rows_of_keys(src.select(*quoted(common_columns(src, tgt, keys))), wanted, keys, null_safe=not primary_key)
 
 
 def repair_window(
@@ -214,61 +219,85 @@ def repair_window(
     return src.where(in_window(time_column, src.schema[time_column].dataType, *window)).select(*quoted(columns))
 
 
-def one_row_per_key(patch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The patch with the greatest row of each key, so that writing it has one outcome."""
-    rest = [c for c in patch.columns if c not in keys]
-    if not rest:
-        return patch.distinct()
-    best = patch.groupBy(*quoted(keys)).agg(F.max(F.struct(*quoted(rest))).alias("_row"))
-    return best.select(*[F.col(f"_row.`{c}`").alias(c) if c in rest else F.col(f"`{c}`") for c in patch.columns])
-
-
 def apply_repair(
-    tgt: DataFrame, patch: DataFrame, keys: Sequence[str], mode: str = "update", unique_patch: bool = False
+    tgt: DataFrame, patch: DataFrame, keys: Sequence[str], mode: str = "update", primary_key: bool = False
 ) -> DataFrame:
-    """The target after writing the patch.
+    """The target after writing the patch. No row of the patch is lost, and target-only rows stay.
 
     ``insert`` adds rows of new keys. ``update`` also overwrites the patch's columns in
-    rows of known keys. ``replace`` swaps whole rows, so columns that only the target
-    has become NULL. Another mode counts as update. Unless ``unique_patch`` promises
-    one patch row per key, repeated ones are reduced first.
+    rows of known keys. ``replace`` swaps all rows of a key for those of the patch, so columns
+    that only the target has become NULL. Another mode counts as update.
+
+    Keys may repeat or be NULL, unless ``primary_key`` states that they do not on either side.
+    Rows that agree in all columns of the patch belong together. Of what is left of a key,
+    the k-th row of the patch, in value order, is written over the k-th row of the target;
+    ``insert`` leaves those, and in both modes further rows of the patch are added.
     """
     mode = (mode or "").lower()
     mode = mode if mode in MODES else "update"
     types = {f.name: f.dataType for f in tgt.schema.fields}
-    shared = set(patch.columns).intersection(types)
-    patch = patch.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in tgt.columns if c in shared])
-    patch = patch if unique_patch else one_row_per_key(patch, keys)
+    shared = [c for c in tgt.columns if c in set(patch.columns)]
+    patch = patch.select(*[F.col(q).cast(types[c]).alias(c) for c, q in zip(shared, quoted(shared))])
     as_target = [
-        F.col(f"`{c}`") if c in shared else F.lit(None).cast(types[c]).alias(c) for c in tgt.columns
+        F.col(q) if c in shared else F.lit(None).cast(types[c]).alias(c) for c, q in zip(tgt.columns, quoted(tgt.columns))
     ]
-    if mode == "replace":
-        kept = tgt.join(patch.select(*quoted(keys)), list(keys), "left_anti").select(*quoted(tgt.columns))
-        return kept.unionByName(patch.select(*as_target))
-
-    known = _known_keys(tgt, patch, keys)
-    added = patch.join(known, list(keys), "left_anti").select(*as_target)
+    if mode == "replace" or (primary_key and mode == "update" and len(shared) == len(tgt.columns)):
+        # With all columns in the patch an update of unique keys is the same: the target is read once.
+        wanted = patch.select(*quoted(keys)).distinct()
+        return join_keys(tgt, wanted, keys, "left_anti", not primary_key).unionByName(patch.select(*as_target))
+    if not primary_key:
+        return _written_by_occurrence(tgt, patch, keys, shared, mode, as_target)
     if mode == "insert":
-        return tgt.unionByName(added)
+        return tgt.unionByName(join_keys(patch, _known_keys(tgt, patch, keys), keys, "left_anti", False).select(*as_target))
+    added = join_keys(patch, _known_keys(tgt, patch, keys), keys, "left_anti", False).select(*as_target)
+    return _overwritten(tgt, patch, keys, shared, False).unionByName(added)
 
-    renamed = patch.select(
-        *[F.col(f"`{k}`") for k in keys],
-        F.struct(*[F.col(f"`{c}`") for c in patch.columns]).alias("_new"),
-    )
-    updated = tgt.join(renamed, list(keys), "left").select(
+
+def _known_keys(tgt: DataFrame, patch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of the patch that the target has, each once: never more rows than the patch."""
+    return join_keys(tgt.select(*quoted(keys)), patch.select(*quoted(keys)), keys, "left_semi", False).distinct()
+
+
+def _overwritten(rows: DataFrame, patch: DataFrame, keys: Sequence[str], shared: Sequence[str], null_safe: bool) -> DataFrame:
+    """The rows with the patch's values where it has one of their key."""
+    new = patch.select(*quoted(keys), F.struct(*quoted(shared)).alias("_new"))
+    joined = join_keys(rows, new, keys, "left", null_safe)
+    return joined.select(
         *[
-            F.when(F.col("_new").isNotNull(), F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
-            if c in shared and c not in keys
-            else F.col(f"`{c}`")
-            for c in tgt.columns
+            F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(q)).alias(c) if c in shared and c not in keys else F.col(q)
+            for c, q in zip(rows.columns, quoted(rows.columns))
         ]
     )
-    return updated.unionByName(added)
 
 
-def _known_keys(tgt: DataFrame, patch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of the patch that the target has, each once: never more rows than the patch."""
-    return tgt.select(*quoted(keys)).join(patch.select(*quoted(keys)), list(keys), "left_semi").distinct()
+def _without_equals(rows: DataFrame, others: DataFrame, shared: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows that have an equal one among ``others``, each of those counting once, and the rows that have none."""
+    counts = others.groupBy(*quoted(shared)).agg(F.count("*").alias("_equal"))
+    # A column that only ``rows`` has decides which of several equal rows is left over.
+    numbered = join_keys(number_occurrences(rows, shared, name="_copy"), counts, shared)
+    has_equal = F.col("_copy") <= F.coalesce("_equal", F.lit(0))
+    return numbered.where(has_equal).select(*quoted(rows.columns)), numbered.where(~has_equal).select(*quoted(rows.columns))
+
+
+def _written_by_occurrence(
+    tgt: DataFrame, patch: DataFrame, keys: Sequence[str], shared: Sequence[str], mode: str, as_target: Sequence[Column]
+) -> DataFrame:
+    """Insert or update where keys may repeat. Only the target's rows of the patch's keys are numbered."""
+    wanted = patch.select(*quoted(keys)).distinct()
+    touched = materialize(join_keys(tgt, wanted, keys, "left_semi"), "touched")
+    patch = materialize(patch, "patch")
+    equal, open_rows = _without_equals(touched, patch, shared)
+    _, new_rows = _without_equals(patch, touched, shared)
+    place = [*keys, "_nr"]
+    new_rows = materialize(number_occurrences(new_rows, keys, name="_nr"), "new-rows")
+    order = [*shared, *[c for c in touched.columns if c not in shared]]
+    open_rows = materialize(number_occurrences(open_rows.select(*quoted(order)), keys, name="_nr"), "open-rows")
+    added = join_keys(new_rows, open_rows.select(*quoted(place)), place, "left_anti").select(*as_target)
+    if mode == "insert":
+        return tgt.unionByName(added)
+    rest = join_keys(tgt, wanted, keys, "left_anti")
+    written = _overwritten(open_rows, new_rows, place, shared, True)
+    return rest.unionByName(equal).unionByName(written.select(*quoted(tgt.columns))).unionByName(added)
 
 
 def verify_repair(
@@ -279,9 +308,13 @@ def verify_repair(
     columns: Sequence[str] | None = None,
     primary_key: bool = False,
 ) -> DataFrame:
-    """``compare_rows`` of source and repaired target over the repaired keys."""
+    """``compare_rows`` of source and repaired target over the repaired keys, NULL keys included."""
     return compare_rows(
-        rows_of_keys(src, wanted, keys), rows_of_keys(repaired, wanted, keys), keys, columns, primary_key=primary_key
+        rows_of_keys(src, wanted, keys, not primary_key),
+        rows_of_keys(repaired, wanted, keys, not primary_key),
+        keys,
+        columns,
+        primary_key=primary_key,
     )
 
 
@@ -289,7 +322,7 @@ def batch_outcome(checked: DataFrame, batches: DataFrame, keys: Sequence[str]) -
     """``(batch, key_cnt, repaired_cnt, failed)`` from verified rows and batch numbers."""
     state = checked.groupBy(*quoted(keys)).agg(F.min(F.col(DIFF_TYPE) == MATCH).alias("_good"))
     return (
-        batches.join(state, list(keys), "left")
+        join_keys(batches, state, keys)
         .groupBy("batch")
         .agg(F.count("*").alias("key_cnt"), F.count_if(F.coalesce("_good", F.lit(False))).alias("repaired_cnt"))
         .withColumn("failed", F.col("repaired_cnt") < F.col("key_cnt"))

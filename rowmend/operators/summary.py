@@ -11,12 +11,14 @@ from rowmend.functions.types import is_numeric
 from rowmend.operators.compare import (
     DIFF_COLUMNS,
     DIFF_TYPE,
+    KEY_ONLY,
     MATCH,
     MISMATCH,
     SRC,
     SRC_ONLY,
     TGT,
     TGT_ONLY,
+    difference,
     field,
 )
 from rowmend.operators.keys import OCCURRENCE
@@ -73,7 +75,7 @@ def matching_rate(rows: DataFrame) -> DataFrame:
 def _compared(rows: DataFrame) -> list[tuple[str, bool]]:
     """Compared columns with whether they are numbers."""
     fields = rows.schema[SRC].dataType.fields
-    return [(f.name, is_numeric(f.dataType)) for f in fields if f.name != "present"]
+    return [(f.name, is_numeric(f.dataType)) for f in fields if KEY_ONLY not in f.metadata]
 
 
 def column_stats(rows: DataFrame) -> DataFrame:
@@ -85,10 +87,11 @@ def column_stats(rows: DataFrame) -> DataFrame:
     count for ``max_abs_diff`` only.
     """
     cells, none = [], []
+    types = {f.name: f.dataType for f in rows.schema[SRC].dataType.fields}
     for name, numeric in _compared(rows):
         a, b = field(SRC, name), field(TGT, name)
-        # In double, which is fast; a report needs no more digits.
-        gap = F.abs(a.cast("double") - b.cast("double")) if numeric else F.lit(None).cast("double")
+        # Exact in the columns' own type; only the result is a double.
+        gap = difference(a, b, types[name]).cast("double") if numeric else F.lit(None).cast("double")
         cell = [F.array_contains(F.col(DIFF_COLUMNS), name), a.isNull() != b.isNull(), gap]
         cells.append(F.when(~a.eqNullSafe(b), _cell(name, *cell)))
         none.append(_cell(name, F.lit(False), F.lit(False), F.lit(0.0 if numeric else None).cast("double")))

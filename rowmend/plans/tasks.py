@@ -8,16 +8,17 @@ from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rowmend.functions.columns import ColumnRoles, compare_columns, fold_names, split_names
+from rowmend.functions.crypto import decrypt_column
 from rowmend.functions.times import format_range, window_bounds
 from rowmend.operators.compare import DIFF_TYPE, MATCH, compare_rows
-from rowmend.operators.filters import delete_where, incremental_filter
+from rowmend.operators.filters import delete_where, incremental_filter, needs_alert_compare, needs_alert_repair
+from rowmend.operators.keys import any_null
 from rowmend.operators.ranks import assign_batches, quoted
 from rowmend.operators.repair import (
-    MAX_REPAIR_ROWS,
     apply_repair,
     batch_outcome,
     repair_gate,
@@ -27,10 +28,10 @@ from rowmend.operators.repair import (
     repair_window,
     verify_repair,
 )
-from rowmend.operators.summary import compare_sentence, compare_summary, count_columns, rate
+from rowmend.operators.summary import compare_sentence, count_columns, rate
 from rowmend.sources.jdbc import JdbcTable, primary_keys
-from rowmend.sources.sinks import append_result_log, append_table, write_table
-from rowmend.sources.storage import materialize
+from rowmend.sources.sinks import append_result_log, append_table, table_exists, write_table
+from rowmend.sources.storage import materialize, working_tables
 from rowmend.sources.tables import CatalogTable, FileTable, TableSpec, scan_by_key, scan_table
 
 logger = logging.getLogger(__name__)
@@ -78,9 +79,11 @@ def validate_tasks(tasks: DataFrame, required: Sequence[str] = REQUIRED_FIELDS)
 class CompareTask:
     """One pair of tables and how to compare and repair it.
 
-    ``keys`` may be a function that asks the database for them. The whole repaired
-    table goes to ``output``; ``patch_output`` gets just the rows to write, for instance
-    a staging table in the target's database.
+    ``keys`` and ``primary_key`` may be functions that ask the databases for them. The whole
+    repaired table goes to ``output``; ``patch_output`` gets just the rows to write, for
+    instance a staging table in the target's database. ``max_repair_rows`` refuses larger
+    repairs; without it there is no limit. ``check_after`` is a condition that no row of the
+    repaired table may break.
     """
 
     table_id: str
@@ -100,20 +103,23 @@ class CompareTask:
     as_of: datetime | None = None
     abs_tol: float = 0.0
     rel_tol: float = 0.0
-    primary_key: bool = False
+    primary_key: bool | Callable[[SparkSession], bool] = False
     enable_repair: bool = False
-    max_repair_rows: int = MAX_REPAIR_ROWS
+    max_repair_rows: int | None = None
     batch_size: int = 3000
     time_filter: bool = False
     time_tolerance: float = 0.0
     repair_scope: str = "diff"
     delete_before: str | None = None
+    check_after: str | None = None
     write_mode: str = "update"
     output: FileTable | CatalogTable | None = None
     patch_output: TableSpec | None = None
 
     def resolved(self, spark: SparkSession) -> CompareTask:
-        return replace(self, keys=list(self.keys(spark))) if callable(self.keys) else self
+        keys = list(self.keys(spark)) if callable(self.keys) else self.keys
+        unique = self.primary_key(spark) if callable(self.primary_key) else self.primary_key
+        return replace(self, keys=keys, primary_key=unique)
 
     def roles(self, src: DataFrame) -> ColumnRoles:
         return compare_columns(
@@ -150,10 +156,22 @@ def _flag(value: object) -> bool:
     return value.strip().lower() in ("1", "true", "yes") if isinstance(value, str) else bool(value)
 
 
-def read_database(spark: SparkSession, spec: JdbcTable, keys: Sequence[str] | None, slices: int) -> DataFrame:
-    """The table in parallel key ranges, with lower-case names."""
-    names = list(keys) if keys else primary_keys(spark, spec)
-    return fold_names(scan_by_key(spark, spec, names[0], slices))
+def read_database(spark: SparkSession, spec: JdbcTable, keys: Sequence[str], slices: int) -> DataFrame:
+    """The table in parallel ranges of its first key column, with lower-case names."""
+    return fold_names(scan_by_key(spark, spec, keys[0], slices))
+
+
+def known_keys(spark: SparkSession, spec: JdbcTable) -> list[str] | None:
+    """The table's primary key, or None."""
+    try:
+        return primary_keys(spark, spec)
+    except LookupError:
+        return None
+
+
+def with_passwords(tasks: DataFrame, key: Column) -> DataFrame:
+    """The task table with its stored passwords decrypted by the caller's key."""
+    return tasks.withColumns({n: decrypt_column(F.col(n), key) for n in ("src_password", "tgt_password")})
 
 
 def task_from_config(
@@ -167,8 +185,9 @@ def task_from_config(
     """The task of one row of a task table, comparing two database tables.
 
     Column names are compared in lower case. Without ``keys`` the source database names
-    its primary key when the task runs. Each side is read by ``slices`` tasks, and
-    that many connections are open at a time.
+    its primary key when the task runs, and rows count as unique by it only if the target
+    has the same key. Each side is read by ``slices`` tasks, and that many connections are
+    open at a time. Stored passwords are decrypted before (``with_passwords``).
     """
     absent = [n for n in REQUIRED_FIELDS if config.get(n) is None]
     if absent:
@@ -188,13 +207,34 @@ def task_from_config(
     src, tgt = side("src"), side("tgt")
     update = str(config.get("update_time_str") or "").strip().lower()
     days = config.get("incremental_days")
+    limit = config.get("max_repair_records_threshold")
+    asked: dict[str, list[str] | None] = {}
+
+    def key_of(spark: SparkSession, name: str, spec: JdbcTable) -> list[str] | None:
+        if name not in asked:
+            asked[name] = known_keys(spark, spec)
+        return asked[name]
+
+    def source_keys(spark: SparkSession) -> list[str]:
+        found = list(keys) if keys else key_of(spark, "src", src)
+        if not found:
+            raise ValueError(f"{src.qualified} has no primary key")
+        return found
+
+    def target_keys(spark: SparkSession) -> list[str]:
+        return list(keys) if keys else key_of(spark, "tgt", tgt) or source_keys(spark)
+
+    def same_key(spark: SparkSession) -> bool:
+        theirs = None if keys else key_of(spark, "tgt", tgt)
+        return bool(theirs) and {k.lower() for k in theirs} == {k.lower() for k in source_keys(spark)}
+
     task_id = config["table_id"] if config.get("table_id") is not None else config.get("id")
     return CompareTask(
         table_id=str(task_id if task_id is not None else ""),
-        source=lambda spark: read_database(spark, src, keys, slices),
-        target=lambda spark: read_database(spark, tgt, keys, slices),
-        keys=[k.lower() for k in keys] if keys else lambda spark: [k.lower() for k in primary_keys(spark, src)],
-        primary_key=not keys,
+        source=lambda spark: read_database(spark, src, source_keys(spark), slices),
+        target=lambda spark: read_database(spark, tgt, target_keys(spark), slices),
+        keys=[k.lower() for k in keys] if keys else lambda spark: [k.lower() for k in source_keys(spark)],
+        primary_key=False if keys else same_key,
         src_db_id=None if config.get("src_db_id") is None else str(config["src_db_id"]),
         src_db_name=src.database,
         src_table_name=src.table,
@@ -207,7 +247,11 @@ def task_from_config(
         enable_repair=_flag(config.get("enable_repair")),
         time_filter=_flag(config.get("enable_time_filter")),
         time_tolerance=float(config.get("time_tolerance") or 0),
-        max_repair_rows=int(config.get("max_repair_records_threshold") or MAX_REPAIR_ROWS),
+        max_repair_rows=None if limit is None else int(limit),
+        include_extra=_flag(config.get("extra_columns", True)),
+        include_strings=_flag(config.get("string_columns", False)),
+        delete_before=config.get("repair_delete") or None,
+        check_after=config.get("repair_check") or None,
         write_mode=str(config.get("repair_write_mode") or "update"),
         output=output,
         patch_output=patch_output,
@@ -257,38 +301,83 @@ def failed_result(spark: SparkSession, task: CompareTask, error: Exception) -> D
             c.alias(n)
             for n, c in (
                 task.labels()
-                | {"compare_status": F.lit("fail"), "compare_msg": F.lit(next(iter(str(error).splitlines()), ""))}
+                | {"compare_status": F.lit("fail"), "compare_msg": F.lit(str(error))}
                 | counts
                 | {"matching_rate": F.lit(0.0)}
-                | {"repair_status": F.lit("fail"), "repair_msg": F.lit(str(error)), "is_delete": F.lit(0)}
+                | {"repair_cnt": F.lit(0).cast("bigint"), "repair_status": F.lit("fail"), "repair_msg": F.lit(str(error)), "is_delete": F.lit(0)}
             ).items()
         ]
     )
 
 
-def compare_many(spark: SparkSession, tasks: Sequence[CompareTask]) -> DataFrame:
-    """One result row per task in a single plan, so Spark runs the tasks' stages side by side.
+def compare_many(spark: SparkSession, tasks: Sequence[CompareTask], concurrency: int = 3) -> DataFrame:
+    """One result row per task, in the order of the tasks; a few run at a time, each as its own job.
 
-    A task that cannot be planned (missing table, key or column) becomes a failed row
-    and does not stop the others.
+    A task that fails, while it is planned or while it runs, becomes a failed row and does
+    not stop the others.
     """
-    results = []
-    for task in tasks:
+    if not tasks:
+        raise ValueError("no tasks")
+
+    def one(task: CompareTask) -> Row:
         try:
             task = task.resolved(spark)
             src, tgt = task.source(spark), task.target(spark)
-            rows = task.compare(src, tgt)
-            result = task_result(task, compare_summary(rows), task.roles(src))
+            seen = compare_counts(spark, task, src, tgt)[0]
+            result = task_result(task, counted_summary(spark, seen), task.roles(src))
+            return result.select(*RESULT_COLUMNS).first()
         except Exception as error:
             logger.warning("task %s failed: %s", task.table_id, error)
-            result = failed_result(spark, task, error)
-        results.append(result.select(*RESULT_COLUMNS))
-    if not results:
-        raise ValueError("no tasks")
-    union = results[0]
-    for result in results[1:]:
-        union = union.unionByName(result)
-    return union
+            return failed_result(spark, task, error).select(*RESULT_COLUMNS).first()
+
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        rows = list(pool.map(one, tasks))
+    values = [F.struct(*[F.lit(row[n]).cast(_result_type(n)).alias(n) for n in RESULT_COLUMNS]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*values)))
+
+
+def _result_type(name: str) -> str:
+    return "bigint" if name.endswith("_cnt") else "double" if name == "matching_rate" else "string"
+
+
+def counted_summary(spark: SparkSession, seen: Mapping[str, int]) -> DataFrame:
+    """The summary of counts already taken."""
+    summary = spark.range(1).select(*[F.lit(v).cast("bigint").alias(n) for n, v in seen.items()])
+    return summary.withColumn("matching_rate", rate(F.col("match_cnt"), F.col("src_cnt"), F.col("tgt_cnt")))
+
+
+def compare_counts(
+    spark: SparkSession, task: CompareTask, src: DataFrame, tgt: DataFrame, keep: bool = False
+) -> tuple[dict[str, int], DataFrame | None]:
+    """The counts of the comparison, and the differing rows, written down, if they are kept.
+
+    A declared primary key is checked in the same pass: a key that repeats multiplies rows
+    in the join, and then its counts are not those of the sides. Such a claim is an error.
+    """
+    sides = [Observation(), Observation()] if task.primary_key else []
+    if sides:
+        # In the window, if there is one: those are the rows that are joined.
+        held = F.count("*").alias("rows"), F.count_if(any_null(task.keys)).alias("nulls")
+        src, tgt = (task.windowed(df).observe(seen, *held) for df, seen in zip((src, tgt), sides))
+    rows = task.compare(src, tgt)
+    counts = Observation()
+    observed = rows.observe(counts, *count_columns()).where(F.col(DIFF_TYPE) != MATCH)
+    diff = None
+    if keep:
+        diff = materialize(observed, "diff")
+        seen = counts.get
+    elif sides:
+        observed.write.format("noop").mode("overwrite").save()
+        seen = counts.get
+    else:
+        seen = rows.agg(*count_columns()).first().asDict()
+    for side, name in zip(sides, ("src_cnt", "tgt_cnt")):
+        found = side.get
+        if found["rows"] != seen[name] or found["nulls"]:
+            raise ValueError(
+                f"{task.keys} is no primary key: {found['rows']} rows, {found['nulls']} with NULL keys, {seen[name]} after the join"
+            )
+    return seen, diff
 
 
 def _now() -> datetime:
@@ -299,27 +388,34 @@ def _minutes(start: datetime, end: datetime) -> float:
     return round((end - start).total_seconds() / 60, 6)
 
 
+def check_output(spark: SparkSession, task: CompareTask) -> None:
+    """A repair that could not be written fails before anything is compared."""
+    if task.output is None and task.patch_output is None:
+        raise ValueError("a repair needs an output table")
+    if task.output is not None and table_exists(spark, task.output):
+        raise ValueError(f"the output table exists already: {task.output}")
+
+
 def run_task(spark: SparkSession, task: CompareTask) -> DataFrame:
     """Compare, decide, repair and verify one pair of tables; returns its log row.
 
     For a repair the differing rows are written down once, the counts being taken on
     the way, and everything after that starts from those rows. The repaired table goes
-    to ``task.output``.
+    to ``task.output``. Tables written in between are removed at the end.
     """
+    with working_tables(spark, "task"):
+        return _run_task(spark, task)
+
+
+def _run_task(spark: SparkSession, task: CompareTask) -> DataFrame:
     started = _now()
     task = task.resolved(spark)
     src, tgt = task.source(spark), task.target(spark)
     roles = task.roles(src)
-    rows = task.compare(src, tgt)
     if task.enable_repair:
-        counts = Observation()
-        differing = rows.observe(counts, *count_columns()).where(F.col(DIFF_TYPE) != MATCH)
-        diff = materialize(differing, "diff")
-        seen = counts.get
-    else:
-        seen = rows.agg(*count_columns()).first().asDict()
-    summary = spark.range(1).select(*[F.lit(v).cast("bigint").alias(n) for n, v in seen.items()])
-    summary = summary.withColumn("matching_rate", rate(F.col("match_cnt"), F.col("src_cnt"), F.col("tgt_cnt")))
+        check_output(spark, task)
+    seen, diff = compare_counts(spark, task, src, tgt, task.enable_repair)
+    summary = counted_summary(spark, seen)
     compared = _now()
 
     result = task_result(task, summary, roles).withColumns(
@@ -353,8 +449,6 @@ def run_task(spark: SparkSession, task: CompareTask) -> DataFrame:
 def _repair(
     spark: SparkSession, task: CompareTask, src: DataFrame, tgt: DataFrame, diff: DataFrame, diff_cnt: int
 ) -> dict[str, object]:
-    if task.output is None and task.patch_output is None:
-        raise ValueError("a repair needs an output table")
     counted = spark.range(1).select(F.lit(diff_cnt).cast("bigint").alias("diff_cnt"))
     gate = repair_gate(counted, True, task.max_repair_rows).first()
     if gate["repair_status"] != "run":
@@ -366,11 +460,11 @@ def _repair(
         gate = repair_gate(counted, True, task.max_repair_rows, F.lit(wanted.count())).first()
         if gate["repair_status"] != "run":
             return {"repair_status": gate["repair_status"], "repair_msg": gate["repair_msg"]}
-        patch = materialize(repair_rows(src, tgt, wanted, task.keys), "patch")
+        patch = materialize(repair_rows(src, tgt, wanted, task.keys, task.primary_key), "patch")
     else:
         window = window_bounds(task.incremental_days, task.as_of) if task.check_range() else None
         patch = materialize(repair_window(src, tgt, task.keys, task.repair_scope, time_column, window), "patch")
-        wanted = patch.select(*quoted(task.keys))
+        wanted = patch.select(*quoted(task.keys)).distinct()
     if task.patch_output is not None:
         append_table(patch, task.patch_output)
     if task.output is None:
@@ -380,11 +474,15 @@ def _repair(
     write_table(apply_repair(base, patch, task.keys, task.write_mode, task.primary_key), task.output)
     repaired = scan_table(spark, task.output)
     columns = [c for c in patch.columns if c not in task.keys]
-    checked = verify_repair(patch, repaired, wanted, task.keys, columns, task.primary_key)
+    # Against the source itself, not the patch: a wrong patch must not pass.
+    checked = materialize(verify_repair(src, repaired, wanted, task.keys, columns, task.primary_key).select(*quoted(task.keys), DIFF_TYPE), "checked")
     batches = assign_batches(wanted, task.keys, task.batch_size)
     outcome = repair_outcome(batch_outcome(checked, batches, task.keys)).first()
     done = f"repaired in {outcome['batch_count']} batches"
     lost = f"{outcome['failed_batches']} of {outcome['batch_count']} batches differ after the repair"
+    broken = 0 if task.check_after is None else repaired.where(f"NOT coalesce({task.check_after}, TRUE)").count()
+    if broken:
+        return {"repair_status": "fail", "repair_cnt": outcome["repair_cnt"], "repair_msg": f"{broken} rows break the check {task.check_after}"}
     return {
         "repair_status": outcome["repair_status"],
         "repair_cnt": outcome["repair_cnt"],
@@ -392,25 +490,44 @@ def _repair(
     }
 
 
-def run_tasks(spark: SparkSession, tasks: Sequence[CompareTask], log: TableSpec, concurrency: int = 3) -> int:
-    """Run the tasks, a few at a time, and append one log row each; returns how many failed.
+@dataclass(frozen=True)
+class RunReport:
+    """What a run of tasks came to: how many failed, which could not be logged, and the messages worth an alert."""
+
+    failures: int
+    unlogged: tuple[str, ...]
+    alerts: tuple[str, ...]
+
+
+def run_tasks(
+    spark: SparkSession, tasks: Sequence[CompareTask], log: TableSpec, concurrency: int = 3, threshold: float = 0.0
+) -> RunReport:
+    """Run the tasks, a few at a time, and append one log row each.
 
-    A failing task is logged as such and does not stop the others.
+    A failing task is logged as such and does not stop the others; neither does a log
+    row that cannot be written. ``threshold`` is the share of rows that may differ
+    without an alert.
     """
 
-    def one(task: CompareTask) -> tuple[DataFrame, bool]:
+    def one(task: CompareTask) -> tuple[str, DataFrame, bool]:
         try:
-            return run_task(spark, task), False
+            return task.table_id, run_task(spark, task), False
         except Exception as error:
             logger.warning("task %s failed: %s", task.table_id, error)
             names = ("compare_time", "compare_start_time", "compare_end_time", "create_time", "update_time")
-            return failed_result(spark, task, error).withColumns(dict.fromkeys(names, F.lit(_now()))), True
+            return task.table_id, failed_result(spark, task, error).withColumns(dict.fromkeys(names, F.lit(_now()))), True
 
-    failures = 0
+    failures, unlogged, alerts = 0, [], []
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
         for future in as_completed([pool.submit(one, task) for task in tasks]):
-            row, failed = future.result()
+            table_id, row, failed = future.result()
             failures += failed
-            # Here in the calling thread: one small append after another, as file tables want it.
-            append_result_log(row, log)
-    return failures
+            for found in (needs_alert_compare(row, threshold), needs_alert_repair(row)):
+                alerts += [r["alert"] for r in found.select("alert").collect()]
+            try:
+                # Here in the calling thread: one small append after another, as file tables want it.
+                append_result_log(row, log)
+            except Exception as error:
+                logger.warning("log row of task %s is lost: %s", table_id, error)
+                unlogged.append(table_id)
+    return RunReport(failures, tuple(unlogged), tuple(alerts))

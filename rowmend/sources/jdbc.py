@@ -6,8 +6,10 @@ builds what it is told.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +58,9 @@ class JdbcTable:
 
 
 def quote_name(dialect: str, name: str) -> str:
+    """The name in quotes. Oracle keeps unquoted names in upper case, so that is what configured names mean there."""
     opening, closing = QUOTES[dialect]
+    name = name.upper() if dialect == "oracle" else name
     return f"{opening}{name.replace(closing, closing * 2)}{closing}"
 
 
@@ -87,14 +91,20 @@ def table_options(
         if lower is None or upper is None or not partitions:
             raise ValueError("a sliced read needs lower and upper bound and the number of slices")
         options |= {
-            "partitionColumn": quote_name(spec.dialect, partition_column),
-            "lowerBound": str(lower),
-            "upperBound": str(upper),
+            # Spark looks the column up by its plain name and quotes it itself.
+            "partitionColumn": partition_column,
+            "lowerBound": bound_text(lower, math.floor),
+            "upperBound": bound_text(upper, math.ceil),
             "numPartitions": str(partitions),
         }
     return options
 
 
+def bound_text(value: object, whole) -> str:
+    """A bound of slices: numbers as whole ones, which Spark asks for; slices cover everything beyond the bounds anyway."""
+    return str(whole(value) if isinstance(value, (float, Decimal)) else value)
+
+
 def limited_query(spec: JdbcTable, columns: Sequence[str], limit: int, predicate: str | None = None) -> str:
     """SELECT of the first rows in the database's own words, so only they travel."""
     names = ", ".join(quote_name(spec.dialect, c) for c in columns)
@@ -159,5 +169,5 @@ def primary_keys(spark: SparkSession, spec: JdbcTable) -> list[str]:
     rows = load_query(spark, spec, primary_key_query(spec)).collect()
     ordered = sorted(rows, key=lambda r: r[1])
     if not ordered:
-        raise ValueError(f"{spec.qualified} has no primary key")
+        raise LookupError(f"{spec.qualified} has no primary key")
     return [r[0] for r in ordered]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,13 @@ def append_result_log(df: DataFrame, spec: TableSpec) -> None:
     append_table(as_result_log(df), spec)
 
 
+def table_exists(spark: SparkSession, spec: FileTable | CatalogTable) -> bool:
+    if isinstance(spec, FileTable):
+        place = spark._jvm.org.apache.hadoop.fs.Path(spec.path)
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return isinstance(spec, CatalogTable) and spark.catalog.tableExists(spec.name)
+
+
 def write_table(df: DataFrame, spec: FileTable | CatalogTable) -> None:
     """A repaired table as a new table. It must not be the one it was computed from."""
     if isinstance(spec, FileTable):
@@ -94,6 +101,9 @@ def merge_into(patch: DataFrame, table: str, keys: Sequence[str], mode: str = "u
     for part in on[1:]:
         condition = condition & part
     writer = patch.alias("patch").mergeInto(table, condition)
+    given = {c: F.col(f"patch.`{c}`") for c in patch.columns}
+    missing = {c: F.lit(None) for c in patch.sparkSession.table(table).columns if c not in given}
     if mode == "insert":
-        return writer.whenNotMatched().insertAll()
-    return writer.whenMatched().updateAll().whenNotMatched().insertAll()
+        return writer.whenNotMatched().insert(given | missing)
+    # A replaced row keeps nothing of the old one; an updated row keeps what the patch does not have.
+    return writer.whenMatched().update(given | missing if mode == "replace" else given).whenNotMatched().insert(given | missing)

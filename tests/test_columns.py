@@ -133,7 +133,7 @@ def test_literals(spark):
         "a string, b int, c double, d timestamp_ntz, e date, f string",
     )
     got = df.select(*[sql_literal(F.col(f.name), f.dataType) for f in df.schema.fields]).first()
-    assert tuple(got) == ("'test''value'", "123", "45.67", "'2026-02-26 12:30:45'", "'2026-02-26'", "NULL")
+    assert tuple(got) == ("'test''value'", "123", "45.67", "'2026-02-26 12:30:45.5'", "'2026-02-26'", "NULL")
 
 
 def test_encryption(spark):

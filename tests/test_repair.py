@@ -102,6 +102,23 @@ def test_composite_predicate_selects_exactly_its_keys(spark):
     assert rows(everything.where(text)) == sorted(keys, key=repr)
 
 
+def test_predicates_select_exactly_texts_and_times(spark):
+    texts = ["it's", "back\\slash", "end\\", "'", "plain"]
+    df = spark.createDataFrame([(t,) for t in [*texts, "other"]], "`a b` string")
+    wanted = rm.assign_batches(df.where("`a b` <> 'other'"), ["a b"])
+    text = rm.repair_predicates(wanted, ["a b"]).first()["predicate"]
+    assert rows(df.where(text)) == sorted([(t,) for t in texts], key=repr)
+    times = [datetime(2026, 1, 1, 0, 0, 0, us) for us in (0, 250000, 1)]
+    df = spark.createDataFrame([(t,) for t in times], "at timestamp_ntz")
+    for chosen in times:
+        wanted = rm.assign_batches(df.where(F.col("at") == F.lit(chosen)), ["at"])
+        assert rows(df.where(rm.repair_predicates(wanted, ["at"]).first()["predicate"])) == [(chosen,)]
+    quoted = {"mysql": "`k` IN ('a\\\\''')", "oracle": "\"K\" IN ('a\\''')"}
+    for dialect, expected in quoted.items():
+        wanted = rm.assign_batches(spark.createDataFrame([("a\\'",)], "k string"), ["k"])
+        assert rm.repair_predicates(wanted, ["k"], dialect).first()["predicate"] == expected
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     tgt = spark.createDataFrame([(1, 10, "x", 100), (2, 20, "y", 200)], "id int, v int, w string, only_tgt int")
@@ -129,18 +146,23 @@ def test_replace(tables):
     assert rows(rm.apply_repair(*tables, ["id"], "replace")) == [(1, 10, "x", 100), (2, 21, "z", None), (3, 31, None, None)]
 
 
-def test_repeated_patch_keys_give_one_row(spark, tables):
+def test_repeated_patch_keys_are_all_written(spark, tables):
     patch = spark.createDataFrame([(3, 1), (3, 2), (2, 5), (2, 4)], "id int, v int")
-    for mode in ("insert", "update", "replace"):
-        repaired = rm.apply_repair(tables[0], patch, ["id"], mode)
-        assert sorted(r["id"] for r in repaired.collect()) == [1, 2, 3]
-        assert repaired.where("id = 3").first()["v"] == 2
+    expected = {
+        "insert": [(1, 10), (2, 20), (2, 5), (3, 1), (3, 2)],
+        "update": [(1, 10), (2, 4), (2, 5), (3, 1), (3, 2)],
+        "replace": [(1, 10), (2, 4), (2, 5), (3, 1), (3, 2)],
+    }
+    for mode, written in expected.items():
+        assert rows(rm.apply_repair(tables[0], patch, ["id"], mode).select("id", "v")) == written
 
 
-def test_hot_target_key_is_updated_row_by_row(spark):
+def test_a_row_overwrites_one_row(spark):
+    """Target rows of a key beyond those of the patch stay as they are."""
     tgt = spark.range(500).select(F.lit(1).alias("id"), F.col("id").alias("v"))
     patch = spark.createDataFrame([(1, -1)], "id int, v bigint")
-    assert rm.apply_repair(tgt, patch, ["id"]).where("v = -1").count() == 500
+    repaired = rm.apply_repair(tgt, patch, ["id"])
+    assert (repaired.count(), repaired.where("v = -1").count()) == (500, 1)
 
 
 def test_delete_where_keeps_unknown(spark):

@@ -1,5 +1,7 @@
 """Scans, slices, reader options, storage."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,17 +39,22 @@ def test_unknown_database():
 def test_sliced_options():
     options = jdbc.table_options(spec("mysql"), "id", 1, 1000, 8)
     assert options["dbtable"] == "`shop`.`orders`"
-    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("`id`", "1", "1000", "8")
+    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", "1", "1000", "8")
     with pytest.raises(ValueError, match="slices"):
         jdbc.table_options(spec("mysql"), "id")
 
 
+def test_bounds_are_whole_numbers():
+    options = jdbc.table_options(spec("oracle"), "ID", Decimal("1.5000000000"), Decimal("9.5000000000"), 2)
+    assert (options["dbtable"], options["lowerBound"], options["upperBound"]) == ('"SHOP"."ORDERS"', "1", "10")
+
+
 def test_limits():
     words = {d: jdbc.limited_query(spec(d), ["id", "v"], 5, "v > 1") for d in jdbc.URLS}
     assert words["mysql"] == "SELECT `id`, `v` FROM `shop`.`orders` WHERE (v > 1) LIMIT 5"
     assert words["postgresql"] == 'SELECT "id", "v" FROM "shop"."orders" WHERE (v > 1) LIMIT 5'
     assert words["sqlserver"] == "SELECT TOP 5 [id], [v] FROM [shop].[dbo].[orders] WHERE (v > 1)"
-    assert words["oracle"] == 'SELECT "id", "v" FROM "shop"."orders" WHERE (v > 1) AND ROWNUM <= 5'
+    assert words["oracle"] == 'SELECT "ID", "V" FROM "SHOP"."ORDERS" WHERE (v > 1) AND ROWNUM <= 5'
 
 
 def test_scan_by_key_asks_for_bounds(spark, monkeypatch):

@@ -107,11 +107,91 @@ def test_keys_of_different_types(spark, tmp_path):
     assert rows(rm.scan_table(spark, output)) == [(1, 1), (2, 2), (3, 3)]
 
 
-def test_repeated_keys_cannot_be_repaired_by_key(spark, tmp_path):
-    """One row per key can be written, so a repeated source key is reported as a failed batch."""
+@pytest.mark.parametrize("mode", ["insert", "update", "replace"])
+def test_repeated_and_null_keys_lose_nothing(spark, tmp_path, mode):
+    """Every source row of a repaired key is in the target afterwards, and rows of other keys stay."""
+    at = SRC[0][2]
+    src = [(1, 10, at), (1, 20, at), (None, 5, at), (None, 6, at), (2, 1, at)]
+    tgt = [(1, 10, at), (None, 6, at), (2, 1, at), (9, 9, at)]
     output = rm.FileTable(str(tmp_path / "repeated"))
-    repeated = task(source=frame([SRC[0], (1, 7, SRC[0][2])]), enable_repair=True, output=output)
-    assert rm.run_task(spark, repeated).first().repair_status == "fail"
+    repeated = task(source=frame(src), target=frame(tgt), enable_repair=True, write_mode=mode, output=output)
+    row = rm.run_task(spark, repeated).first()
+    assert (row.repair_status, row.repair_cnt) == ("success", 2), row.repair_msg
+    written = rows(rm.scan_table(spark, output).select("id", "v"))
+    assert written == sorted([(1, 10), (1, 20), (None, 5), (None, 6), (2, 1), (9, 9)], key=repr)
+
+
+def test_more_target_rows_than_source_rows(spark, tmp_path):
+    at = SRC[0][2]
+    src, tgt = [(1, 10, at), (1, 20, at)], [(1, 10, at), (1, 5, at), (1, 7, at)]
+    output = rm.FileTable(str(tmp_path / "more"))
+    row = rm.run_task(spark, task(source=frame(src), target=frame(tgt), enable_repair=True, output=output)).first()
+    assert rows(rm.scan_table(spark, output).select("v")) == [(10,), (20,), (7,)]
+    assert row.repair_status == "fail"  # the key still has a row that the source lacks
+
+
+def test_a_false_primary_key_fails_loudly(spark):
+    """Three copies in the target would multiply in the join and look equal."""
+    wrong = task(source=frame(SRC[:1]), target=frame(SRC[:1] * 3), primary_key=True)
+    with pytest.raises(ValueError, match="no primary key"):
+        rm.run_task(spark, wrong)
+    assert rm.compare_many(spark, [wrong]).first()["compare_status"] == "fail"
+    nulls = task(source=frame([(None, 1, None)]), target=frame([]), primary_key=True)
+    with pytest.raises(ValueError, match="NULL keys"):
+        rm.run_task(spark, nulls)
+    assert rm.run_task(spark, task(primary_key=True)).first().diff_cnt == 4
+
+
+def test_no_limit_unless_one_is_given(spark, tmp_path):
+    many = lambda spark: spark.range(4000).selectExpr("int(id) id", "int(id) v", "timestamp_ntz'2026-02-01' at")
+    output = rm.FileTable(str(tmp_path / "many"))
+    row = rm.run_task(spark, task(source=many, target=frame([]), enable_repair=True, output=output)).first()
+    assert (row.repair_status, row.repair_cnt, row.repair_msg) == ("success", 4000, "repaired in 2 batches")
+    none = rm.FileTable(str(tmp_path / "none"))
+    row = rm.run_task(spark, task(enable_repair=True, max_repair_rows=0, output=none)).first()
+    assert row.repair_status == "fail"
+    assert rm.task_from_config(CONFIG | {"max_repair_records_threshold": 0}, NOW).max_repair_rows == 0
+    assert rm.task_from_config(CONFIG, NOW).max_repair_rows is None
+
+
+def test_working_tables_go_with_the_task(spark, tmp_path):
+    from rowmend.sources import storage
+
+    def left():
+        files, place = storage._folder(spark, storage.run_dir(spark))
+        return [f.getPath().getName() for f in files.listStatus(place) if f.getPath().getName().startswith("task-")]
+
+    rm.run_task(spark, task(enable_repair=True, output=rm.FileTable(str(tmp_path / "a"))))
+    with pytest.raises(Exception, match="nope"):
+        rm.run_task(spark, task(keys=["nope"], enable_repair=True, output=rm.FileTable(str(tmp_path / "b"))))
+    assert left() == []
+
+
+def test_output_is_looked_at_first_and_checks_afterwards(spark, tmp_path):
+    output = rm.FileTable(str(tmp_path / "taken"))
+    rm.write_table(frame(SRC)(spark), output)
+    with pytest.raises(ValueError, match="exists already"):
+        rm.run_task(spark, task(enable_repair=True, output=output))
+    other = rm.FileTable(str(tmp_path / "checked"))
+    row = rm.run_task(spark, task(enable_repair=True, output=other, check_after="v < 5")).first()
+    assert row.repair_status == "fail" and "v < 5" in row.repair_msg
+
+
+def test_one_failure_at_run_time_leaves_the_others(spark):
+    def unreadable(spark):
+        return spark.createDataFrame([(1, 1, "soon")], "id int, v int, at string")
+
+    tasks = [task(table_id="1"), task(table_id="2", source=unreadable), task(table_id="3", target=frame(SRC))]
+    got = rows(rm.compare_many(spark, tasks).select("table_id", "compare_status", "diff_cnt"))
+    assert got == [("1", "success", 4), ("2", "fail", 0), ("3", "success", 0)]
+
+
+def test_stored_passwords(spark):
+    from rowmend.plans.tasks import with_passwords
+
+    key = F.lit("0123456789abcdef")
+    stored = spark.range(1).select(rm.encrypt_column(F.lit("a"), key).alias("src_password"), rm.encrypt_column(F.lit("b"), key).alias("tgt_password"))
+    assert rows(with_passwords(stored, key)) == [("a", "b")]
 
 
 CONFIG = {
@@ -136,7 +216,7 @@ def test_task_from_config(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(module, "primary_keys", lambda spark, spec: ["ID"])
     patch = rm.FileTable(str(tmp_path / "patch"))
     task = rm.task_from_config(CONFIG, datetime(2026, 2, 28), patch_output=patch)
-    assert task.primary_key and task.update_column == "at"
+    assert task.resolved(spark).primary_key and task.update_column == "at"
     row = rm.run_task(spark, task).first()
     assert (row.table_id, row.check_range) == ("9", "[2026-02-21 00:00:00,2026-02-28 00:00:00)")
     assert row.check_column == "key_columns: ['id'], update_column: ['at'], extra_columns: ['v']"
@@ -170,12 +250,38 @@ def test_equal_and_empty_tables(spark):
 def test_tasks_are_logged_one_by_one(spark, tmp_path):
     log = rm.FileTable(str(tmp_path / "log"))
     tasks = [task(table_id="1"), task(table_id="2", keys=["nope"]), task(table_id="3", target=frame(SRC))]
-    assert rm.run_tasks(spark, tasks, log, concurrency=2) == 1
+    report = rm.run_tasks(spark, tasks, log, concurrency=2)
+    assert (report.failures, report.unlogged) == (1, ())
+    assert sorted(a.split(":")[0] for a in report.alerts) == ["table 1", "table 2", "table 2"]
     logged = {r["table_id"]: r for r in rm.scan_table(spark, log).collect()}
     assert {k: r["compare_status"] for k, r in logged.items()} == {"1": "success", "2": "fail", "3": "success"}
     assert "nope" in logged["2"]["compare_msg"]
 
 
+def test_a_log_that_cannot_be_written_loses_its_rows_only(spark, tmp_path):
+    (tmp_path / "log").write_text("no folder")
+    report = rm.run_tasks(spark, [task(table_id="1"), task(table_id="2")], rm.FileTable(str(tmp_path / "log")))
+    assert (report.failures, sorted(report.unlogged)) == (0, ["1", "2"])
+
+
+def test_keys_of_both_catalogs(spark, monkeypatch):
+    from rowmend.plans import tasks as module
+
+    def named(theirs):
+        def primary_keys(spark, spec):
+            found = ["ID"] if spec.dialect == "mysql" else theirs
+            if not found:
+                raise LookupError("no primary key")
+            return found
+
+        monkeypatch.setattr(module, "primary_keys", primary_keys)
+        return rm.task_from_config(CONFIG, NOW).resolved(spark)
+
+    assert named(["id"]).primary_key and named(["id"]).keys == ["id"]
+    assert not named(["id", "v"]).primary_key
+    assert not named([]).primary_key
+
+
 def test_compare_many(spark):
     got = rm.compare_many(spark, [task(table_id="1"), task(table_id="2", update_column="nope"), task(table_id="3", target=frame(SRC))])
     assert rows(got.select("table_id", "compare_status", "diff_cnt")) == [("1", "success", 4), ("2", "fail", 0), ("3", "success", 0)]
