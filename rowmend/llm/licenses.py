@@ -4,7 +4,8 @@ A notice of n letters may differ by n // 12 edits, but short ones by none. It is
 one more seed than edits: a text within the bound has at least one seed unchanged
 (pigeonhole). One automaton finds all seeds; around each, bounded-error matching of the
 ``regex`` library verifies the notice between word borders and counts the edits. A match
-that overlaps one of fewer edits is given up for it; exact places of base phrases always stay.
+that overlaps one of fewer edits and about its length is given up for it; exact places of
+base phrases always stay.
 
 Words are lower-cased in A-Z only, and everything else that is ASCII but no letter or
 digit separates them.
@@ -16,7 +17,7 @@ are ignored. A long text is worked on whole; equal surroundings are verified onc
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 from itertools import groupby
@@ -131,24 +132,25 @@ class Scanner:
 
     @staticmethod
     def closest(found: dict[tuple[str, int, int], tuple[int, float]]) -> dict[tuple[str, int, int], tuple[int, float]]:
-        """Without matches that overlap another one of fewer edits: notices that differ in a word are told apart."""
+        """Without matches that overlap one of fewer edits and about their length: notices that differ in a word are told apart."""
         kept: dict[tuple[str, int, int], tuple[int, float]] = {}
-        begins: list[int] = []  # of the stretches that matches of fewer edits cover, which do not overlap
-        ends: list[int] = []
-        for _, level in groupby(sorted(found.items(), key=lambda f: (f[1][0], f[0])), key=lambda f: f[1][0]):
+        taken: dict[int, list[tuple[int, int]]] = {}  # places of matches of fewer edits by their length, in order
+        for edits, level in groupby(sorted(found.items(), key=lambda f: (f[1][0], f[0])), key=lambda f: f[1][0]):
             fresh = []
-            for place, how in level:
-                i = bisect_left(ends, place[1] + 1)
-                if i == len(ends) or begins[i] >= place[2]:
-                    kept[place] = how
-                    fresh.append(place[1:])
-            merged: list[list[int]] = []
-            for a, b in sorted([*zip(begins, ends), *fresh]):
-                if merged and a < merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], b)
-                else:
-                    merged.append([a, b])
-            begins, ends = [a for a, _ in merged], [b for _, b in merged]
+            for (label, begin, end), how in level:
+                beaten = False
+                for length, places in taken.items():
+                    if length >= end - begin - edits and not beaten:
+                        # Places of one length that end after this one's begin: the first of them begins earliest.
+                        i = bisect_right(places, (begin - length, end))
+                        beaten = i < len(places) and places[i][0] < end
+                if not beaten:
+                    kept[label, begin, end] = how
+                    fresh.append((begin, end))
+            for begin, end in fresh:
+                taken.setdefault(end - begin, []).append((begin, end))
+            for places in taken.values():
+                places.sort()
         return kept
 
     def scan(self, text: str | None) -> tuple[int, list[dict]]:

@@ -1,0 +1,85 @@
+"""Reply trees and the chat template against plain Python."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from rowmend.llm import chat
+
+MESSAGES = "conv_id bigint, msg_id bigint, parent_id bigint, role string, text string, score double"
+
+
+def paths(spark, data, n=1):
+    found = chat.chosen_paths(spark.createDataFrame(data, MESSAGES), n)
+    grouped = found.groupBy("conv_id", "path", "rank").agg(F.sort_array(F.collect_list(F.struct("depth", "text")))["text"].alias("said"))
+    return sorted(((r["conv_id"], r["rank"], r["said"]) for r in grouped.collect()), key=repr)
+
+
+def test_best_branch(spark):
+    data = [
+        (1, 1, None, "user", "a", 0.0),
+        (1, 2, 1, "assistant", "b", 1.0),
+        (1, 3, 1, "assistant", "c", 2.0),
+        (1, 4, 2, "user", "d", 5.0),
+        (1, 5, 3, "user", "e", None),
+        (2, 1, 99, "user", "f", 0.0),
+    ]
+    assert paths(spark, data) == [(1, 1, ["a", "b", "d"]), (2, 1, ["f"])]
+    assert paths(spark, data, None) == [(1, 1, ["a", "b", "d"]), (1, 2, ["a", "c", "e"]), (2, 1, ["f"])]
+
+
+def test_random_trees(spark):
+    rng = random.Random(4)
+    data, expected = [], []
+    for conv in range(12):
+        n = rng.randint(1, 40)
+        parent = {i: (None if i == 0 else rng.randrange(max(0, i - 3), i)) for i in range(n)}
+        score = {i: float(rng.randint(0, 3)) for i in range(n)}
+        data += [(conv, i, parent[i], "user", str(i), score[i]) for i in range(n)]
+
+        def up(i):
+            return [] if i is None else [*up(parent[i]), i]
+
+        leaves = sorted((-sum(score[k] for k in up(i)), -len(up(i)), i) for i in range(n) if i not in parent.values())
+        expected += [(conv, rank + 1, [str(k) for k in up(leaf)]) for rank, (_, _, leaf) in enumerate(leaves[:2])]
+    assert paths(spark, data, 2) == sorted(expected, key=repr)
+
+
+def test_circles_and_nulls(spark):
+    data = [
+        (None, 1, None, "user", None, None),
+        (None, 2, 1, None, "x", None),
+        (3, 1, 2, "user", "a", 0.0),
+        (3, 2, 1, "user", "b", 0.0),
+        (3, 3, 2, "user", "c", 0.0),
+    ]
+    assert paths(spark, data) == sorted([(None, 1, ["", "x"]), (3, None, ["a"]), (3, None, ["b"]), (3, None, ["c"])], key=repr)
+    assert paths(spark, []) == []
+
+
+def test_long_chain(spark):
+    data = [(1, i, i - 1 if i else None, "user", str(i), 0.0) for i in range(300)]
+    assert paths(spark, data) == [(1, 1, [str(i) for i in range(300)])]
+
+
+def test_template_is_reversible(spark):
+    rng = random.Random(1)
+    bits = ["<|im_start|>", "<|im_end|>", "<|im_sep|>", "<|", "|>", "<\\|", "<\\\\|", "<", "|", "\\", "\n", "a", "é😀", "assistant"]
+    data, expected = [], {}
+    for conv in range(60):
+        turns = [(rng.choice(["user", "assistant", "<|im_sep|>"]), "".join(rng.choices(bits, k=rng.randint(0, 8)))) for _ in range(rng.randint(1, 5))]
+        expected[conv] = turns
+        data += [(conv, i, r, t, "extra") for i, (r, t) in enumerate(turns)]
+    turns = spark.createDataFrame(data, "conv_id bigint, turn bigint, role string, text string, path string")
+    output = chat.format_chats(chat.chained(turns))
+    for r in chat.read_back(output).collect():
+        assert [(t["role"], t["text"]) for t in r["turns"]] == expected[r["conv_id"]]
+        assert list(r["learned"]) == [t for role, t in expected[r["conv_id"]] if role == "assistant"]
+    for r in output.collect():
+        assert r["text"].count("<|im_start|>") == len(expected[r["conv_id"]])
+
+
+def test_repeated_turns_all_stay(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "b"), (1, 0, "user", "a"), (1, None, "user", "c")], "conv_id bigint, turn bigint, role string, text string")
+    read = chat.read_back(chat.format_chats(chat.chained(turns))).first()
+    assert [t["text"] for t in read["turns"]] == ["c", "a", "b"]
