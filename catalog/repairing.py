@@ -85,10 +85,13 @@ def repair_rows(spark, sf):
 
 
 def empty_selection(spark, sf):
-    """No key survives a tolerance of 100 years, so no source row is read for repair."""
-    rows = diff(spark, sf)
-    wanted = rm.mismatch_to_repair(rows.where("tgt.o_orderdate IS NOT NULL"), KEY, TIME, 100 * 365 * 86400.0)
-    return rm.rows_of_keys(t.orders(spark, sf), rm.materialize(wanted, "keys"), KEY)
+    """No key survives a tolerance of 100 years, so no source row is read for repair; without it there are some."""
+    rows = diff(spark, sf).where("tgt.o_orderdate IS NOT NULL")
+    found = []
+    for name, tolerance in (("none", 100 * 365 * 86400.0), ("some", 0.0)):
+        wanted = rm.materialize(rm.mismatch_to_repair(rows, KEY, TIME, tolerance), "keys")
+        found.append(rm.row_count(rm.rows_of_keys(t.orders(spark, sf), wanted, KEY)).withColumn("tolerance", F.lit(name)))
+    return found[0].unionByName(found[1])
 
 
 def repair_window_scope(spark, sf):
@@ -253,7 +256,8 @@ SQL = {
         FROM batches GROUP BY batch""",
     "repair_rows": f"""{WITH_CHOSEN} SELECT o_orderkey, o_totalprice, o_orderdate FROM src
         WHERE o_orderkey IN (SELECT o_orderkey FROM chosen)""",
-    "empty_selection": f"WITH {t.SQL_SRC} SELECT * FROM src WHERE 1 = 0",
+    "empty_selection": f"""{t.WITH_ORDERS} SELECT 'none' AS tolerance, 0::BIGINT AS row_cnt
+        UNION ALL SELECT 'some', count(*) FROM ({MISMATCHED} AND tgt_o_orderdate IS NOT NULL)""",
     "repair_window_scope": f"WITH {t.SQL_SRC} SELECT * FROM src WHERE {WINDOW}",
     "repair_full_scope": "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders",
     "apply_insert": f"""{MARKED} SELECT * FROM marked UNION ALL

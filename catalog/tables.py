@@ -16,7 +16,18 @@ from pyspark.sql.types import StructType
 from rowmend import FileTable, scan_table
 
 ORDERS_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
-LINEITEM_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+# All columns that are compared by default: numbers and times.
+LINEITEM_COLUMNS = [
+    "l_orderkey",
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_shipdate",
+]
 
 ORDERS_TARGET = """
 SELECT o_orderkey, o_custkey,
@@ -34,13 +45,13 @@ FROM {orders} WHERE o_orderkey % 101 = 0
 """
 
 LINEITEM_TARGET = """
-SELECT l_orderkey, l_linenumber, l_partkey,
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        CASE WHEN l_orderkey % 53 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
        CASE WHEN l_orderkey % 59 = 0 THEN NULL ELSE l_extendedprice END AS l_extendedprice,
-       l_shipdate
+       l_discount, CASE WHEN l_orderkey % 61 = 0 THEN CAST(0.5 AS DOUBLE) ELSE l_tax END AS l_tax, l_shipdate
 FROM {lineitem} WHERE l_partkey % 97 <> 0
 UNION ALL
-SELECT -(l_orderkey + 1) AS l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate
+SELECT -(l_orderkey + 1) AS l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate
 FROM {lineitem} WHERE l_partkey % 101 = 0
 """
 

@@ -9,26 +9,17 @@ from pyspark.sql import functions as F
 import rowmend as rm
 from catalog import tables as t
 from catalog.comparing import compared_orders
+from rowmend.plans.tasks import REQUIRED_FIELDS
+from rowmend.sources.sinks import RESULT_LOG
 from rowmend.sources.storage import new_path
 
 LIMIT = 0.05
-CHECKED_FIELDS = [
-    "src_host",
-    "src_username",
-    "src_password",
-    "tgt_host",
-    "tgt_username",
-    "tgt_password",
-    "tgt_charset",
-]
-
-
 def active_tasks(spark, sf):
     return rm.active_tasks(t.tasks(spark, sf)).select("id", "src_db_type", "src_host", "is_delete")
 
 
 def validate_tasks(spark, sf):
-    checked = rm.validate_tasks(t.tasks(spark, sf), CHECKED_FIELDS)
+    checked = rm.validate_tasks(t.tasks(spark, sf))
     return checked.select("id", F.array_join("missing_fields", ",").alias("missing_fields"), "is_valid")
 
 
@@ -89,9 +80,13 @@ def _results(spark, sf):
 
 def result_log(spark, sf):
     spec = rm.FileTable(new_path(spark, "log"))
-    rm.append_result_log(_results(spark, sf), spec)
-    logged = rm.scan_table(spark, spec)
-    return logged.select("table_id", "compare_status", "src_cnt", "tgt_cnt", "diff_cnt", "repair_status")
+    # Times and names as given, so that all fields of the log have a known value.
+    moment = F.lit("2026-03-01 12:00:00.25").cast("timestamp_ntz")
+    given = {f.name: moment for f in RESULT_LOG.fields if f.name.endswith("_time")}
+    given |= {f.name: F.lit(0.5) for f in RESULT_LOG.fields if f.name.endswith("_minute")}
+    given |= {n: F.lit(n) for n in ("src_db_id", "check_range", "check_column", "compare_report", "html_report", "repair_job_file")}
+    rm.append_result_log(_results(spark, sf).withColumns(given | {"is_delete": F.lit(0)}), spec)
+    return rm.scan_table(spark, spec)
 
 
 def alerts_compare(spark, sf):
@@ -119,6 +114,12 @@ WITH_RESULTS = f"""{t.WITH_ORDERS},
 GATE = "CASE WHEN diff_cnt = 0 THEN 'skip' WHEN diff_cnt > 2 THEN 'fail' ELSE 'run' END"
 
 
+GATE_MESSAGE = """CASE WHEN diff_cnt = 0 THEN 'no difference, nothing to repair'
+    WHEN diff_cnt > 2 THEN diff_cnt || ' different rows exceed the repair limit of 2' ELSE '' END"""
+LOGGED_TIMES = ", ".join(f"TIMESTAMP '2026-03-01 12:00:00.25' AS {f.name}" for f in RESULT_LOG.fields if f.name.endswith("_time"))
+LOGGED_MINUTES = ", ".join(f"0.5::DOUBLE AS {f.name}" for f in RESULT_LOG.fields if f.name.endswith("_minute"))
+
+
 def _kinds(source: str, target: str, keys: list[str], differs: str) -> str:
     on = " AND ".join(f"s.{k} = t.{k}" for k in keys)
     return f"""SELECT CASE WHEN t.{keys[0]} IS NULL THEN 'src_only' WHEN s.{keys[0]} IS NULL THEN 'tgt_only'
@@ -126,10 +127,13 @@ def _kinds(source: str, target: str, keys: list[str], differs: str) -> str:
         FROM ({source}) s FULL JOIN ({target}) t ON {on}"""
 
 
+# Compared in the order of the table's columns.
+LINE_VALUES = [c for c in t.LINEITEM_COLUMNS if c not in ("l_orderkey", "l_linenumber")]
+
+
 def _numbered(source: str) -> str:
     return f"""SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-        ORDER BY l_partkey ASC NULLS FIRST, l_quantity ASC NULLS FIRST, l_extendedprice ASC NULLS FIRST,
-                 l_shipdate ASC NULLS FIRST) AS n FROM ({source})"""
+        ORDER BY {', '.join(f'{c} ASC NULLS FIRST' for c in LINE_VALUES)}) AS n FROM ({source})"""
 
 
 def _differs(columns: list[str]) -> str:
@@ -147,7 +151,7 @@ MANY = {
         _numbered(f"SELECT {', '.join(t.LINEITEM_COLUMNS)} FROM lineitem"),
         _numbered(t.LINEITEM_TARGET.format(lineitem="lineitem")),
         ["l_orderkey", "l_linenumber", "n"],
-        _differs(["l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"]),
+        _differs(LINE_VALUES),
     ),
     "events": _kinds(
         "SELECT event_id, user_id, ts, value FROM events",
@@ -161,11 +165,11 @@ MANY = {
         "SELECT * FROM customer", t.CUSTOMER_TARGET.format(customer="customer"), ["c_custkey"], _differs(["c_nationkey"])
     ),
 }
-MISSING = ", ".join(f"CASE WHEN {n} IS NULL THEN '{n}' END" for n in CHECKED_FIELDS if n != "tgt_charset")
+MISSING = ", ".join(f"CASE WHEN {n} IS NULL THEN '{n}' END" for n in REQUIRED_FIELDS)
 
 SQL = {
     "active_tasks": f"SELECT id, src_db_type, src_host, is_delete FROM ({TASKS}) WHERE is_delete = 0",
-    "validate_tasks": f"""SELECT id, concat_ws(',', {MISSING}, 'tgt_charset') AS missing_fields, FALSE AS is_valid
+    "validate_tasks": f"""SELECT id, concat_ws(',', {MISSING}) AS missing_fields, concat_ws(',', {MISSING}) = '' AS is_valid
         FROM ({TASKS})""",
     "compare_many": " UNION ALL ".join(
         f"SELECT '{name}' AS table_id, 'success' AS compare_status, * FROM ({t.summary_sql(f'({kinds})')})"
@@ -186,7 +190,12 @@ SQL = {
                0::INTEGER AS is_delete
         FROM result""",
     "result_log": f"""{WITH_RESULTS}
-        SELECT table_id, 'success' AS compare_status, src_cnt, tgt_cnt, diff_cnt, {GATE} AS repair_status FROM results""",
+        SELECT table_id, {LOGGED_TIMES}, {LOGGED_MINUTES}, 'success' AS compare_status, 'compared' AS compare_msg, 'src_db_id' AS src_db_id,
+               'live' AS src_db_name, 'orders' AS src_table_name, 'copy' AS tgt_db_name, 'orders' AS tgt_table_name,
+               'check_range' AS check_range, 'check_column' AS check_column, src_cnt, tgt_cnt, diff_cnt,
+               'compare_report' AS compare_report, 'html_report' AS html_report, {GATE} AS repair_status,
+               0::BIGINT AS repair_cnt, 'repair_job_file' AS repair_job_file, 0::INTEGER AS is_delete, {GATE_MESSAGE} AS repair_msg
+        FROM results""",
     "alerts_compare": f"""{WITH_RESULTS}
         SELECT table_id, matching_rate,
                'table ' || table_id || ': live.orders against copy.orders, status success, different rows ' || diff_cnt

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import rowmend as rm
-from catalog import comparing, reading, repairing, tasking
+from catalog import comparing, reading, repairing, repeated, tasking
 from catalog import tables as t
 
 SF = "/root/testdata/sf0.01"
@@ -28,7 +28,7 @@ def scans(text):
     return re.findall(r"ReadSchema: struct<([^>]*)>", text)
 
 
-@pytest.mark.parametrize("name", [n for module in (comparing, reading, repairing, tasking) for n in module.QUERIES])
+@pytest.mark.parametrize("name", [n for module in (comparing, reading, repairing, repeated, tasking) for n in module.QUERIES])
 def test_no_all_pairs_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, "/root/testdata/sf0.001"))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Scan ExistingRDD"):

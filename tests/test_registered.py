@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
-from catalog import comparing, reading, repairing, tasking
+from catalog import comparing, reading, repairing, repeated, tasking
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,7 +16,7 @@ def db():
 
 def test_each_query_has_sql():
     """All queries of this folder's subject; others state in their own tests how they are checked."""
-    ours = {name for module in (comparing, reading, repairing, tasking) for name in module.QUERIES}
+    ours = {name for module in (comparing, reading, repairing, repeated, tasking) for name in module.QUERIES}
     assert ours <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
