@@ -206,22 +206,20 @@ def _predict(model):
     return predict
 
 
-def predicted(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """Each row as one column ``row``, with lang_pred and score; without ``model`` one is fitted on ``docs``."""
-    fitted = model or fit(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)  # its size depends on the languages, not on the documents
+def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """Each row as one column ``row``, with lang_pred and score."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # its size depends on the languages, not on the documents
     rows = docs.select(F.struct("*").alias("row"), "text")
     kinds = StructType([rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return rows.mapInArrow(_predict(shared), kinds)
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every document."""
-    fitted = model or fit(docs)
-    found = predicted(docs.select("doc_id", "text"), fitted)
+    """doc_id, held_out, lang_pred and score of every document; without ``model`` one is fitted on ``docs``."""
+    found = predicted(docs.select("doc_id", "text"), model or fit(docs))
     return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def known_language(docs: DataFrame, least: float) -> DataFrame:
     """The documents whose language is told with a score of ``least`` or more."""
-    return predicted(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    return predicted(docs, fit(docs)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
