@@ -69,6 +69,13 @@ def primary_key_claim_audit(spark, sf):
     return lines.withColumn("tables", F.lit("lines")).unionByName(orders.withColumn("tables", F.lit("orders")))
 
 
+def lookup_by_predicates(spark, sf):
+    """Orders of the customers in debt, fetched by conditions on their keys."""
+    wanted = t.customer(spark, sf).where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    batches = rm.assign_batches(wanted, ["o_custkey"], BATCH)
+    return rm.lookup_by_predicates(spark, t.file_table(spark, sf, "orders"), batches, ["o_custkey"], t.ORDERS_COLUMNS)
+
+
 # Text keys with quotes and backslashes, and a name that needs quotes itself.
 NAMED = r"SELECT concat(c_name, '''', '\\', c_mktsegment) AS `the name` FROM {customer}"
 
@@ -110,6 +117,7 @@ QUERIES = {
     "verify_repair_repeated": verify_repair_repeated,
     "repair_null_keys": repair_null_keys,
     "primary_key_claim_audit": primary_key_claim_audit,
+    "lookup_by_predicates": lookup_by_predicates,
     "repair_predicates_text": repair_predicates_text,
     "repair_predicates_time": repair_predicates_time,
     "column_stats_exact": column_stats_exact,
@@ -148,6 +156,8 @@ SQL = {
                sum(CASE WHEN a IS NULL OR b IS NULL THEN n ELSE 0 END)::BIGINT AS null_cnt,
                max(n) = 1 AND NOT bool_or(a IS NULL OR b IS NULL) AS is_key
         FROM counted GROUP BY tables, side""",
+    "lookup_by_predicates": f"""SELECT {', '.join(t.ORDERS_COLUMNS)} FROM orders
+        WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
     "repair_predicates_text": rf"""WITH k AS (SELECT DISTINCT c_name || '''' || '\' || c_mktsegment AS name FROM customer),
         b AS (SELECT name, CAST((row_number() OVER (ORDER BY name) - 1) // {BATCH} + 1 AS BIGINT) AS batch FROM k)
         SELECT batch, count(*) AS key_cnt,

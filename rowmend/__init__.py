@@ -26,6 +26,7 @@ from rowmend.operators.ranks import assign_batches, global_rank
 from rowmend.operators.repair import (
     apply_repair,
     batch_outcome,
+    lookup_by_predicates,
     mismatch_to_repair,
     repair_gate,
     repair_keys,
@@ -56,7 +57,7 @@ from rowmend.plans.tasks import (
     task_result,
     validate_tasks,
 )
-from rowmend.sources.jdbc import JdbcTable, primary_keys
+from rowmend.sources.jdbc import JdbcTable, primary_keys, upsert_query
 from rowmend.sources.sinks import append_result_log, as_result_log, merge_into, write_table
 from rowmend.sources.storage import materialize
 from rowmend.sources.tables import (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +26,12 @@ from rowmend.operators.compare import (
 )
 from rowmend.operators.keys import join_keys, number_occurrences
 from rowmend.operators.ranks import quoted
+from rowmend.sources.jdbc import JdbcTable
 from rowmend.sources.storage import materialize
+from rowmend.sources.tables import TableSpec, scan_slices, scan_table
 
 MODES = ("insert", "update", "replace")
+MOST_PREDICATES = 1000  # batches of keys that are asked for by conditions
 
 
 def time_allows(
@@ -202,6 +205,27 @@ def repair_rows(src: DataFrame, tgt: DataFrame, wanted: DataFrame, keys: Sequenc
     return rows_of_keys(src.select(*quoted(common_columns(src, tgt, keys))), wanted, keys, null_safe=not primary_key)
 
 
+def lookup_by_predicates(
+    spark: SparkSession,
+    spec: TableSpec,
+    batches: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    most: int = MOST_PREDICATES,
+) -> DataFrame:
+    """The table's rows of the numbered keys, each batch asked for by a condition of its own.
+
+    A database then reads a handful of keys instead of the whole table, one batch per
+    task. Conditions pass through the driver, so beyond ``most`` batches the table is
+    read and joined instead.
+    """
+    dialect = spec.dialect if isinstance(spec, JdbcTable) else None
+    found = repair_predicates(batches, keys, dialect).select("batch", "predicate").orderBy("batch").limit(most + 1).collect()
+    if len(found) > most:
+        return rows_of_keys(scan_table(spark, spec, columns), batches, keys, null_safe=True)
+    return scan_slices(spark, spec, [r["predicate"] for r in found] or ["1 = 0"], columns)
+
+
 def repair_window(
     src: DataFrame,
     tgt: DataFrame,

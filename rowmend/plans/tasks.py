@@ -29,7 +29,7 @@ from rowmend.operators.repair import (
     verify_repair,
 )
 from rowmend.operators.summary import compare_sentence, count_columns, rate
-from rowmend.sources.jdbc import JdbcTable, primary_keys
+from rowmend.sources.jdbc import RUN_ID, JdbcTable, primary_keys
 from rowmend.sources.sinks import append_result_log, append_table, table_exists, write_table
 from rowmend.sources.storage import materialize, working_tables
 from rowmend.sources.tables import CatalogTable, FileTable, TableSpec, scan_by_key, scan_table
@@ -115,6 +115,7 @@ class CompareTask:
     write_mode: str = "update"
     output: FileTable | CatalogTable | None = None
     patch_output: TableSpec | None = None
+    run_id: str | None = None
 
     def resolved(self, spark: SparkSession) -> CompareTask:
         keys = list(self.keys(spark)) if callable(self.keys) else self.keys
@@ -466,7 +467,9 @@ def _repair(
         patch = materialize(repair_window(src, tgt, task.keys, task.repair_scope, time_column, window), "patch")
         wanted = patch.select(*quoted(task.keys)).distinct()
     if task.patch_output is not None:
-        append_table(patch, task.patch_output)
+        # The run's id tells its rows apart from those of another attempt.
+        staged = patch if task.run_id is None else patch.withColumn(RUN_ID, F.lit(task.run_id))
+        append_table(staged, task.patch_output)
     if task.output is None:
         written = patch.count()
         return {"repair_status": "success", "repair_cnt": written, "repair_msg": f"patch of {written} rows written"}

@@ -28,6 +28,7 @@ DRIVERS = {
 }
 QUOTES = {"mysql": "``", "oracle": '""', "sqlserver": "[]", "postgresql": '""'}
 FETCH_ROWS = 10_000
+RUN_ID = "run_id"  # column of a staging table
 
 
 @dataclass(frozen=True)
@@ -64,7 +65,9 @@ def quote_name(dialect: str, name: str) -> str:
     return f"{opening}{name.replace(closing, closing * 2)}{closing}"
 
 
-def text_literal(value: str) -> str:
+def text_literal(value: str, dialect: str | None = None) -> str:
+    """A text in SQL; MySQL reads a backslash as the start of an escape."""
+    value = value.replace("\\", "\\\\") if dialect == "mysql" else value
     return "'" + value.replace("'", "''") + "'"
 
 
@@ -160,6 +163,52 @@ def bounds_query(spec: JdbcTable, column: str) -> str:
     return f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {spec.qualified}"
 
 
+def cuts_query(spec: JdbcTable, column: str, slices: int) -> str:
+    """The least key of each of ``slices`` parts of equal size, as the database orders its keys."""
+    name, part = quote_name(spec.dialect, column), quote_name(spec.dialect, "part")
+    ranked = f"SELECT {name}, NTILE({int(slices)}) OVER (ORDER BY {name}) AS {part} FROM {spec.qualified} WHERE {name} IS NOT NULL"
+    return f"SELECT MIN({name}) AS {quote_name(spec.dialect, 'cut')} FROM ({ranked}) ranked GROUP BY {part}"
+
+
+def cut_predicates(spec: JdbcTable, column: str, cuts: Sequence[str]) -> list[str]:
+    """Disjoint conditions between the cuts, which are in the database's order; the first one takes NULLs as well."""
+    name = quote_name(spec.dialect, column)
+    inner = list(dict.fromkeys(cuts))[1:]
+    if not inner:
+        return ["1 = 1"]
+    texts = [text_literal(c, spec.dialect) for c in inner]
+    between = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(texts, texts[1:])]
+    return [f"{name} < {texts[0]} OR {name} IS NULL", *between, f"{name} >= {texts[-1]}"]
+
+
+def upsert_query(spec: JdbcTable, staging: JdbcTable, keys: Sequence[str], columns: Sequence[str], run_id: str, mode: str = "update") -> str:
+    """The database's own statement that writes one run's staged rows into the table.
+
+    ``insert`` adds rows of new keys, ``update`` also overwrites the columns of known keys. The table needs a
+    unique key over ``keys``. Running it again changes nothing more.
+    """
+    q = lambda name: quote_name(spec.dialect, name)
+    names = [*keys, *[c for c in columns if c not in keys]]
+    values = [c for c in names if c not in keys]
+    listed = ", ".join(map(q, names))
+    staged = f"SELECT {listed} FROM {staging.qualified} WHERE {q(RUN_ID)} = {text_literal(run_id, spec.dialect)}"
+    if spec.dialect == "mysql":
+        kept = values if mode != "insert" and values else keys[:1]
+        changes = ", ".join(f"{q(c)} = {'VALUES(' + q(c) + ')' if c in values else q(c)}" for c in kept)
+        return f"INSERT INTO {spec.qualified} ({listed}) {staged} ON DUPLICATE KEY UPDATE {changes}"
+    if spec.dialect == "postgresql":
+        target = ", ".join(map(q, keys))
+        changes = ", ".join(f"{q(c)} = EXCLUDED.{q(c)}" for c in values)
+        action = f"DO UPDATE SET {changes}" if mode != "insert" and values else "DO NOTHING"
+        return f"INSERT INTO {spec.qualified} ({listed}) {staged} ON CONFLICT ({target}) {action}"
+    on = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
+    changes = ", ".join(f"t.{q(c)} = s.{q(c)}" for c in values)
+    matched = f" WHEN MATCHED THEN UPDATE SET {changes}" if mode != "insert" and values else ""
+    added = f" WHEN NOT MATCHED THEN INSERT ({listed}) VALUES ({', '.join('s.' + q(c) for c in names)})"
+    end = ";" if spec.dialect == "sqlserver" else ""
+    return f"MERGE INTO {spec.qualified} t USING ({staged}) s ON ({on}){matched}{added}{end}"
+
+
 def load_query(spark: SparkSession, spec: JdbcTable, query: str) -> DataFrame:
     return spark.read.format("jdbc").options(**connection_options(spec), query=query).load()
 

@@ -14,6 +14,8 @@ from rowmend.sources.jdbc import (
     JdbcTable,
     bounds_query,
     connection_options,
+    cut_predicates,
+    cuts_query,
     limited_query,
     load_query,
     table_options,
@@ -131,12 +133,16 @@ def scan_slices(
 def scan_by_key(spark: SparkSession, spec: JdbcTable, column: str, slices: int) -> DataFrame:
     """A database table in ``slices`` parallel ranges between the least and the greatest key.
 
-    The database itself finds the two bounds. Keys without ranges (text) and empty
-    tables are read by one task.
+    The database itself finds the two bounds; for keys without ranges (text) it finds the
+    cuts between parts of equal size. Empty tables are read by one task.
     """
     whole = _open(spark, spec)
-    if slices < 2 or not isinstance(whole.schema[column].dataType, RANGED_TYPES):
+    if slices < 2:
         return whole
+    if not isinstance(whole.schema[column].dataType, RANGED_TYPES):
+        # One row per slice.
+        cuts = sorted(str(r[0]) for r in load_query(spark, spec, cuts_query(spec, column, slices)).collect())
+        return scan_slices(spark, spec, cut_predicates(spec, column, cuts))
     low, high = load_query(spark, spec, bounds_query(spec, column)).first()
     return whole if low is None else scan_partitioned(spark, spec, column, low, high, slices)
 
