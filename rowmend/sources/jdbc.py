@@ -164,10 +164,10 @@ def bounds_query(spec: JdbcTable, column: str) -> str:
 
 
 def cuts_query(spec: JdbcTable, column: str, slices: int) -> str:
-    """The least key of each of ``slices`` parts of equal size, as the database orders its keys."""
+    """Number and least key of each of ``slices`` parts of equal size, as the database orders its keys."""
     name, part = quote_name(spec.dialect, column), quote_name(spec.dialect, "part")
     ranked = f"SELECT {name}, NTILE({int(slices)}) OVER (ORDER BY {name}) AS {part} FROM {spec.qualified} WHERE {name} IS NOT NULL"
-    return f"SELECT MIN({name}) AS {quote_name(spec.dialect, 'cut')} FROM ({ranked}) ranked GROUP BY {part}"
+    return f"SELECT {part}, MIN({name}) AS {quote_name(spec.dialect, 'cut')} FROM ({ranked}) ranked GROUP BY {part}"
 
 
 def cut_predicates(spec: JdbcTable, column: str, cuts: Sequence[str]) -> list[str]:

@@ -140,9 +140,9 @@ def scan_by_key(spark: SparkSession, spec: JdbcTable, column: str, slices: int)
     if slices < 2:
         return whole
     if not isinstance(whole.schema[column].dataType, RANGED_TYPES):
-        # One row per slice.
-        cuts = sorted(str(r[0]) for r in load_query(spark, spec, cuts_query(spec, column, slices)).collect())
-        return scan_slices(spark, spec, cut_predicates(spec, column, cuts))
+        # One row per slice; the parts' numbers keep the database's own order of texts.
+        cuts = sorted(load_query(spark, spec, cuts_query(spec, column, slices)).collect(), key=lambda r: r[0])
+        return scan_slices(spark, spec, cut_predicates(spec, column, [str(r[1]) for r in cuts]))
     low, high = load_query(spark, spec, bounds_query(spec, column)).first()
     return whole if low is None else scan_partitioned(spark, spec, column, low, high, slices)
 

@@ -68,7 +68,43 @@ def test_scan_by_key_asks_for_bounds(spark, monkeypatch):
         monkeypatch.setattr(tables, "load_query", lambda s, spec, q, f=frame: asked.update(query=q) or f)
         tables.scan_by_key(spark, spec("mysql"), "id", 8)
     assert asked == {"query": "SELECT MIN(`id`) AS low, MAX(`id`) AS high FROM `shop`.`orders`", "slices": ("id", 3, 90, 8)}
-    assert tables.scan_by_key(spark, spec("mysql"), "k", 8).columns == ["id", "k"]
+    frame = spark.createDataFrame([(2, "m"), (1, "a"), (3, "m"), (4, "t'")], "part int, cut string")
+    monkeypatch.setattr(tables, "load_query", lambda s, spec, q: asked.update(query=q) or frame)
+    monkeypatch.setattr(tables, "scan_slices", lambda s, spec, predicates: predicates)
+    conditions = tables.scan_by_key(spark, spec("mysql"), "k", 4)
+    assert "NTILE(4) OVER (ORDER BY `k`)" in asked["query"]
+    assert conditions == ["`k` < 'm' OR `k` IS NULL", "`k` >= 'm' AND `k` < 't'''", "`k` >= 't'''"]
+
+
+def test_upserts():
+    staging = {d: rm.JdbcTable(d, "h", 1, "shop", "staged", "u", "p") for d in jdbc.URLS}
+    text = {d: rm.upsert_query(spec(d), staging[d], ["id"], ["id", "v"], "r'1") for d in jdbc.URLS}
+    assert all("'r''1'" in t for t in text.values())
+    assert text["mysql"].endswith("ON DUPLICATE KEY UPDATE `v` = VALUES(`v`)")
+    assert text["postgresql"].endswith('ON CONFLICT ("id") DO UPDATE SET "v" = EXCLUDED."v"')
+    assert text["oracle"].startswith('MERGE INTO "SHOP"."ORDERS" t USING (SELECT "ID", "V" FROM "SHOP"."STAGED" WHERE "RUN_ID" =')
+    assert text["sqlserver"].endswith("WHEN NOT MATCHED THEN INSERT ([id], [v]) VALUES (s.[id], s.[v]);")
+    kept = {d: rm.upsert_query(spec(d), staging[d], ["id"], ["id", "v"], "r", "insert") for d in jdbc.URLS}
+    assert kept["mysql"].endswith("UPDATE `id` = `id`") and kept["postgresql"].endswith("DO NOTHING")
+    assert "MATCHED THEN UPDATE" not in kept["oracle"] + kept["sqlserver"]
+
+
+def test_merge_replaces_whole_rows(spark, monkeypatch):
+    """A replaced row keeps nothing that only the target has; an updated one does."""
+    from rowmend.sources.sinks import merge_into
+
+    spark.createDataFrame([(1, 2, 3)], "id int, v int, mark int").createOrReplaceTempView("merged_view")
+    seen = {}
+
+    class Writer:
+        def __getattr__(self, name):
+            return lambda values=None: seen.update({name: sorted(values)} if values else {}) or self
+
+    monkeypatch.setattr(type(spark.range(1)), "mergeInto", lambda self, table, condition: Writer())
+    patch = spark.createDataFrame([(1, 5)], "id int, v int")
+    for mode, columns in {"update": ["id", "v"], "replace": ["id", "mark", "v"]}.items():
+        merge_into(patch, "merged_view", ["id"], mode)
+        assert seen == {"update": columns, "insert": ["id", "mark", "v"]}
 
 
 def test_catalog_queries_name_the_table():
