@@ -41,7 +41,7 @@ from rowmend.sources.storage import materialize
 
 SHINGLE_WORDS = 3
 PERCENT = 90
-CACHED_WORDS = 400_000  # words whose hash a worker keeps
+CACHED_WORDS = 200_000  # words whose hash a worker keeps
 PACKED = 1 << 20  # slices a task gathers before it sends them
 BUCKET = 1 << 20  # slices a task compares
 BLOCK_TOKENS = 1 << 20  # tokens of the classes in one tree
