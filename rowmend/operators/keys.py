@@ -77,8 +77,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = HOT_ROWS
     needed = hot_rows * fraction / 2
     sampled = df.select(*quoted(keys)).sample(fraction, seed=1)
     found = sampled.groupBy(*quoted(keys)).agg(F.count("*").alias("_hits")).where(F.col("_hits") > needed)
-    found = found.select(*quoted(keys))
-    return None if found.isEmpty() else materialize(found, "hot-keys")
+    found = found.select(*quoted(keys)).persist()
+    try:
+        return None if found.isEmpty() else materialize(found, "hot-keys")
+    finally:
+        found.unpersist()
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

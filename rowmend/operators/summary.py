@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rowmend.functions.types import is_numeric
@@ -22,6 +22,7 @@ from rowmend.operators.compare import (
     field,
 )
 from rowmend.operators.keys import OCCURRENCE
+from rowmend.sources.storage import materialize
 
 
 def kind_count(*kinds: str) -> Column:
@@ -160,15 +161,22 @@ def compare_report(rows: DataFrame, keys: Sequence[str], sample: int = 10) -> Da
     """The report as rows ``(section, item, value)``.
 
     Section ``summary`` has the counts and the rate, ``column`` the statistics of
-    each compared column, ``sample`` the first differing keys. The three parts share
-    the shuffle of the comparison.
+    each compared column, ``sample`` the first differing keys. The comparison runs once:
+    rows that differ in any value are written down while all are counted, and the rest
+    of the report starts from them.
     """
 
     def entry(section: str, item: Column, value: Column) -> Column:
         return F.struct(F.lit(section).alias("section"), item.alias("item"), value.cast("double").alias("value"))
 
-    totals = compare_summary(rows).select(
-        F.inline(F.array(*[entry("summary", F.lit(n), F.col(n)) for n in SUMMARY_ITEMS]))
+    counts = Observation()
+    differs = (F.col(DIFF_TYPE) != MATCH) | ~F.col(SRC).eqNullSafe(F.col(TGT))
+    rows = materialize(rows.observe(counts, *count_columns()).where(differs), "differences")
+    seen = counts.get
+    listed = {n: F.lit(v) for n, v in seen.items()}
+    listed["matching_rate"] = rate(listed["match_cnt"], listed["src_cnt"], listed["tgt_cnt"])
+    totals = rows.sparkSession.range(1).select(
+        F.inline(F.array(*[entry("summary", F.lit(n), listed[n]) for n in SUMMARY_ITEMS]))
     )
     parts = [totals]
     if _compared(rows):
