@@ -26,7 +26,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 from math import exp, floor, log
 
 import numpy as np
@@ -36,12 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmend.llm.components import components, stars
-from rowmend.llm.rows import repeated, row_key, text_hash, without
+from rowmend.llm.rows import repeated, row_key, small, text_hash, without
 from rowmend.sources.storage import materialize
 
 SHINGLE_WORDS = 3
 PERCENT = 90
-CACHED_WORDS = 200_000  # words whose hash a worker keeps
+CACHED_WORDS = 200_000  # words whose hash a task keeps
 PACKED = 1 << 20  # slices a task gathers before it sends them
 BUCKET = 1 << 20  # slices a task compares
 BLOCK_TOKENS = 1 << 20  # tokens of the classes in one tree
@@ -87,11 +86,6 @@ class Hasher:
         return np.unique(mixed(total))
 
 
-@cache
-def hasher(size: int) -> Hasher:
-    return Hasher(size)
-
-
 @dataclass(frozen=True)
 class Slices:
     """How sets are cut into slices for a least similarity of ``percent`` per cent.
@@ -158,8 +152,9 @@ def _classed(size: int):
     """Size of each document's set and a digest of it: 16 bytes, of which 8 number the candidates."""
 
     def classed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            sets = [hasher(size).tokens(t) for t in part.column("text").to_pylist()]
+        hasher = Hasher(size)
+        for part in small(parts):
+            sets = [hasher.tokens(t) for t in part.column("text").to_pylist()]
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             columns = [
                 part.column("doc_id"),
@@ -206,9 +201,10 @@ def _sliced(size: int, cuts: Slices, buckets: int):
         signatures: list[np.ndarray] = []
         nodes: list[np.ndarray] = []
         held = 0
-        for part in parts:
+        hasher = Hasher(size)
+        for part in small(parts):
             for text in part.column("text").to_pylist():
-                tokens = hasher(size).tokens(text)
+                tokens = hasher.tokens(text)
                 own = cuts.signatures(tokens) if len(tokens) else tokens
                 if not len(own):
                     continue
@@ -358,8 +354,9 @@ def _walked(percent: int):
 
 def _tokens(size: int):
     def tokens(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            sets = [hasher(size).tokens(t).tobytes() for t in part.column("text").to_pylist()]
+        hasher = Hasher(size)
+        for part in small(parts):
+            sets = [hasher.tokens(t).tobytes() for t in part.column("text").to_pylist()]
             names = [n for n in part.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(sets, pa.binary())], [*names, "tokens"])
 

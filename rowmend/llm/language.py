@@ -30,6 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from rowmend.llm.rows import row_key, small, text_hash, without
+from rowmend.sources.storage import materialize
+
 UNKNOWN = "und"
 BITS = 13
 RUNS = 3
@@ -144,7 +147,7 @@ def logistic(margin: float) -> float:
 
 
 def _training_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
+    for part in small(parts):
         langs, rows = [], []
         for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
             place = zlib.crc32(text.encode())
@@ -198,7 +201,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model | None:
 def _predict(model):
     def predict(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = model.value
-        for part in parts:
+        for part in small(parts):
             texts = part.column("text").to_pylist()
             results: list[tuple[str, float]] = []
             for first in range(0, len(texts), BATCH):
@@ -214,19 +217,21 @@ def _predict(model):
 
 
 def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Each row as one column ``row``, with lang_pred and score."""
+    """doc_id, text_hash, lang_pred and score of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size depends on the languages, not on the documents
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    kinds = StructType([rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return rows.mapInArrow(_predict(shared), kinds)
+    rows = docs.select("doc_id", text_hash(), "text")
+    kinds = [rows.schema["doc_id"], rows.schema["text_hash"], StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    return rows.mapInArrow(_predict(shared), StructType(kinds))
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document; without ``model`` one is fitted on ``docs``."""
-    found = predicted(docs.select("doc_id", "text"), model or fit(docs))
-    return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
+    found = predicted(docs, model or fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def known_language(docs: DataFrame, least: float) -> DataFrame:
     """The documents whose language is told with a score of ``least`` or more."""
-    return predicted(docs, fit(docs)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    found = predicted(docs, fit(docs))
+    told = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)
+    return without(docs, materialize(found.where(~told).select(row_key()).distinct(), "unknown-language"))

@@ -27,6 +27,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from rowmend.llm.rows import small
+
 # Phrases of the contract and their labels.
 BASE = (
     ("mit", "mit license"),
@@ -173,7 +175,7 @@ def _scanner() -> Scanner:
 
 def _scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     scanner = _scanner()
-    for part in parts:
+    for part in small(parts):
         results = [scanner.scan(text) for text in part.column("text").to_pylist()]
         columns = [
             part.column("doc_id"),

@@ -6,12 +6,23 @@ interchangeable.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+ROWS_AT_ONCE = 500  # documents that a Python worker has in hand as objects
 BROADCAST_ROWS = 1_000_000  # decisions, about 24 bytes each, that go to all executors; more are shuffled
 
 
+def small(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few documents, so that a worker never holds a whole batch as Python objects."""
+    for part in parts:
+        for first in range(0, part.num_rows, ROWS_AT_ONCE):
+            yield part.slice(first, ROWS_AT_ONCE)
+
+
 def text_hash() -> Column:
     return F.xxhash64("text").alias("text_hash")
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowmend.llm.rows import small
 from rowmend.llm.tokenizing import IdCounter, loaded
 from rowmend.sources.storage import materialize, new_path
 
@@ -45,9 +46,10 @@ def read_cache(spark: SparkSession, cache: str, version: str) -> DataFrame:
 def _counts(path: str):
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = loaded(IdCounter, path)
-        for part in parts:
+        for part in small(parts):
             counts = list(counter.count(part.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
+        counter.rest()
 
     return count
 

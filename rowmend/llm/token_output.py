@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rowmend.llm.rows import small
 from rowmend.llm.tokenizing import IdEncoder, loaded
 from rowmend.sources.storage import materialize, new_path
 
@@ -58,7 +59,7 @@ def _stretch(tokenizer: str):
     def take(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(IdEncoder, tokenizer)
         size = SAMPLE_IDS * encoder.width
-        for part in parts:
+        for part in small(parts):
             taken = []
             for ids in _with_end(encoder, part.column("text").to_pylist()):
                 first = zlib.crc32(ids) % (len(ids) // size + 1) * size
@@ -95,13 +96,14 @@ def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
 def _encoded(tokenizer: str, dictionary: bytes):
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, compressor = loaded(IdEncoder, tokenizer), _compressor(dictionary)
-        for part in parts:
+        for part in small(parts):
             counts, frames = [], []
             for ids in _with_end(encoder, part.column("text").to_pylist()):
                 counts.append(len(ids) // encoder.width)
                 frames.append(compressor.compress(ids))
             columns = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(frames, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_ids", "frame"])
+        encoder.rest()
 
     return encode
 

@@ -58,6 +58,10 @@ class _Cached:
     def _encode(self, pieces: list[str]) -> list:
         raise NotImplementedError
 
+    def rest(self) -> None:
+        """At the end of a task: a worker that waits, or turns to other work, keeps the common pieces only."""
+        self.older = {}
+
     def _learn(self, pieces: set[str]) -> None:
         if len(self.known) > CACHED_PIECES:
             self.known, self.older = {}, self.known
