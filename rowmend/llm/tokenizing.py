@@ -137,6 +137,11 @@ class IdCounter(_Cached):
         pieces = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
         self.cuts = _keeps_spaces(self.model) and not any("▁" in p.lstrip("▁") for p in pieces)
 
+    def rest(self) -> None:
+        super().rest()
+        if self.ids is not None:
+            self.ids.rest()
+
     def _encode(self, pieces: list[str]) -> list[int]:
         return [len(ids) for ids in self.model.encode(pieces, num_threads=1)] if pieces else []
 
