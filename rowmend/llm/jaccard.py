@@ -2,7 +2,7 @@
 
 Equal sets are one class, found by grouping. To give trees to tasks, token space is cut
 into more slices than two similar sets may differ in tokens; some slice then holds the
-same tokens in both (pigeonhole), and classes that share such a slice, directly or by
+same tokens in both (pigeonhole; where slices are small, two of a group of three), and classes that share such a slice, directly or by
 others, are brought together. How many slices follows from the range of sizes, so each set
 is cut for its own range and the next one.
 
@@ -110,16 +110,26 @@ class Slices:
         """Most tokens that two similar sets of this cut have not in common."""
         return 2 * self.largest(cut) * (100 - self.percent) // (100 + self.percent)
 
+    @property
+    def paired(self) -> bool:
+        """Whether a slice, of as many tokens as sets hold per differing one, would be too small to tell sets apart."""
+        return 100 / (100 - self.percent) < 8
+
     def count(self, cut: int) -> int:
-        """More slices than that: some may hold no token, and those tell nothing."""
+        """More slices than that: some may hold no token, and those tell nothing.
+
+        Paired, slices come in groups of three, and there are more groups than differing tokens
+        could spoil by two each: in some group two slices are the same.
+        """
         d = self.difference(cut)
-        return d + 2 + d * (100 - self.percent) ** 2 // 2000
+        return 3 * (d // 2 + 2 + d // 25) if self.paired else d + 2 + d * (100 - self.percent) ** 2 // 2000
 
     def signatures(self, tokens: np.ndarray) -> np.ndarray:
-        """Hashes of the set's slices, each with the number of the cut and the slice.
+        """Hashes of the set's slices, or pairs of slices, each with the number of the cut and its place.
 
-        A set with as few filled slices as it may have differing tokens also sends its empty
-        slices; otherwise one of the filled ones is the same in any similar set.
+        What holds no token is left out, unless the set has so few filled slices, or groups
+        without two empty ones, that its differing tokens could spoil them all: then it is sent
+        as well. Otherwise one of the filled ones is the same in any similar set.
         """
         size = len(tokens)
         own = size * (100 - self.percent) // self.percent
@@ -128,16 +138,20 @@ class Slices:
         found = []
         scrambled = mixed(tokens ^ np.uint64(_ODD[5]))
         for cut in (self.range_of(size), self.range_of(size) + 1):
-            n = self.count(cut)
+            n, most = self.count(cut), min(own, self.difference(cut))
             slices = (tokens % np.uint64(n)).astype(np.int64)
-            order = np.argsort(slices, kind="stable")
-            filled, firsts = np.unique(slices[order], return_index=True)
-            sums = np.add.reduceat(scrambled[order], firsts)
-            if len(filled) <= min(own, self.difference(cut)):
-                sums, full = np.zeros(n, np.uint64), sums
-                sums[filled] = full
-                filled = np.arange(n)
-            found.append(mixed(sums + mixed(filled.astype(np.uint64) * np.uint64(_ODD[2]) + np.uint64(cut * _ODD[3] % 2**64))))
+            sums, held = np.zeros(n, np.uint64), np.bincount(slices, minlength=n)
+            np.add.at(sums, slices, scrambled)
+            if self.paired:
+                sums, held = sums.reshape(-1, 3), held.reshape(-1, 3)
+                enough = 2 * int(((held > 0).sum(axis=1) >= 2).sum()) > most
+                first, second = [0, 0, 1], [1, 2, 2]
+                sums = (mixed(sums[:, first] + np.uint64(_ODD[4])) + mixed(sums[:, second]) * np.uint64(_ODD[1])).ravel()
+                held = (held[:, first] + held[:, second]).ravel()
+            else:
+                enough = int((held > 0).sum()) > most
+            place = np.flatnonzero(held) if enough else np.arange(len(held))
+            found.append(mixed(sums[place] + mixed(place.astype(np.uint64) * np.uint64(_ODD[2]) + np.uint64(cut * _ODD[3] % 2**64))))
         return np.concatenate(found)
 
 
@@ -412,7 +426,7 @@ def _classified(docs: DataFrame, shingle_words: int, percent: int, block_tokens:
 
     # Candidates: classes that share a slice. About one slice per differing token, for two ranges of sizes.
     tokens = sets.agg(F.sum("n")).first()[0] or 0
-    buckets = int(tokens * 3 * (100 - percent) / percent // bucket) + 1
+    buckets = int(tokens * (5 if cuts.paired else 3) * (100 - percent) / percent // bucket) + 1
     sliced = texts.select("text").mapInArrow(_sliced(shingle_words, cuts, buckets), "bucket int, kind int, keys binary, nodes binary")
     edges = sliced.groupBy("bucket").applyInArrow(_linked, "a bigint, b bigint")
     candidates = components(edges)
