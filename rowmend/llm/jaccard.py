@@ -2,9 +2,9 @@
 
 Equal sets are one class, found by grouping. To give trees to tasks, token space is cut
 into more slices than two similar sets may differ in tokens; some slice then holds the
-same tokens in both (pigeonhole; where slices are small, two of a group of three), and classes that share such a slice, directly or by
-others, are brought together. How many slices follows from the range of sizes, so each set
-is cut for its own range and the next one.
+same tokens in both (pigeonhole; where slices are small, two of a group of three), and
+classes that share it, directly or by others, are brought together. How many slices follows
+from the range of sizes, so each set is cut for its own range and the next one.
 
 A task builds a tree over the classes it got: every node holds the OR of the token bitmaps
 below it, the range of their set sizes, and the largest number of tokens that share a bit
