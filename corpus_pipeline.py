@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rowmend.llm import decontaminate, jaccard, language, mixing, rows, token_output
 from rowmend.sources.storage import materialize
 
-LEAST_SCORE = 0.1  # of a language; a lower one means that the text is in none of them
+LEAST_SCORE = 0.1  # of a language; a text that is in none of them has score 0
 SHINGLE_WORDS = 5
 PERCENT = 80
 TOKENIZER = "byte_bpe_50k.json"

@@ -7,7 +7,14 @@ documents and never twice as many, an equal share of each language, each once wh
 once as a short stretch, so that short texts are learned as well.
 
 ``score`` is the product of the logistic margins of the winning family and of the
-narrowest comparison inside it.
+narrowest comparison inside it. A comparison always has a winner, so margins cannot tell
+that a text is in none of the languages. For that its letters and its runs of three letters
+are looked up among those of the winner's learned documents. How many of them a document
+of that language usually shares with the others is learned as well. A text that has less
+than FAMILIAR of that, and less than FAMILIAR of its runs in any other language, has score
+0, and ``lang_pred`` is then only the nearest one. One short word of learned letters is too
+little to tell and stays, and so does what is nearest to a language of a single learned
+document, which has no usual share.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0; so is every text if
 no row is labelled. Rows with a null label are predicted but not learned from. Rows are
@@ -40,6 +47,9 @@ CHUNK = 1 << 20
 SAMPLE_DOCS = 800
 MOST_LANGUAGES = 400  # the most frequent ones are learned
 SHORT = (20, 200)  # characters of a short stretch
+SEEN = 1 << 14  # characters of a learned document whose runs are kept
+FAMILIAR = 0.5  # of the usual share of known runs; a text with less is in no language
+GIVEN = 2  # runs of three letters that count as usual before a text's own, so that single odd words decide nothing
 EPOCHS = 30
 PENALTY = 10.0
 STEEP = 4.0
@@ -71,11 +81,8 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def counts(text: str) -> np.ndarray:
-    """Counts of hashed letter runs; all zero if there is no letter. What is no letter counts as one blank."""
-    total = np.zeros(1 << BITS)
-    if not any(map(str.isalpha, text)):
-        return total
+def _hashed(text: str) -> Iterator[tuple[int, np.ndarray]]:
+    """Length and hashes of the letter runs, stretch by stretch. What is no letter counts as one blank."""
     for first in range(0, len(text), CHUNK):
         codes = np.frombuffer(text[max(first - RUNS + 1, 0) : first + CHUNK].lower().encode("utf-32-le", "replace"), np.uint32)
         codes = np.where(_letters()[codes], codes, 32)
@@ -84,10 +91,29 @@ def counts(text: str) -> np.ndarray:
         mixed = np.zeros(len(codes), np.uint32)
         for n in range(RUNS):
             mixed = (mixed[: len(codes) - n] * np.uint32(0x01000193)) ^ (codes[n:] * np.uint32(0x9E3779B1))
-            total += np.bincount((mixed * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BITS), minlength=1 << BITS)
+            yield n + 1, mixed * np.uint32(0x85EBCA6B)
+
+
+def counts(text: str) -> np.ndarray:
+    """Counts of hashed letter runs; all zero if there is no letter."""
+    total = np.zeros(1 << BITS)
+    if not any(map(str.isalpha, text)):
+        return total
+    for _, hashed in _hashed(text):
+        total += np.bincount(hashed >> np.uint32(32 - BITS), minlength=1 << BITS)
     return total
 
 
+def seen_runs(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of the text's letters and of its runs of three."""
+    runs = list(_hashed(text))
+    kinds = [np.unique(np.concatenate([hashed for n, hashed in runs if n == size])) for size in (1, RUNS)]
+    return kinds[0][kinds[0] != _BLANK], kinds[1]
+
+
+_BLANK = np.uint32(32 * 0x9E3779B1 * 0x85EBCA6B & 0xFFFFFFFF)
+
+
 def features(text: str) -> np.ndarray:
     root = np.sqrt(counts(text))
     return (root / max(np.linalg.norm(root), 1e-12)).astype(np.float32)
@@ -113,6 +139,41 @@ def linear_svm(rows: np.ndarray, positive: np.ndarray) -> np.ndarray:
     return np.append(weights, bias)
 
 
+@dataclass
+class Known:
+    """Sorted hashes of a language's letters and runs of three, and the share of them that its documents have in common with others."""
+
+    runs: tuple[np.ndarray, np.ndarray]
+    usual: tuple[float, float]
+
+    @staticmethod
+    def learn(documents: list[tuple[np.ndarray, np.ndarray]]) -> Known:
+        runs, usual = [], []
+        for kind in zip(*documents):
+            hashes, times = np.unique(np.concatenate(kind), return_counts=True)
+            others = hashes[times > 1]  # those of a document that some other one has, too
+            runs.append(hashes)
+            usual.append(float(np.median([_among(own, others).mean() if len(own) else 0.0 for own in kind])))
+        return Known(tuple(runs), tuple(usual))
+
+    def familiar(self, text: str, usual: tuple[float, float]) -> bool:
+        found, every = [0, 0], [0, 0]
+        for n, hashed in _hashed(text):
+            if n in (1, RUNS):
+                hashed = hashed[hashed != _BLANK] if n == 1 else hashed
+                found[n == RUNS] += int(_among(hashed, self.runs[n == RUNS]).sum())
+                every[n == RUNS] += len(hashed)
+        letters, threes = usual
+        return found[0] >= FAMILIAR * letters * every[0] and found[1] + GIVEN * threes >= FAMILIAR * threes * (every[1] + GIVEN)
+
+
+def _among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of the hashes are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(hashes), bool)
+    return known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
+
+
 @dataclass
 class Model:
     """``family_weights`` has a column per family, ``pair_weights`` one per pair of languages of a family."""
@@ -122,6 +183,16 @@ class Model:
     pairs: list[tuple[str, str]]
     family_weights: np.ndarray
     pair_weights: np.ndarray
+    known: dict[str, Known]
+
+    def judge(self, texts: list[str], rows: np.ndarray) -> list[tuple[str, float]]:
+        """The nearest language of each text and its score, which is 0 for a text in none."""
+        return [(lang, score if self._familiar(text, lang) else 0.0) for text, (lang, score) in zip(texts, self.predict(rows))]
+
+    def _familiar(self, text: str, lang: str) -> bool:
+        """The others are asked as well, for a full share: the nearest language of a few words is often another one than theirs."""
+        own = self.known[lang]
+        return own.familiar(text, own.usual) or any(k.familiar(text, (1.0, 1.0)) for other, k in self.known.items() if other != lang)
 
     def predict(self, rows: np.ndarray) -> list[tuple[str, float]]:
         of_family = rows @ self.family_weights[:-1] + self.family_weights[-1]
@@ -148,17 +219,22 @@ def logistic(margin: float) -> float:
 
 def _training_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in small(parts):
-        langs, rows = [], []
+        langs, rows, seen = [], [], []
         for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
             place = zlib.crc32(text.encode())
             size = SHORT[0] + place % (SHORT[1] - SHORT[0])
             first = place // 7 % max(len(text) - size, 1)
+            begin = place // 7 % max(len(text) - SEEN, 1)
+            runs = [kind.tobytes() for kind in seen_runs(text[begin : begin + SEEN])] if text else [None, None]
             for said in (text, text[first : first + size]):
                 row = features(said)
                 if row.any():
                     langs.append(lang)
                     rows.append(row.astype(np.float16).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(rows, pa.binary())], ["lang", "row"])
+                    seen.append(runs)
+                    runs = [None, None]  # once a document
+        columns = [pa.array(langs, pa.string()), pa.array(rows, pa.binary()), *[pa.array([s[k] for s in seen], pa.binary()) for k in range(2)]]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "row", "letters", "threes"])
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model | None:
@@ -173,11 +249,17 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model | None:
     shares = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(each / n)) for lang, n in sizes.items()])
     # The share is met about; the limit holds whatever the rows are like.
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40) < shares
-    chosen = labelled.where(drawn).select("lang", "text").mapInArrow(_training_rows, "lang string, row binary")
+    chosen = labelled.where(drawn).select("lang", "text").mapInArrow(_training_rows, "lang string, row binary, letters binary, threes binary")
     picked = chosen.limit(4 * sample).collect()  # two rows a document
     if not picked:
         return None
     picked.sort(key=lambda r: (r["lang"], bytes(r["row"])))
+    documents: dict[str, list] = {r["lang"]: [] for r in picked}
+    for r in picked:
+        if r["letters"] is not None:
+            documents[r["lang"]].append(tuple(np.frombuffer(r[kind], np.uint32) for kind in ("letters", "threes")))
+    seen = {lang: Known.learn(listed or [(np.zeros(0, np.uint32),) * 2]) for lang, listed in documents.items()}
+    del documents
     langs = np.array([r["lang"] for r in picked])
     rows = np.empty((len(picked), 1 << BITS), np.float32)
     for k in range(len(picked)):
@@ -195,7 +277,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model | None:
     family_weights = [column(everything, family_of == f) if len(families) > 1 else np.zeros(rows.shape[1] + 1) for f in families]
     pair_weights = [column((langs == a) | (langs == b), langs == a) for a, b in pairs]
     stacked = lambda columns: np.stack(columns, axis=1).astype(np.float32) if columns else none.astype(np.float32)
-    return Model(families, languages, pairs, stacked(family_weights), stacked(pair_weights))
+    return Model(families, languages, pairs, stacked(family_weights), stacked(pair_weights), seen)
 
 
 def _predict(model):
@@ -205,8 +287,9 @@ def _predict(model):
             texts = part.column("text").to_pylist()
             results: list[tuple[str, float]] = []
             for first in range(0, len(texts), BATCH):
-                rows = np.stack([features(t or "") for t in texts[first : first + BATCH]])
-                guessed = fitted.predict(rows) if fitted else [(UNKNOWN, 0.0)] * len(rows)
+                said = [t or "" for t in texts[first : first + BATCH]]
+                rows = np.stack([features(t) for t in said])
+                guessed = fitted.judge(said, rows) if fitted else [(UNKNOWN, 0.0)] * len(rows)
                 results += [g if row.any() else (UNKNOWN, 0.0) for g, row in zip(guessed, rows)]
             columns = [pa.array([r[0] for r in results], pa.string()), pa.array([r[1] for r in results], pa.float64())]
             kept = [part.column(c) for c in part.schema.names if c != "text"]

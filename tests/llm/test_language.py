@@ -1,7 +1,11 @@
 """Language ID: held-out accuracy, and odd tables."""
 
+import random
+
 import numpy as np
+from pyspark.sql import functions as F
 
+from corpus_pipeline import LEAST_SCORE
 from llm.conftest import DOCS, LONG, ODD, document
 from rowmend.llm import language
 
@@ -62,3 +66,21 @@ def test_unknown_documents_go_and_columns_stay(spark, odd):
     kept = language.known_language(odd, 0.0)
     assert kept.columns == odd.columns
     assert {r["doc_id"] for r in kept.collect()} == {4, 5, None, 6, 7, 9}
+
+
+def test_texts_in_no_language_go_and_clean_ones_stay(spark):
+    """Random strings of three words or more and scripts that were not learned, against held-out documents and their first words."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = random.Random(3)
+    scripts = ("abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцч", "".join(map(chr, range(0x4E00, 0x5000))))
+    said = lambda abc, n: " ".join("".join(rng.choices(abc, k=rng.randint(5, 10))) for _ in range(n))
+    foreign = ["中文", *[said(abc, n) for k, abc in enumerate(scripts) for n in (1 if k else 3, 20, 500) for _ in range(10)]]
+    held = docs.where(language.held_out(F.col("doc_id"))).limit(200).collect()
+    short = [" ".join(r["text"].split()[:n]) for r in held for n in (1, 2, 3)]
+    short = [t for t in short if any(map(str.isalpha, t))]
+    added = [(10**6 + i, t) for i, t in enumerate(foreign)] + [(2 * 10**6 + i, t) for i, t in enumerate(short)]
+    planted = spark.createDataFrame(added, "doc_id bigint, text string")
+    kept = {r["doc_id"] for r in language.known_language(docs.unionByName(planted, allowMissingColumns=True), LEAST_SCORE).collect()}
+    assert not [t for i, t in added if i < 2 * 10**6 and i in kept]
+    assert len(short) > 500 and not [t for i, t in added if i >= 2 * 10**6 and i not in kept]
+    assert {r["doc_id"] for r in docs.collect()} <= kept
