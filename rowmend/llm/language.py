@@ -44,7 +44,7 @@ UNKNOWN = "und"
 BITS = 13
 RUNS = 3
 CHUNK = 1 << 20
-SAMPLE_DOCS = 800
+SAMPLE_DOCS = 1600
 MOST_LANGUAGES = 400  # the most frequent ones are learned
 SHORT = (20, 200)  # characters of a short stretch
 SEEN = 1 << 14  # characters of a learned document whose runs are kept
