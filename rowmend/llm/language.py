@@ -3,8 +3,9 @@
 Features are counts of hashed runs of one to three letters over the whole text, square
 roots taken, in unit length. They come from the text alone. Linear support vector machines
 are fitted by dual coordinate descent on a bounded sample of labelled rows: about SAMPLE_DOCS
-documents and never twice as many, an equal share of each language, each once whole and
-once as a short stretch, so that short texts are learned as well.
+documents, or LEAST_EACH a language where that is more, and never twice as many; an equal
+share of each language and at least one document of it, each once whole and once as a short
+stretch, so that short texts are learned as well. Every label is learned.
 
 ``score`` is the product of the logistic margins of the winning family and of the
 narrowest comparison inside it. A comparison always has a winner, so margins cannot tell
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from rowmend.llm.rows import row_key, small, text_hash, without
+from rowmend.llm.rows import row_key, sized, small, text_hash, without
 from rowmend.sources.storage import materialize
 
 UNKNOWN = "und"
@@ -45,7 +46,7 @@ BITS = 13
 RUNS = 3
 CHUNK = 1 << 20
 SAMPLE_DOCS = 1600
-MOST_LANGUAGES = 400  # the most frequent ones are learned
+LEAST_EACH = 8  # documents of a label that are expected in the sample at least, if it has as many
 SHORT = (20, 200)  # characters of a short stretch
 SEEN = 1 << 14  # characters of a learned document whose runs are kept
 FAMILIAR = 0.5  # of the usual share of known runs; a text with less is in no language
@@ -240,16 +241,15 @@ def _training_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model | None:
     """The model of labelled documents that are not held out; None if there are none."""
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    sizes = {r["lang"]: r["count"] for r in common.collect()}
-    labelled = labelled.where(F.col("text").isNotNull())
-    if not sizes:
-        return None
-    each = max(sample // len(sizes), 1)
-    shares = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(each / n)) for lang, n in sizes.items()])
-    # The share is met about; the limit holds whatever the rows are like.
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40) < shares
-    chosen = labelled.where(drawn).select("lang", "text").mapInArrow(_training_rows, "lang string, row binary, letters binary, threes binary")
+    labelled = labelled.where(F.col("text").rlike(r"\p{L}")).withColumn("_place", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)))
+    labels = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.min("_place").alias("first"))
+    labels = materialize(labels, "labels")
+    sample = max(sample, LEAST_EACH * labels.count())
+    each = sample // max(labels.count(), 1)
+    # The share is met about, and the first document is always in it; the limit holds whatever the rows are like.
+    upto = F.greatest(F.lit(each) / F.col("n") * float(1 << 40), F.col("first") + 1.0)
+    drawn = labelled.join(sized(labels.select("lang", upto.alias("_upto"))), "lang").where("_place < _upto")
+    chosen = drawn.select("lang", "text").mapInArrow(_training_rows, "lang string, row binary, letters binary, threes binary")
     picked = chosen.limit(4 * sample).collect()  # two rows a document
     if not picked:
         return None

@@ -1,6 +1,7 @@
 """Language ID: held-out accuracy, and odd tables."""
 
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -84,3 +85,12 @@ def test_texts_in_no_language_go_and_clean_ones_stay(spark):
     assert not [t for i, t in added if i < 2 * 10**6 and i in kept]
     assert len(short) > 500 and not [t for i, t in added if i >= 2 * 10**6 and i not in kept]
     assert {r["doc_id"] for r in docs.collect()} <= kept
+
+
+def test_every_label_is_learned(spark, monkeypatch):
+    """More labels than ever had a place, and a frequent one among them."""
+    monkeypatch.setattr(language, "linear_svm", lambda rows, positive: np.zeros(rows.shape[1] + 1))
+    labels = [f"l{i // 2}" for i in range(1000)] + ["frequent"] * 3000
+    docs = spark.createDataFrame([document(i, f"some words of {lang}", lang) for i, lang in enumerate(labels)], DOCS)
+    model = language.fit(docs)
+    assert set(model.known) == {lang for i, lang in enumerate(labels) if zlib.crc32(str(i).encode()) % 3 != 1}
