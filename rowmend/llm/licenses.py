@@ -111,13 +111,16 @@ class Scanner:
             self.verified[key] = (m.start(1), m.end(1), sum(m.fuzzy_counts)) if m else None
         return self.verified[key]
 
-    def exact(self, said: str) -> Iterator[tuple[str, int, int]]:
-        """Label and the blanks around each place of a base phrase."""
-        for label, phrase in BASE:
-            at = said.find(f" {phrase} ")
-            while at >= 0:
-                yield label, at, at + len(phrase) + 1
-                at = said.find(f" {phrase} ", at + 1)
+    def exact(self, said: str) -> set[tuple[str, int, int]]:
+        """Label and the blanks around each place of a base phrase: candidates with no edit, overlaps included."""
+        found = set()
+        for last, (size, places) in self.automaton.iter(said):
+            for number, offset in places:
+                label, phrase, _ = self.notices[number]
+                begin = last - size - offset  # the blank before the phrase
+                if (label, phrase) in BASE and begin >= 0 and said.startswith(f" {phrase} ", begin):
+                    found.add((label, begin, begin + len(phrase) + 1))
+        return found
 
     def fuzzy(self, said: str) -> dict[tuple[str, int, int], tuple[int, float]]:
         """Edits and score by label, start and end; the best notice of a label counts."""

@@ -1,11 +1,14 @@
 """License scans against plain search, edits against a brute-force distance."""
 
+import random
 import re
 
+import ahocorasick
 import pytest
 
 from llm.conftest import ODD
 from rowmend.llm import licenses
+from rowmend.llm.queries import op2_licenses
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -87,3 +90,37 @@ def test_many_matches_in_a_long_text(make):
     found = scanned(make(["mit license apache licence " * 5000]))[0]["matches"]
     assert sum(m["base"] for m in found) == 5000
     assert sum(m["label"] == "apache" and m["edits"] == 1 for m in found) == 5000
+
+
+def plain_search(said):
+    """Each place of a base phrase by str.find."""
+    for label, phrase in licenses.BASE:
+        at = said.find(f" {phrase} ")
+        while at >= 0:
+            yield label, at, at + len(phrase) + 1
+            at = said.find(f" {phrase} ", at + 1)
+
+
+def test_base_places_come_from_the_automaton():
+    rng = random.Random(5)
+    parts = [w for _, p in licenses.BASE for w in p.split()] + [p for _, p in licenses.BASE] + ["x", "licenses"]
+    for _ in range(300):
+        said = licenses.folded(" ".join(rng.choices(parts, k=rng.randint(0, 30))))
+        assert licenses._scanner().exact(said) == set(plain_search(said))
+    blind = licenses.Scanner()
+    blind.automaton = ahocorasick.Automaton()
+    blind.automaton.add_word("qqq", (3, []))
+    blind.automaton.make_automaton()
+    assert blind.scan("the mit license")[1] == []
+
+
+def test_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r["doc_id"]: r for r in op2_licenses(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for r in docs:
+        n, places = base(r["text"])
+        starts = [at for _, at in places]
+        expected = (n, len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({label for label, _ in places})))
+        assert tuple(got[r["doc_id"]][c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels")) == expected
