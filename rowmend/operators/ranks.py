@@ -7,6 +7,7 @@ partitions' sizes, one row each, give the offsets.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -86,10 +87,17 @@ def number_in_hot_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     Equal rows are counted together first, so copies travel as one row. What is left
     is sorted across the cluster; a key then stretches over many partitions and is
     numbered in pieces, each piece starting after the earlier ones. ``order`` and
-    ``keys`` together must be all columns, so that copies are interchangeable.
+    ``keys`` together must be all columns, so that copies are interchangeable. Grouping
+    makes 0.0 of -0.0, so columns with fractions are grouped by their text as well, which
+    has the sign, and their own values are carried beside.
     """
     columns = df.columns
-    distinct = df.groupBy(*quoted(columns)).agg(F.count("*").alias(_COPIES))
+    signed = [f.name for f in df.schema if re.search("double|float", f.dataType.simpleString())]
+    texts = {c: f"_text{i}" for i, c in enumerate(signed)}
+    own = df.select("*", *[F.col(q).cast("string").alias(texts[c]) for c, q in zip(signed, quoted(signed))])
+    carried = F.first(F.struct(*[F.col(q) for q in quoted(signed)])).alias("_own") if signed else F.lit(None).alias("_own")
+    distinct = own.groupBy(*quoted([*columns, *texts.values()])).agg(F.count("*").alias(_COPIES), carried)
+    distinct = distinct.select(*[F.col("_own")[c].alias(c) if c in texts else F.col(q) for c, q in zip(columns, quoted(columns))], _COPIES)
     placed = sorted_places(distinct, [*keys, *order])
 
     pieces = placed.groupBy(_PART, *quoted(keys)).agg(F.sum(_COPIES).alias(_ROWS))

@@ -95,3 +95,13 @@ def test_batches_of_composite_and_repeated_keys(spark):
     assert got == [(a, b, i // 4 + 1) for i, (a, b) in enumerate(sorted(data))]
     with pytest.raises(ValueError):
         assign_batches(keys, ["a", "b"], 0)
+
+
+def test_hot_keys_keep_the_sign_of_zero(spark):
+    data = [(1, v, [v], (w,)) for v in (0.0, -0.0, 1.5, None) for w in (0.0, -0.0) for _ in range(3)] + [(-0.0, float("nan"), [-0.0], (1.0,))]
+    df = spark.createDataFrame([(float(k), *r) for k, *r in data], "k double, v double, l array<float>, s struct<w:double>")
+    usual, hot = (number_occurrences(df, ["k"], n) for n in (10**6, 1))
+    numbers = lambda df: sorted(r["occurrence"] for r in df.where("k = 1").collect())
+    assert numbers(hot) == numbers(usual) == list(range(1, 25))
+    # As text, since -0.0 == 0.0.
+    assert repr(rows(hot.drop("occurrence"))) == repr(rows(usual.drop("occurrence"))) == repr(rows(df))
