@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmend.llm import chat, decontaminate, embeddings, jaccard, language, licenses, mixing, pii, sql, token_counts, token_output
+from rowmend.llm import (
+    chat,
+    conversations,
+    decontaminate,
+    embeddings,
+    jaccard,
+    language,
+    licenses,
+    mixing,
+    packing,
+    phrases,
+    pii,
+    sql,
+    token_counts,
+    token_output,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +120,20 @@ def op10_jaccard_components(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_pack_documents(spark, sf_dir):
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op12_repair_conversations(spark, sf_dir):
+    original = table(spark, sf_dir, "conversations")
+    return conversations.summarize(conversations.damage(original), original)
+
+
+def op13_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -118,6 +147,9 @@ QUERIES = {
         op8_benchmark_hits,
         op9_format_chats,
         op10_jaccard_components,
+        op11_pack_documents,
+        op12_repair_conversations,
+        op13_collocations,
     )
 }
 
@@ -126,4 +158,6 @@ SQL = {
     "op5_personal_data": sql.PERSONAL_DATA,
     "op8_benchmark_hits": sql.BENCHMARK_HITS,
     "op9_format_chats": sql.FORMAT_CHATS,
+    "op12_repair_conversations": sql.REPAIR_CONVERSATIONS,
+    "op13_collocations": sql.COLLOCATIONS,
 }

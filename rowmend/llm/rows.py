@@ -8,19 +8,30 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_AT_ONCE = 500  # documents that a Python worker has in hand as objects
+BYTES_AT_ONCE = 4 << 20  # of text in them, unless a single document has more
 BROADCAST_ROWS = 1_000_000  # decisions, about 24 bytes each, that go to all executors; more are shuffled
 
 
-def small(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def small(parts: Iterator[pa.RecordBatch], most: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of a few documents, so that a worker never holds a whole batch as Python objects."""
     for part in parts:
-        for first in range(0, part.num_rows, ROWS_AT_ONCE):
-            yield part.slice(first, ROWS_AT_ONCE)
+        held = np.arange(part.num_rows + 1)
+        if "text" in part.schema.names:
+            sizes = pc.fill_null(pc.binary_length(part.column("text")), 0).to_numpy(zero_copy_only=False)
+            held = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        first = 0
+        while first < part.num_rows:
+            within = int(np.searchsorted(held, held[first] + BYTES_AT_ONCE, "right")) - 1 if "text" in part.schema.names else part.num_rows
+            last = min(max(within, first + 1), first + most, part.num_rows)
+            yield part.slice(first, last - first)
+            first = last
 
 
 def text_hash() -> Column:

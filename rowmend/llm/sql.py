@@ -135,3 +135,101 @@ SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGIN
        coalesce(top_score, 0)::DOUBLE AS top_score
 FROM docs LEFT JOIN spans USING (nr)
 """
+
+# Checksum of a text of ASCII characters, bit by bit; a row's first fault; then all ways through the states, row by row:
+# of each conversation and state the cheapest audit, the least of equal ones, with the text that comes out.
+REPAIR_CONVERSATIONS = r"""
+WITH RECURSIVE filled AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS named FROM conversations),
+kinds AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(named, ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+          lambda d, e: xor(d >> 1, 3988292384 * (d & 1)))), 4294967295) % 20 AS kind
+  FROM filled),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM kinds WHERE kind <> 0),
+ordered AS (
+  SELECT *, row_number() OVER w AS i, lag(left(role, 1)) OVER w AS earlier,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS kept
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+faults AS (
+  SELECT *, CASE WHEN kept = '' THEN 'blank' WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate'
+                 WHEN right(kept, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM ordered),
+conv AS (
+  SELECT conv_id, count(*) AS n,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE earlier IS NOT NULL AND earlier || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id),
+inserts(state, after, audit, added, cost) AS (VALUES
+  (0, 0, '', []::VARCHAR[], 0), (0, 2, 'I', ['user:'], 5), (0, 3, 'II', ['user:', 'assistant:'], 10),
+  (1, 1, '', [], 0), (1, 2, 'I', ['user:'], 5), (1, 3, 'II', ['user:', 'assistant:'], 10),
+  (2, 2, '', [], 0), (2, 3, 'I', ['assistant:'], 5), (2, 2, 'II', ['assistant:', 'user:'], 10),
+  (3, 3, '', [], 0), (3, 2, 'I', ['user:'], 5), (3, 3, 'II', ['user:', 'assistant:'], 10)),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS state, 0 AS cost, '' AS audit, []::VARCHAR[] AS said
+  FROM (SELECT DISTINCT conv_id FROM faults)
+  UNION ALL
+  SELECT conv_id, i, state, (least_way).cost, (least_way).audit, (least_way).said FROM (
+    SELECT conv_id, i, state, min(way) AS least_way FROM (
+      SELECT f.conv_id, f.i,
+             CASE e.edit WHEN 'D' THEN n.after WHEN 'R' THEN CASE WHEN n.after = 2 THEN 3 ELSE 2 END
+                         ELSE CASE left(f.role, 1) WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END END AS state,
+             {'cost': w.cost + n.cost + CASE e.edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+                      + CASE WHEN e.edit <> 'D' AND f.fault = 'truncated' THEN 5 ELSE 0 END,
+              'audit': w.audit || n.audit || e.edit,
+              'said': list_concat(list_concat(w.said, n.added), CASE e.edit WHEN 'D' THEN []
+                  WHEN 'R' THEN [CASE WHEN n.after = 2 THEN 'assistant:' ELSE 'user:' END || f.text]
+                  ELSE [f.role || ':' || f.text] END)} AS way
+      FROM ways w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+      JOIN inserts n ON n.state = w.state CROSS JOIN (VALUES ('D'), ('K'), ('R')) e(edit)
+      WHERE e.edit = 'D' OR (coalesce(f.fault, '') NOT IN ('blank', 'duplicate') AND (e.edit = 'R'
+            OR (left(f.role, 1) = 's' AND n.after = 0) OR (left(f.role, 1) = 'u' AND n.after <> 2)
+            OR (left(f.role, 1) = 'a' AND n.after = 2))))
+    GROUP BY conv_id, i, state)),
+ends AS (
+  SELECT c.conv_id, min({'cost': w.cost + n.cost, 'audit': w.audit || n.audit, 'said': list_concat(w.said, n.added)}) AS way
+  FROM conv c JOIN ways w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n
+  JOIN inserts n ON n.state = w.state AND (n.after = 3 OR (n.after = 0 AND w.state = 0)) GROUP BY c.conv_id)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+       coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal,
+       coalesce((e.way).cost, 0)::BIGINT AS cost, coalesce((e.way).audit, '') AS audit,
+       sha256(coalesce(array_to_string((e.way).said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN conv c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+places AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM lists),
+runs AS (SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+         FROM places CROSS JOIN (VALUES (1), (2), (3)) s(size) WHERE i + size - 1 <= len(words)),
+counts AS (SELECT lang, size, phrase, count(*) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM counts WHERE size > 1 AND f >= 10),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.words,
+         min({'score': (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f), 'k': c.k, 'l': l.f, 'r': r.f}) AS cut
+  FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:c.k], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[c.k + 1:], ' ') GROUP BY ALL),
+longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, a, array_to_string(words[1:2], ' ') AS phrase FROM candidates WHERE size = 3
+    UNION ALL SELECT lang, a, array_to_string(words[2:3], ' ') FROM candidates WHERE size = 3) GROUP BY ALL),
+kept AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY (s.cut).score DESC, s.a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN longer g ON g.lang = s.lang AND g.phrase = s.phrase AND s.size = 2
+  WHERE g.a IS NULL OR 100 * g.a < 50 * s.a)
+SELECT k.lang, k.rank, k.phrase, k.a, (k.cut).l AS l, (k.cut).r AS r, t.n, (k.cut).score::BIGINT AS score
+FROM kept k JOIN totals t ON t.lang = k.lang WHERE k.rank <= 2000
+"""

@@ -14,7 +14,8 @@ each); a sample too small to train on gives none, and frames are then plain.
 
 Nulls: a null text is empty and has only the end id; a null doc_id comes first. Documents
 of one id follow each other by number of ids and content. An empty table gives an empty
-output. Other columns are ignored.
+output. Other columns are ignored. A very long text is encoded whole and is one frame, in a
+segment that ends with it.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ DICTIONARY_BYTES = 1 << 16
 SAMPLE_DOCS = 1000
 SAMPLE_IDS = 4096
 SEGMENT_BYTES = 4 << 20
+ENCODED_AT_ONCE = 4000  # documents whose pieces are looked up together
 
 ENTRY = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n_ids", "<u4")])
 ENCODED = "doc_id bigint, n_ids bigint, frame binary"
@@ -71,10 +73,9 @@ def _stretch(tokenizer: str):
 
 def train_dictionary(docs: DataFrame, tokenizer: str, sample: int = SAMPLE_DOCS) -> bytes:
     """The shared dictionary, of at most DICTIONARY_BYTES; empty if the sample is too small."""
-    rows = docs.count()
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30) * max(rows, 1)
-    picked = docs.where(share < 2 * sample).select("text").limit(sample)
-    samples = [bytes(r["ids"]) for r in picked.mapInArrow(_stretch(tokenizer), "ids binary").collect()]
+    # The documents with the smallest hashes of id and text, whatever order they are read in.
+    picked = docs.select("text", F.xxhash64("doc_id", "text").alias("place")).orderBy("place", "text").limit(sample).select("text")
+    samples = sorted(bytes(r["ids"]) for r in picked.mapInArrow(_stretch(tokenizer), "ids binary").collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -96,7 +97,7 @@ def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
 def _encoded(tokenizer: str, dictionary: bytes):
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, compressor = loaded(IdEncoder, tokenizer), _compressor(dictionary)
-        for part in small(parts):
+        for part in small(parts, ENCODED_AT_ONCE):
             counts, frames = [], []
             for ids in _with_end(encoder, part.column("text").to_pylist()):
                 counts.append(len(ids) // encoder.width)
