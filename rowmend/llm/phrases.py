@@ -2,16 +2,14 @@
 
 Texts are cut into pieces at sentence marks and into words at blanks. Each task counts the
 runs of three words (fewer at the end of a piece) that begin at each word in a trie over the
-task's word ids: its first level is the first word, and below that are hash containers of
-what follows. A container that grows large bursts into a node over the second word with
-containers of their own, for at most two levels. Phrases of one and two words need no entry:
-they are the sums of their subtrees.
-
-A task that holds too much spills its largest subtrees whole, as sorted runs: the words in
-order and, below each prefix, packed keys with their counts. A run goes to the partition of
-its prefix of two words, where all runs are merged in order as they arrive; so a phrase of
-two or three words is counted in one place, and a frequent one has been added up before it
-travels. Single words are added up beside. Only phrases with at least ``least`` places leave
+task's word ids. Its two levels, first and second word, end in hash containers, one for a
+range of prefixes; a container that grows large bursts at a prefix. Phrases of two words need
+no entry: they are the sums of their subtrees. Single words are counted by id beside.
+
+A task that holds too much spills its largest containers whole, as sorted runs: the words in
+order and packed keys with their counts. A run's rows go to the partitions of their prefixes of
+two words, where all runs are merged in order as they arrive; so a phrase of two or three words
+is counted in one place, and a frequent one has been added up before it travels. Only phrases with at least ``least`` places leave
 the partitions: a candidate's parts are at least as frequent as the candidate itself.
 
 Scores are exact integers in decimal(38): counts below 10^15 are assumed.
@@ -40,7 +38,9 @@ BURST = 4096  # entries of a container before it becomes a node
 MOST_ENTRIES = 700_000  # of a task's tries; about 80 MB
 WORD_BITS = 21
 MOST_WORDS = 400_000  # of a task's vocabulary, after a slice of text; never 2 to the power of WORD_BITS
+MOST_PLACES = 4_000_000  # counters of single words, over all langs
 SLICE_BYTES = 2 << 20  # of text counted at once
+ROWS_AT_ONCE = 2000  # documents in hand
 PARTITION_CHARS = 8 << 20  # of text counted in one prefix partition
 MERGED = 1 << 20  # entries of runs gathered before they are merged
 
@@ -50,73 +50,78 @@ _MASK = (1 << WORD_BITS) - 1
 _END = 0  # id of the end of a piece
 
 
-class Node:
-    """Second words, each with a container of third words."""
-
-    def __init__(self) -> None:
-        self.below: dict[int, dict[int, int]] = {}
-
-    def entries(self) -> Iterator[tuple[int, int]]:
-        for second, container in self.below.items():
-            for third, n in container.items():
-                yield second << WORD_BITS | third, n
-
-
 class Trie:
-    """Counts of runs of three word ids, packed as first, second, third."""
+    """Counts of runs of three word ids, packed as first, second, third.
+
+    A container holds the keys of a range of prefixes, at first of all. Full, it bursts: at the
+    first word nearest to its middle or, where all its keys begin with one word, at a second
+    word. So frequent words get containers of their own, and rare ones share theirs.
+    """
 
     def __init__(self) -> None:
-        self.below: dict[int, dict[int, int] | Node] = {}
-        self.sizes: dict[int, int] = {}
+        self.bounds = np.zeros(1, np.int64)  # the least key of each container
+        self.below: list[dict[int, int]] = [{}]
+        self.full: list[int] = [BURST]  # entries at which it bursts
         self.entries = 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Keys in ascending order, each once."""
-        firsts = keys >> (2 * WORD_BITS)
-        starts = np.flatnonzero(np.concatenate([[True], firsts[1:] != firsts[:-1]])) if len(keys) else np.zeros(0, np.int64)
-        rests, numbers = (keys & ((1 << 2 * WORD_BITS) - 1)).tolist(), counts.tolist()
-        for first, a, b in zip(firsts[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)]):
-            under = self.below.get(first)
-            if under is None:
-                under = self.below[first] = {}
-                self.sizes[first] = 0
-            new = 0
-            if isinstance(under, Node):
-                for rest, n in zip(rests[a:b], numbers[a:b]):
-                    container = under.below.setdefault(rest >> WORD_BITS, {})
-                    held = len(container)
-                    container[rest & _MASK] = container.get(rest & _MASK, 0) + n
-                    new += len(container) - held
+        cuts = [0, *np.searchsorted(keys, self.bounds[1:]).tolist(), len(keys)]
+        listed, numbers, large = keys.tolist(), counts.tolist(), []
+        for at, (container, first, last) in enumerate(zip(self.below, cuts, cuts[1:])):
+            if first == last:
+                continue
+            get, held = container.get, len(container)
+            for key, n in zip(listed[first:last], numbers[first:last]):
+                container[key] = get(key, 0) + n
+            self.entries += len(container) - held
+            if len(container) > self.full[at]:
+                large.append(at)
+        for at in reversed(large):
+            self._burst(at)
+
+    def _burst(self, at: int) -> None:
+        container = self.below[at]
+        keys, counts = (np.fromiter(x, np.int64, len(container)) for x in (container.keys(), container.values()))
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        open_, done = [(0, len(keys))], []
+        while open_:
+            first, last = open_.pop()
+            cut = _middle(keys[first:last]) if last - first > BURST else None
+            if cut is None:
+                done.append((first, last))
             else:
-                held = len(under)
-                for rest, n in zip(rests[a:b], numbers[a:b]):
-                    under[rest] = under.get(rest, 0) + n
-                new = len(under) - held
-                if len(under) > BURST:
-                    self.below[first] = self._burst(under)
-            self.sizes[first] += new
-            self.entries += new
-
-    @staticmethod
-    def _burst(container: dict[int, int]) -> Node:
-        node = Node()
-        for rest, n in container.items():
-            node.below.setdefault(rest >> WORD_BITS, {})[rest & _MASK] = n
-        return node
+                open_ += [(first + cut, last), (first, first + cut)]
+        # A bound is the prefix a container begins with, so that later keys of that prefix come to it.
+        starts = np.array([keys[first] >> WORD_BITS << WORD_BITS for first, _ in done[1:]], np.int64)
+        self.bounds = np.concatenate([self.bounds[: at + 1], starts, self.bounds[at + 1 :]])
+        self.below[at : at + 1] = [dict(zip(keys[a:z].tolist(), counts[a:z].tolist())) for a, z in done]
+        # One prefix with more third words than that stays as it is.
+        self.full[at : at + 1] = [BURST if z - a <= BURST else 2 * (z - a) for a, z in done]
 
     def take(self, room: int) -> tuple[np.ndarray, np.ndarray]:
-        """Removes the largest subtrees until at most ``room`` entries are left; their keys and counts."""
-        keys: list[int] = []
-        counts: list[int] = []
-        for first in sorted(self.sizes, key=self.sizes.get, reverse=True):
+        """Empties the largest containers until at most ``room`` entries are left; their keys and counts."""
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in sorted(range(len(self.below)), key=lambda k: len(self.below[k]), reverse=True):
+            container = self.below[at]
             if self.entries <= room:
                 break
-            under = self.below.pop(first)
-            for rest, n in under.entries() if isinstance(under, Node) else under.items():
-                keys.append(first << 2 * WORD_BITS | rest)
-                counts.append(n)
-            self.entries -= self.sizes.pop(first)
-        return np.array(keys, np.int64), np.array(counts, np.int64)
+            keys.append(np.fromiter(container.keys(), np.int64, len(container)))
+            counts.append(np.fromiter(container.values(), np.int64, len(container)))
+            self.entries -= len(container)
+            self.below[at] = {}
+        return np.concatenate(keys), np.concatenate(counts)
+
+
+def _middle(keys: np.ndarray) -> int | None:
+    """Where, nearest to the middle of sorted keys, a prefix of one word begins, or else one of two; None if there is one prefix only."""
+    for shift in (2 * WORD_BITS, WORD_BITS):
+        prefixes = keys >> shift
+        starts = np.flatnonzero(prefixes[1:] != prefixes[:-1]) + 1
+        if len(starts):
+            return int(starts[np.argmin(np.abs(starts - len(keys) // 2))])
+    return None
 
 
 class Words:
@@ -154,62 +159,54 @@ def slices(texts: Iterator[bytes]) -> Iterator[list[bytes]]:
     yield [*before, b"\n", b"\n"]
 
 
-RUNS = "partition int, lang string, kind int, words array<binary>, keys binary, counts binary"
+RUNS = "partition int, lang string, kind int, words binary, keys binary, counts binary"
 PHRASES, SINGLES, TOTAL = 3, 1, 0
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-
-
 class Spiller:
     """Runs of what a task takes out of its tries, by partition."""
 
     def __init__(self, partitions: int) -> None:
         self.partitions = partitions
 
-    def runs(self, lang: str, words: Words, keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
-        """A sorted run for each prefix partition that has some of the keys."""
-        if not len(keys):
+    def _targets(self, mixed: np.ndarray) -> np.ndarray:
+        return ((mixed * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)) % np.uint64(self.partitions)).astype(np.int64)
+
+    def runs(self, lang: str, kind: int, words: Words, columns: list[np.ndarray], counts: np.ndarray) -> Iterator[tuple]:
+        """A sorted run for each partition that has some of the rows; a row's partition follows from its first two words."""
+        if not len(counts):
             return
-        ids = keys[:, None] >> np.array([2 * WORD_BITS, WORD_BITS, 0]) & _MASK
-        seed = np.uint64(xxhash.xxh3_64_intdigest(lang))
-        used, place = np.unique(ids, return_inverse=True)
-        place = place.reshape(ids.shape)
+        known = np.zeros(len(words.listed), bool)
+        for c in columns:
+            known[c] = True
+        used = np.flatnonzero(known)
         listed = [words.listed[i] for i in used.tolist()]
-        hashes = _hashes(listed)
-        mixed = (hashes[place[:, 0]] * np.uint64(0x9E3779B97F4A7C15) ^ hashes[place[:, 1]] ^ seed) * np.uint64(0xD6E8FEB86659FD93)
-        target = ((mixed >> np.uint64(33)) % np.uint64(self.partitions)).astype(np.int64)
-        for at, chosen in _by(target):
-            mine, columns = np.unique(place[chosen], return_inverse=True)
-            yield (at, lang, PHRASES, *_packed([listed[i] for i in mine.tolist()], columns.reshape(-1, 3), counts[chosen]))
-        first, inverse = np.unique(place[:, 0], return_inverse=True)
-        sums = np.bincount(inverse, weights=counts, minlength=len(first)).astype(np.int64)
-        target = ((hashes[first] ^ seed) >> np.uint64(33)) % np.uint64(self.partitions)
-        for at, chosen in _by(target.astype(np.int64)):
-            columns = np.arange(len(chosen))[:, None]
-            yield (at, lang, SINGLES, *_packed([listed[i] for i in first[chosen].tolist()], columns, sums[chosen]))
-
-
-def _by(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(target, kind="stable")
-    present, firsts = np.unique(target[order], return_index=True)
-    for at, a, b in zip(present.tolist(), firsts, [*firsts[1:], len(order)]):
-        yield at, order[a:b]
-
-
-def _packed(words: list[bytes], columns: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], bytes, bytes]:
-    """The words in byte order, and the rows of word numbers, sorted, with their counts."""
-    order = sorted(range(len(words)), key=words.__getitem__)
-    rank = np.empty(len(words), np.int64)
-    rank[order] = np.arange(len(words))
-    rows = rank[columns]
-    by_row = np.lexsort(rows.T[::-1])
-    return [words[i] for i in order], np.ascontiguousarray(rows[by_row].T, "<u4").tobytes(), counts[by_row].astype("<i8").tobytes()
+        order = sorted(range(len(listed)), key=listed.__getitem__)
+        listed = [listed[i] for i in order]
+        rank = np.empty(len(words.listed), np.int64)
+        rank[used[order]] = np.arange(len(order))
+        # Ranks follow the words' bytes, so keys of ranks are in the order every run has.
+        ranks = [rank[c] for c in columns]
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, len(listed))
+        mixed = hashes[ranks[0]] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(xxhash.xxh3_64_intdigest(lang))
+        target = self._targets(mixed if kind == SINGLES else mixed ^ hashes[ranks[1]])
+        in_order = np.lexsort([*ranks[::-1], target])
+        ranks, counts, target = [r[in_order] for r in ranks], counts[in_order], target[in_order]
+        firsts = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
+        for first, last in zip(firsts.tolist(), [*firsts[1:].tolist(), len(target)]):
+            known = np.zeros(len(listed), bool)
+            own = [r[first:last] for r in ranks]
+            for r in own:
+                known[r] = True
+            place, mine = np.cumsum(known) - 1, np.flatnonzero(known)
+            # Words hold no line break.
+            blob = b"\n".join([listed[i] for i in mine.tolist()])
+            keys = np.concatenate([place[r] for r in own]).astype("<u4").tobytes()
+            yield int(target[first]), lang, kind, blob, keys, counts[first:last].astype("<i8").tobytes()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.string(), pa.int32(), pa.list_(pa.binary()), pa.binary(), pa.binary())
+    kinds = (pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
     names = [c.split()[0] for c in RUNS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -219,30 +216,43 @@ def _counted(partitions: int):
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, tries, spiller = Words(), {}, Spiller(partitions)
+        singles: dict[str, np.ndarray] = {}  # places of each word by id
 
         def spill(room: int) -> Iterator[pa.RecordBatch]:
-            """Subtrees are spilled until ``room`` entries are left in all; nothing is left of the vocabulary with none."""
+            """Containers are spilled until ``room`` entries are left in all; with none the vocabulary starts anew."""
             total = sum(t.entries for t in tries.values())
             for lang, trie in tries.items():
-                rows = list(spiller.runs(lang, words, *trie.take(room * trie.entries // max(total, 1))))
+                keys, counts = trie.take(room * trie.entries // max(total, 1))
+                columns = [keys >> 2 * WORD_BITS, keys >> WORD_BITS & _MASK, keys & _MASK]
+                rows = list(spiller.runs(lang, PHRASES, words, columns, counts))
+                if not room and lang in singles:
+                    used = np.flatnonzero(singles[lang])
+                    rows += spiller.runs(lang, SINGLES, words, [used], singles[lang][used])
                 for k in range(0, len(rows), 64):
                     yield _batch(rows[k : k + 64])
             if not room:
                 tries.clear()
+                singles.clear()
                 words.clear()
 
-        for part in small(parts):
+        for part in small(parts, ROWS_AT_ONCE):
             langs, texts = part.column("lang").to_pylist(), part.column("text").to_pylist()
             for lang in dict.fromkeys(langs):
+                name = "und" if lang is None else lang
                 for found in slices((t or "").encode() for t, own in zip(texts, langs) if own == lang):
                     if len(words.listed) + len(found) >= 1 << WORD_BITS:
                         yield from spill(0)
                     ids = words.of(found)
                     first, second, third = ids[:-2], ids[1:-1], ids[2:]
                     third = np.where(second == _END, _END, third)
-                    keys = (first << 2 * WORD_BITS | second << WORD_BITS | third)[first != _END]
-                    tries.setdefault("und" if lang is None else lang, Trie()).add(*np.unique(keys, return_counts=True))
-                    if len(words.listed) > MOST_WORDS:
+                    begins = first != _END
+                    keys = (first << 2 * WORD_BITS | second << WORD_BITS | third)[begins]
+                    tries.setdefault(name, Trie()).add(*np.unique(keys, return_counts=True))
+                    places = np.bincount(first[begins], minlength=len(words.listed))
+                    before = singles.get(name, places[:0])
+                    places[: len(before)] += before
+                    singles[name] = places
+                    if len(words.listed) > MOST_WORDS or sum(map(len, singles.values())) > MOST_PLACES:
                         yield from spill(0)
                     elif sum(t.entries for t in tries.values()) > MOST_ENTRIES:
                         yield from spill(MOST_ENTRIES // 2)
@@ -262,8 +272,8 @@ class Merger:
         self.waiting: list[tuple[list[bytes], np.ndarray, np.ndarray]] = []
         self.held = 0
 
-    def add(self, words: list[bytes], keys: bytes, counts: bytes) -> None:
-        self.waiting.append((words, np.frombuffer(keys, "<u4").reshape(self.width, -1).T, np.frombuffer(counts, "<i8")))
+    def add(self, words: bytes, keys: bytes, counts: bytes) -> None:
+        self.waiting.append((words.split(b"\n"), np.frombuffer(keys, "<u4").reshape(self.width, -1).T, np.frombuffer(counts, "<i8")))
         self.held += len(counts) // 8
         if self.held > max(MERGED, len(self.counts)):
             self.merge()
@@ -320,9 +330,8 @@ def _merged(least: int):
         def done() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-        for part in parts:
-            for k in range(part.num_rows):
-                partition, lang, kind, words, keys, counts = (part.column(c)[k].as_py() for c in range(6))
+        for part in small(parts, 64):
+            for partition, lang, kind, words, keys, counts in zip(*(part.column(c).to_pylist() for c in range(6))):
                 if at != (partition, lang, kind):
                     if at is not None:
                         rows += _frequent(*at[1:], merger, least)

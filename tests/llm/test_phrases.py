@@ -58,12 +58,12 @@ def test_small_corpora(spark, odd, empty):
 
 def test_bursts_spills_and_merges(spark, monkeypatch):
     rows = corpus(300, 5)
-    trie = phrases.Trie()
     monkeypatch.setattr(phrases, "BURST", 3)
     monkeypatch.setattr(phrases, "MOST_ENTRIES", 40)
     monkeypatch.setattr(phrases, "SLICE_BYTES", 64)
     monkeypatch.setattr(phrases, "MERGED", 5)
     monkeypatch.setattr(phrases, "MOST_WORDS", 8)
+    monkeypatch.setattr(phrases, "ROWS_AT_ONCE", 20)
     # One task of each kind, in this process, where the limits are changed.
     import pyarrow as pa
 
@@ -85,10 +85,29 @@ def test_bursts_spills_and_merges(spark, monkeypatch):
                 wanted.update((lang or "und", " ".join(words[i : i + size])) for i in range(len(words) - size + 1))
     assert counts == {k: n for k, n in wanted.items() if n >= 4}
     assert totals == all_words
-    keys = np.unique(np.array([1 << 42 | k << 21 | k for k in range(10)]))
-    trie.add(keys, np.ones(10, np.int64))
-    assert isinstance(trie.below[1], phrases.Node) and trie.entries == 10
-    assert sorted(trie.take(0)[0].tolist()) == keys.tolist() and trie.entries == 0
+
+
+def test_containers_burst_at_prefixes_and_spill_whole(monkeypatch):
+    monkeypatch.setattr(phrases, "BURST", 5)
+    rng, trie, wanted = random.Random(7), phrases.Trie(), Counter()
+    for _ in range(40):
+        keys = [rng.choice([1, 1, 2, 9]) << 42 | rng.choice([0, 3, 3, 4]) << 21 | rng.randrange(8) for _ in range(20)]
+        found, counts = np.unique(np.array(keys), return_counts=True)
+        trie.add(found, counts)
+        wanted.update(keys)
+        assert trie.entries == sum(map(len, trie.below)) == len(wanted)
+    assert len(trie.below) > 4 and (np.diff(trie.bounds) > 0).all()
+    for k, (low, container) in enumerate(zip(trie.bounds, trie.below)):
+        high = trie.bounds[k + 1] if k + 1 < len(trie.bounds) else 1 << 62
+        assert all(low <= key < high for key in container)
+    # A container with one prefix of two words is as large as it has to be, any other one is not.
+    assert all(len({key >> 21 for key in c}) == 1 for c in trie.below if len(c) > 10)
+    total, got = len(wanted), Counter()
+    for room in (total // 2, 0):
+        keys, counts = trie.take(room)
+        assert trie.entries <= room
+        got.update(dict(zip(keys.tolist(), counts.tolist())))
+    assert got == wanted
 
 
 def test_exact_beyond_64_bits(spark):
