@@ -13,7 +13,8 @@ so that no control string can appear there and taking one backslash out restores
 Nulls: a null text or role is empty, a null conversation id is a conversation of its own,
 a null score is 0. A message whose parent is null or unknown is a root. Messages on a
 circle of parents, or below one, have no root; each is then a path of its own. An empty
-table gives no conversation. Other columns are ignored.
+table gives no conversation. A very long text is escaped and written whole. Other columns
+are ignored.
 """
 
 from __future__ import annotations

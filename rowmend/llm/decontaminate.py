@@ -3,12 +3,13 @@
 A window is 13 consecutive words of an item; an item of fewer words is one window. A
 document contains a window only if it contains each of its shingles (three words, or the
 whole window if shorter). As all are needed, a prefix of one shingle per window suffices:
-its rarest one over all documents. Places of that shingle whose window would stick out
+its rarest one over all documents, of equally rare ones the first in the window. Places of that shingle whose window would stick out
 of the document are left out, and the others are verified word by word.
 
 Nulls: a null text has no words; a null item id counts as the empty id. Items of one id
 count once, repeated documents and ids are each judged on their own. Empty tables give no
-rows, or documents without hits. Other columns are ignored.
+rows, or documents without hits. Of a very long text no more than the places that hold a
+shingle of the benchmark leave the first pass. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -40,11 +40,11 @@ from rowmend.sources.storage import materialize
 
 SHINGLE_WORDS = 3
 PERCENT = 90
-CACHED_WORDS = 200_000  # words whose hash a task keeps
-PACKED = 1 << 20  # slices a task gathers before it sends them
+CACHED_WORDS = 100_000  # words whose hash a task keeps
+PACKED = 1 << 18  # slices a task gathers before it sends them; a few copies of 16 bytes each
 BUCKET = 1 << 20  # slices a task compares
 BLOCK_TOKENS = 1 << 20  # tokens of the classes in one tree
-BROADCAST_CLASSES = 1_000_000  # candidate classes that go to all executors to fetch their texts; more are shuffled
+BROADCAST_WALKS = 1_000_000  # places of candidate classes, 20 bytes each, that go to all executors to fetch their texts; more are shuffled
 LEAF, FANOUT, CHUNK = 8, 8, 16_384
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
@@ -442,7 +442,7 @@ def _classified(docs: DataFrame, shingle_words: int, percent: int, block_tokens:
 
     placed = _placed(members, block_tokens)
     fetched = placed.select(row_key(), "member", "n", "component", "walks")
-    if placed.count() <= BROADCAST_CLASSES:
+    if (placed.agg(F.sum(F.size("walks"))).first()[0] or 0) <= BROADCAST_WALKS:
         fetched = F.broadcast(fetched)
     found = texts.select("text", row_key()).join(fetched, "key").drop("key")
     found = found.mapInArrow(

@@ -34,7 +34,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -242,15 +242,20 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model | None:
     """The model of labelled documents that are not held out; None if there are none."""
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     labelled = labelled.where(F.col("text").rlike(r"\p{L}")).withColumn("_place", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)))
-    labels = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.min("_place").alias("first"))
+    # Equal rows have one place. About how many places a label has is enough to draw its share.
+    labels = labelled.groupBy("lang").agg(F.approx_count_distinct("_place").alias("n"), F.min("_place").alias("first"))
     labels = materialize(labels, "labels")
     sample = max(sample, LEAST_EACH * labels.count())
     each = sample // max(labels.count(), 1)
-    # The share is met about, and the first document is always in it; the limit holds whatever the rows are like.
+    # The first document is always drawn; further ones as long as their places are in the label's share.
     upto = F.greatest(F.lit(each) / F.col("n") * float(1 << 40), F.col("first") + 1.0)
     drawn = labelled.join(sized(labels.select("lang", upto.alias("_upto"))), "lang").where("_place < _upto")
-    chosen = drawn.select("lang", "text").mapInArrow(_training_rows, "lang string, row binary, letters binary, threes binary")
-    picked = chosen.limit(4 * sample).collect()  # two rows a document
+    once = drawn.groupBy("lang", "_place").agg(F.min("text").alias("text"))
+    # Never more than twice a label's share, the smallest places of it: the window is over drawn rows only.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_place"))
+    once = once.withColumn("_nr", place).where(F.col("_nr") <= 2 * each)
+    chosen = once.select("lang", "text").mapInArrow(_training_rows, "lang string, row binary, letters binary, threes binary")
+    picked = chosen.collect()  # two rows a document
     if not picked:
         return None
     picked.sort(key=lambda r: (r["lang"], bytes(r["row"])))

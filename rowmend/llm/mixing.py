@@ -8,7 +8,8 @@ round; a second round repeats words, a third one never happens.
 
 Nulls: a null text has no words, a null source is a source of its own that comes last,
 a null doc_id is an id like any other. Ties: rows of one id are ordered by size, equal
-rows are interchangeable. An empty table gives an empty mix. Other columns are ignored.
+rows are interchangeable. An empty table gives an empty mix. A very long text counts
+with all its words, and a block may end inside it. Other columns are ignored.
 """
 
 from __future__ import annotations

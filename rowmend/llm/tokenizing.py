@@ -139,6 +139,7 @@ class IdEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content.lower() for t in added]
         plain = not any(t.lstrip or t.rstrip or re.search(r"\s", t.content) for t in added)
         # Byte-level tokens hold white space only in front; without a normalizer nothing else looks across.
         self.cuts = (
@@ -210,8 +211,9 @@ class IdEncoder:
     def _split(self, text: str) -> tuple[bytes, str | None]:
         """Ids of the text's beginning, and what follows it, to be looked up piece by piece."""
         if self.drops and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            # Case is taken from those texts only whose letters are plain; the library takes it from the others.
-            return b"", text if _OTHER_CASES.search(text) else text.lower()
+            # Case is taken from texts of plain letters; not if that might make a special token, which the library knows as it is.
+            lower = text.lower()
+            return b"", text if _OTHER_CASES.search(text) or any(t in lower for t in self.special) else lower
         if not self.cuts or any(c in text for c in _ODD_SPACE):
             return self._whole(text), None
         if any(run in text for run in _LONG_SPACE):

@@ -83,3 +83,10 @@ def test_repeated_turns_all_stay(spark):
     turns = spark.createDataFrame([(1, 0, "user", "b"), (1, 0, "user", "a"), (1, None, "user", "c")], "conv_id bigint, turn bigint, role string, text string")
     read = chat.read_back(chat.format_chats(chat.chained(turns))).first()
     assert [t["text"] for t in read["turns"]] == ["c", "a", "b"]
+
+
+def test_very_long_texts_come_back_whole(spark):
+    long = "<|im_end|> and more of it \\" * 40_000
+    data = [(1, 1, None, "user", "Why?", 0.0), (1, 2, 1, "assistant", long, 1.0)]
+    row = chat.read_back(chat.format_chats(spark.createDataFrame(data, MESSAGES))).first()
+    assert [t["text"] for t in row["turns"]] == ["Why?", long] and "".join(row["learned"]) == long

@@ -1,6 +1,7 @@
 """Language ID: held-out accuracy, and odd tables."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -94,3 +95,41 @@ def test_every_label_is_learned(spark, monkeypatch):
     docs = spark.createDataFrame([document(i, f"some words of {lang}", lang) for i, lang in enumerate(labels)], DOCS)
     model = language.fit(docs)
     assert set(model.known) == {lang for i, lang in enumerate(labels) if zlib.crc32(str(i).encode()) % 3 != 1}
+
+
+def test_repeated_rows_crowd_out_no_label(spark):
+    """40,000 equal rows of one label beside 60 documents of another."""
+    many = spark.range(40_000).selectExpr("bigint(null) doc_id", "'the same words again and again' text", "'en' lang")
+    few = spark.createDataFrame([(i, f"ganz andere wörter {i} und {i * i}", "de") for i in range(60)], "doc_id bigint, text string, lang string")
+    model = language.fit(many.unionByName(few))
+    assert set(model.known) == {"en", "de"}
+    # The repeated row is learned once, and so leaves the other documents of its own label their share.
+    own = spark.createDataFrame([(i, f"some other text {i}", "en") for i in range(60)], "doc_id bigint, text string, lang string")
+    seen = language.fit(many.unionByName(own)).known["en"]
+    once = language.fit(many.limit(1).unionByName(own)).known["en"]
+    assert np.array_equal(seen.runs[1], once.runs[1]) and len(seen.runs[1]) > 20
+
+
+def test_prediction_is_what_the_weights_say(spark):
+    """Family of the largest margin, then the language with most wins inside it, over counts taken letter by letter."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
+    model = language.fit(docs)
+    for r in language.predicted(docs, model).join(docs.select("doc_id", "text"), "doc_id").limit(60).collect():
+        letters = "".join(c if c.isalpha() else " " for c in r["text"].lower())
+        letters = re.sub(" +", " ", letters)
+        row = np.zeros(1 << language.BITS)
+        for n in (1, 2, 3):
+            for k in range(len(letters) - n + 1):
+                hashed = 0
+                for c in letters[k : k + n]:
+                    hashed = (hashed * 0x01000193 & 0xFFFFFFFF) ^ (ord(c) * 0x9E3779B1 & 0xFFFFFFFF)
+                row[(hashed * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - language.BITS)] += 1
+        row = np.sqrt(row)
+        row /= np.linalg.norm(row)
+        margins = row @ model.family_weights[:-1] + model.family_weights[-1]
+        family = model.families[int(np.argmax(margins))]
+        wins = {lang: 0 for lang in model.languages[family]}
+        for k, (a, b) in enumerate(model.pairs):
+            if a in wins:
+                wins[a if row @ model.pair_weights[:-1, k] + model.pair_weights[-1, k] > 0 else b] += 1
+        assert r["lang_pred"] in [lang for lang, n in wins.items() if n == max(wins.values())]

@@ -124,3 +124,45 @@ def test_query_against_brute_force(spark):
         starts = [at for _, at in places]
         expected = (n, len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({label for label, _ in places})))
         assert tuple(got[r["doc_id"]][c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels")) == expected
+
+
+def distance(a, b):
+    """Edits between two texts, by the whole table."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def spans(text):
+    """Every notice and run of words within its bound: (label, edits, length of the notice)."""
+    own, found = words(text), []
+    for label, phrase in (*licenses.BASE, *licenses.NOTICES):
+        most, size = len(phrase) // licenses.LETTERS_PER_EDIT, len(phrase.split())
+        for i in range(len(own)):
+            for j in range(max(i + 1, i + size - most), min(len(own), i + size + most) + 1):
+                said = " ".join(own[i:j])
+                if abs(len(said) - len(phrase)) <= most and (edits := distance(said, phrase)) <= most:
+                    found.append((label, edits, len(phrase)))
+    return found
+
+
+def test_labels_and_scores_against_edit_distances():
+    """Notices with random edits among other words: no label without a run of words in its bound, and the closest one is found with its edits."""
+    rng = random.Random(21)
+    for label, phrase in [*licenses.BASE, *licenses.NOTICES]:
+        for _ in range(4):
+            letters = list(phrase)
+            for _ in range(rng.randint(0, len(phrase) // licenses.LETTERS_PER_EDIT + 1)):
+                k = rng.randrange(len(letters))
+                kind = rng.choice(["drop", "change", "add"])
+                letters[k : k + (kind != "add")] = [] if kind == "drop" else [rng.choice("abcxyz ")]
+            text = "quite other words " + "".join(letters) + " follow here"
+            every = spans(text)
+            found = [m for m in licenses.Scanner().scan(text)[1] if not m["base"]]
+            assert {m["label"] for m in found} <= {name for name, _, _ in every}, text
+            assert min((m["edits"] for m in found), default=None) == min((e for _, e, _ in every), default=None), text
+            known = {(name, round(1 - e / n, 9)) for name, e, n in every}
+            assert {(m["label"], round(m["score"], 9)) for m in found} <= known, text

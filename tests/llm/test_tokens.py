@@ -34,6 +34,15 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert got == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
 
 
+def test_ids_of_pieces_without_space_and_case():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), tokenizing.IdEncoder(path)
+    assert encoder.drops and not encoder.cuts
+    some = texts(4000, 6) + ["İstanbul ΣΑΣ Σας", "a\u00a0b\u2003c", "e\u0301 E\u0301 \u0301x", "DON'T, we'll.", "<|endoftext|> <|STARTOFTEXT|>x"]
+    got = [np.frombuffer(ids, "<u2").tolist() for ids in encoder.encode(some)]
+    assert got == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("path", [PIECES, BYTES, public_tokenizers.path("word_bpe_49k.json")])
 def test_counts_of_pieces(path):
     some = texts(3000, 3)
@@ -100,6 +109,22 @@ def test_round_trip(make, odd, empty, monkeypatch):
     assert token_output.token_output(empty, BYTES).count() == 0
 
 
+def test_the_dictionary_follows_from_the_documents_alone(spark, make, monkeypatch):
+    """However the rows lie, and with more documents than are drawn."""
+    monkeypatch.setattr(token_output, "SAMPLE_DOCS", 60)
+    docs = make([f"the {i} words of a text that is like the others {i * i} and some more of them" for i in range(300)] + [None, ""])
+    first, second = (token_output.train_dictionary(d.select("doc_id", "text"), BYTES, 60) for d in (docs.repartition(3), docs.orderBy("n_chars", "text").repartition(7)))
+    assert first and first == second
+
+
+def test_cache_of_ids_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokenizing, "CACHED_PIECES", 40)
+    encoder, library = tokenizing.IdEncoder(BYTES), Tokenizer.from_file(BYTES)
+    some = texts(600, 9)
+    assert [np.frombuffer(i, "<u2").tolist() for i in encoder.encode(some)] == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+    assert len(encoder.known.known) <= 41 and len(encoder.known.older) <= 41
+
+
 def test_single_documents_and_the_dictionary(spark, make):
     docs = make([f"the {i} words of a text that is like the others {i * i}" for i in range(400)])
     path = new_path(spark, "tokens")
