@@ -135,6 +135,39 @@ def top_diffs(spark, sf):
     return rm.top_diffs(compared_orders(spark, sf), KEY, 20)
 
 
+def duplicate_pairing_least(spark, sf):
+    """The differing lines once equal ones have cancelled out, with all compared values."""
+    found = rm.compare_least(t.lineitem(spark, sf), t.lineitem_target(spark, sf), LINE_KEY)
+    return flat(found.rows, LINE_VALUES)
+
+
+def least_counts(spark, sf):
+    found = rm.compare_least(t.lineitem(spark, sf), t.lineitem_target(spark, sf), LINE_KEY)
+    return rm.diff_summary(found.rows).unionByName(spark.range(1).select(F.lit("match").alias("diff_type"), F.lit(found.match_cnt).cast("long").alias("row_cnt")))
+
+
+def digest_compare(spark, sf):
+    """The differing orders, found by digests of ranges first."""
+    found = rm.digest_compare(t.orders(spark, sf), t.orders_target(spark, sf), KEY)
+    return flat(found.differences().drop("occurrence"), VALUES)
+
+
+def digest_summary(spark, sf):
+    return rm.digest_compare(t.lineitem(spark, sf), t.lineitem_target(spark, sf), LINE_KEY).summary()
+
+
+def digest_compare_local(spark, sf):
+    """A target that differs in a stretch of its keys only: the other ranges are read once."""
+    tgt = spark.sql(LOCAL_TARGET, orders=t.orders(spark, sf))
+    return flat(rm.digest_compare(t.orders(spark, sf), tgt, KEY, leaf_rows=100).differences().drop("occurrence"), VALUES)
+
+
+LINE_VALUES = [c for c in t.LINEITEM_COLUMNS if c not in LINE_KEY]
+LOCAL_TARGET = """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 AND o_orderkey < 700 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate FROM {orders} WHERE o_orderkey NOT BETWEEN 300 AND 320
+"""
+
 QUERIES = {
     "compare_summary": compare_summary,
     "compare_summary_primary_key": compare_summary_primary_key,
@@ -160,6 +193,11 @@ QUERIES = {
     "column_stats": column_stats,
     "compare_report": compare_report,
     "top_diffs": top_diffs,
+    "duplicate_pairing_least": duplicate_pairing_least,
+    "least_counts": least_counts,
+    "digest_compare": digest_compare,
+    "digest_summary": digest_summary,
+    "digest_compare_local": digest_compare_local,
 }
 
 DIFF_COLUMNS_SQL = """
@@ -194,8 +232,19 @@ def _paired_sql(source: str, target: str, keys: list[str], values: list[str]) ->
 
 
 LINES = f"SELECT {', '.join(t.LINEITEM_COLUMNS)} FROM lineitem"
-LINE_VALUES = [c for c in t.LINEITEM_COLUMNS if c not in LINE_KEY]
 PAIRED_LINES = _paired_sql(LINES, t.LINEITEM_TARGET.format(lineitem="lineitem"), LINE_KEY, LINE_VALUES)
+
+
+def _least_sql(source: str, target: str, keys: list[str], values: list[str]) -> str:
+    """Common table expression `least`: what is left of both sides after equal rows, paired by value order within a key."""
+    text = _paired_sql("SELECT * FROM src_left", "SELECT * FROM tgt_left", keys, values)
+    return f"src_all AS ({source}), tgt_all AS ({target}), src_left AS (SELECT * FROM src_all EXCEPT ALL SELECT * FROM tgt_all), " + (
+        f"tgt_left AS (SELECT * FROM tgt_all EXCEPT ALL SELECT * FROM src_all), {text}"
+    )
+
+
+LEAST_LINES = _least_sql(LINES, t.LINEITEM_TARGET.format(lineitem="lineitem"), LINE_KEY, LINE_VALUES)
+LOCAL_JOINED = f"WITH {t.SQL_SRC}, tgt AS ({LOCAL_TARGET.format(orders='orders')}), {t.SQL_JOINED}"
 HOT_LINES = _paired_sql(
     "SELECT l_returnflag, l_quantity, l_discount, l_tax FROM lineitem",
     "SELECT l_returnflag, l_quantity, l_discount, CASE WHEN l_partkey % 53 = 0 THEN NULL ELSE l_tax END AS l_tax FROM lineitem",
@@ -302,3 +351,12 @@ SQL = {
         SELECT o_orderkey, diff_type, {DIFF_COLUMNS_SQL} FROM joined WHERE diff_type <> 'match'
         ORDER BY o_orderkey LIMIT 20""",
 }
+
+SQL |= {
+    "duplicate_pairing_least": f"WITH {LEAST_LINES} SELECT * FROM paired",
+    "least_counts": f"""WITH {LEAST_LINES} SELECT diff_type, count(*) AS row_cnt FROM paired GROUP BY diff_type
+        UNION ALL SELECT 'match', (SELECT count(*) FROM src_all) - (SELECT count(*) FROM src_left)""",
+    "digest_compare": f"{t.WITH_ORDERS} SELECT {AS_TEXT}, {DIFF_COLUMNS_SQL} FROM joined WHERE diff_type <> 'match'",
+    "digest_summary": SQL["composite_key_compare"],
+    "digest_compare_local": f"{LOCAL_JOINED} SELECT {AS_TEXT}, {DIFF_COLUMNS_SQL} FROM joined WHERE diff_type <> 'match'",
+}

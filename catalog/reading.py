@@ -100,6 +100,22 @@ def recorded_ranges(spark, sf):
     return rm.with_range_bounds(spans.select("o_custkey", text.alias("check_range")))
 
 
+def composite_slices(spark, sf):
+    """Lines in slices of equal numbers of rows by order and line number, whose pairs repeat."""
+    lines = t.lineitem(spark, sf)
+    keys = ["l_orderkey", "l_linenumber"]
+    return rm.count_slices(lines, rm.slice_conditions(rm.equal_cuts(lines, keys, COMPOSITE), keys))
+
+
+def composite_slices_flag(spark, sf):
+    """A first column of three values, each with a third of the rows: the second one cuts inside them."""
+    lines = t.table(spark, sf, "lineitem", ["l_returnflag", "l_shipdate"])
+    keys = ["l_returnflag", "l_shipdate"]
+    return rm.count_slices(lines, rm.slice_conditions(rm.equal_cuts(lines, keys, COMPOSITE), keys))
+
+
+COMPOSITE = 16
+
 QUERIES = {
     "scan_table": scan_table,
     "scan_partitioned": scan_partitioned,
@@ -115,8 +131,22 @@ QUERIES = {
     "incremental_compare": incremental_compare,
     "range_compare": range_compare,
     "recorded_ranges": recorded_ranges,
+    "composite_slices": composite_slices,
+    "composite_slices_flag": composite_slices_flag,
 }
 
+
+def _slices_sql(a: str, b: str) -> str:
+    """Slices between the keys at equal steps of all rows in order, each key once."""
+    return f"""
+        WITH r AS (SELECT {a} AS a, {b} AS b, row_number() OVER (ORDER BY {a}, {b}) - 1 AS p, count(*) OVER () AS n FROM lineitem),
+        starts AS (SELECT DISTINCT a, b FROM r JOIN range({COMPOSITE}) k(i) ON p = i * (n // {COMPOSITE}) + least(i, n % {COMPOSITE})),
+        cuts AS (SELECT a, b, row_number() OVER (ORDER BY a, b) - 1 AS slice FROM starts),
+        counts AS (SELECT a, b, count(*) AS c FROM r GROUP BY a, b)
+        SELECT max(slice)::INTEGER AS slice, sum(c)::BIGINT AS row_cnt, 1::INTEGER AS hits FROM (
+            SELECT k.a, k.b, k.c, max(s.slice) AS slice FROM counts k JOIN cuts s ON s.a < k.a OR (s.a = k.a AND s.b <= k.b)
+            GROUP BY k.a, k.b, k.c) GROUP BY slice"""
+
 WINDOW = "o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-07-01'"
 WITH_WINDOW = f"""WITH whole_src AS (SELECT {', '.join(t.ORDERS_COLUMNS)} FROM orders),
     src AS (SELECT * FROM whole_src WHERE {WINDOW}),
@@ -161,3 +191,8 @@ SQL = {
         FROM texts""",
     "range_compare": f"{WITH_WINDOW} SELECT diff_type, count(*) AS row_cnt FROM joined GROUP BY diff_type",
 }
+
+SQL |= {
+    "composite_slices": _slices_sql("l_orderkey", "l_linenumber"),
+    "composite_slices_flag": _slices_sql("l_returnflag", "l_shipdate"),
+}

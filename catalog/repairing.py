@@ -154,6 +154,38 @@ def repair_outcome(spark, sf):
     return rm.repair_outcome(batch_outcome(spark, sf))
 
 
+def _in_files(spark, rows, parts):
+    """The rows as a table of files ordered by key, to be changed file by file."""
+    table = rm.VersionedTable(rm.new_path(spark, "files"), rows.schema)
+    rows.repartitionByRange(parts, *KEY).sortWithinPartitions(*KEY).write.parquet(table.path)
+    return table
+
+
+def _touched(spark, sf, mode):
+    target = t.orders_marked(spark, sf)
+    table = _in_files(spark, target, 16)
+    patch, _ = patch_of(spark, sf, target)
+    rm.repair_files(spark, table, patch, KEY, mode, primary_key=True)
+    return rm.scan_table(spark, table)
+
+
+def repair_touched_files(spark, sf):
+    return _touched(spark, sf, "update")
+
+
+def repair_touched_insert(spark, sf):
+    return _touched(spark, sf, "insert")
+
+
+def repair_touched_replace(spark, sf):
+    return _touched(spark, sf, "replace")
+
+
+def lookup_by_ranges(spark, sf):
+    wanted = rm.materialize(diff(spark, sf, windowed=True).where("diff_type = 'src_only'").select(*KEY), "keys")
+    return rm.lookup_by_ranges(t.orders_target(spark, sf), wanted, KEY).select(*KEY, TIME)
+
+
 QUERIES = {
     "mismatch_to_repair": mismatch_to_repair,
     "src_only_recheck": src_only_recheck,
@@ -177,6 +209,10 @@ QUERIES = {
     "verify_update": verify_update,
     "batch_outcome": batch_outcome,
     "repair_outcome": repair_outcome,
+    "repair_touched_files": repair_touched_files,
+    "repair_touched_insert": repair_touched_insert,
+    "repair_touched_replace": repair_touched_replace,
+    "lookup_by_ranges": lookup_by_ranges,
 }
 
 ALLOWED = "(src_o_orderdate IS NULL OR tgt_o_orderdate IS NULL OR src_o_orderdate >= tgt_o_orderdate)"
@@ -281,3 +317,10 @@ SQL = {
         FROM (SELECT count(*) AS batch_count, CAST(coalesce(sum(repaired_cnt), 0) AS BIGINT) AS repair_cnt,
                      count(*) FILTER (WHERE failed) AS failed_batches FROM outcome)""",
 }
+
+SQL |= {
+    "repair_touched_files": SQL["apply_update"],
+    "repair_touched_insert": SQL["apply_insert"],
+    "repair_touched_replace": SQL["apply_replace"],
+    "lookup_by_ranges": SQL["lookup_target"],
+}

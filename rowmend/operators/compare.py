@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowmend.functions.types import is_numeric, unify_types
 from rowmend.operators.keys import HOT_ROWS, OCCURRENCE, hot_keys, same_keys, split_hot
-from rowmend.operators.ranks import number_in_hot_key, number_in_key, quoted
+from rowmend.operators.ranks import COPY_STEP, number_in_hot_key, number_in_key, quoted
+from rowmend.sources.storage import materialize
 
 MATCH, MISMATCH, SRC_ONLY, TGT_ONLY = "match", "mismatch", "src_only", "tgt_only"
 DIFF_TYPE, DIFF_COLUMNS = "diff_type", "diff_columns"
@@ -156,7 +158,11 @@ def compare_rows(
     ``occurrence``, and tables bucketed by the key are not shuffled at all.
     """
     a, b, values = prepare(src, tgt, keys, columns)
-    joined = match_rows(a, b, keys, values, primary_key, hot_rows)
+    return classified(match_rows(a, b, keys, values, primary_key, hot_rows), values, abs_tol, rel_tol)
+
+
+def classified(joined: DataFrame, values: Sequence[str], abs_tol: float = 0.0, rel_tol: float = 0.0) -> DataFrame:
+    """Matched records with their class and the names of their unequal columns."""
     unequal = unequal_columns(joined, values, abs_tol, rel_tol)
     kind = (
         F.when(F.col(TGT).isNull(), SRC_ONLY)
@@ -175,6 +181,61 @@ def compare_rows(
     )
 
 
+@dataclass(frozen=True)
+class LeastDiff:
+    """The differing rows, as ``compare_rows`` gives them, and the number of pairs that agree."""
+
+    rows: DataFrame
+    match_cnt: int
+
+
+def compare_least(
+    src: DataFrame,
+    tgt: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    abs_tol: float = 0.0,
+    rel_tol: float = 0.0,
+    hot_rows: int | None = HOT_ROWS,
+) -> LeastDiff:
+    """The comparison with the fewest differing rows where keys repeat.
+
+    Rows of a key that are equal on both sides cancel out first, each as often as both
+    have it; the k-th of what is left of the source, in value order, then meets the k-th
+    of the target, and ``occurrence`` counts within that. So a missing row is one
+    difference, also in the middle of others, and the differences are those that
+    ``apply_repair`` would write. Keys may be NULL or repeat at will.
+
+    One shuffle by key and values brings equal rows together, counted before they travel:
+    no key is hot there, nothing has to be known of the keys beforehand, and only what is
+    left over, which is written down, is looked at again. A tolerance decides about rows
+    left over.
+    """
+    a, b, values = prepare(src, tgt, keys, columns)
+    sides = [
+        _records(df, keys, values, _RECORD).withColumn(_IS_SRC, F.lit(is_src)) for df, is_src in ((a, True), (b, False))
+    ]
+    stacked = sides[0].unionByName(sides[1])
+    # Grouping makes 0.0 of -0.0; a record of either side keeps its own.
+    own = [F.first(F.when(flag, F.col(_RECORD)), ignorenulls=True) for flag in (F.col(_IS_SRC), ~F.col(_IS_SRC))]
+    counted = stacked.groupBy(*quoted(keys), _RECORD).agg(
+        F.count_if(_IS_SRC).alias("_s"), F.count_if(~F.col(_IS_SRC)).alias("_t"), own[0].alias(SRC), own[1].alias(TGT)
+    )
+    seen = Observation()
+    counted = counted.observe(seen, F.coalesce(F.sum(F.least("_s", "_t")), F.lit(0)).alias("match_cnt"))
+    left = materialize(counted.where("_s <> _t").drop(_RECORD), "left-over")
+
+    def rest(side: str, more: Column) -> DataFrame:
+        # Many copies of one row are put back in steps, by many tasks.
+        steps = F.explode(F.expr(f"sequence(0L, (_n - 1) div {COPY_STEP}L)")).alias("_step")
+        runs = left.withColumn("_n", more).where("_n > 0").select(*quoted(keys), side, "_n", steps).repartition(*quoted(keys), "_step")
+        copies = F.explode(F.expr(f"sequence(1L, least({COPY_STEP}L, _n - _step * {COPY_STEP}L))"))
+        return runs.select(*quoted(keys), side, copies).select(*quoted(keys), side)
+
+    paired = pair_occurrences(rest(SRC, F.expr("_s - _t")), rest(TGT, F.expr("_t - _s")), keys, hot_rows)
+    return LeastDiff(classified(paired, values, abs_tol, rel_tol), seen.get["match_cnt"])
+
+
 def key_only_compare(
     src: DataFrame, tgt: DataFrame, keys: Sequence[str], primary_key: bool = False, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:

@@ -10,8 +10,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowmend.sources.storage import materialize
 
@@ -20,6 +21,7 @@ PLACE_BITS = 33
 # Copies of one row are put back in steps of this size, so that no task emits them all.
 COPY_STEP = 100_000
 
+_SIGNS = "_signs"
 _PART, _PLACE, _BEFORE, _COPIES, _END, _START, _STEP, _ROWS = (
     "_part",
     "_place",
@@ -81,6 +83,18 @@ def number_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
     return df.withColumn(name, F.row_number().over(window).cast("bigint"))
 
 
+def _zero_signs(value: Column, dtype: T.DataType) -> list[Column]:
+    """Whether each fraction in a value is a negative zero."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        # atan2(0, -0.0) is pi: the only function of numbers here that tells the zeros apart without a text.
+        return [F.coalesce((value == 0) & (F.atan2(F.lit(0.0), value.cast("double")) > 3), F.lit(False))]
+    if isinstance(dtype, T.StructType):
+        return [s for f in dtype.fields for s in _zero_signs(value.getField(f.name), f.dataType)]
+    if re.search("double|float", dtype.simpleString()):
+        return [F.coalesce(value.cast("string").contains("-0.0"), F.lit(False))]
+    return []
+
+
 def number_in_hot_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """The same numbers when a single key may hold more rows than a task should.
 
@@ -88,16 +102,16 @@ def number_in_hot_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     is sorted across the cluster; a key then stretches over many partitions and is
     numbered in pieces, each piece starting after the earlier ones. ``order`` and
     ``keys`` together must be all columns, so that copies are interchangeable. Grouping
-    makes 0.0 of -0.0, so columns with fractions are grouped by their text as well, which
-    has the sign, and their own values are carried beside.
+    makes 0.0 of -0.0, so rows are grouped by the signs of their zeros as well, and columns
+    with fractions are carried beside.
     """
     columns = df.columns
-    signed = [f.name for f in df.schema if re.search("double|float", f.dataType.simpleString())]
-    texts = {c: f"_text{i}" for i, c in enumerate(signed)}
-    own = df.select("*", *[F.col(q).cast("string").alias(texts[c]) for c, q in zip(signed, quoted(signed))])
+    signs = {f.name: _zero_signs(F.col(q), f.dataType) for f, q in zip(df.schema, quoted(columns))}
+    signed = [c for c, found in signs.items() if found]
+    negative = F.concat(*[F.when(s, F.lit("-")).otherwise(F.lit("+")) for c in signed for s in signs[c]]) if signed else F.lit("")
     carried = F.first(F.struct(*[F.col(q) for q in quoted(signed)])).alias("_own") if signed else F.lit(None).alias("_own")
-    distinct = own.groupBy(*quoted([*columns, *texts.values()])).agg(F.count("*").alias(_COPIES), carried)
-    distinct = distinct.select(*[F.col("_own")[c].alias(c) if c in texts else F.col(q) for c, q in zip(columns, quoted(columns))], _COPIES)
+    distinct = df.withColumn(_SIGNS, negative).groupBy(*quoted(columns), _SIGNS).agg(F.count("*").alias(_COPIES), carried)
+    distinct = distinct.select(*[F.col("_own")[c].alias(c) if c in signed else F.col(q) for c, q in zip(columns, quoted(columns))], _COPIES)
     placed = sorted_places(distinct, [*keys, *order])
 
     pieces = placed.groupBy(_PART, *quoted(keys)).agg(F.sum(_COPIES).alias(_ROWS))

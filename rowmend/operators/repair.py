@@ -259,24 +259,40 @@ def apply_repair(
     """
     mode = (mode or "").lower()
     mode = mode if mode in MODES else "update"
-    types = {f.name: f.dataType for f in tgt.schema.fields}
-    shared = [c for c in tgt.columns if c in set(patch.columns)]
-    patch = patch.select(*[F.col(q).cast(types[c]).alias(c) for c, q in zip(shared, quoted(shared))])
-    as_target = [
-        F.col(q) if c in shared else F.lit(None).cast(types[c]).alias(c) for c, q in zip(tgt.columns, quoted(tgt.columns))
-    ]
+    if mode == "insert":
+        return tgt.unionByName(inserted_rows(tgt, patch, keys, primary_key))
+    patch, shared, as_target = _as_target(tgt, patch)
     if mode == "replace" or (primary_key and mode == "update" and len(shared) == len(tgt.columns)):
         # With all columns in the patch an update of unique keys is the same: the target is read once.
         wanted = patch.select(*quoted(keys)).distinct()
         return join_keys(tgt, wanted, keys, "left_anti", not primary_key).unionByName(patch.select(*as_target))
     if not primary_key:
-        return _written_by_occurrence(tgt, patch, keys, shared, mode, as_target)
-    if mode == "insert":
-        return tgt.unionByName(join_keys(patch, _known_keys(tgt, patch, keys), keys, "left_anti", False).select(*as_target))
+        added, equal, written = _written_by_occurrence(tgt, patch, keys, shared, as_target)
+        rest = join_keys(tgt, patch.select(*quoted(keys)).distinct(), keys, "left_anti")
+        return rest.unionByName(equal).unionByName(written).unionByName(added)
     added = join_keys(patch, _known_keys(tgt, patch, keys), keys, "left_anti", False).select(*as_target)
     return _overwritten(tgt, patch, keys, shared, False).unionByName(added)
 
 
+def _as_target(tgt: DataFrame, patch: DataFrame) -> tuple[DataFrame, list[str], list[Column]]:
+    """The patch in the target's types, the columns both have, and what makes a row of the target of a row of the patch."""
+    types = {f.name: f.dataType for f in tgt.schema.fields}
+    shared = [c for c in tgt.columns if c in set(patch.columns)]
+    patch = patch.select(*[F.col(q).cast(types[c]).alias(c) for c, q in zip(shared, quoted(shared))])
+    as_target = [
+        F.col(q) if c in shared else F.lit(None).cast(types[c]).alias(c) for c, q in zip(tgt.columns, quoted(tgt.columns))
+    ]
+    return patch, shared, as_target
+
+
+def inserted_rows(tgt: DataFrame, patch: DataFrame, keys: Sequence[str], primary_key: bool = False) -> DataFrame:
+    """The rows that ``insert`` adds to the target. Only target rows of the patch's keys matter."""
+    patch, shared, as_target = _as_target(tgt, patch)
+    if primary_key:
+        return join_keys(patch, _known_keys(tgt, patch, keys), keys, "left_anti", False).select(*as_target)
+    return _written_by_occurrence(tgt, patch, keys, shared, as_target)[0]
+
+
 def _known_keys(tgt: DataFrame, patch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the patch that the target has, each once: never more rows than the patch."""
     return join_keys(tgt.select(*quoted(keys)), patch.select(*quoted(keys)), keys, "left_semi", False).distinct()
@@ -304,9 +320,9 @@ def _without_equals(rows: DataFrame, others: DataFrame, shared: Sequence[str]) -
 
 
 def _written_by_occurrence(
-    tgt: DataFrame, patch: DataFrame, keys: Sequence[str], shared: Sequence[str], mode: str, as_target: Sequence[Column]
-) -> DataFrame:
-    """Insert or update where keys may repeat. Only the target's rows of the patch's keys are numbered."""
+    tgt: DataFrame, patch: DataFrame, keys: Sequence[str], shared: Sequence[str], as_target: Sequence[Column]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows added, rows that stay and rows overwritten, where keys may repeat. Only the target's rows of the patch's keys are numbered."""
     wanted = patch.select(*quoted(keys)).distinct()
     touched = materialize(join_keys(tgt, wanted, keys, "left_semi"), "touched")
     patch = materialize(patch, "patch")
@@ -317,11 +333,8 @@ def _written_by_occurrence(
     order = [*shared, *[c for c in touched.columns if c not in shared]]
     open_rows = materialize(number_occurrences(open_rows.select(*quoted(order)), keys, name="_nr"), "open-rows")
     added = join_keys(new_rows, open_rows.select(*quoted(place)), place, "left_anti").select(*as_target)
-    if mode == "insert":
-        return tgt.unionByName(added)
-    rest = join_keys(tgt, wanted, keys, "left_anti")
     written = _overwritten(open_rows, new_rows, place, shared, True)
-    return rest.unionByName(equal).unionByName(written.select(*quoted(tgt.columns))).unionByName(added)
+    return added, equal, written.select(*quoted(tgt.columns))
 
 
 def verify_repair(

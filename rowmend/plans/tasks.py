@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor, as_completed
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 from rowmend.functions.columns import ColumnRoles, compare_columns, fold_names, split_names
 from rowmend.functions.crypto import decrypt_column
 from rowmend.functions.times import format_range, window_bounds
-from rowmend.operators.compare import DIFF_TYPE, MATCH, compare_rows
+from rowmend.operators.compare import DIFF_TYPE, MATCH, SRC_ONLY, LeastDiff, compare_least, compare_rows
 from rowmend.operators.filters import delete_where, incremental_filter, needs_alert_compare, needs_alert_repair
 from rowmend.operators.keys import any_null
+from rowmend.operators.lookup import covering_ranges, within
 from rowmend.operators.ranks import assign_batches, quoted
 from rowmend.operators.repair import (
     apply_repair,
@@ -28,11 +30,16 @@ from rowmend.operators.repair import (
     repair_window,
     verify_repair,
 )
+from rowmend.operators.slices import scan_by_keys
 from rowmend.operators.summary import compare_sentence, count_columns, rate
+from rowmend.operators.touched import repair_files
 from rowmend.sources.jdbc import RUN_ID, JdbcTable, primary_keys
-from rowmend.sources.sinks import append_result_log, append_table, table_exists, write_table
-from rowmend.sources.storage import materialize, working_tables
+from rowmend.plans.ledger import COMPARED, LOGGED, STAGED, WRITTEN, TaskLedger, append_once, has_mark
+from rowmend.plans.limits import timed
+from rowmend.sources.sinks import append_result_log, append_table, as_result_log, table_exists, write_table, write_table_at_once
+from rowmend.sources.storage import materialize, new_path, stored, working_tables
 from rowmend.sources.tables import CatalogTable, FileTable, TableSpec, scan_by_key, scan_table
+from rowmend.sources.versions import VersionedTable, current_version
 
 logger = logging.getLogger(__name__)
 
@@ -81,8 +88,9 @@ class CompareTask:
 
     ``keys`` and ``primary_key`` may be functions that ask the databases for them. The whole
     repaired table goes to ``output``; ``patch_output`` gets just the rows to write, for
-    instance a staging table in the target's database. ``max_repair_rows`` refuses larger
-    repairs; without it there is no limit. ``check_after`` is a condition that no row of the
+    instance a staging table in the target's database. ``in_place`` is the target itself, if
+    it is a table that is changed file by file: only files with rows to repair are rewritten.
+    ``max_repair_rows`` refuses larger repairs; without it there is no limit. ``check_after`` is a condition that no row of the
     repaired table may break.
     """
 
@@ -116,6 +124,7 @@ class CompareTask:
     output: FileTable | CatalogTable | None = None
     patch_output: TableSpec | None = None
     run_id: str | None = None
+    in_place: VersionedTable | None = None
 
     def resolved(self, spark: SparkSession) -> CompareTask:
         keys = list(self.keys(spark)) if callable(self.keys) else self.keys
@@ -137,6 +146,10 @@ class CompareTask:
             raise ValueError("an incremental comparison needs the end of its window (as_of)")
         return incremental_filter(df, self.update_column, self.incremental_days, self.as_of)
 
+    def compare_least(self, src: DataFrame, tgt: DataFrame) -> LeastDiff:
+        columns = self.roles(src).all
+        return compare_least(self.windowed(src), self.windowed(tgt), self.keys, columns, self.abs_tol, self.rel_tol)
+
     def compare(self, src: DataFrame, tgt: DataFrame) -> DataFrame:
         return compare_rows(
             self.windowed(src),
@@ -158,7 +171,9 @@ def _flag(value: object) -> bool:
 
 
 def read_database(spark: SparkSession, spec: JdbcTable, keys: Sequence[str], slices: int) -> DataFrame:
-    """The table in parallel ranges of its first key column, with lower-case names."""
+    """The table in parallel slices of its key, with lower-case names."""
+    if len(keys) > 1:
+        return fold_names(scan_by_keys(spark, spec, keys, slices))
     return fold_names(scan_by_key(spark, spec, keys[0], slices))
 
 
@@ -348,30 +363,39 @@ def counted_summary(spark: SparkSession, seen: Mapping[str, int]) -> DataFrame:
 
 
 def compare_counts(
-    spark: SparkSession, task: CompareTask, src: DataFrame, tgt: DataFrame, keep: bool = False
+    spark: SparkSession, task: CompareTask, src: DataFrame, tgt: DataFrame, keep: str | None = None
 ) -> tuple[dict[str, int], DataFrame | None]:
-    """The counts of the comparison, and the differing rows, written down, if they are kept.
+    """The counts of the comparison, and the differing rows, written to ``keep`` if that is given.
+
+    Keys that are not declared may repeat: rows are paired with the fewest differences.
 
-    A declared primary key is checked in the same pass: a key that repeats multiplies rows
-    in the join, and then its counts are not those of the sides. Such a claim is an error.
+    A declared primary key is checked in the same pass: a key that repeats on one side, and
+    that the other side has as well, multiplies rows in the join, and then its counts are not
+    those of the sides; a NULL in a key is counted. Such a claim is an error. A repeated key
+    that the other side lacks altogether is not noticed (``primary_key_audit`` finds it).
     """
-    sides = [Observation(), Observation()] if task.primary_key else []
-    if sides:
-        # In the window, if there is one: those are the rows that are joined.
-        held = F.count("*").alias("rows"), F.count_if(any_null(task.keys)).alias("nulls")
-        src, tgt = (task.windowed(df).observe(seen, *held) for df, seen in zip((src, tgt), sides))
+    if not task.primary_key:
+        least = task.compare_least(src, tgt)
+        diff = stored(least.rows, keep) if keep else None
+        seen = (least.rows if diff is None else diff).agg(*count_columns()).first().asDict()
+        for name in ("src_cnt", "tgt_cnt", "match_cnt"):
+            seen[name] += least.match_cnt
+        if diff is not None and (task.abs_tol or task.rel_tol):
+            diff = diff.where(F.col(DIFF_TYPE) != MATCH)
+        return seen, diff
+    sides = [Observation(), Observation()]
+    # In the window, if there is one: those are the rows that are joined.
+    held = F.count("*").alias("rows"), F.count_if(any_null(task.keys)).alias("nulls")
+    src, tgt = (task.windowed(df).observe(seen, *held) for df, seen in zip((src, tgt), sides))
     rows = task.compare(src, tgt)
     counts = Observation()
     observed = rows.observe(counts, *count_columns()).where(F.col(DIFF_TYPE) != MATCH)
     diff = None
     if keep:
-        diff = materialize(observed, "diff")
-        seen = counts.get
-    elif sides:
-        observed.write.format("noop").mode("overwrite").save()
-        seen = counts.get
+        diff = stored(observed, keep)
     else:
-        seen = rows.agg(*count_columns()).first().asDict()
+        observed.write.format("noop").mode("overwrite").save()
+    seen = counts.get
     for side, name in zip(sides, ("src_cnt", "tgt_cnt")):
         found = side.get
         if found["rows"] != seen[name] or found["nulls"]:
@@ -391,31 +415,48 @@ def _minutes(start: datetime, end: datetime) -> float:
 
 def check_output(spark: SparkSession, task: CompareTask) -> None:
     """A repair that could not be written fails before anything is compared."""
-    if task.output is None and task.patch_output is None:
+    if task.output is None and task.patch_output is None and task.in_place is None:
         raise ValueError("a repair needs an output table")
+    if task.output is not None and task.in_place is not None:
+        raise ValueError("a repair goes to a new table or in place, not both")
     if task.output is not None and table_exists(spark, task.output):
         raise ValueError(f"the output table exists already: {task.output}")
 
 
-def run_task(spark: SparkSession, task: CompareTask) -> DataFrame:
+def run_task(spark: SparkSession, task: CompareTask, ledger: TaskLedger | None = None) -> DataFrame:
     """Compare, decide, repair and verify one pair of tables; returns its log row.
 
     For a repair the differing rows are written down once, the counts being taken on
     the way, and everything after that starts from those rows. The repaired table goes
     to ``task.output``. Tables written in between are removed at the end.
+
+    With a ``ledger`` each phase is noted when it is over, and one that an earlier start of the
+    same run has ended is not repeated: a comparison is read back, a patch, a table in place and
+    an output are written once.
     """
     with working_tables(spark, "task"):
-        return _run_task(spark, task)
+        return _run_task(spark, task, ledger)
 
 
-def _run_task(spark: SparkSession, task: CompareTask) -> DataFrame:
+def _run_task(spark: SparkSession, task: CompareTask, ledger: TaskLedger | None = None) -> DataFrame:
     started = _now()
     task = task.resolved(spark)
+    # Taken before the target is opened: a repair then fails if somebody changes it meanwhile.
+    base = None if task.in_place is None else current_version(spark, task.in_place)
     src, tgt = task.source(spark), task.target(spark)
     roles = task.roles(src)
-    if task.enable_repair:
+    noted = ledger.done(COMPARED) if ledger else None
+    if task.enable_repair and noted is None:
         check_output(spark, task)
-    seen, diff = compare_counts(spark, task, src, tgt, task.enable_repair)
+    if noted is None:
+        kept = ledger.table("diff") if ledger else new_path(spark, "diff")
+        seen, diff = compare_counts(spark, task, src, tgt, kept if task.enable_repair else None)
+        if ledger:
+            ledger.end(COMPARED, {"seen": seen, "diff": kept if diff is not None else None, "base": base})
+    else:
+        # The base is that of the comparison: a target changed since then is refused.
+        seen, base = noted["seen"], noted["base"]
+        diff = spark.read.parquet(noted["diff"]).where(F.col(DIFF_TYPE) != MATCH) if noted["diff"] else None
     summary = counted_summary(spark, seen)
     compared = _now()
 
@@ -429,7 +470,7 @@ def _run_task(spark: SparkSession, task: CompareTask) -> DataFrame:
     )
     repair: dict[str, object] = {}
     if task.enable_repair:
-        repair = _repair(spark, task, src, tgt, diff, seen["diff_cnt"])
+        repair = _repair(spark, task, src, tgt, diff, seen["diff_cnt"], base, ledger)
     ended = _now()
     repair_cost = _minutes(compared, ended) if repair.get("repair_status") not in (None, "skip") else 0.0
     return result.withColumns(
@@ -448,7 +489,7 @@ def _run_task(spark: SparkSession, task: CompareTask) -> DataFrame:
 
 
 def _repair(
-    spark: SparkSession, task: CompareTask, src: DataFrame, tgt: DataFrame, diff: DataFrame, diff_cnt: int
+    spark: SparkSession, task: CompareTask, src: DataFrame, tgt: DataFrame, diff: DataFrame, diff_cnt: int, base: int | None, ledger: TaskLedger | None
 ) -> dict[str, object]:
     counted = spark.range(1).select(F.lit(diff_cnt).cast("bigint").alias("diff_cnt"))
     gate = repair_gate(counted, True, task.max_repair_rows).first()
@@ -456,32 +497,60 @@ def _repair(
         return {"repair_status": gate["repair_status"], "repair_msg": gate["repair_msg"]}
     time_column = task.roles(src).update
     if task.repair_scope == "diff":
-        keys = repair_keys(diff, tgt, task.keys, time_column, task.time_tolerance, task.time_filter)
+        known = tgt
+        if task.time_filter and time_column:
+            known = within(tgt, covering_ranges(diff.where(F.col(DIFF_TYPE) == SRC_ONLY), task.keys))
+        keys = repair_keys(diff, known, task.keys, time_column, task.time_tolerance, task.time_filter)
         wanted = materialize(keys, "repair-keys")
         gate = repair_gate(counted, True, task.max_repair_rows, F.lit(wanted.count())).first()
         if gate["repair_status"] != "run":
             return {"repair_status": gate["repair_status"], "repair_msg": gate["repair_msg"]}
-        patch = materialize(repair_rows(src, tgt, wanted, task.keys, task.primary_key), "patch")
+        # A few ranges around the keys reach the scans, of files and databases alike.
+        ranges = covering_ranges(wanted, task.keys)
+        patch = materialize(repair_rows(within(src, ranges), tgt, wanted, task.keys, task.primary_key), "patch")
     else:
+        ranges = None
         window = window_bounds(task.incremental_days, task.as_of) if task.check_range() else None
         patch = materialize(repair_window(src, tgt, task.keys, task.repair_scope, time_column, window), "patch")
         wanted = patch.select(*quoted(task.keys)).distinct()
     if task.patch_output is not None:
         # The run's id tells its rows apart from those of another attempt.
         staged = patch if task.run_id is None else patch.withColumn(RUN_ID, F.lit(task.run_id))
-        append_table(staged, task.patch_output)
-    if task.output is None:
+        if isinstance(task.patch_output, VersionedTable):
+            append_once(staged, task.patch_output, f"{ledger.mark if ledger else uuid.uuid4().hex}.{STAGED}")
+        elif ledger is None or ledger.done(STAGED) is None:
+            append_table(staged, task.patch_output)
+        if ledger:
+            ledger.end(STAGED, {})
+    if task.output is None and task.in_place is None:
         written = patch.count()
         return {"repair_status": "success", "repair_cnt": written, "repair_msg": f"patch of {written} rows written"}
-    base = tgt if task.delete_before is None else delete_where(tgt, task.delete_before)
-    write_table(apply_repair(base, patch, task.keys, task.write_mode, task.primary_key), task.output)
-    repaired = scan_table(spark, task.output)
+    mark = f"{ledger.mark}.{WRITTEN}" if ledger else uuid.uuid4().hex
+    if task.in_place is not None:
+        if ledger and has_mark(spark, task.in_place, mark):
+            where = ""  # published by an earlier start
+        else:
+            done = repair_files(
+                spark, task.in_place, patch, task.keys, task.write_mode, task.primary_key, task.delete_before, base, mark
+            )
+            where = f", {len(done.rewritten)} of {len(done.rewritten) + done.kept} files rewritten"
+        repaired = scan_table(spark, task.in_place)
+    else:
+        rest = tgt if task.delete_before is None else delete_where(tgt, task.delete_before)
+        written = apply_repair(rest, patch, task.keys, task.write_mode, task.primary_key)
+        if ledger:
+            write_table_at_once(written, task.output, mark)
+        else:
+            write_table(written, task.output)
+        repaired, where = scan_table(spark, task.output), ""
+    if ledger:
+        ledger.end(WRITTEN, {})
     columns = [c for c in patch.columns if c not in task.keys]
     # Against the source itself, not the patch: a wrong patch must not pass.
-    checked = materialize(verify_repair(src, repaired, wanted, task.keys, columns, task.primary_key).select(*quoted(task.keys), DIFF_TYPE), "checked")
+    checked = materialize(verify_repair(within(src, ranges), within(repaired, ranges), wanted, task.keys, columns, task.primary_key).select(*quoted(task.keys), DIFF_TYPE), "checked")
     batches = assign_batches(wanted, task.keys, task.batch_size)
     outcome = repair_outcome(batch_outcome(checked, batches, task.keys)).first()
-    done = f"repaired in {outcome['batch_count']} batches"
+    message = f"repaired in {outcome['batch_count']} batches{where}"
     lost = f"{outcome['failed_batches']} of {outcome['batch_count']} batches differ after the repair"
     broken = 0 if task.check_after is None else repaired.where(f"NOT coalesce({task.check_after}, TRUE)").count()
     if broken:
@@ -489,7 +558,7 @@ def _repair(
     return {
         "repair_status": outcome["repair_status"],
         "repair_cnt": outcome["repair_cnt"],
-        "repair_msg": done if outcome["repair_status"] == "success" else lost,
+        "repair_msg": message if outcome["repair_status"] == "success" else lost,
     }
 
 
@@ -503,34 +572,72 @@ class RunReport:
 
 
 def run_tasks(
-    spark: SparkSession, tasks: Sequence[CompareTask], log: TableSpec, concurrency: int = 3, threshold: float = 0.0
+    spark: SparkSession,
+    tasks: Sequence[CompareTask],
+    log: TableSpec,
+    concurrency: int = 3,
+    threshold: float = 0.0,
+    time_limit: float | None = None,
+    ledger: str | None = None,
+    run_id: str | None = None,
 ) -> RunReport:
     """Run the tasks, a few at a time, and append one log row each.
 
     A failing task is logged as such and does not stop the others; neither does a log
     row that cannot be written. ``threshold`` is the share of rows that may differ
     without an alert.
-    """
 
-    def one(task: CompareTask) -> tuple[str, DataFrame, bool]:
+    Each task's jobs run in a scheduler pool of its own, so that under ``spark.scheduler.mode``
+    FAIR a large task leaves room for small ones. A task that takes longer than ``time_limit``
+    seconds has its jobs cancelled and is logged as failed; the others go on, and the call does
+    not wait for what such a task does outside of Spark.
+
+    With a ``ledger``, a folder that all starts see, and a ``run_id``, a second start of the
+    same run leaves out the tasks that are logged and goes on with the others after the last
+    phase they ended. The log is then best a ``VersionedTable``, to which rows are appended
+    exactly once; in another table a row may come twice if a start stops just after writing it.
+    """
+    if ledger is not None and not run_id:
+        raise ValueError("a ledger needs the run's id")
+    pending = list(tasks)
+    ledgers: dict[int, TaskLedger] = {}
+    if ledger is not None:
+        for k, task in enumerate(tasks):
+            ledgers[k] = TaskLedger(spark, ledger, run_id, task.table_id)
+        pending = [task for k, task in enumerate(tasks) if ledgers[k].done(LOGGED) is None]
+        ledgers = {id(task): ledgers[k] for k, task in enumerate(tasks)}
+
+    def one(task: CompareTask) -> tuple[CompareTask, DataFrame, bool]:
         try:
-            return task.table_id, run_task(spark, task), False
+            own = ledgers.get(id(task))
+            return task, run_task(spark, task, own) if own else run_task(spark, task), False
         except Exception as error:
             logger.warning("task %s failed: %s", task.table_id, error)
-            names = ("compare_time", "compare_start_time", "compare_end_time", "create_time", "update_time")
-            return task.table_id, failed_result(spark, task, error).withColumns(dict.fromkeys(names, F.lit(_now()))), True
+            return task, failed_row(spark, task, error), True
 
     failures, unlogged, alerts = 0, [], []
-    with ThreadPoolExecutor(max_workers=concurrency) as pool:
-        for future in as_completed([pool.submit(one, task) for task in tasks]):
-            table_id, row, failed = future.result()
-            failures += failed
+    for task, row, failed in timed(spark, one, pending, concurrency, time_limit):
+        failures += failed
+        row = failed_row(spark, task, row) if isinstance(row, Exception) else row
+        try:
             for found in (needs_alert_compare(row, threshold), needs_alert_repair(row)):
                 alerts += [r["alert"] for r in found.select("alert").collect()]
-            try:
-                # Here in the calling thread: one small append after another, as file tables want it.
+            # Here in the calling thread: one small append after another, as file tables want it.
+            own = ledgers.get(id(task))
+            if isinstance(log, VersionedTable):
+                # A failure is logged for each start, the end of a task once.
+                kind = f"failed-{own.attempt}" if own and failed else LOGGED
+                append_once(as_result_log(row), log, f"{own.mark if own else uuid.uuid4().hex}.{kind}")
+            else:
                 append_result_log(row, log)
-            except Exception as error:
-                logger.warning("log row of task %s is lost: %s", table_id, error)
-                unlogged.append(table_id)
+            if own and not failed:
+                own.end(LOGGED, {})
+        except Exception as error:
+            logger.warning("log row of task %s is lost: %s", task.table_id, error)
+            unlogged.append(task.table_id)
     return RunReport(failures, tuple(unlogged), tuple(alerts))
+
+
+def failed_row(spark: SparkSession, task: CompareTask, error: Exception) -> DataFrame:
+    names = ("compare_time", "compare_start_time", "compare_end_time", "create_time", "update_time")
+    return failed_result(spark, task, error).withColumns(dict.fromkeys(names, F.lit(_now())))

@@ -170,6 +170,15 @@ def cuts_query(spec: JdbcTable, column: str, slices: int) -> str:
     return f"SELECT {part}, MIN({name}) AS {quote_name(spec.dialect, 'cut')} FROM ({ranked}) ranked GROUP BY {part}"
 
 
+def tuple_cuts_query(spec: JdbcTable, keys: Sequence[str], slices: int) -> str:
+    """Number and least key of each of ``slices`` parts of equal size, by all key columns in order."""
+    names = [quote_name(spec.dialect, k) for k in keys]
+    part, place, listed = quote_name(spec.dialect, "part"), quote_name(spec.dialect, "place"), ", ".join(names)
+    tiles = f"SELECT {listed}, NTILE({int(slices)}) OVER (ORDER BY {listed}) AS {part} FROM {spec.qualified}"
+    placed = f"SELECT {listed}, {part}, ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY {listed}) AS {place} FROM ({tiles}) tiles"
+    return f"SELECT {part}, {listed} FROM ({placed}) placed WHERE {place} = 1"
+
+
 def cut_predicates(spec: JdbcTable, column: str, cuts: Sequence[str]) -> list[str]:
     """Disjoint conditions between the cuts, which are in the database's order; the first one takes NULLs as well."""
     name = quote_name(spec.dialect, column)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from rowmend.sources.jdbc import connection_options
 from rowmend.sources.tables import CatalogTable, FileTable, TableSpec
+from rowmend.sources.versions import VersionedTable, rename_new
 
 TEXT, COUNT, TIME, NUMBER = T.StringType(), T.LongType(), T.TimestampNTZType(), T.DoubleType()
 
@@ -61,6 +62,8 @@ def as_result_log(df: DataFrame) -> DataFrame:
 
 
 def append_table(df: DataFrame, spec: TableSpec) -> None:
+    if isinstance(spec, VersionedTable):
+        raise ValueError("a table changed file by file is appended to under a mark (append_once)")
     if isinstance(spec, FileTable):
         df.write.format(spec.format).options(**spec.options).mode("append").save(spec.path)
     elif isinstance(spec, CatalogTable):
@@ -70,6 +73,22 @@ def append_table(df: DataFrame, spec: TableSpec) -> None:
         df.write.format("jdbc").options(**options).mode("append").save()
 
 
+def write_table_at_once(df: DataFrame, spec: FileTable | CatalogTable, mark: str) -> bool:
+    """A new table that appears whole by one rename; whether it was written, as one of an earlier start stays."""
+    if not isinstance(spec, FileTable):
+        if table_exists(df.sparkSession, spec):
+            return False
+        write_table(df, spec)
+        return True
+    spark = df.sparkSession
+    if table_exists(spark, spec):
+        return False
+    final = spark._jvm.org.apache.hadoop.fs.Path(spec.path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(final.getParent(), f".{final.getName()}.{mark}")
+    df.write.format(spec.format).options(**spec.options).mode("overwrite").save(draft.toString())
+    return rename_new(spark, draft, final)
+
+
 def append_result_log(df: DataFrame, spec: TableSpec) -> None:
     append_table(as_result_log(df), spec)
 

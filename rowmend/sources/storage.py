@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Folders opened by working_tables(), the innermost last.
-_OPEN: list[str] = []
+# The folder opened by working_tables(), of each thread by itself: tasks run beside each other.
+_OPEN: contextvars.ContextVar[str | None] = contextvars.ContextVar("rowmend_working_folder", default=None)
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -47,18 +48,18 @@ def run_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{_OPEN[-1] if _OPEN else run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_OPEN.get() or run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 @contextlib.contextmanager
 def working_tables(spark: SparkSession, label: str) -> Iterator[str]:
-    """Tables written meanwhile go to a folder that is removed at the end, also after an error."""
+    """Tables written meanwhile by this thread go to a folder that is removed at the end, also after an error."""
     path = new_path(spark, label)
-    _OPEN.append(path)
+    opened = _OPEN.set(path)
     try:
         yield path
     finally:
-        _OPEN.remove(path)
+        _OPEN.reset(opened)
         files, place = _folder(spark, path)
         files.delete(place, True)
 
@@ -70,7 +71,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     recomputation, and the planner knows the real size: a small table is broadcast
     by Spark's own threshold, a large one is shuffled.
     """
-    spark = df.sparkSession
-    path = new_path(spark, label)
+    return stored(df, new_path(df.sparkSession, label))
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The table, written to a place of its own and read back."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -20,6 +20,7 @@ from rowmend.sources.jdbc import (
     load_query,
     table_options,
 )
+from rowmend.sources.versions import VersionedTable, open_version
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,7 @@ class CatalogTable:
 
 RANGED_TYPES = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-TableSpec = FileTable | CatalogTable | JdbcTable
+TableSpec = FileTable | CatalogTable | JdbcTable | VersionedTable
 
 
 def _open(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -50,6 +51,8 @@ def _open(spark: SparkSession, spec: TableSpec) -> DataFrame:
         return reader.format(spec.format).options(**spec.options).load(spec.path)
     if isinstance(spec, CatalogTable):
         return spark.table(spec.name)
+    if isinstance(spec, VersionedTable):
+        return open_version(spark, spec)
     return spark.read.format("jdbc").options(**table_options(spec)).load()
 
 
