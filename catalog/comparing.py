@@ -162,6 +162,23 @@ def digest_compare_local(spark, sf):
     return flat(rm.digest_compare(t.orders(spark, sf), tgt, KEY, leaf_rows=100).differences().drop("occurrence"), VALUES)
 
 
+def confirmed_differences(spark, sf):
+    """Orders that differed, looked at again in a target that was written to meanwhile."""
+    src, first = t.orders(spark, sf), t.orders_target(spark, sf)
+    rows = rm.materialize(rm.compare_rows(src, first, KEY, primary_key=True).where("diff_type <> 'match'"), "diff")
+    later = spark.sql(LATER_TARGET, orders=src, target=first)
+    found = rm.confirm_differences(rows, src, later, KEY, primary_key=True)
+    return flat(found, VALUES)
+
+
+# The copy caught up with some orders, and others were changed once more.
+LATER_TARGET = """
+SELECT t.o_orderkey, t.o_custkey,
+       CASE WHEN t.o_orderkey % 3 = 0 THEN s.o_totalprice WHEN t.o_orderkey % 3 = 1 AND t.o_orderkey % 53 = 0 THEN t.o_totalprice + 1
+            ELSE t.o_totalprice END AS o_totalprice,
+       CASE WHEN t.o_orderkey % 3 = 0 THEN s.o_orderdate ELSE t.o_orderdate END AS o_orderdate
+FROM {target} t LEFT JOIN {orders} s ON s.o_orderkey = t.o_orderkey
+"""
 LINE_VALUES = [c for c in t.LINEITEM_COLUMNS if c not in LINE_KEY]
 LOCAL_TARGET = """
 SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 AND o_orderkey < 700 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
@@ -198,6 +215,7 @@ QUERIES = {
     "digest_compare": digest_compare,
     "digest_summary": digest_summary,
     "digest_compare_local": digest_compare_local,
+    "confirmed_differences": confirmed_differences,
 }
 
 DIFF_COLUMNS_SQL = """
@@ -359,4 +377,20 @@ SQL |= {
     "digest_compare": f"{t.WITH_ORDERS} SELECT {AS_TEXT}, {DIFF_COLUMNS_SQL} FROM joined WHERE diff_type <> 'match'",
     "digest_summary": SQL["composite_key_compare"],
     "digest_compare_local": f"{LOCAL_JOINED} SELECT {AS_TEXT}, {DIFF_COLUMNS_SQL} FROM joined WHERE diff_type <> 'match'",
+    "confirmed_differences": f"""{t.WITH_ORDERS}, later AS ({LATER_TARGET.format(target='tgt', orders='src')}),
+        again AS (
+          SELECT j.*, l.o_orderkey IS NULL AS no_tgt, l.o_custkey AS c, l.o_totalprice AS p, l.o_orderdate AS d,
+                 CASE WHEN l.o_orderkey IS NULL THEN 'src_only' WHEN j.diff_type = 'tgt_only' THEN 'tgt_only'
+                      WHEN src_o_custkey IS DISTINCT FROM l.o_custkey OR src_o_totalprice IS DISTINCT FROM l.o_totalprice
+                        OR src_o_orderdate IS DISTINCT FROM l.o_orderdate THEN 'mismatch' ELSE 'match' END AS now
+          FROM joined j LEFT JOIN later l ON l.o_orderkey = j.o_orderkey WHERE j.diff_type <> 'match'),
+        states AS (
+          SELECT *, CASE WHEN now = 'match' OR (now = 'src_only' AND diff_type = 'tgt_only') THEN 'resolved'
+                         WHEN c IS NOT DISTINCT FROM tgt_o_custkey AND p IS NOT DISTINCT FROM tgt_o_totalprice
+                          AND d IS NOT DISTINCT FROM tgt_o_orderdate THEN 'confirmed' ELSE 'changed' END AS state FROM again)
+        SELECT o_orderkey, CASE WHEN state = 'changed' THEN now ELSE diff_type END AS diff_type,
+               src_o_custkey::VARCHAR AS src_o_custkey, src_o_totalprice, src_o_orderdate,
+               CASE WHEN state = 'changed' THEN c ELSE tgt_o_custkey END::VARCHAR AS tgt_o_custkey,
+               CASE WHEN state = 'changed' THEN p ELSE tgt_o_totalprice END AS tgt_o_totalprice,
+               CASE WHEN state = 'changed' THEN d ELSE tgt_o_orderdate END AS tgt_o_orderdate, state FROM states""",
 }

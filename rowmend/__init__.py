@@ -16,6 +16,7 @@ from rowmend.operators.compare import (
     src_only_rows,
     tgt_only_keys,
 )
+from rowmend.operators.confirm import confirm_differences
 from rowmend.operators.digests import DigestDiff, digest_compare, part_digests
 from rowmend.operators.filters import (
     delete_where,
@@ -65,12 +66,14 @@ from rowmend.plans.tasks import (
     task_result,
     validate_tasks,
 )
+from rowmend.sources.dialects import Dialect, register_dialect
 from rowmend.sources.jdbc import JdbcTable, primary_keys, upsert_query
 from rowmend.sources.sinks import RESULT_LOG, append_result_log, as_result_log, merge_into, write_table
 from rowmend.sources.storage import materialize, new_path
 from rowmend.sources.tables import (
     CatalogTable,
     FileTable,
+    SourceTable,
     first_rows,
     row_count,
     scan_partitioned,

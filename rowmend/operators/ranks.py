@@ -86,8 +86,8 @@ def number_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
 def _zero_signs(value: Column, dtype: T.DataType) -> list[Column]:
     """Whether each fraction in a value is a negative zero."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # atan2(0, -0.0) is pi: the only function of numbers here that tells the zeros apart without a text.
-        return [F.coalesce((value == 0) & (F.atan2(F.lit(0.0), value.cast("double")) > 3), F.lit(False))]
+        # Functions of numbers take both zeros for one; a text is made of zeros only.
+        return [F.when(value == 0, value.cast("string").startswith("-")).otherwise(F.lit(False))]
     if isinstance(dtype, T.StructType):
         return [s for f in dtype.fields for s in _zero_signs(value.getField(f.name), f.dataType)]
     if re.search("double|float", dtype.simpleString()):

@@ -13,20 +13,8 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
-# URL layout and driver class per database.
-URLS = {
-    "mysql": "jdbc:mysql://{host}:{port}/{database}?useUnicode=true&characterEncoding=utf8",
-    "oracle": "jdbc:oracle:thin:@{host}:{port}:{database}",
-    "sqlserver": "jdbc:sqlserver://{host}:{port};DatabaseName={database}",
-    "postgresql": "jdbc:postgresql://{host}:{port}/{database}",
-}
-DRIVERS = {
-    "mysql": "com.mysql.cj.jdbc.Driver",
-    "oracle": "oracle.jdbc.driver.OracleDriver",
-    "sqlserver": "com.microsoft.sqlserver.jdbc.SQLServerDriver",
-    "postgresql": "org.postgresql.Driver",
-}
-QUOTES = {"mysql": "``", "oracle": '""', "sqlserver": "[]", "postgresql": '""'}
+from rowmend.sources.dialects import dialect_of
+
 FETCH_ROWS = 10_000
 RUN_ID = "run_id"  # column of a staging table
 
@@ -43,38 +31,27 @@ class JdbcTable:
     schema: str | None = None
 
     def __post_init__(self):
-        if self.dialect not in URLS:
-            raise ValueError(f"unsupported database type: {self.dialect!r}")
-
-    @property
-    def owner(self) -> str:
-        return self.schema or self.database
+        dialect_of(self.dialect)
 
     @property
     def qualified(self) -> str:
-        parts = [self.owner, self.table]
-        if self.dialect == "sqlserver":
-            parts = [self.database, self.schema or "dbo", self.table]
-        return ".".join(quote_name(self.dialect, p) for p in parts)
+        return dialect_of(self.dialect).table_name(self.database, self.schema, self.table)
 
 
 def quote_name(dialect: str, name: str) -> str:
-    """The name in quotes. Oracle keeps unquoted names in upper case, so that is what configured names mean there."""
-    opening, closing = QUOTES[dialect]
-    name = name.upper() if dialect == "oracle" else name
-    return f"{opening}{name.replace(closing, closing * 2)}{closing}"
+    """The name in the quotes of its database."""
+    return dialect_of(dialect).quote(name)
 
 
-def text_literal(value: str, dialect: str | None = None) -> str:
-    """A text in SQL; MySQL reads a backslash as the start of an escape."""
-    value = value.replace("\\", "\\\\") if dialect == "mysql" else value
-    return "'" + value.replace("'", "''") + "'"
+def text_literal(value: str, dialect: str) -> str:
+    """A text in the database's SQL."""
+    return dialect_of(dialect).literal(value)
 
 
 def connection_options(spec: JdbcTable) -> dict[str, str]:
     return {
-        "url": URLS[spec.dialect].format(host=spec.host, port=spec.port, database=spec.database),
-        "driver": DRIVERS[spec.dialect],
+        "url": dialect_of(spec.dialect).url.format(host=spec.host, port=spec.port, database=spec.database),
+        "driver": dialect_of(spec.dialect).driver,
         "user": spec.user,
         "password": spec.password,
         "fetchsize": str(FETCH_ROWS),
@@ -111,51 +88,18 @@ def bound_text(value: object, whole) -> str:
 def limited_query(spec: JdbcTable, columns: Sequence[str], limit: int, predicate: str | None = None) -> str:
     """SELECT of the first rows in the database's own words, so only they travel."""
     names = ", ".join(quote_name(spec.dialect, c) for c in columns)
-    limit = int(limit)
     conditions = [f"({predicate})"] if predicate else []
-    if spec.dialect == "oracle":
-        conditions.append(f"ROWNUM <= {limit}")
-    top = f"TOP {limit} " if spec.dialect == "sqlserver" else ""
-    where = f" WHERE {' AND '.join(conditions)}" if conditions else ""
-    tail = f" LIMIT {limit}" if spec.dialect in ("mysql", "postgresql") else ""
-    return f"SELECT {top}{names} FROM {spec.qualified}{where}{tail}"
+    return dialect_of(spec.dialect).first_rows(names, spec.qualified, conditions, int(limit))
 
 
 def metadata_query(spec: JdbcTable) -> str:
     """Name and type of each column, in table order, from the database's catalog."""
-    if spec.dialect == "oracle":
-        return (
-            "SELECT column_name AS name, data_type AS type FROM all_tab_columns "
-            f"WHERE owner = UPPER({text_literal(spec.owner)}) AND table_name = UPPER({text_literal(spec.table)})"
-        )
-    owner_column = "table_catalog" if spec.dialect == "sqlserver" else "table_schema"
-    owner = spec.database if spec.dialect == "sqlserver" else spec.owner
-    return (
-        "SELECT column_name AS name, data_type AS type FROM information_schema.columns "
-        f"WHERE {owner_column} = {text_literal(owner)} AND table_name = {text_literal(spec.table)}"
-    )
+    return dialect_of(spec.dialect).columns_query(spec.database, spec.schema, spec.table)
 
 
 def primary_key_query(spec: JdbcTable) -> str:
     """Name and position of each primary-key column from the database's catalog."""
-    if spec.dialect == "oracle":
-        return (
-            "SELECT k.column_name AS name, k.position AS position "
-            "FROM all_cons_columns k JOIN all_constraints c "
-            "ON c.owner = k.owner AND c.constraint_name = k.constraint_name "
-            f"WHERE c.constraint_type = 'P' AND c.owner = UPPER({text_literal(spec.owner)}) "
-            f"AND c.table_name = UPPER({text_literal(spec.table)})"
-        )
-    owner_column = "table_catalog" if spec.dialect == "sqlserver" else "table_schema"
-    owner = spec.database if spec.dialect == "sqlserver" else spec.owner
-    return (
-        "SELECT k.column_name AS name, k.ordinal_position AS position "
-        "FROM information_schema.key_column_usage k JOIN information_schema.table_constraints c "
-        "ON c.constraint_name = k.constraint_name AND c.table_schema = k.table_schema "
-        "AND c.table_name = k.table_name "
-        f"WHERE c.constraint_type = 'PRIMARY KEY' AND k.{owner_column} = {text_literal(owner)} "
-        f"AND k.table_name = {text_literal(spec.table)}"
-    )
+    return dialect_of(spec.dialect).key_query(spec.database, spec.schema, spec.table)
 
 
 def bounds_query(spec: JdbcTable, column: str) -> str:
@@ -196,26 +140,11 @@ def upsert_query(spec: JdbcTable, staging: JdbcTable, keys: Sequence[str], colum
     ``insert`` adds rows of new keys, ``update`` also overwrites the columns of known keys. The table needs a
     unique key over ``keys``. Running it again changes nothing more.
     """
-    q = lambda name: quote_name(spec.dialect, name)
-    names = [*keys, *[c for c in columns if c not in keys]]
-    values = [c for c in names if c not in keys]
-    listed = ", ".join(map(q, names))
-    staged = f"SELECT {listed} FROM {staging.qualified} WHERE {q(RUN_ID)} = {text_literal(run_id, spec.dialect)}"
-    if spec.dialect == "mysql":
-        kept = values if mode != "insert" and values else keys[:1]
-        changes = ", ".join(f"{q(c)} = {'VALUES(' + q(c) + ')' if c in values else q(c)}" for c in kept)
-        return f"INSERT INTO {spec.qualified} ({listed}) {staged} ON DUPLICATE KEY UPDATE {changes}"
-    if spec.dialect == "postgresql":
-        target = ", ".join(map(q, keys))
-        changes = ", ".join(f"{q(c)} = EXCLUDED.{q(c)}" for c in values)
-        action = f"DO UPDATE SET {changes}" if mode != "insert" and values else "DO NOTHING"
-        return f"INSERT INTO {spec.qualified} ({listed}) {staged} ON CONFLICT ({target}) {action}"
-    on = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
-    changes = ", ".join(f"t.{q(c)} = s.{q(c)}" for c in values)
-    matched = f" WHEN MATCHED THEN UPDATE SET {changes}" if mode != "insert" and values else ""
-    added = f" WHEN NOT MATCHED THEN INSERT ({listed}) VALUES ({', '.join('s.' + q(c) for c in names)})"
-    end = ";" if spec.dialect == "sqlserver" else ""
-    return f"MERGE INTO {spec.qualified} t USING ({staged}) s ON ({on}){matched}{added}{end}"
+    dialect = dialect_of(spec.dialect)
+    values = [c for c in columns if c not in keys]
+    listed = ", ".join(map(dialect.quote, [*keys, *values]))
+    staged = f"SELECT {listed} FROM {staging.qualified} WHERE {dialect.quote(RUN_ID)} = {dialect.literal(run_id)}"
+    return dialect.upsert(spec.qualified, staged, keys, values, mode != "insert")
 
 
 def load_query(spark: SparkSession, spec: JdbcTable, query: str) -> DataFrame:

@@ -40,9 +40,21 @@ class CatalogTable:
     name: str
 
 
+@dataclass(frozen=True)
+class SourceTable:
+    """A table behind a data source that the session knows by name, such as one of the user's own.
+
+    Stores without JDBC are read by a class of Spark's Python data source interface, made known by
+    ``spark.dataSource.register``: its partitions are read in parallel, and it is offered the filters.
+    """
+
+    format: str
+    options: dict[str, str] = field(default_factory=dict)
+
+
 RANGED_TYPES = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-TableSpec = FileTable | CatalogTable | JdbcTable | VersionedTable
+TableSpec = FileTable | CatalogTable | JdbcTable | VersionedTable | SourceTable
 
 
 def _open(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -53,6 +65,8 @@ def _open(spark: SparkSession, spec: TableSpec) -> DataFrame:
         return spark.table(spec.name)
     if isinstance(spec, VersionedTable):
         return open_version(spark, spec)
+    if isinstance(spec, SourceTable):
+        return spark.read.format(spec.format).options(**spec.options).load()
     return spark.read.format("jdbc").options(**table_options(spec)).load()
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import rowmend as rm
 from conftest import rows
-from rowmend.sources import jdbc, storage
+from rowmend.sources import dialects, jdbc, storage
 from rowmend.sources.sinks import RESULT_LOG
 from rowmend.sources.tables import slice_predicates
 
@@ -50,7 +50,7 @@ def test_bounds_are_whole_numbers():
 
 
 def test_limits():
-    words = {d: jdbc.limited_query(spec(d), ["id", "v"], 5, "v > 1") for d in jdbc.URLS}
+    words = {d: jdbc.limited_query(spec(d), ["id", "v"], 5, "v > 1") for d in dialects.URLS}
     assert words["mysql"] == "SELECT `id`, `v` FROM `shop`.`orders` WHERE (v > 1) LIMIT 5"
     assert words["postgresql"] == 'SELECT "id", "v" FROM "shop"."orders" WHERE (v > 1) LIMIT 5'
     assert words["sqlserver"] == "SELECT TOP 5 [id], [v] FROM [shop].[dbo].[orders] WHERE (v > 1)"
@@ -77,14 +77,14 @@ def test_scan_by_key_asks_for_bounds(spark, monkeypatch):
 
 
 def test_upserts():
-    staging = {d: rm.JdbcTable(d, "h", 1, "shop", "staged", "u", "p") for d in jdbc.URLS}
-    text = {d: rm.upsert_query(spec(d), staging[d], ["id"], ["id", "v"], "r'1") for d in jdbc.URLS}
+    staging = {d: rm.JdbcTable(d, "h", 1, "shop", "staged", "u", "p") for d in dialects.URLS}
+    text = {d: rm.upsert_query(spec(d), staging[d], ["id"], ["id", "v"], "r'1") for d in dialects.URLS}
     assert all("'r''1'" in t for t in text.values())
     assert text["mysql"].endswith("ON DUPLICATE KEY UPDATE `v` = VALUES(`v`)")
     assert text["postgresql"].endswith('ON CONFLICT ("id") DO UPDATE SET "v" = EXCLUDED."v"')
     assert text["oracle"].startswith('MERGE INTO "SHOP"."ORDERS" t USING (SELECT "ID", "V" FROM "SHOP"."STAGED" WHERE "RUN_ID" =')
     assert text["sqlserver"].endswith("WHEN NOT MATCHED THEN INSERT ([id], [v]) VALUES (s.[id], s.[v]);")
-    kept = {d: rm.upsert_query(spec(d), staging[d], ["id"], ["id", "v"], "r", "insert") for d in jdbc.URLS}
+    kept = {d: rm.upsert_query(spec(d), staging[d], ["id"], ["id", "v"], "r", "insert") for d in dialects.URLS}
     assert kept["mysql"].endswith("UPDATE `id` = `id`") and kept["postgresql"].endswith("DO NOTHING")
     assert "MATCHED THEN UPDATE" not in kept["oracle"] + kept["sqlserver"]
 
@@ -108,7 +108,7 @@ def test_merge_replaces_whole_rows(spark, monkeypatch):
 
 
 def test_catalog_queries_name_the_table():
-    for dialect in jdbc.URLS:
+    for dialect in dialects.URLS:
         for text in (jdbc.metadata_query(spec(dialect)), jdbc.primary_key_query(spec(dialect))):
             assert "'orders'" in text and "'shop'" in text
     assert "'o''rders'" in jdbc.metadata_query(rm.JdbcTable("mysql", "h", 1, "d", "o'rders", "u", "p"))
