@@ -120,21 +120,27 @@ def features(text: str) -> np.ndarray:
     return (root / max(np.linalg.norm(root), 1e-12)).astype(np.float32)
 
 
-def linear_svm(rows: np.ndarray, positive: np.ndarray) -> np.ndarray:
-    """Weights, the last one the bias, by dual coordinate descent on the hinge loss, in a fixed random order."""
+def linear_svm(rows: np.ndarray, positive: np.ndarray, chosen: np.ndarray | None = None) -> np.ndarray:
+    """Weights, the last one the bias, by dual coordinate descent on the hinge loss, in a fixed random order.
+
+    Only the ``chosen`` rows are learned from, if they are named; they are looked at in place.
+    """
+    place = np.arange(len(rows)) if chosen is None else np.flatnonzero(chosen)
+    positive = positive[place]
     sign = np.where(positive, 1.0, -1.0)
     # The rarer class weighs as much as the other.
     limit = PENALTY * np.where(positive, len(sign) / (2 * max(positive.sum(), 1)), len(sign) / (2 * max((~positive).sum(), 1)))
-    alpha, weights, bias = np.zeros(len(rows)), np.zeros(rows.shape[1], np.float32), 0.0
-    norms = np.einsum("ij,ij->i", rows, rows) + 1
+    alpha, weights, bias = np.zeros(len(place)), np.zeros(rows.shape[1], np.float32), 0.0
+    norms = np.einsum("ij,ij->i", rows, rows)[place] + 1
     order = np.random.default_rng(1)
     for _ in range(EPOCHS):
-        for i in order.permutation(len(rows)):
-            gradient = sign[i] * (float(rows[i] @ weights) + bias) - 1
+        for i in order.permutation(len(place)):
+            row = rows[place[i]]
+            gradient = sign[i] * (float(row @ weights) + bias) - 1
             step = min(max(alpha[i] - gradient / norms[i], 0.0), limit[i])
             if step != alpha[i]:
                 change = (step - alpha[i]) * sign[i]
-                weights += np.float32(change) * rows[i]
+                weights += np.float32(change) * row
                 bias += change
                 alpha[i] = step
     return np.append(weights, bias)
@@ -275,12 +281,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model | None:
     languages = {f: [lang for lang in known if _FAMILY.get(lang, lang) == f] for f in families}
     pairs = [pair for f in families for pair in combinations(languages[f], 2)]
 
-    def column(chosen: np.ndarray, positive: np.ndarray) -> np.ndarray:
-        return linear_svm(rows[chosen], positive[chosen])
-
-    everything, none = np.ones(len(rows), bool), np.zeros((rows.shape[1] + 1, 0))
-    family_weights = [column(everything, family_of == f) if len(families) > 1 else np.zeros(rows.shape[1] + 1) for f in families]
-    pair_weights = [column((langs == a) | (langs == b), langs == a) for a, b in pairs]
+    none = np.zeros((rows.shape[1] + 1, 0))
+    family_weights = [linear_svm(rows, family_of == f) if len(families) > 1 else np.zeros(rows.shape[1] + 1) for f in families]
+    pair_weights = [linear_svm(rows, langs == a, (langs == a) | (langs == b)) for a, b in pairs]
     stacked = lambda columns: np.stack(columns, axis=1).astype(np.float32) if columns else none.astype(np.float32)
     return Model(families, languages, pairs, stacked(family_weights), stacked(pair_weights), seen)
 

@@ -62,6 +62,8 @@ def test_svm_separates():
     rows = np.vstack([rng.normal(1, 0.3, (40, 5)), rng.normal(-1, 0.3, (10, 5))]).astype(np.float32)
     weights = language.linear_svm(rows, np.arange(50) < 40)
     assert (((rows @ weights[:-1] + weights[-1]) > 0) == (np.arange(50) < 40)).all()
+    some = np.arange(50) % 3 > 0
+    assert np.array_equal(language.linear_svm(rows, np.arange(50) < 40, some), language.linear_svm(rows[some], (np.arange(50) < 40)[some]))
 
 
 def test_unknown_documents_go_and_columns_stay(spark, odd):
@@ -90,7 +92,7 @@ def test_texts_in_no_language_go_and_clean_ones_stay(spark):
 
 def test_every_label_is_learned(spark, monkeypatch):
     """More labels than ever had a place, and a frequent one among them."""
-    monkeypatch.setattr(language, "linear_svm", lambda rows, positive: np.zeros(rows.shape[1] + 1))
+    monkeypatch.setattr(language, "linear_svm", lambda rows, positive, chosen=None: np.zeros(rows.shape[1] + 1))
     labels = [f"l{i // 2}" for i in range(1000)] + ["frequent"] * 3000
     docs = spark.createDataFrame([document(i, f"some words of {lang}", lang) for i, lang in enumerate(labels)], DOCS)
     model = language.fit(docs)
