@@ -11,11 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmend.operators.compare import DIFF_TYPE, MATCH, SRC, TGT, compare_rows
+from rowmend.operators.compare import DIFF_TYPE, MATCH, SRC, TGT, compare_least, compare_rows, rows_of_keys
 from rowmend.operators.keys import OCCURRENCE, join_keys
 from rowmend.operators.lookup import covering_ranges, within
 from rowmend.operators.ranks import quoted
-from rowmend.operators.repair import rows_of_keys
 from rowmend.sources.storage import materialize
 
 CONFIRMED, RESOLVED, CHANGED = "confirmed", "resolved", "changed"
@@ -23,7 +22,13 @@ STATE = "state"
 
 
 def confirm_differences(
-    rows: DataFrame, src: DataFrame, tgt: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, primary_key: bool = False
+    rows: DataFrame,
+    src: DataFrame,
+    tgt: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    primary_key: bool = False,
+    least: bool = False,
 ) -> DataFrame:
     """The differing rows of a first comparison with ``state``, by both tables as they are now.
 
@@ -31,7 +36,7 @@ def confirm_differences(
     neither side has them any more. ``changed``: they differ, but otherwise than before; such rows have the
     class and the values of the second look. Rows that differ only since the first look, of keys
     that were looked at, are ``changed`` as well. ``src`` and ``tgt`` are read anew, in the ranges
-    of the differing keys.
+    of the differing keys. ``least`` says that the first look was ``compare_least``.
     """
     differing = rows.where(F.col(DIFF_TYPE) != MATCH)
     place = [*keys, *([OCCURRENCE] if OCCURRENCE in rows.columns else [])]
@@ -39,7 +44,8 @@ def confirm_differences(
     ranges = covering_ranges(wanted, keys)
     sides = [rows_of_keys(within(df, ranges), wanted, keys, not primary_key) for df in (src, tgt)]
     values = [f.name for f in rows.schema[SRC].dataType.fields] if columns is None else columns
-    again = compare_rows(*sides, keys, values, primary_key=primary_key).select(*quoted(place), DIFF_TYPE, SRC, TGT)
+    looked = compare_least(*sides, keys, values).rows if least else compare_rows(*sides, keys, values, primary_key=primary_key)
+    again = looked.select(*quoted(place), DIFF_TYPE, SRC, TGT)
     again = materialize(again, "second-look")
     now = again.select(*quoted(place), F.col(DIFF_TYPE).alias("_type"), F.col(SRC).alias("_src"), F.col(TGT).alias("_tgt"))
     both = join_keys(differing.select(*quoted(place), DIFF_TYPE, SRC, TGT), now, place)

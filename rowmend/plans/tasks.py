@@ -16,6 +16,7 @@ from rowmend.functions.columns import ColumnRoles, compare_columns, fold_names,
 from rowmend.functions.crypto import decrypt_column
 from rowmend.functions.times import format_range, window_bounds
 from rowmend.operators.compare import DIFF_TYPE, MATCH, SRC_ONLY, LeastDiff, compare_least, compare_rows
+from rowmend.operators.confirm import RESOLVED, STATE, confirm_differences
 from rowmend.operators.filters import delete_where, incremental_filter, needs_alert_compare, needs_alert_repair
 from rowmend.operators.keys import any_null
 from rowmend.operators.lookup import covering_ranges, within
@@ -90,6 +91,8 @@ class CompareTask:
     repaired table goes to ``output``; ``patch_output`` gets just the rows to write, for
     instance a staging table in the target's database. ``in_place`` is the target itself, if
     it is a table that is changed file by file: only files with rows to repair are rewritten.
+    ``confirm`` looks at differing rows a second time, in tables opened anew, and leaves alone
+    what agrees by then; the counts are those of the first look.
     ``max_repair_rows`` refuses larger repairs; without it there is no limit. ``check_after`` is a condition that no row of the
     repaired table may break.
     """
@@ -125,6 +128,7 @@ class CompareTask:
     patch_output: TableSpec | None = None
     run_id: str | None = None
     in_place: VersionedTable | None = None
+    confirm: bool = False
 
     def resolved(self, spark: SparkSession) -> CompareTask:
         keys = list(self.keys(spark)) if callable(self.keys) else self.keys
@@ -470,7 +474,15 @@ def _run_task(spark: SparkSession, task: CompareTask, ledger: TaskLedger | None
     )
     repair: dict[str, object] = {}
     if task.enable_repair:
-        repair = _repair(spark, task, src, tgt, diff, seen["diff_cnt"], base, ledger)
+        differing = seen["diff_cnt"]
+        if task.confirm and differing:
+            base = None if task.in_place is None else current_version(spark, task.in_place)
+            src, tgt = task.source(spark), task.target(spark)
+            sides = task.windowed(src), task.windowed(tgt)
+            found = confirm_differences(diff, *sides, task.keys, None, task.primary_key, not task.primary_key)
+            diff = materialize(found.where(F.col(STATE) != RESOLVED).drop(STATE), "confirmed")
+            differing = diff.count()
+        repair = _repair(spark, task, src, tgt, diff, differing, base, ledger)
     ended = _now()
     repair_cost = _minutes(compared, ended) if repair.get("repair_status") not in (None, "skip") else 0.0
     return result.withColumns(

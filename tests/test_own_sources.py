@@ -107,3 +107,25 @@ def test_nothing_to_confirm(spark):
     src = spark.createDataFrame([(1, 1)], "id int, v int")
     none = rm.compare_rows(src, src, ["id"])
     assert rm.confirm_differences(none, src, src, ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_a_task_leaves_alone_what_agrees_by_the_second_look(spark, tmp_path, unique):
+    """The copy catches up with row 2 between both looks; only row 3 is written."""
+    source = lambda s: s.createDataFrame([(1, 1), (2, 2), (3, 3)], "id int, v int")
+    states = [[(1, 1), (2, 9), (3, 9)], [(1, 1), (2, 2), (3, 9)]]
+    opened = []
+
+    def target(s):
+        opened.append(len(opened))
+        return s.createDataFrame(states[min(len(opened), 2) - 1], "id int, v int")
+
+    output = rm.FileTable(str(tmp_path / "out"))
+    task = rm.CompareTask("1", source, target, ["id"], primary_key=unique, enable_repair=True, output=output, confirm=True)
+    row = rm.run_task(spark, task).first()
+    assert (row.diff_cnt, row.repair_status, row.repair_cnt, len(opened)) == (2, "success", 1, 2)
+    assert rows(rm.scan_table(spark, output)) == [(1, 1), (2, 2), (3, 3)]
+    # With nothing left there is nothing to repair.
+    states[:] = [[(1, 9)], [(1, 1), (2, 2), (3, 3)]]
+    opened.clear()
+    assert rm.run_task(spark, task.__class__(**{**task.__dict__, "output": rm.FileTable(str(tmp_path / "none"))})).first().repair_status == "skip"
