@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmend.llm.components import components, stars
-from rowmend.llm.rows import repeated, row_key, small, text_hash, without
+from rowmend.llm.rows import repeated, row_key, small, text_hash, without, worker_cache
 from rowmend.sources.storage import materialize
 
 SHINGLE_WORDS = 3
 PERCENT = 90
 CACHED_WORDS = 100_000  # words whose hash a task keeps
 PACKED = 1 << 18  # slices a task gathers before it sends them; a few copies of 16 bytes each
-BUCKET = 1 << 20  # slices a task compares
+BUCKET = 1 << 19  # slices a task compares
 BLOCK_TOKENS = 1 << 20  # tokens of the classes in one tree
 BROADCAST_WALKS = 1_000_000  # places of candidate classes, 20 bytes each, that go to all executors to fetch their texts; more are shuffled
 LEAF, FANOUT, CHUNK = 8, 8, 16_384
@@ -63,6 +63,7 @@ class Hasher:
     """Sets of 64-bit hashes of word shingles; a word's hash is kept in a cache of bounded size."""
 
     def __init__(self, size: int) -> None:
+        worker_cache("jaccard")  # nothing is kept between tasks, and nothing of other operators either
         self.size = size
         self.known: dict[bytes, int] = {}
 
@@ -242,6 +243,7 @@ def _sliced(size: int, cuts: Slices, buckets: int):
 
 def _linked(table: pa.Table) -> pa.Table:
     """Links of the nodes that share a signature of this bucket."""
+    worker_cache("jaccard")
     joined = lambda column, kind, dtype: np.frombuffer(
         b"".join(x for x, k in zip(table.column(column).to_pylist(), table.column("kind").to_pylist()) if k == kind), dtype
     )
@@ -349,13 +351,20 @@ def _walked(percent: int):
     """Links of the similar classes of one block, or of two, as one link per class into its component."""
 
     def walk(table: pa.Table) -> pa.Table:
+        worker_cache("jaccard")
         table = table.sort_by([("side", "ascending"), ("component", "ascending"), ("n", "ascending"), ("member", "ascending")])
         members, sides = table.column("member").to_numpy(), table.column("side").to_numpy()
         # A text that occurs in several rows of one id was fetched several times.
         chosen = np.sort(np.unique(np.stack([sides.astype(np.int64), members]), axis=1, return_index=True)[1])
         members, first = members[chosen], int((sides[chosen] == 0).sum())
-        raw = table.column("tokens").take(pa.array(chosen)).to_pylist()
-        sets = [np.frombuffer(r, np.uint64) for r in raw]
+        taken = table.column("tokens").take(pa.array(chosen)).combine_chunks()
+        del table
+        # Sets as views of one buffer, not as copies.
+        taken = taken if isinstance(taken, pa.Array) else pa.concat_arrays(taken.chunks)
+        wide = pa.types.is_large_binary(taken.type)
+        ends = np.frombuffer(taken.buffers()[1], np.int64 if wide else np.int32)[taken.offset : taken.offset + len(taken) + 1]
+        whole = np.frombuffer(taken.buffers()[2], np.uint8)
+        sets = [whole[a:b].view(np.uint64) for a, b in zip(ends.tolist(), ends[1:].tolist())]
         bits = 1 << int(np.clip(np.ceil(np.log2(4 * max(np.median([len(s) for s in sets]), 1))), 9, 16))
         left = tree(sets[:first], bits)
         both = first < len(sets)

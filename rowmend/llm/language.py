@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from rowmend.llm.rows import row_key, sized, small, text_hash, without
+from rowmend.llm.rows import row_key, sized, small, text_hash, without, worker_cache
 from rowmend.sources.storage import materialize
 
 UNKNOWN = "und"
@@ -290,6 +290,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Model | None:
 
 def _predict(model):
     def predict(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("language")
         fitted = model.value
         for part in small(parts):
             texts = part.column("text").to_pylist()

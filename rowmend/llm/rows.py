@@ -34,6 +34,16 @@ def small(parts: Iterator[pa.RecordBatch], most: int = ROWS_AT_ONCE) -> Iterator
             first = last
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What this worker process keeps for an operator between tasks. One that turns to another operator drops the rest."""
+    for other in [o for o in _KEPT if o != owner]:
+        _KEPT.pop(other).clear()
+    return _KEPT.setdefault(owner, {})
+
+
 def text_hash() -> Column:
     return F.xxhash64("text").alias("text_hash")
 

@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from rowmend.llm.rows import worker_cache
+
 CACHED_PIECES = 400_000  # words and marks of either generation that a worker keeps; about 150 MB in all
 COLLECT_EVERY = 200_000  # new objects between two looks for cycles, of which there are none here
 BATCH_CHARS = 1 << 22  # characters of text worked on at once
@@ -291,11 +293,9 @@ def _keeps_spaces(model) -> bool:
         return False
 
 
-_LOADED: dict[tuple[type, str], _Cached | IdEncoder] = {}
-
-
 def loaded(kind: type, path: str):
     """The encoder of this worker process, with what it has cached."""
-    if (kind, path) not in _LOADED:
-        _LOADED[kind, path] = kind(path)
-    return _LOADED[kind, path]
+    kept = worker_cache("tokenizers")
+    if (kind, path) not in kept:
+        kept[kind, path] = kind(path)
+    return kept[kind, path]
