@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowmend.functions.columns import common_columns
+from rowmend.functions.columns import common_columns, ordered_unique
 from rowmend.functions.literals import column_name, sql_literal
 from rowmend.functions.times import as_time, in_window, not_older_by
 from rowmend.operators.compare import (
@@ -32,6 +32,7 @@ from rowmend.sources.tables import TableSpec, scan_slices, scan_table
 
 MODES = ("insert", "update", "replace")
 MOST_PREDICATES = 1000  # batches of keys that are asked for by conditions
+MOST_IN_SCAN = 10  # of those that one scan of files tests each row against
 
 
 def time_allows(
@@ -217,12 +218,16 @@ def lookup_by_predicates(
 
     A database then reads a handful of keys instead of the whole table, one batch per
     task. Conditions pass through the driver, so beyond ``most`` batches the table is
-    read and joined instead.
+    read and joined instead. Files have no index to answer a condition: one scan tests each
+    row against all of them, rows times batches, so they are joined beyond MOST_IN_SCAN batches.
     """
     dialect = spec.dialect if isinstance(spec, JdbcTable) else None
+    most = most if isinstance(spec, JdbcTable) else min(most, MOST_IN_SCAN)
     found = repair_predicates(batches, keys, dialect).select("batch", "predicate").orderBy("batch").limit(most + 1).collect()
     if len(found) > most:
-        return rows_of_keys(scan_table(spark, spec, columns), batches, keys, null_safe=True)
+        read = scan_table(spark, spec, None if columns is None else [*columns, *keys])
+        rows = rows_of_keys(read, materialize(batches.select(*quoted(keys)), "wanted"), keys, null_safe=True)
+        return rows if columns is None else rows.select(*quoted(ordered_unique(columns)))
     return scan_slices(spark, spec, [r["predicate"] for r in found] or ["1 = 0"], columns)
 
 

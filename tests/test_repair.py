@@ -202,3 +202,19 @@ def test_outcome(spark):
     assert outcome([(1, "match"), (2, "match"), (3, "match")]) == (2, 3, 0, "success")
     assert outcome([(1, "match"), (2, "mismatch"), (3, "match")]) == (2, 2, 1, "partial_fail")
     assert outcome([(1, "src_only"), (2, "match")]) == (2, 1, 2, "fail")
+
+
+def test_lookup_in_files_tests_rows_against_few_conditions(spark, tmp_path):
+    """The scan's condition does not grow with the batches; NULL keys and columns without the key are served as before."""
+    data = [(k if k % 50 else None, k % 7) for k in range(600)]
+    spark.createDataFrame(data, "k bigint, v int").repartition(2).write.parquet(f"{tmp_path}/t")
+    keys = spark.createDataFrame([(k,) for k in range(0, 600, 3)] + [(None,), (10_000,)], "k bigint")
+    wanted = {None, *range(0, 600, 3)}
+    expected = sorted((r for r in data if r[0] in wanted), key=repr)
+    for size, joined in ((2, True), (60, False)):
+        found = rm.lookup_by_predicates(spark, rm.FileTable(f"{tmp_path}/t"), rm.assign_batches(keys, ["k"], size), ["k"])
+        assert rows(found) == expected
+        assert ("LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()) == joined
+    batches = rm.assign_batches(keys, ["k"], 2)
+    narrow = rm.lookup_by_predicates(spark, rm.FileTable(f"{tmp_path}/t"), batches, ["k"], ["v"])
+    assert narrow.columns == ["v"] and rows(narrow) == sorted([(v,) for _, v in expected], key=repr)
