@@ -218,3 +218,16 @@ def test_lookup_in_files_tests_rows_against_few_conditions(spark, tmp_path):
     batches = rm.assign_batches(keys, ["k"], 2)
     narrow = rm.lookup_by_predicates(spark, rm.FileTable(f"{tmp_path}/t"), batches, ["k"], ["v"])
     assert narrow.columns == ["v"] and rows(narrow) == sorted([(v,) for _, v in expected], key=repr)
+
+
+def test_more_rows_are_sorted_in_more_partitions(spark, monkeypatch):
+    """A task's share of rows does not grow with the table, whatever number of partitions the session names."""
+    a = spark.range(40_000).selectExpr("id", "id % 9 AS v")
+    b = spark.range(40_000).selectExpr("id", "id % 8 AS v")
+    cut = lambda: rm.compare_rows(a, b, ["id"], hot_rows=1000)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in cut()
+    monkeypatch.setattr("rowmend.operators.keys.TASK_ROWS", 4_000)
+    assert "REPARTITION_BY_NUM" in cut()
+    counted = {r[0]: r[1] for r in rm.diff_summary(rm.compare_rows(a, b, ["id"], hot_rows=1000)).collect()}
+    same = sum(k % 9 == k % 8 for k in range(40_000))
+    assert counted == {"match": same, "mismatch": 40_000 - same}
