@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,8 @@ from rowmend.operators.compare import (
     lookup_target,
     rows_of_keys,
 )
-from rowmend.operators.keys import join_keys, number_occurrences
-from rowmend.operators.ranks import quoted
+from rowmend.operators.keys import HOT_ROWS, by_key, hot_keys_and_rows, join_keys, number_occurrences, split_hot
+from rowmend.operators.ranks import number_in_hot_key, number_in_key, quoted
 from rowmend.sources.jdbc import JdbcTable
 from rowmend.sources.storage import materialize
 from rowmend.sources.tables import TableSpec, scan_slices, scan_table
@@ -315,13 +315,32 @@ def _overwritten(rows: DataFrame, patch: DataFrame, keys: Sequence[str], shared:
     )
 
 
-def _without_equals(rows: DataFrame, others: DataFrame, shared: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """The rows that have an equal one among ``others``, each of those counting once, and the rows that have none."""
-    counts = others.groupBy(*quoted(shared)).agg(F.count("*").alias("_equal"))
-    # A column that only ``rows`` has decides which of several equal rows is left over.
-    numbered = join_keys(number_occurrences(rows, shared, name="_copy"), counts, shared)
-    has_equal = F.col("_copy") <= F.coalesce("_equal", F.lit(0))
-    return numbered.where(has_equal).select(*quoted(rows.columns)), numbered.where(~has_equal).select(*quoted(rows.columns))
+def _marked_equals(rows: DataFrame, others: DataFrame, shared: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """The rows of both, ``_mine`` telling them apart, with ``_equal``: whether the other side has an equal row, each counting once.
+
+    Both sides go through one shuffle, by a hash of their shared columns: Spark shuffles anew for fractions, in which it
+    takes 0.0 and -0.0 for one, as their hash does. A column that only ``rows`` has decides which of several equal rows is
+    left over.
+    """
+    sides = [rows.withColumn("_mine", F.lit(True)), others.select(*quoted(shared)).withColumn("_mine", F.lit(False))]
+    stacked = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    hot, row_cnt = hot_keys_and_rows(stacked, shared, hot_rows)
+    own = [c for c in rows.columns if c not in shared]
+    usual = stacked if hot is None else split_hot(stacked, hot, shared)[0]
+    # Texts that are equal by a collation have hashes of their own.
+    hashed = [q for f, q in zip(rows.select(*quoted(shared)).schema, quoted(shared)) if "collate" not in f.dataType.simpleString()]
+    usual = by_key(usual.withColumn("_hash", F.xxhash64(*hashed) if hashed else F.lit(0)), ["_hash"], row_cnt)
+    numbered = number_in_key(usual, ["_hash", *shared, "_mine"], own or shared, "_copy")
+    same = Window.partitionBy("_hash", *quoted(shared))
+    other = F.when(F.col("_mine"), F.count_if(~F.col("_mine")).over(same)).otherwise(F.count_if(F.col("_mine")).over(same))
+    marked = numbered.withColumn("_other", other).drop("_hash")
+    if hot is not None:
+        # Copies of a hot row are spread over tasks.
+        large = split_hot(stacked, hot, shared)[1]
+        counts = large.groupBy(*quoted(shared), (~F.col("_mine")).alias("_mine")).agg(F.count("*").alias("_other"))
+        spread = number_in_hot_key(large, [*shared, "_mine"], own, "_copy")
+        marked = marked.unionByName(join_keys(spread, counts, [*shared, "_mine"]))
+    return marked.select(*quoted(rows.columns), "_mine", (F.col("_copy") <= F.coalesce("_other", F.lit(0))).alias("_equal"))
 
 
 def _written_by_occurrence(
@@ -329,14 +348,15 @@ def _written_by_occurrence(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows added, rows that stay and rows overwritten, where keys may repeat. Only the target's rows of the patch's keys are numbered."""
     wanted = patch.select(*quoted(keys)).distinct()
-    touched = materialize(join_keys(tgt, wanted, keys, "left_semi"), "touched")
-    patch = materialize(patch, "patch")
-    equal, open_rows = _without_equals(touched, patch, shared)
-    _, new_rows = _without_equals(patch, touched, shared)
+    touched = join_keys(tgt, wanted, keys, "left_semi")
+    marked = materialize(_marked_equals(materialize(touched, "touched"), materialize(patch, "patch"), shared), "marked")
+    equal = marked.where("_mine AND _equal").select(*quoted(tgt.columns))
+    new_rows = marked.where("NOT _mine AND NOT _equal").select(*quoted(shared))
     place = [*keys, "_nr"]
     new_rows = materialize(number_occurrences(new_rows, keys, name="_nr"), "new-rows")
-    order = [*shared, *[c for c in touched.columns if c not in shared]]
-    open_rows = materialize(number_occurrences(open_rows.select(*quoted(order)), keys, name="_nr"), "open-rows")
+    order = [*shared, *[c for c in tgt.columns if c not in shared]]
+    open_rows = marked.where("_mine AND NOT _equal").select(*quoted(order))
+    open_rows = materialize(number_occurrences(open_rows, keys, name="_nr"), "open-rows")
     added = join_keys(new_rows, open_rows.select(*quoted(place)), place, "left_anti").select(*as_target)
     written = _overwritten(open_rows, new_rows, place, shared, True)
     return added, equal, written.select(*quoted(tgt.columns))

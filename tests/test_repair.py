@@ -1,5 +1,6 @@
 """Repair selection and repaired tables."""
 
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 import rowmend as rm
 from conftest import rows
+from rowmend.operators import repair
 
 DAY = datetime(2026, 2, 26)
 SCHEMA = "id int, v int, at timestamp_ntz"
@@ -220,6 +222,30 @@ def test_lookup_in_files_tests_rows_against_few_conditions(spark, tmp_path):
     assert narrow.columns == ["v"] and rows(narrow) == sorted([(v,) for _, v in expected], key=repr)
 
 
+def test_equal_rows_of_both_sides_are_told_in_one_shuffle(spark):
+    mine = [(k % 5 if k % 6 else None, (0.0, -0.0, 1.5, float("nan"))[k % 4], k) for k in range(120)]
+    theirs = [(k % 7 if k % 5 else None, (0.0, -0.0, 1.5, float("nan"))[k % 3]) for k in range(150)]
+    a = spark.createDataFrame(mine, "id int, v double, extra int")
+    b = spark.createDataFrame(theirs, "id int, v double")
+    plain = lambda rs: Counter(("" if r[0] is None else r[0], repr(r[1] + 0.0)) for r in rs)
+    both = plain(mine) & plain(theirs)
+    # Of equal rows those with the smallest extra value have a partner.
+    kept, seen = [], Counter()
+    for r in sorted(mine, key=lambda r: r[2]):
+        value = next(iter(plain([r])))
+        seen[value] += 1
+        kept += [r[2]] if seen[value] <= both[value] else []
+    for hot_rows in (None, 15):
+        marked = repair._marked_equals(a, b, ["id", "v"], hot_rows)
+        found = marked.collect()
+        assert plain([r for r in found if r["_mine"]]) == plain(mine) and plain([r for r in found if not r["_mine"]]) == plain(theirs)
+        assert plain([r for r in found if not r["_mine"] and r["_equal"]]) == both
+        assert sorted(r["extra"] for r in found if r["_mine"] and r["_equal"]) == sorted(kept)
+        assert Counter(repr(r["v"]) for r in found if r["_mine"]) == Counter(repr(r[1]) for r in mine)
+    plan = repair._marked_equals(a, b, ["id", "v"], None)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_more_rows_are_sorted_in_more_partitions(spark, monkeypatch):
     """A task's share of rows does not grow with the table, whatever number of partitions the session names."""
     a = spark.range(40_000).selectExpr("id", "id % 9 AS v")
