@@ -6,6 +6,8 @@ interchangeable.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,10 +39,20 @@ def small(parts: Iterator[pa.RecordBatch], most: int = ROWS_AT_ONCE) -> Iterator
 _KEPT: dict[str, dict] = {}
 
 
+def release() -> None:
+    """Gives memory that this worker process has freed back to the system; Arrow and the C library keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        getattr(ctypes.CDLL(None), "malloc_trim", lambda kept: None)(0)
+
+
 def worker_cache(owner: str) -> dict:
     """What this worker process keeps for an operator between tasks. One that turns to another operator drops the rest."""
-    for other in [o for o in _KEPT if o != owner]:
+    others = [o for o in _KEPT if o != owner]
+    for other in others:
         _KEPT.pop(other).clear()
+    if others:
+        release()
     return _KEPT.setdefault(owner, {})
 
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from rowmend.llm.rows import worker_cache
+from rowmend.llm.rows import release, worker_cache
 
 CACHED_PIECES = 400_000  # words and marks of either generation that a worker keeps; about 150 MB in all
 COLLECT_EVERY = 200_000  # new objects between two looks for cycles, of which there are none here
@@ -92,6 +92,7 @@ class _Cached:
     def rest(self) -> None:
         """At the end of a task: a worker that waits, or turns to other work, keeps the common pieces only."""
         self.older = {}
+        release()
 
     def _learn(self, pieces: set[str]) -> None:
         if len(self.known) > CACHED_PIECES:
@@ -167,6 +168,7 @@ class IdEncoder:
     def rest(self) -> None:
         """At the end of a task: a worker that waits, or turns to other work, keeps the common pieces only."""
         self.known.older = {}
+        release()
 
     def _bytes(self, ids: list[int]) -> bytes:
         return array.array("H" if self.width == 2 else "I", ids).tobytes()

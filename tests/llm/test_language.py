@@ -5,11 +5,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from corpus_pipeline import LEAST_SCORE
 from llm.conftest import DOCS, LONG, ODD, document
-from rowmend.llm import language
+from rowmend.llm import language, rows
 
 SF = "/root/testdata/sf0.01"
 
@@ -135,3 +136,10 @@ def test_prediction_is_what_the_weights_say(spark):
             if a in wins:
                 wins[a if row @ model.pair_weights[:-1, k] + model.pair_weights[-1, k] > 0 else b] += 1
         assert r["lang_pred"] in [lang for lang, n in wins.items() if n == max(wins.values())]
+
+
+def test_learning_drops_what_other_operators_keep():
+    rows.worker_cache("tokenizers")["kept"] = "words"
+    part = pa.RecordBatch.from_pydict({"lang": ["en"], "text": ["some words that are learned"]})
+    learned = list(language._training_rows(iter([part])))
+    assert "tokenizers" not in rows._KEPT and [p.num_rows for p in learned] == [2]
