@@ -231,7 +231,8 @@ class IdEncoder:
         split = pc.ascii_split_whitespace(texts) if self.drops else pc.split_pattern(texts, " ")
         pieces = split.flatten().dictionary_encode()
         dtype = np.uint16 if self.width == 2 else np.uint32
-        values = self._pieces(pieces.dictionary.to_pylist())
+        # By way of an array of objects: to_pylist makes a scalar of each piece first, at many times the cost.
+        values = self._pieces(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.width
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = pa.LargeListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(values), dtype)))
