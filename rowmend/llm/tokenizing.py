@@ -196,6 +196,7 @@ class IdEncoder:
         """Ids of what stands between blanks."""
         front, cut = ("", _LOWER_PIECES) if self.drops else (" ", _PIECES)
         known, one = self.known.known.get, self.known.one
+        plain = not self.drops  # with a blank in front ASCII letters are a word, which needs no pattern
         values = []
         for piece in pieces:
             whole = front + piece
@@ -204,8 +205,8 @@ class IdEncoder:
                 word = whole[:-1]
                 if piece.isascii() and piece.isalpha() and self.words:
                     value = one(whole)
-                elif piece[-1:] in _MARKS and (word[-1:] != "" and self.is_word(word)):
-                    value = one(word) + one(piece[-1])
+                elif piece[-1:] in _MARKS and (plain and piece[:-1].isalpha() and piece.isascii() or word[-1:] != "" and self.is_word(word)):
+                    value = (known(word) or one(word)) + (self.known.known.get(piece[-1]) or one(piece[-1]))
                 else:
                     value = b"".join(map(one, cut.findall(whole)))
                 known = self.known.known.get  # the cache may have turned over
@@ -235,11 +236,13 @@ class IdEncoder:
         values = self._pieces(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.width
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = pa.LargeListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(values), dtype)))
+        ids = np.frombuffer(b"".join(values), dtype)
         place = pieces.indices.to_numpy()
         after = np.concatenate([[0], np.cumsum(sizes[place])])
         counts = np.cumsum(pc.fill_null(pc.list_value_length(split), 0).to_numpy())
-        return ids.take(pieces.indices).flatten().to_numpy(), after[counts]
+        # Where each id of the texts stands among those of the pieces.
+        found = np.repeat(ends[:-1][place] - after[:-1], sizes[place]) + np.arange(after[-1])
+        return ids[found], after[counts]
 
     def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
         gc.set_threshold(COLLECT_EVERY)
