@@ -59,7 +59,10 @@ def components(links: DataFrame, local_links: int = LOCAL_LINKS) -> DataFrame:
     links to the smallest neighbour until nothing changes. Neighbourhoods are only
     aggregated and joined, so a hub is split like any other skewed key.
     """
-    links = materialize(links.select("a", "b").where("a <> b").mapInArrow(_contracted, EDGES), "links")
+    # Written before they are joined: Python that makes them in the same task would need a worker beside the joining one,
+    # and all that were ever needed at once take turns afterwards, each with memory of its own.
+    links = materialize(links.select("a", "b").where("a <> b"), "links")
+    links = materialize(links.mapInArrow(_contracted, EDGES), "links")
     if links.count() <= local_links:
         links = materialize(links.repartition(1).mapInArrow(_contracted, EDGES), "links")
     else:

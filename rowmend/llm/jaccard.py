@@ -30,12 +30,13 @@ from math import exp, floor, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowmend.llm.components import components, stars
-from rowmend.llm.rows import repeated, row_key, small, text_hash, without, worker_cache
+from rowmend.llm.rows import release, repeated, row_key, small, text_hash, without, worker_cache
 from rowmend.sources.storage import materialize
 
 SHINGLE_WORDS = 3
@@ -46,6 +47,7 @@ BUCKET = 1 << 19  # slices a task compares
 BLOCK_TOKENS = 1 << 20  # tokens of the classes in one tree
 BROADCAST_WALKS = 1_000_000  # places of candidate classes, 20 bytes each, that go to all executors to fetch their texts; more are shuffled
 LEAF, FANOUT, CHUNK = 8, 8, 16_384
+MARKED = 256  # sets whose tokens are put into bitmaps at once
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
@@ -86,6 +88,11 @@ class Hasher:
             total = mixed(total * np.uint64(_ODD[0])) + hashes[k : k + places] * np.uint64(_ODD[1 + k % 4])
         return np.unique(mixed(total))
 
+    def rest(self) -> None:
+        """At the end of a task: a worker that waits holds nothing."""
+        self.known = {}
+        release()
+
 
 @dataclass(frozen=True)
 class Slices:
@@ -179,6 +186,7 @@ def _classed(size: int):
                 pa.array([None if d is None else _node(d) for d in digests], pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n", "class", "node"])
+        hasher.rest()
 
     return classed
 
@@ -237,6 +245,7 @@ def _sliced(size: int, cuts: Slices, buckets: int):
                     signatures, nodes, held = [], [], 0
         if held:
             yield packed(np.concatenate(signatures), np.concatenate(nodes))
+        hasher.rest()
 
     return sliced
 
@@ -272,9 +281,11 @@ def tree(sets: list[np.ndarray], bits: int) -> list[Level]:
     """Levels from the sets themselves up to few nodes."""
     words = np.zeros((len(sets), bits // 64), np.uint64)
     sizes = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    places = np.concatenate(sets) % np.uint64(bits) if len(sets) else np.zeros(0, np.uint64)
-    np.bitwise_or.at(words, (owner, (places >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (places & np.uint64(63)))
+    for first in range(0, len(sets), MARKED):  # a place, an owner and a bit of each token, for few sets at a time
+        some = slice(first, first + MARKED)
+        owner = np.repeat(np.arange(len(sets))[some], sizes[some])
+        places = np.concatenate(sets[some]) % np.uint64(bits)
+        np.bitwise_or.at(words, (owner, (places >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (places & np.uint64(63)))
     levels = [Level(words, sizes, sizes, sizes - np.bitwise_count(words).sum(axis=1, dtype=np.int64))]
     while len(levels[-1].least) > FANOUT:
         levels.append(levels[-1].above(LEAF if len(levels) == 1 else FANOUT))
@@ -352,12 +363,14 @@ def _walked(percent: int):
 
     def walk(table: pa.Table) -> pa.Table:
         worker_cache("jaccard")
-        table = table.sort_by([("side", "ascending"), ("component", "ascending"), ("n", "ascending"), ("member", "ascending")])
-        members, sides = table.column("member").to_numpy(), table.column("side").to_numpy()
+        # Places are sorted, not the sets: those are copied once, when they are taken.
+        by = ["side", "component", "n", "member"]
+        order = pc.sort_indices(table.select(by), [(name, "ascending") for name in by]).to_numpy()
+        members, sides = table.column("member").to_numpy()[order], table.column("side").to_numpy()[order]
         # A text that occurs in several rows of one id was fetched several times.
         chosen = np.sort(np.unique(np.stack([sides.astype(np.int64), members]), axis=1, return_index=True)[1])
         members, first = members[chosen], int((sides[chosen] == 0).sum())
-        taken = table.column("tokens").take(pa.array(chosen)).combine_chunks()
+        taken = table.column("tokens").take(pa.array(order[chosen])).combine_chunks()
         del table
         # Sets as views of one buffer, not as copies.
         taken = taken if isinstance(taken, pa.Array) else pa.concat_arrays(taken.chunks)
@@ -382,6 +395,7 @@ def _tokens(size: int):
             sets = [hasher.tokens(t).tobytes() for t in part.column("text").to_pylist()]
             names = [n for n in part.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(sets, pa.binary())], [*names, "tokens"])
+        hasher.rest()
 
     return tokens
 

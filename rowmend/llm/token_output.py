@@ -148,7 +148,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str) -> None:
     texts = docs.select("doc_id", "text")
     dictionary = train_dictionary(texts, tokenizer)
     digest, width = hashlib.sha256(dictionary).hexdigest(), loaded(IdEncoder, tokenizer).width
-    spark.createDataFrame([(digest, bytearray(dictionary))], "digest string, content binary").write.parquet(f"{path}/dictionary")
+    # Not by createDataFrame, whose rows go through Python workers of a kind of their own, which then wait beside the others.
+    spark.range(1, numPartitions=1).select(F.lit(digest).alias("digest"), F.lit(dictionary).alias("content")).write.parquet(f"{path}/dictionary")
     # Kept before the sort, which looks at its input twice.
     encoded = materialize(texts.mapInArrow(_encoded(tokenizer, dictionary), ENCODED), "frames")
     in_order = ["doc_id", "n_ids", "frame"]

@@ -93,6 +93,34 @@ def test_trees_prune_and_lose_nothing():
     assert seen["pairs"] < len(sets) ** 2 / 10
 
 
+def test_one_python_worker_a_task(make, monkeypatch):
+    """Python steps of one stage run beside each other, each in a worker with memory of its own."""
+    stages = []
+    for module in (jaccard, components):
+        kept = module.materialize
+
+        def noted(df, label, kept=kept):
+            plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            stages.extend(plan.replace("BroadcastExchange", "Exchange").split("Exchange"))
+            return kept(df, label)
+
+        monkeypatch.setattr(module, "materialize", noted)
+    texts = variants(random.Random(4), 60)
+    assert got(make(texts)) == expected(list(enumerate(texts)), 3, 90)
+    counts = Counter(s.count("InArrow") for s in stages)
+    assert counts[1] >= 6 and set(counts) <= {0, 1}
+
+
+def test_sets_are_marked_a_few_at_a_time(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, int(n), dtype=np.uint64)) for n in rng.integers(1, 90, 70)]
+    whole = jaccard.tree(sets, 512)
+    for few in (1, 7, 70):
+        monkeypatch.setattr(jaccard, "MARKED", few)
+        for a, b in zip(whole, jaccard.tree(sets, 512), strict=True):
+            assert (a.bits == b.bits).all() and (a.extra == b.extra).all()
+
+
 def test_odd_tables(spark, odd, empty):
     data = [(d[0], d[1]) for d in ODD]
     assert got(odd) == expected(data, 3, 90)
