@@ -41,6 +41,7 @@ DICTIONARY_BYTES = 1 << 16
 SAMPLE_DOCS = 1000
 SAMPLE_IDS = 4096
 SEGMENT_BYTES = 4 << 20
+CACHED = 120_000  # pieces of either generation that a worker keeps, about 50 MB in all: it works beside a heap that earlier stages have filled
 ENCODED_AT_ONCE = 4000  # documents whose pieces are looked up together
 
 ENTRY = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n_ids", "<u4")])
@@ -59,7 +60,7 @@ def _stretch(tokenizer: str):
     """A stretch of each document's ids to train on; the digest of its ids says where."""
 
     def take(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = loaded(IdEncoder, tokenizer)
+        encoder = loaded(IdEncoder, tokenizer, CACHED)
         size = SAMPLE_IDS * encoder.width
         for part in small(parts):
             taken = []
@@ -96,7 +97,7 @@ def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
 
 def _encoded(tokenizer: str, dictionary: bytes):
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, compressor = loaded(IdEncoder, tokenizer), _compressor(dictionary)
+        encoder, compressor = loaded(IdEncoder, tokenizer, CACHED), _compressor(dictionary)
         for part in small(parts, ENCODED_AT_ONCE):
             counts, frames = [], []
             for ids in _with_end(encoder, part.column("text").to_pylist()):
@@ -147,7 +148,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str) -> None:
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
     dictionary = train_dictionary(texts, tokenizer)
-    digest, width = hashlib.sha256(dictionary).hexdigest(), loaded(IdEncoder, tokenizer).width
+    digest, width = hashlib.sha256(dictionary).hexdigest(), loaded(IdEncoder, tokenizer, CACHED).width
     # Not by createDataFrame, whose rows go through Python workers of a kind of their own, which then wait beside the others.
     spark.range(1, numPartitions=1).select(F.lit(digest).alias("digest"), F.lit(dictionary).alias("content")).write.parquet(f"{path}/dictionary")
     # Kept before the sort, which looks at its input twice.

@@ -135,7 +135,7 @@ class Generations:
 class IdEncoder:
     """Ids of a tokenizers file as bytes, ``width`` bytes an id."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most: int | None = None) -> None:
         from tokenizers import Tokenizer
         from tokenizers import pre_tokenizers
 
@@ -163,7 +163,7 @@ class IdEncoder:
         if self.drops:
             self.is_word, probe = _LOWER_WORD.fullmatch, ["word", "wörter", "été"]
         self.words = (self.cuts or self.drops) and [self._whole(p) for p in probe] == [self._word(p) for p in probe]
-        self.known = Generations(self._part, CACHED_PIECES)
+        self.known = Generations(self._part, CACHED_PIECES if most is None else most)
 
     def rest(self) -> None:
         """At the end of a task: a worker that waits, or turns to other work, keeps the common pieces only."""
@@ -299,9 +299,9 @@ def _keeps_spaces(model) -> bool:
         return False
 
 
-def loaded(kind: type, path: str):
+def loaded(kind: type, path: str, *more):
     """The encoder of this worker process, with what it has cached."""
     kept = worker_cache("tokenizers")
-    if (kind, path) not in kept:
-        kept[kind, path] = kind(path)
-    return kept[kind, path]
+    if (kind, path, *more) not in kept:
+        kept[kind, path, *more] = kind(path, *more)
+    return kept[kind, path, *more]
