@@ -41,7 +41,6 @@ DICTIONARY_BYTES = 1 << 16
 SAMPLE_DOCS = 1000
 SAMPLE_IDS = 4096
 SEGMENT_BYTES = 4 << 20
-CACHED = 120_000  # pieces of either generation that a worker keeps, about 50 MB in all: it works beside a heap that earlier stages have filled
 ENCODED_AT_ONCE = 4000  # documents whose pieces are looked up together
 
 ENTRY = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n_ids", "<u4")])
@@ -56,11 +55,11 @@ def _with_end(encoder: IdEncoder, texts: list) -> Iterator[bytes]:
         yield ids + end
 
 
-def _stretch(tokenizer: str):
+def _stretch(tokenizer: str, cached: int | None):
     """A stretch of each document's ids to train on; the digest of its ids says where."""
 
     def take(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = loaded(IdEncoder, tokenizer, CACHED)
+        encoder = loaded(IdEncoder, tokenizer, cached)
         size = SAMPLE_IDS * encoder.width
         for part in small(parts):
             taken = []
@@ -72,11 +71,11 @@ def _stretch(tokenizer: str):
     return take
 
 
-def train_dictionary(docs: DataFrame, tokenizer: str, sample: int = SAMPLE_DOCS) -> bytes:
+def train_dictionary(docs: DataFrame, tokenizer: str, sample: int = SAMPLE_DOCS, cached: int | None = None) -> bytes:
     """The shared dictionary, of at most DICTIONARY_BYTES; empty if the sample is too small."""
     # The documents with the smallest hashes of id and text, whatever order they are read in.
     picked = docs.select("text", F.xxhash64("doc_id", "text").alias("place")).orderBy("place", "text").limit(sample).select("text")
-    samples = sorted(bytes(r["ids"]) for r in picked.mapInArrow(_stretch(tokenizer), "ids binary").collect())
+    samples = sorted(bytes(r["ids"]) for r in picked.mapInArrow(_stretch(tokenizer, cached), "ids binary").collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -95,10 +94,10 @@ def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
     return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary)) if dictionary else zstandard.ZstdDecompressor()
 
 
-def _encoded(tokenizer: str, dictionary: bytes):
+def _encoded(tokenizer: str, dictionary: bytes, cached: int | None, at_once: int):
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, compressor = loaded(IdEncoder, tokenizer, CACHED), _compressor(dictionary)
-        for part in small(parts, ENCODED_AT_ONCE):
+        encoder, compressor = loaded(IdEncoder, tokenizer, cached), _compressor(dictionary)
+        for part in small(parts, at_once):
             counts, frames = [], []
             for ids in _with_end(encoder, part.column("text").to_pylist()):
                 counts.append(len(ids) // encoder.width)
@@ -143,16 +142,19 @@ def _segments(digest: str, width: int):
     return pack
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, path: str) -> None:
-    """Writes ``path``/segments and ``path``/dictionary."""
+def write_tokens(docs: DataFrame, tokenizer: str, path: str, cached: int | None = None, at_once: int = ENCODED_AT_ONCE) -> None:
+    """Writes ``path``/segments and ``path``/dictionary.
+
+    Pieces kept by a worker (``cached``) and documents in hand (``at_once``) trade its time for its memory; the ids are the same.
+    """
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
-    dictionary = train_dictionary(texts, tokenizer)
-    digest, width = hashlib.sha256(dictionary).hexdigest(), loaded(IdEncoder, tokenizer, CACHED).width
+    dictionary = train_dictionary(texts, tokenizer, cached=cached)
+    digest, width = hashlib.sha256(dictionary).hexdigest(), loaded(IdEncoder, tokenizer, cached).width
     # Not by createDataFrame, whose rows go through Python workers of a kind of their own, which then wait beside the others.
     spark.range(1, numPartitions=1).select(F.lit(digest).alias("digest"), F.lit(dictionary).alias("content")).write.parquet(f"{path}/dictionary")
     # Kept before the sort, which looks at its input twice.
-    encoded = materialize(texts.mapInArrow(_encoded(tokenizer, dictionary), ENCODED), "frames")
+    encoded = materialize(texts.mapInArrow(_encoded(tokenizer, dictionary, cached, at_once), ENCODED), "frames")
     in_order = ["doc_id", "n_ids", "frame"]
     ranged = encoded.repartitionByRange(*in_order).sortWithinPartitions(*in_order)
     ranged.mapInArrow(_segments(digest, width), SEGMENTS).write.parquet(f"{path}/segments")
@@ -201,8 +203,10 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return wanted.mapInArrow(_documents(bytes(dictionary), digest), DOCUMENTS)
 
 
-def token_output(docs: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame:
+def token_output(
+    docs: DataFrame, tokenizer: str, path: str | None = None, cached: int | None = None, at_once: int = ENCODED_AT_ONCE
+) -> DataFrame:
     """Writes the documents' ids and reads them back from there."""
     path = path or new_path(docs.sparkSession, "tokens")
-    write_tokens(docs, tokenizer, path)
+    write_tokens(docs, tokenizer, path, cached, at_once)
     return read_tokens(docs.sparkSession, path)

@@ -140,3 +140,10 @@ def test_single_documents_and_the_dictionary(spark, make):
         assert ids.astype("<u4").tobytes() == whole[int(index["doc_id"][place])]
     plain = token_output._compressor(b"")
     assert len(segment["frames"]) < sum(len(plain.compress(np.frombuffer(w, "<u4").astype("<u2").tobytes())) for w in whole.values())
+
+
+def test_less_memory_gives_the_same_ids(make):
+    docs = make(texts(60, 8) + [" ".join(texts(300, 9))])
+    wanted = sorted(tuple(r) for r in token_output.token_output(docs, BYTES).collect())
+    assert sorted(tuple(r) for r in token_output.token_output(docs, BYTES, cached=20, at_once=3).collect()) == wanted
+    assert tokenizing.loaded(tokenizing.IdEncoder, BYTES, 20).known.most == 20
