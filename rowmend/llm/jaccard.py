@@ -4,7 +4,10 @@ Equal sets are one class, found by grouping. To give trees to tasks, token space
 into more slices than two similar sets may differ in tokens; some slice then holds the
 same tokens in both (pigeonhole; where slices are small, two of a group of three), and
 classes that share it, directly or by others, are brought together. How many slices follows
-from the range of sizes, so each set is cut for its own range and the next one.
+from the range of sizes, so each set is cut for its own range and the next one. A class is
+brought together with others once for each of the two cuts, so that groups do not grow
+together over all sizes. A set sends no slice of fewer tokens than it has to: what a single
+common shingle links by chance would grow into one group of most classes.
 
 A task builds a tree over the classes it got: every node holds the OR of the token bitmaps
 below it, the range of their set sizes, and the largest number of tokens that share a bit
@@ -44,6 +47,7 @@ PERCENT = 90
 CACHED_WORDS = 100_000  # words whose hash a task keeps
 PACKED = 1 << 18  # slices a task gathers before it sends them; a few copies of 16 bytes each
 BUCKET = 1 << 19  # slices a task compares
+LOWER = 16  # nodes of a lower range that a task sends one by one for a signature
 BLOCK_TOKENS = 1 << 20  # tokens of the classes in one tree
 BROADCAST_WALKS = 1_000_000  # places of candidate classes, 20 bytes each, that go to all executors to fetch their texts; more are shuffled
 LEAF, FANOUT, CHUNK = 8, 8, 16_384
@@ -132,17 +136,19 @@ class Slices:
         d = self.difference(cut)
         return 3 * (d // 2 + 2 + d // 25) if self.paired else d + 2 + d * (100 - self.percent) ** 2 // 2000
 
-    def signatures(self, tokens: np.ndarray) -> np.ndarray:
+    def by_cut(self, tokens: np.ndarray) -> list[np.ndarray]:
         """Hashes of the set's slices, or pairs of slices, each with the number of the cut and its place.
 
-        What holds no token is left out, unless the set has so few filled slices, or groups
-        without two empty ones, that its differing tokens could spoil them all: then it is sent
-        as well. Otherwise one of the filled ones is the same in any similar set.
+        First those of the cut in whose upper range the set lies, then those of the next cut, where it lies in
+        the lower one. More slices, or groups of three, than differing tokens can spoil hold ``least`` tokens or
+        more, whichever two of a group are the same; what holds fewer is left out. A similar set has
+        a least number of its own. One of the slices that count for the set with the higher one is the same in
+        both, and both send it.
         """
         size = len(tokens)
         own = size * (100 - self.percent) // self.percent
         if own == 0:  # only an equal set is similar
-            return np.zeros(0, np.uint64)
+            return [np.zeros(0, np.uint64)] * 2
         found = []
         scrambled = mixed(tokens ^ np.uint64(_ODD[5]))
         for cut in (self.range_of(size), self.range_of(size) + 1):
@@ -150,17 +156,20 @@ class Slices:
             slices = (tokens % np.uint64(n)).astype(np.int64)
             sums, held = np.zeros(n, np.uint64), np.bincount(slices, minlength=n)
             np.add.at(sums, slices, scrambled)
+            spoiled, sure = most, held
             if self.paired:
                 sums, held = sums.reshape(-1, 3), held.reshape(-1, 3)
-                enough = 2 * int(((held > 0).sum(axis=1) >= 2).sum()) > most
+                spoiled, sure = most // 2, held.sum(axis=1) - held.max(axis=1)
                 first, second = [0, 0, 1], [1, 2, 2]
                 sums = (mixed(sums[:, first] + np.uint64(_ODD[4])) + mixed(sums[:, second]) * np.uint64(_ODD[1])).ravel()
                 held = (held[:, first] + held[:, second]).ravel()
-            else:
-                enough = int((held > 0).sum()) > most
-            place = np.flatnonzero(held) if enough else np.arange(len(held))
+            least = np.partition(sure, len(sure) - 1 - spoiled)[len(sure) - 1 - spoiled]
+            place = np.flatnonzero(held >= least)
             found.append(mixed(sums[place] + mixed(place.astype(np.uint64) * np.uint64(_ODD[2]) + np.uint64(cut * _ODD[3] % 2**64))))
-        return np.concatenate(found)
+        return found
+
+    def signatures(self, tokens: np.ndarray) -> np.ndarray:
+        return np.concatenate(self.by_cut(tokens))
 
 
 SETS = "doc_id bigint, text_hash bigint, n bigint, class binary, node bigint"
@@ -170,6 +179,11 @@ def _node(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
+def _by_cut(node):
+    """A class's node in the cut where it lies in the upper range, an even number, and in the next cut, an odd one."""
+    return (node & -2, node | 1) if isinstance(node, int) else (node.bitwiseAND(F.lit(-2)), node.bitwiseOR(F.lit(1)))
+
+
 def _classed(size: int):
     """Size of each document's set and a digest of it: 16 bytes, of which 8 number the candidates."""
 
@@ -191,22 +205,36 @@ def _classed(size: int):
     return classed
 
 
-def _runs(signatures: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct signatures with their smallest node, and links from other nodes of a signature to that one."""
-    order = np.lexsort((nodes, signatures))
+def _runs(signatures: np.ndarray, nodes: np.ndarray, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Links of the nodes of a signature to its first one, and the signatures, each with the nodes that later ones may link with.
+
+    Two sets of one range meet in the cut where they lie in the upper one; so nodes of a lower range (odd
+    numbers) need no links among each other, and are kept until one of the upper range comes. More than
+    ``most`` of them are linked all the same, so that a common signature stays small.
+    """
+    order = np.lexsort((nodes, nodes & 1, signatures))
     signatures, nodes = signatures[order], nodes[order]
-    fresh = np.concatenate([[True], signatures[1:] != signatures[:-1]]) if len(nodes) else np.zeros(0, bool)
-    least = nodes[np.flatnonzero(fresh)][np.cumsum(fresh) - 1] if len(nodes) else nodes
-    other = nodes != least
-    a, b = stars(nodes[other], least[other])
-    return signatures[fresh], nodes[fresh], a, b
+    if not len(nodes):
+        return signatures, nodes, nodes, nodes
+    starts = np.concatenate([[True], signatures[1:] != signatures[:-1]])
+    fresh = starts | np.concatenate([[True], nodes[1:] != nodes[:-1]])
+    run, begins = np.cumsum(starts) - 1, np.flatnonzero(starts)
+    first = nodes[begins]
+    joined = first & 1 == 0
+    if most is not None:
+        joined = joined | (np.add.reduceat(fresh.astype(np.int64), begins) > most)
+    first, joined = first[run], joined[run]
+    other = joined & (nodes != first)
+    a, b = stars(nodes[other], first[other])
+    kept = starts | (fresh & ~joined)
+    return signatures[kept], nodes[kept], a, b
 
 
 def _sliced(size: int, cuts: Slices, buckets: int):
     """Packed (signature, node) arrays by bucket; what a task can already link it sends as links instead."""
 
     def packed(signatures: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-        signatures, nodes, a, b = _runs(signatures, nodes)
+        signatures, nodes, a, b = _runs(signatures, nodes, LOWER)
         rows = []
         for kind, keys, values in ((0, signatures, nodes), (1, a.view(np.uint64), b)):
             bucket = ((keys >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
@@ -228,8 +256,7 @@ def _sliced(size: int, cuts: Slices, buckets: int):
         for part in small(parts):
             for text in part.column("text").to_pylist():
                 tokens = hasher.tokens(text)
-                own = cuts.signatures(tokens) if len(tokens) else tokens
-                if not len(own):
+                if not len(tokens):
                     continue
                 node = _node(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                 if node in seen:  # copies met by the same task are sent once
@@ -237,9 +264,10 @@ def _sliced(size: int, cuts: Slices, buckets: int):
                 if len(seen) >= CACHED_WORDS:
                     seen.clear()
                 seen.add(node)
-                signatures.append(own)
-                nodes.append(np.full(len(own), node, np.int64))
-                held += len(own)
+                for own, at in zip(cuts.by_cut(tokens), _by_cut(node)):
+                    signatures.append(own)
+                    nodes.append(np.full(len(own), at, np.int64))
+                    held += len(own)
                 if held >= PACKED:
                     yield packed(np.concatenate(signatures), np.concatenate(nodes))
                     signatures, nodes, held = [], [], 0
@@ -441,6 +469,14 @@ def _placed(members: DataFrame, block_tokens: int) -> DataFrame:
     return materialize(named.select(*members.columns, "walks"), "placed")
 
 
+def _walks(placed: DataFrame) -> DataFrame:
+    """One row per member with the walks of both its cuts; blocks where both bring it to are walked once."""
+    of = ["member", "n", "doc_id", "text_hash"]
+    each = placed.select(*of, "component", F.explode("walks").alias("w")).select(*of, "component", "w.i", "w.j", "w.side")
+    each = each.groupBy(*of, "i", "j", "side").agg(F.min("component").alias("component"))
+    return materialize(each.groupBy(*of).agg(F.collect_list(F.struct("i", "j", "side", "component")).alias("walks")), "walks")
+
+
 def _classified(docs: DataFrame, shingle_words: int, percent: int, block_tokens: int, bucket: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, text_hash, n, class), and of each class the component_id and the first row of its component."""
     cuts = Slices(percent)
@@ -457,23 +493,24 @@ def _classified(docs: DataFrame, shingle_words: int, percent: int, block_tokens:
     classes = sets.where("n > 0").groupBy("class", "node", "n").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"))
     classes = classes.select("class", "node", "n", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"))
     classes = materialize(classes.withColumn("member", F.monotonically_increasing_id()), "classes")
-    members = classes.join(candidates, "node").select("member", "n", "component", "doc_id", "text_hash")
+    noded = classes.withColumn("node", F.explode(F.array(*_by_cut(F.col("node")))))
+    members = noded.join(candidates, "node").select("member", "n", "component", "doc_id", "text_hash").distinct()
     size_range = F.floor(F.log(F.col("n")) / F.lit(cuts.step)).cast("long")
     members = materialize(members.withColumn("size_range", size_range), "candidates")
     several = members.groupBy("component").count().where("count > 1").select("component")
     members = materialize(members.join(several, "component"), "candidates")
 
-    placed = _placed(members, block_tokens)
-    fetched = placed.select(row_key(), "member", "n", "component", "walks")
+    placed = _walks(_placed(members, block_tokens))
+    fetched = placed.select(row_key(), "member", "n", "walks")
     if (placed.agg(F.sum(F.size("walks"))).first()[0] or 0) <= BROADCAST_WALKS:
         fetched = F.broadcast(fetched)
     found = texts.select("text", row_key()).join(fetched, "key").drop("key")
     found = found.mapInArrow(
         _tokens(shingle_words),
-        "member bigint, n bigint, component bigint, walks array<struct<i:bigint,j:bigint,side:int>>, tokens binary",
+        "member bigint, n bigint, walks array<struct<i:bigint,j:bigint,side:int,component:bigint>>, tokens binary",
     )
-    found = found.select("member", "n", "component", F.explode("walks").alias("w"), "tokens")
-    found = found.select("member", "n", "component", "w.i", "w.j", "w.side", "tokens")
+    found = found.select("member", "n", F.explode("walks").alias("w"), "tokens")
+    found = found.select("member", "n", "w.component", "w.i", "w.j", "w.side", "tokens")
     links = found.groupBy("i", "j").applyInArrow(_walked(percent), "a bigint, b bigint")
     joined = components(links).withColumnRenamed("node", "member")
 

@@ -78,6 +78,60 @@ def test_slices_never_miss_a_similar_set():
                 assert len(np.intersect1d(cuts.signatures(s), cuts.signatures(t)))
 
 
+def test_similar_sets_meet_in_the_cut_of_the_larger_one():
+    rng = np.random.default_rng(6)
+    for percent in (90, 80, 50):
+        cuts, met = jaccard.Slices(percent), Counter()
+        for _ in range(600):
+            s = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 200)), dtype=np.uint64))
+            common = s[rng.random(len(s)) < rng.uniform(percent / 100, 1)]
+            t = np.unique(np.concatenate([common, rng.integers(0, 2**63, int(rng.integers(0, 12)), dtype=np.uint64)]))
+            shared = len(np.intersect1d(s, t))
+            if len(t) and shared * 100 >= percent * (len(s) + len(t) - shared) and not np.array_equal(s, t):
+                small, large = sorted((s, t), key=len)
+                apart = cuts.range_of(len(large)) - cuts.range_of(len(small))
+                assert len(np.intersect1d(cuts.by_cut(large)[0], cuts.by_cut(small)[apart]))
+                met[apart] += 1
+        assert met[0] and met[1]
+
+
+@pytest.mark.parametrize("most", [None, 2])
+def test_nodes_of_the_lower_range_wait_for_one_of_the_upper(most):
+    """Dealt to tasks in any way, a signature links what it would at once, if one of its nodes is even."""
+    rng = np.random.default_rng(7)
+    signatures, nodes = rng.integers(0, 60, 300).astype(np.uint64), rng.integers(0, 200, 300)
+    parts = [jaccard._runs(signatures[k::3], nodes[k::3], most) for k in range(3)]
+    left, right, *last = jaccard._runs(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+    links = list(zip(np.concatenate([last[0], *[p[2] for p in parts]]).tolist(), np.concatenate([last[1], *[p[3] for p in parts]]).tolist()))
+    label = components.labels(200, *np.array(links, int).T)
+    for value in set(signatures.tolist()):
+        own = nodes[signatures == value]
+        if (own % 2 == 0).any():
+            assert len(set(label[own])) == 1
+    if most is None:
+        odd = [v for v in set(signatures.tolist()) if (nodes[signatures == v] % 2).all()]
+        assert odd and all(set(right[left == v]) == set(nodes[signatures == v]) for v in odd)
+    empty = jaccard._runs(np.zeros(0, np.uint64), np.zeros(0, np.int64), most)
+    assert [len(x) for x in empty] == [0] * 4
+
+
+def test_a_common_phrase_brings_few_together(make, monkeypatch):
+    """What single shingles link must not become one group of most documents, whose blocks are walked in pairs."""
+    rng, largest, kept = random.Random(8), [], jaccard.materialize
+
+    def noted(df, label):
+        table = kept(df, label)
+        if label == "candidates":
+            largest.append(max((r["count"] for r in table.groupBy("component").count().collect()), default=0))
+        return table
+
+    monkeypatch.setattr(jaccard, "materialize", noted)
+    words, phrases = [f"w{i}" for i in range(5000)], [" ".join(f"p{k}x{i}" for i in range(5)) for k in range(6)]
+    texts = [" ".join([*rng.choices(words, k=rng.randint(150, 400)), *rng.sample(phrases, 2)]) for _ in range(500)]
+    assert all(d == c for d, _, c in got(make(texts), 5, 80))
+    assert largest[-1] < 50
+
+
 def test_trees_prune_and_lose_nothing():
     rng = np.random.default_rng(3)
     base = [np.unique(rng.integers(0, 2**63, 120, dtype=np.uint64)) for _ in range(40)]
