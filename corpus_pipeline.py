@@ -18,8 +18,8 @@ LEAST_SCORE = 0.1  # of a language; a text that is in none of them has score 0
 SHINGLE_WORDS = 5
 PERCENT = 80
 TOKENIZER = "byte_bpe_50k.json"
-# Pieces a worker keeps and documents it has in hand: fewer than by default, as it works beside a heap that earlier stages have filled.
-CACHED, AT_ONCE = 120_000, 500
+# Pieces a worker keeps, documents it has in hand and rows it is sent: fewer than by default, as it works beside a heap that earlier stages have filled.
+CACHED, AT_ONCE, BATCH = 60_000, 250, 1000
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids written as binary output and read back from there."""
-    read = token_output.token_output(docs, public_tokenizers.path(TOKENIZER), cached=CACHED, at_once=AT_ONCE)
+    with rows.small_batches(spark, BATCH):
+        read = token_output.token_output(docs, public_tokenizers.path(TOKENIZER), cached=CACHED, at_once=AT_ONCE)
     return read.select("doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 

@@ -6,6 +6,7 @@ interchangeable.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import sys
 from collections.abc import Iterator
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_AT_ONCE = 500  # documents that a Python worker has in hand as objects
@@ -36,6 +37,18 @@ def small(parts: Iterator[pa.RecordBatch], most: int = ROWS_AT_ONCE) -> Iterator
             first = last
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, most: int) -> Iterator[None]:
+    """What is run meanwhile hands at most so many rows at once to Python: both sides hold whole batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(most, int(before)) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _KEPT: dict[str, dict] = {}
 
 

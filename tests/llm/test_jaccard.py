@@ -115,7 +115,7 @@ def test_nodes_of_the_lower_range_wait_for_one_of_the_upper(most):
     assert [len(x) for x in empty] == [0] * 4
 
 
-def test_a_common_phrase_brings_few_together(make, monkeypatch):
+def test_common_phrases_bring_few_together(make, monkeypatch):
     """What single shingles link must not become one group of most documents, whose blocks are walked in pairs."""
     rng, largest, kept = random.Random(8), [], jaccard.materialize
 
@@ -126,8 +126,8 @@ def test_a_common_phrase_brings_few_together(make, monkeypatch):
         return table
 
     monkeypatch.setattr(jaccard, "materialize", noted)
-    words, phrases = [f"w{i}" for i in range(5000)], [" ".join(f"p{k}x{i}" for i in range(5)) for k in range(6)]
-    texts = [" ".join([*rng.choices(words, k=rng.randint(150, 400)), *rng.sample(phrases, 2)]) for _ in range(500)]
+    words, phrases = [f"w{i}" for i in range(5000)], [" ".join(f"p{k}x{i}" for i in range(24)) for k in range(8)]
+    texts = [" ".join([*rng.choices(words, k=rng.randint(250, 400)), *rng.sample(phrases, 2)]) for _ in range(500)]
     assert all(d == c for d, _, c in got(make(texts), 5, 80))
     assert largest[-1] < 50
 

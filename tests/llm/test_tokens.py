@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tokenizers import Tokenizer
 
 from llm.conftest import ODD
 from rowmend.llm import token_counts, token_output, tokenizing
+from rowmend.llm.rows import small_batches
 from rowmend.sources.storage import new_path
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -147,3 +149,20 @@ def test_less_memory_gives_the_same_ids(make):
     wanted = sorted(tuple(r) for r in token_output.token_output(docs, BYTES).collect())
     assert sorted(tuple(r) for r in token_output.token_output(docs, BYTES, cached=20, at_once=3).collect()) == wanted
     assert tokenizing.loaded(tokenizing.IdEncoder, BYTES, 20).known.most == 20
+
+
+def test_small_batches_hold_meanwhile(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(parts):
+        for part in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([part.num_rows])], ["n"])
+
+    rows_in = spark.range(0, 1000, numPartitions=1)
+    with small_batches(spark, 300):
+        assert sorted(r["n"] for r in rows_in.mapInArrow(sizes, "n bigint").collect()) == [100, 300, 300, 300]
+    with pytest.raises(ValueError), small_batches(spark, 10**9):
+        assert spark.conf.get(name) == before
+        raise ValueError
+    assert spark.conf.get(name) == before
