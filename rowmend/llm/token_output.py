@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowmend.llm.rows import small
+from rowmend.llm.rows import release, small, worker_cache
 from rowmend.llm.tokenizing import IdEncoder, loaded
 from rowmend.sources.storage import materialize, new_path
 
@@ -42,6 +42,7 @@ SAMPLE_DOCS = 1000
 SAMPLE_IDS = 4096
 SEGMENT_BYTES = 4 << 20
 ENCODED_AT_ONCE = 4000  # documents whose pieces are looked up together
+READ_AT_ONCE = 250  # documents whose ids a reading worker has in hand
 
 ENTRY = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n_ids", "<u4")])
 ENCODED = "doc_id bigint, n_ids bigint, frame binary"
@@ -117,6 +118,7 @@ def _segments(digest: str, width: int):
     )
 
     def pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("segments")  # no tokenizer beside what is packed
         part_id, seq, first = TaskContext.get().partitionId(), 0, 0
         entries: list[tuple] = []
         frames: list[bytes] = []
@@ -170,22 +172,29 @@ def read_document(segment, place: int, dictionary: bytes) -> np.ndarray:
 
 def _documents(dictionary: bytes, digest: str):
     def unpack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("segments")
         reader = _decompressor(dictionary)
         for part in parts:
-            for segment in part.to_pylist():
+            for row in range(part.num_rows):
+                segment = part.slice(row, 1).to_pylist()[0]
                 if segment["dictionary"] != digest:
                     raise ValueError(f"segment {segment['part']}/{segment['seq']} was written with another dictionary")
                 index, frames = np.frombuffer(segment["index"], ENTRY), memoryview(segment["frames"])
                 stops = [*index["offset"][1:].tolist(), len(frames)]
-                ids = [reader.decompress(frames[a:b]) for a, b in zip(index["offset"].tolist(), stops)]
                 counts = index["n_ids"].astype(np.int64)
-                columns = [
-                    pa.array(index["doc_id"], pa.int64(), mask=index["null"].astype(bool)),
-                    pa.array(segment["start"] + np.cumsum(counts) - counts),
-                    pa.array(counts),
-                    pa.array([np.frombuffer(i, f"<u{segment['width']}").astype("<u4").tobytes() for i in ids], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_ids", "ids"])
+                starts = segment["start"] + np.cumsum(counts) - counts
+                places = list(zip(index["offset"].tolist(), stops))
+                for first in range(0, len(places), READ_AT_ONCE):
+                    some = slice(first, first + READ_AT_ONCE)
+                    ids = [np.frombuffer(reader.decompress(frames[a:b]), f"<u{segment['width']}").astype("<u4").tobytes() for a, b in places[some]]
+                    columns = [
+                        pa.array(index["doc_id"][some], pa.int64(), mask=index["null"][some].astype(bool)),
+                        pa.array(starts[some]),
+                        pa.array(counts[some]),
+                        pa.array(ids, pa.binary()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_ids", "ids"])
+        release()
 
     return unpack
 

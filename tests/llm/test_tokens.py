@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm.conftest import ODD
-from rowmend.llm import token_counts, token_output, tokenizing
+from rowmend.llm import rows, token_counts, token_output, tokenizing
 from rowmend.llm.rows import small_batches
 from rowmend.sources.storage import new_path
 
@@ -166,3 +166,18 @@ def test_small_batches_hold_meanwhile(spark):
         assert spark.conf.get(name) == before
         raise ValueError
     assert spark.conf.get(name) == before
+
+
+def test_reading_has_few_documents_in_hand(make, monkeypatch):
+    """A segment of many documents is read back a few at a time, by a worker without tokenizers."""
+    read = token_output.token_output(make(texts(40)), BYTES).orderBy("start").collect()
+    frames = [token_output._compressor(b"").compress(np.frombuffer(r["ids"], "<u4").astype("<u2").tobytes()) for r in read]
+    packed = pa.table({"doc_id": [r["doc_id"] for r in read], "n_ids": [r["n_ids"] for r in read], "frame": pa.array(frames, pa.binary())})
+    monkeypatch.setattr(token_output.TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 0})()))
+    segments = pa.Table.from_batches(token_output._segments("d", 2)(iter(packed.to_batches())))
+    assert segments.num_rows == 1
+    monkeypatch.setattr(token_output, "READ_AT_ONCE", 7)
+    tokenizing.loaded(tokenizing.IdEncoder, BYTES)
+    parts = list(token_output._documents(b"", "d")(iter(segments.append_column("start", pa.array([0])).to_batches())))
+    assert [p.num_rows for p in parts] == [7, 7, 7, 7, 7, 5] and list(rows._KEPT) == ["segments"]
+    assert pa.Table.from_batches(parts).to_pylist() == [r.asDict() | {"ids": bytes(r["ids"])} for r in read]
